@@ -15,12 +15,12 @@ LINEAGE = ["file_name", "source", "file_ordinal", "src_row"]
 
 
 def project_targets(bronze: DataFrame, mapping: DataFrame, mapping_rows: int | None = None) -> DataFrame:
-    """P1/P2/P3: every target from its resolved header ('' for an empty cell) or NULL when
-    the dataset has no header for it. Datasets without any resolved target yield no rows."""
+    """P1/P2/P3: every target from its resolved column ('' for an empty cell) or NULL when
+    the dataset has no column for it. Datasets without any resolved target yield no rows."""
     j = join_checked(bronze, mapping, KEY, "inner", mapping_rows)
     m, cells = F.col("mapping"), F.col("cells")
     cols = [F.when(m[t].isNull(), F.lit(None).cast("string"))
-             .otherwise(F.coalesce(cells[m[t]], F.lit(""))).alias(t) for t in TARGETS]
+             .otherwise(F.coalesce(F.try_element_at(cells, m[t] + 1), F.lit(""))).alias(t) for t in TARGETS]
     return j.select(*LINEAGE, *cols)
 
 

@@ -9,8 +9,9 @@ Semantics per (dataset, target), aliases tried in list order:
 Plan shape (no Python, no per-file loop, no join of data against data):
   * scores are computed once per *distinct* header string; the 92 aliases are a literal
     array exploded next to each header (a Generate, not a join);
-  * the only data-sized step is the non-blank count: explode(cells) then a partial
-    (map-side) aggregate per (dataset, header), so each map task ships one row per header;
+  * the only data-sized step is the non-blank count, produced by the source in the same
+    pass that profiles it: posexplode(cells) then a partial (map-side) aggregate per
+    (dataset, column position), so each map task ships one row per column;
   * everything after that works on (#datasets x #headers x #aliases) rows.
 """
 
@@ -20,7 +21,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftsweep.functions.similarity import indel_ratio, lcs_length, passes_threshold
-from driftsweep.functions.text import non_blank
 from driftsweep.schema import alias_rows
 
 KEY = ["file_name", "source"]
@@ -54,11 +54,10 @@ def header_scores(headers: DataFrame, aliases: Column | None = None) -> DataFram
             .withColumn("passes", passes_threshold(F.col("alias"), F.col("header"), F.col("lcs"))))
 
 
-def non_blank_counts(bronze: DataFrame) -> DataFrame:
-    """Non-blank cell count per (dataset, header), one pass over bronze for all columns."""
-    return (bronze.select(*KEY, F.explode("cells").alias("header", "value"))
-            .groupBy(*KEY, "header")
-            .agg(F.count_if(non_blank(F.col("value"))).alias("n_non_blank")))
+def named_counts(headers: DataFrame, counts: DataFrame) -> DataFrame:
+    """(file_name, source, header, n_non_blank): the position counts with header names."""
+    return (headers.join(counts, [*KEY, "pos"], "left")
+            .select(*KEY, "header", F.coalesce("n_non_blank", F.lit(0)).cast("long").alias("n_non_blank")))
 
 
 def best_headers(headers: DataFrame, scores: DataFrame) -> DataFrame:
@@ -75,15 +74,15 @@ def best_headers(headers: DataFrame, scores: DataFrame) -> DataFrame:
 
 def match_report(best: DataFrame, counts: DataFrame) -> DataFrame:
     """One row per alias tried: the header found, its score and its non-blank row count."""
-    c = counts.withColumnRenamed("header", "found")
-    return (best.join(c, [*KEY, "found"], "left")
+    c = counts.select(*KEY, F.col("pos").alias("found_pos"), "n_non_blank")
+    return (best.join(c, [*KEY, "found_pos"], "left")
             .withColumn("row_count", F.coalesce(F.col("n_non_blank"), F.lit(0)).cast("long"))
             .drop("n_non_blank"))
 
 
 def decide(report: DataFrame) -> DataFrame:
     """Per (dataset, target): the arg-max decisions and whether the target resolves."""
-    by_score = F.max_by(F.struct("alias_no", "found", "score", "passes", "row_count"),
+    by_score = F.max_by(F.struct("alias_no", "found", "found_pos", "score", "passes", "row_count"),
                         F.struct(F.col("score"), -F.col("alias_no")))
     by_count = F.max_by(F.col("alias_no"), F.struct(F.col("row_count"), -F.col("alias_no")))
     d = (report.groupBy(*KEY, "target_no", "target")
@@ -91,29 +90,30 @@ def decide(report: DataFrame) -> DataFrame:
     resolved = F.col("f.passes") & ((F.col("f.alias_no") != F.col("i_count")) | (F.col("f.row_count") > 0))
     return d.select(*KEY, "target_no", "target",
                     F.col("f.alias_no").alias("i_score"), "i_count",
-                    F.col("f.found").alias("found"), F.col("f.score").alias("score"),
+                    F.col("f.found").alias("found"), F.col("f.found_pos").alias("found_pos"),
+                    F.col("f.score").alias("score"),
                     F.col("f.row_count").alias("row_count"), resolved.alias("resolved"))
 
 
 def mapping_table(decisions: DataFrame) -> DataFrame:
-    """One row per dataset with at least one resolved target: MAP<target, source header>.
+    """One row per dataset with at least one resolved target: MAP<target, column position>.
 
     The collected group is bounded by the number of targets (33), not by data.
     """
     return (decisions.where("resolved")
             .groupBy(*KEY)
-            .agg(F.map_from_entries(F.collect_list(F.struct("target", "found"))).alias("mapping")))
+            .agg(F.map_from_entries(F.collect_list(F.struct("target", "found_pos"))).alias("mapping")))
 
 
-def resolve(bronze: DataFrame, accepted_datasets: DataFrame) -> dict[str, DataFrame]:
-    """Full resolver plan; returns the intermediate tables for reporting and tests."""
+def resolve(accepted_datasets: DataFrame, counts: DataFrame) -> dict[str, DataFrame]:
+    """Full resolver plan; returns the intermediate tables for reporting and tests.
+
+    ``counts``: (file_name, source, pos, n_non_blank) over the data rows of each dataset.
+    """
     headers = header_rows(accepted_datasets)
     scores = header_scores(headers)
     best = best_headers(headers, scores)
-    # counted over all of bronze: the join to the (small) best-header table drops the rest,
-    # which is cheaper than first joining bronze to the dataset list
-    counts = non_blank_counts(bronze)
     report = match_report(best, counts)
     decisions = decide(report)
-    return {"headers": headers, "scores": scores, "best": best, "counts": counts,
+    return {"headers": headers, "scores": scores, "best": best, "counts": named_counts(headers, counts),
             "report": report, "decisions": decisions, "mapping": mapping_table(decisions)}

@@ -112,10 +112,18 @@ def preview(spark, sf):
     return quality.preview(b, 10).select("file_name", "src_row", "preview_no")
 
 
+def _named_cells(spark, sf, raw=False):
+    """(file_name, header, value) for every cell of the fixture inbox."""
+    b = fixtures.fixture_bronze(spark, sf, raw=raw)
+    lay = fixtures.layouts_frame(spark)  # fixed: one row per fixture dataset
+    x = b.select("file_name", F.posexplode("cells").alias("pos", "value"))
+    h = lay.select("file_name", F.posexplode("headers").alias("pos", "header"))
+    return x.join(F.broadcast(h), ["file_name", "pos"]).select("file_name", "header", "value")
+
+
 def non_blank(spark, sf):
-    b = fixtures.fixture_bronze(spark, sf)
     v = F.col("value")
-    return (b.select("file_name", F.explode("cells").alias("header", "value"))
+    return (_named_cells(spark, sf)
             .groupBy("file_name", "header")
             .agg(F.count_if(v.isNull()).alias("n_null"),
                  F.count_if(v.isin("", " ")).alias("n_blank"),
@@ -123,9 +131,8 @@ def non_blank(spark, sf):
 
 
 def na_tokens(spark, sf):
-    raw = fixtures.fixture_bronze(spark, sf, raw=True)
     v = F.col("value")
-    return (raw.select("file_name", F.explode("cells").alias("header", "value"))
+    return (_named_cells(spark, sf, raw=True)
             .groupBy("file_name", "header")
             .agg(F.count_if(v.isin(NA_TOKENS)).alias("n_na"),
                  F.count_if(na_to_null(v).isNull()).alias("n_null_after")))

@@ -17,14 +17,16 @@ from driftsweep.sources import fixtures
 
 
 class Sweep:
-    def __init__(self, bronze: DataFrame, datasets: DataFrame):
-        self.bronze = bronze        # file_name, source, file_ordinal, src_row, cells
+    def __init__(self, bronze: DataFrame, datasets: DataFrame, counts: DataFrame):
+        self.bronze = bronze        # file_name, source, file_ordinal, src_row, cells array<string>
         self.datasets = datasets    # file_name, source, file_ordinal, fmt, sheet, n_rows, headers
+        self.counts = counts        # file_name, source, pos, n_non_blank (data rows only)
 
     @classmethod
     def from_fixtures(cls, spark: SparkSession, sf_dir: str) -> "Sweep":
         bronze = fixtures.fixture_bronze(spark, sf_dir)
-        return cls(bronze, fixtures.fixture_datasets(spark, bronze))
+        counts = fixtures.fixture_counts(bronze)
+        return cls(bronze, fixtures.fixture_datasets(spark, counts), counts.where("pos >= 0"))
 
     @cached_property
     def gated(self) -> DataFrame:
@@ -36,7 +38,7 @@ class Sweep:
 
     @cached_property
     def resolution(self) -> dict[str, DataFrame]:
-        return resolver.resolve(self.bronze, self.accepted)
+        return resolver.resolve(self.accepted, self.counts)
 
     @cached_property
     def _mapping(self) -> tuple[DataFrame, int]:

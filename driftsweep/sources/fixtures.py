@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftsweep.functions.text import na_to_null
+from driftsweep.functions.text import na_to_null, non_blank
 
 
 @dataclass(frozen=True)
@@ -126,10 +126,8 @@ def fixture_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cells_for(layout: Layout, raw: bool = False) -> Column:
-    entries: list[Column] = []
-    for header, col in layout.columns:
-        entries += [F.lit(header), F.col(col) if raw else na_to_null(F.col(col))]
-    return F.create_map(*entries)
+    """Row values in the dataset's column order (aligned with its header list)."""
+    return F.array(*[F.col(col) if raw else na_to_null(F.col(col)) for _, col in layout.columns])
 
 
 def layouts_frame(spark: SparkSession, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
@@ -142,9 +140,10 @@ def layouts_frame(spark: SparkSession, layouts: tuple[Layout, ...] = LAYOUTS) ->
 
 def fixture_bronze(spark: SparkSession, sf_dir: str, layouts: tuple[Layout, ...] = LAYOUTS,
                    raw: bool = False) -> DataFrame:
-    """Bronze rows of the fixture inbox: every dataset in one map-typed table.
+    """Bronze rows of the fixture inbox: every dataset in one table, values as an array
+    aligned with the dataset's header list (held once per dataset, not per row).
 
-    One pass over the fixture rows, no shuffle: each row's map is chosen by its dataset.
+    One pass over the fixture rows, no shuffle: each row's layout is chosen by its dataset.
     ``raw=True`` keeps the text as written, before missing-value tokens become NULL.
     """
     ords = discover_ordinals(layouts)
@@ -164,9 +163,22 @@ def fixture_bronze(spark: SparkSession, sf_dir: str, layouts: tuple[Layout, ...]
         F.col("src_row").cast("long").alias("src_row"), cells.alias("cells"))
 
 
-def fixture_datasets(spark: SparkSession, bronze: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
+def fixture_counts(bronze: DataFrame) -> DataFrame:
+    """Per (dataset, column position): non-blank cells, plus the dataset row count at pos -1.
+
+    One pass over bronze; the aggregate is partial (map-side), so a hot dataset ships one
+    row per column per map task.
+    """
+    marked = F.concat(F.array(F.lit("\u0001")), F.col("cells"))  # marker cell counts rows
+    x = bronze.select("file_name", "source", F.posexplode(marked).alias("p1", "value"))
+    return (x.groupBy("file_name", "source", (F.col("p1") - 1).alias("pos"))
+             .agg(F.count_if(non_blank(F.col("value"))).alias("n_non_blank")))
+
+
+def fixture_datasets(spark: SparkSession, counts: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """Dataset catalogue: headers from the layouts, row counts from the data."""
-    counts = bronze.groupBy("file_name", "source").agg(F.count(F.lit(1)).alias("n_rows"))
+    counts = (counts.where(F.col("pos") == -1)
+              .select("file_name", "source", F.col("n_non_blank").alias("n_rows")))
     lay = layouts_frame(spark, layouts)
     return (lay.join(counts, ["file_name", "source"], "left")
             .select("file_name", "source", "file_ordinal", "fmt", "sheet",
