@@ -11,7 +11,8 @@ from driftsweep.operators.joins import join_checked
 from driftsweep.schema import DATE_TARGETS, GOLD_ORDER, GOLD_UPPER, NAT, SILVER_ORDER, TARGETS
 
 KEY = ["file_name", "source"]
-LINEAGE = ["file_name", "source", "file_ordinal", "src_row"]
+LINEAGE = ["file_name", "source", "file_ordinal", "part", "src_row"]
+ROW_ORDER = ["file_ordinal", "part", "src_row"]
 
 
 def project_targets(bronze: DataFrame, mapping: DataFrame, mapping_rows: int | None = None) -> DataFrame:

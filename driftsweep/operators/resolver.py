@@ -115,5 +115,6 @@ def resolve(accepted_datasets: DataFrame, counts: DataFrame) -> dict[str, DataFr
     best = best_headers(headers, scores)
     report = match_report(best, counts)
     decisions = decide(report)
+    mapping = mapping_table(decisions).join(accepted_datasets.select(*KEY, "file_ordinal"), KEY)
     return {"headers": headers, "scores": scores, "best": best, "counts": named_counts(headers, counts),
-            "report": report, "decisions": decisions, "mapping": mapping_table(decisions)}
+            "report": report, "decisions": decisions, "mapping": mapping}

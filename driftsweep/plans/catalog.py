@@ -20,7 +20,8 @@ from driftsweep.operators import quality
 from driftsweep.operators.rowid import with_dense_index
 from driftsweep.plans.medallion import Sweep
 from driftsweep.schema import DATE_TARGETS, INBOX_EXTENSIONS, NA_TOKENS, TARGETS
-from driftsweep.sources import fixtures
+from driftsweep.session import scratch_path
+from driftsweep.sources import csv_inbox, fixtures
 from driftsweep.sources.fixtures import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -249,6 +250,63 @@ def run_stamp(spark, sf):
     return e.select("event_id", F.date_format("ts", "yyyy-MM-dd_HHmmss").alias("run_id"))
 
 
+# ---------------------------------------------------------------- real CSV inbox written from the tables
+
+_INBOXES: dict[tuple[str, str, bool], str] = {}
+
+
+def fixture_inbox(spark: SparkSession, sf: str, adversarial: bool = False) -> str:
+    """Write (once per session and scale) the fixture datasets as CSV entries, optionally
+    with the adversarial entries, into the shared scratch folder."""
+    key = (spark.sparkContext.applicationId, sf, adversarial)
+    if key not in _INBOXES:
+        inbox = scratch_path(spark, "inbox")
+        csv_inbox.write_fixture_inbox(spark, sf, inbox)
+        if adversarial:
+            csv_inbox.write_adversarial_entries(spark, sf, inbox)
+        _INBOXES[key] = inbox
+    return _INBOXES[key]
+
+
+def csv_sweep(spark, sf):
+    return Sweep.from_csv_inbox(spark, fixture_inbox(spark, sf)).gold
+
+
+def csv_silver(spark, sf):
+    return Sweep.from_csv_inbox(spark, fixture_inbox(spark, sf)).silver_rows.select(
+        "file_name", *TARGETS)
+
+
+def probe_status(spark, sf):
+    st = Sweep.from_csv_inbox(spark, fixture_inbox(spark, sf, True)).status
+    return st.select("entry", "status", "reason", "n_rows")
+
+
+def route_good(spark, sf):
+    st = Sweep.from_csv_inbox(spark, fixture_inbox(spark, sf, True)).status
+    return st.where("status = 'good'").select("entry", "file_ordinal")
+
+
+def route_error(spark, sf):
+    st = Sweep.from_csv_inbox(spark, fixture_inbox(spark, sf, True)).status
+    return st.where("status = 'error'").select("entry", "reason")
+
+
+def inbox_manifest(spark, sf):
+    m = csv_inbox.manifest(spark, fixture_inbox(spark, sf, True))
+    return m.select("entry", "allowed", "ext", "kind", "file_ordinal")
+
+
+def inbox_gates(spark, sf):
+    g = Sweep.from_csv_inbox(spark, fixture_inbox(spark, sf, True)).gated
+    return g.select("file_name", "n_rows", F.size("headers").alias("n_cols"), "shape_ok", "gate_ok", "accepted")
+
+
+def csv_lineage(spark, sf):
+    sw = Sweep.from_csv_inbox(spark, fixture_inbox(spark, sf, True))
+    return sw.silver_rows.groupBy("file_name").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def registry() -> dict[str, Query]:
     return {
         "gold_harmonise": gold_harmonise,
@@ -282,4 +340,12 @@ def registry() -> dict[str, Query]:
         "dataset_name": dataset_name_q,
         "basename": basename_q,
         "run_stamp": run_stamp,
+        "csv_sweep": csv_sweep,
+        "csv_silver": csv_silver,
+        "probe_status": probe_status,
+        "route_good": route_good,
+        "route_error": route_error,
+        "inbox_manifest": inbox_manifest,
+        "inbox_gates": inbox_gates,
+        "csv_lineage": csv_lineage,
     }

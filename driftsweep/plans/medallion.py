@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from driftsweep.operators import harmonise, quality, resolver
 from driftsweep.operators.joins import materialise_small
 from driftsweep.operators.rowid import with_dense_index
-from driftsweep.sources import fixtures
+from driftsweep.sources import csv_inbox, fixtures
 
 
 class Sweep:
@@ -28,6 +28,20 @@ class Sweep:
         counts = fixtures.fixture_counts(bronze)
         return cls(bronze, fixtures.fixture_datasets(spark, counts), counts.where("pos >= 0"))
 
+    @classmethod
+    def from_csv_inbox(cls, spark: SparkSession, inbox: str, width: int = csv_inbox.DEFAULT_WIDTH,
+                       multi_line: bool = True) -> "Sweep":
+        """Sweep of every CSV entry in an inbox folder (see sources.csv_inbox)."""
+        ci = csv_inbox.CsvInbox(spark, inbox, width, multi_line)
+        man = csv_inbox.manifest(spark, inbox)
+        profile, _ = materialise_small(ci.profile())   # one scan; (#files x width) rows
+        parts = ci.parts(profile)
+        status = ci.status(man, parts)
+        datasets = quality.last_write_wins(ci.datasets(status)).drop("sheet_no")
+        sw = cls(ci.bronze(), datasets, ci.counts(profile, parts, datasets))
+        sw.manifest, sw.status = man, status
+        return sw
+
     @cached_property
     def gated(self) -> DataFrame:
         return quality.with_gates(self.datasets)
@@ -61,7 +75,7 @@ class Sweep:
     @cached_property
     def silver(self) -> DataFrame:
         """Silver with a dense rowid in (dataset order, row order)."""
-        return harmonise.silver_table(with_dense_index(self.silver_rows, ["file_ordinal", "src_row"]))
+        return harmonise.silver_table(with_dense_index(self.silver_rows, harmonise.ROW_ORDER))
 
     @cached_property
     def gold(self) -> DataFrame:

@@ -146,20 +146,17 @@ def fixture_bronze(spark: SparkSession, sf_dir: str, layouts: tuple[Layout, ...]
     One pass over the fixture rows, no shuffle: each row's layout is chosen by its dataset.
     ``raw=True`` keeps the text as written, before missing-value tokens become NULL.
     """
-    ords = discover_ordinals(layouts)
     rows = fixture_rows(spark, sf_dir)
     fn = F.col("file_name")
-    cells = source = ordinal = None
+    cells = source = None
     for l in layouts:
         cells = (F.when(fn == l.file_name, _cells_for(l, raw)) if cells is None
                  else cells.when(fn == l.file_name, _cells_for(l, raw)))
         source = (F.when(fn == l.file_name, F.lit(l.source)) if source is None
                   else source.when(fn == l.file_name, F.lit(l.source)))
-        ordinal = (F.when(fn == l.file_name, F.lit(ords[l.source])) if ordinal is None
-                   else ordinal.when(fn == l.file_name, F.lit(ords[l.source])))
     names = [l.file_name for l in layouts]
     return rows.where(fn.isin(names)).select(
-        fn.alias("file_name"), source.alias("source"), ordinal.alias("file_ordinal"),
+        fn.alias("file_name"), source.alias("source"), source.alias("part"),
         F.col("src_row").cast("long").alias("src_row"), cells.alias("cells"))
 
 

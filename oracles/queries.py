@@ -100,4 +100,35 @@ def sql() -> dict[str, str]:
         "basename": "SELECT page_id, string_split(url, '/')[-1] AS basename FROM pages",
         "run_stamp": "SELECT event_id, strftime(ts, '%Y-%m-%d_%H%M%S') AS run_id FROM events",
     }
+    entries = f"""{c},
+        ents AS (
+          SELECT CASE file_name WHEN 'upper_S1' THEN 'upper_S1.csv' ELSE file_name || '.csv' END AS entry,
+                 'good' AS status, NULL AS reason, count(*) AS n_rows FROM fx GROUP BY file_name
+          UNION ALL SELECT 'overlong.csv', CASE WHEN count(*) FILTER (WHERE s_suppkey % 10 = 0) > 0 THEN 'error' ELSE 'good' END,
+                 CASE WHEN count(*) FILTER (WHERE s_suppkey % 10 = 0) > 0 THEN 'overlong' END, count(*) FROM supplier
+          UNION ALL SELECT 'narrow.csv', 'good', NULL, count(*) FROM part
+          UNION ALL SELECT 'gate_fail.csv', 'good', NULL, count(*) FROM supplier
+          UNION ALL SELECT 'email_only.csv', 'good', NULL, count(*) FROM customer
+          UNION ALL SELECT 'unmatched.csv', 'good', NULL, count(*) FROM orders),
+        ranked AS (SELECT *, CAST(row_number() OVER (ORDER BY entry) AS INTEGER) AS file_ordinal FROM ents)"""
+    out.update({
+        "csv_sweep": f"{c} SELECT * FROM gold",
+        "csv_silver": f"{c} SELECT file_name, {t} FROM filled",
+        "probe_status": f"{entries} SELECT entry, status, reason, n_rows FROM ents",
+        "route_good": f"{entries} SELECT entry, file_ordinal FROM ranked WHERE status = 'good'",
+        "route_error": f"{entries} SELECT entry, reason FROM ranked WHERE status = 'error'",
+        "inbox_manifest": f"""{entries}
+            SELECT entry, true AS allowed, '.csv' AS ext, 'csv' AS kind, file_ordinal FROM ranked
+            UNION ALL SELECT 'notes.txt', false, '.txt', 'other', NULL""",
+        "inbox_gates": f"""{entries},
+          g AS (
+            SELECT regexp_replace(entry, '\\.csv$', '') AS file_name, n_rows,
+                   CASE WHEN entry = 'narrow.csv' THEN 1 WHEN entry IN ('gate_fail.csv', 'email_only.csv', 'unmatched.csv') THEN 2
+                        ELSE (SELECT n_cols FROM ds WHERE ds.file_name = regexp_replace(entry, '\\.csv$', '')) END AS n_cols,
+                   entry NOT IN ('gate_fail.csv', 'email_only.csv') AS gate_ok
+            FROM ents WHERE status = 'good')
+          SELECT file_name, n_rows, n_cols, (n_cols >= 2 AND n_rows >= 2) AS shape_ok, gate_ok,
+                 (n_cols >= 2 AND n_rows >= 2 AND gate_ok) AS accepted FROM g""",
+        "csv_lineage": f"{c} SELECT file_name, count(*) AS n_rows FROM filled GROUP BY file_name",
+    })
     return out
