@@ -19,7 +19,8 @@ from driftsweep.functions.text import non_blank as is_non_blank
 from driftsweep.operators import quality
 from driftsweep.operators.rowid import with_dense_index
 from driftsweep.plans.medallion import Sweep
-from driftsweep.schema import DATE_TARGETS, INBOX_EXTENSIONS, NA_TOKENS, TARGETS
+from driftsweep.schema import DATE_TARGETS, INBOX_EXTENSIONS, NA_TOKENS, SILVER_ORDER, TARGETS
+from driftsweep.sinks import tables
 from driftsweep.session import scratch_path
 from driftsweep.sources import csv_inbox, fixtures
 from driftsweep.sources.fixtures import table
@@ -307,6 +308,45 @@ def csv_lineage(spark, sf):
     return sw.silver_rows.groupBy("file_name").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+# ---------------------------------------------------------------- sinks (written to the shared scratch folder)
+
+
+def _silver_written(spark, sf):
+    key = (spark.sparkContext.applicationId, sf, "silver")
+    if key not in _INBOXES:
+        path = scratch_path(spark, "silver")
+        tables.append_silver(Sweep.from_fixtures(spark, sf).silver, path)
+        _INBOXES[key] = path
+    return _INBOXES[key]
+
+
+def silver_typed(spark, sf):
+    return tables.typed_silver(Sweep.from_fixtures(spark, sf).silver)
+
+
+def silver_roundtrip(spark, sf):
+    return tables.read_silver(spark, _silver_written(spark, sf))
+
+
+def partition_read(spark, sf):
+    return tables.read_silver(spark, _silver_written(spark, sf), dataset="canon")
+
+
+def silver_table(spark, sf):
+    """Create the silver table by DDL (external, in the scratch folder), append, read back."""
+    name = "silver_" + spark.sparkContext.applicationId.replace("-", "_").replace(".", "_")
+    tables.drop_table(spark, name)
+    tables.create_silver_table(spark, name, scratch_path(spark, "silver_tbl"))
+    tables.append_silver(Sweep.from_fixtures(spark, sf).silver, table=name)
+    return spark.table(name).select(*SILVER_ORDER)
+
+
+def gold_compact(spark, sf):
+    path = scratch_path(spark, "gold")
+    tables.write_gold(Sweep.from_fixtures(spark, sf).gold, path)
+    return tables.read_gold(spark, path)
+
+
 def registry() -> dict[str, Query]:
     return {
         "gold_harmonise": gold_harmonise,
@@ -348,4 +388,9 @@ def registry() -> dict[str, Query]:
         "inbox_manifest": inbox_manifest,
         "inbox_gates": inbox_gates,
         "csv_lineage": csv_lineage,
+        "silver_typed": silver_typed,
+        "silver_roundtrip": silver_roundtrip,
+        "partition_read": partition_read,
+        "silver_table": silver_table,
+        "gold_compact": gold_compact,
     }

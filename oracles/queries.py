@@ -130,5 +130,10 @@ def sql() -> dict[str, str]:
           SELECT file_name, n_rows, n_cols, (n_cols >= 2 AND n_rows >= 2) AS shape_ok, gate_ok,
                  (n_cols >= 2 AND n_rows >= 2 AND gate_ok) AS accepted FROM g""",
         "csv_lineage": f"{c} SELECT file_name, count(*) AS n_rows FROM filled GROUP BY file_name",
+        "silver_typed": f"{c} SELECT {silver_select()} FROM silver",
+        "silver_roundtrip": f"{c} SELECT {silver_select()} FROM silver",
+        "partition_read": f"{c} SELECT {silver_select()} FROM silver WHERE file_name = 'canon'",
+        "silver_table": f"{c} SELECT {silver_select()} FROM silver",
+        "gold_compact": f"{c} SELECT * FROM gold",
     })
     return out
