@@ -24,6 +24,7 @@ from driftsweep.sinks import tables
 from driftsweep.session import scratch_path
 from driftsweep.sources import csv_inbox, fixtures
 from driftsweep.sources.fixtures import table
+from driftsweep.streaming import sweep_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -347,6 +348,30 @@ def gold_compact(spark, sf):
     return tables.read_gold(spark, path)
 
 
+# ---------------------------------------------------------------- incremental sweep (Structured Streaming)
+
+
+def _stream_out(spark, sf):
+    key = (spark.sparkContext.applicationId, sf, "stream")
+    if key not in _INBOXES:
+        inbox = scratch_path(spark, "stream_inbox")
+        csv_inbox.write_fixture_inbox(spark, sf, inbox)
+        out = scratch_path(spark, "stream_out")
+        sweep_stream.run_available(spark, inbox, out, scratch_path(spark, "stream_ckpt"),
+                                   archive=scratch_path(spark, "stream_archive"))
+        _INBOXES[key] = out
+    return _INBOXES[key]
+
+
+def stream_sweep(spark, sf):
+    out = _stream_out(spark, sf)
+    return spark.read.parquet(f"{out}/silver_rows").select("file_name", *TARGETS)
+
+
+def stream_gold(spark, sf):
+    return sweep_stream.read_stream_gold(spark, _stream_out(spark, sf))
+
+
 def registry() -> dict[str, Query]:
     return {
         "gold_harmonise": gold_harmonise,
@@ -393,4 +418,6 @@ def registry() -> dict[str, Query]:
         "partition_read": partition_read,
         "silver_table": silver_table,
         "gold_compact": gold_compact,
+        "stream_sweep": stream_sweep,
+        "stream_gold": stream_gold,
     }

@@ -42,6 +42,18 @@ class Sweep:
         sw.manifest, sw.status = man, status
         return sw
 
+    @classmethod
+    def from_csv_rows(cls, spark: SparkSession, inbox: str, raw: DataFrame, width: int = csv_inbox.DEFAULT_WIDTH) -> "Sweep":
+        """Sweep of already-read CSV rows (header rows included), e.g. one stream micro-batch."""
+        ci = csv_inbox.CsvInbox(spark, inbox, width)
+        profile, _ = materialise_small(ci.profile(raw))
+        parts = ci.parts(profile)
+        status = ci.status(ci.entries_from_parts(parts), parts)
+        datasets = quality.last_write_wins(ci.datasets(status)).drop("sheet_no")
+        sw = cls(ci.bronze(raw, parts), datasets, ci.counts(profile, parts, datasets))
+        sw.status = status
+        return sw
+
     @cached_property
     def gated(self) -> DataFrame:
         return quality.with_gates(self.datasets)

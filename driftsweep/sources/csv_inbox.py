@@ -126,16 +126,19 @@ class CsvInbox:
         self.root = qualified(spark, self.inbox)
         self.glob = f"{self.inbox}/*.csv"   # case-sensitive, like the original discovery
 
-    def _scan(self, header: bool) -> DataFrame:
-        df = _reader(self.spark, self.width, header, self.multi_line).csv(self.glob)
-        part = F.col("_metadata.file_path")
+    def raw_rows(self, df: DataFrame, path_col: str = "_metadata.file_path") -> DataFrame:
+        """(entry, part, mid, cells) from a CSV read with the wide string schema."""
+        part = F.col(path_col)
         return df.select(entry_of(part, self.root).alias("entry"), _decoded(part).alias("part"),
                          F.monotonically_increasing_id().alias("mid"),
                          F.array(*[F.col(f"_c{i}") for i in range(self.width + 1)]).alias("cells"))
 
-    def profile(self) -> DataFrame:
+    def _scan(self, header: bool) -> DataFrame:
+        return self.raw_rows(_reader(self.spark, self.width, header, self.multi_line).csv(self.glob))
+
+    def profile(self, raw: DataFrame | None = None) -> DataFrame:
         """Pass 1: per (entry, part, field position) aggregate; pos -1 counts records."""
-        raw = self._scan(header=False)
+        raw = self._scan(header=False) if raw is None else raw
         marked = F.concat(F.array(F.lit("\u0001")), F.col("cells"))
         x = (raw.select("entry", "part", "mid", F.posexplode(marked).alias("p1", "value"))
              .where(F.col("value").isNotNull()))
@@ -169,6 +172,13 @@ class CsvInbox:
                         overlong.alias("overlong"), too_wide.alias("too_wide"),
                         (F.col("n_bad_text") > 0).alias("bad_text"))
 
+    def entries_from_parts(self, parts_df: DataFrame) -> DataFrame:
+        """Manifest rows for the entries seen in a stream micro-batch."""
+        e = parts_df.groupBy("entry").agg(F.count(F.lit(1)).alias("n_parts")).withColumn("bytes", F.lit(None).cast("long"))
+        e = e.select("*", F.lit("csv").alias("kind"), type_rank(F.col("entry")).alias("type_rank"))
+        out = with_dense_index(e, ["type_rank", "entry"], "file_ordinal")
+        return out.withColumn("file_ordinal", (F.col("file_ordinal") + 1).cast("int"))
+
     def status(self, manifest_df: DataFrame, parts_df: DataFrame) -> DataFrame:
         """Readability per CSV entry: good, or error with a reason (probe S10 + route S12)."""
         per_entry = parts_df.groupBy("entry").agg(
@@ -206,9 +216,19 @@ class CsvInbox:
         return (c.join(datasets_df.select("file_name", F.col("source").alias("entry")), "entry")
                 .select("file_name", F.col("entry").alias("source"), "pos", F.col("n_non_blank").cast("long")))
 
-    def bronze(self) -> DataFrame:
-        """Pass 2: data rows of every CSV entry (header rows dropped by the reader)."""
-        rows = self._scan(header=True)
+    def bronze(self, raw: DataFrame | None = None, parts_df: DataFrame | None = None) -> DataFrame:
+        """Pass 2: data rows of every CSV entry.
+
+        Batch: a second scan with ``header=true`` (the reader drops each file's header row).
+        Stream: the micro-batch's rows were read once with their header rows; those are
+        removed by a join with the per-file header position (one row per file).
+        """
+        if raw is None:
+            rows = self._scan(header=True)
+        else:
+            hdr = parts_df.select("part", "hdr_mid")
+            from driftsweep.operators.joins import join_checked
+            rows = join_checked(raw, hdr, ["part"]).where(F.col("mid") != F.col("hdr_mid"))
         cells = F.array(*[na_to_null(F.col("cells")[i]) for i in range(self.width)])
         return rows.select(dataset_name(F.col("entry"), F.lit(None).cast("string")).alias("file_name"),
                            F.col("entry").alias("source"), "part", F.col("mid").alias("src_row"),

@@ -135,5 +135,7 @@ def sql() -> dict[str, str]:
         "partition_read": f"{c} SELECT {silver_select()} FROM silver WHERE file_name = 'canon'",
         "silver_table": f"{c} SELECT {silver_select()} FROM silver",
         "gold_compact": f"{c} SELECT * FROM gold",
+        "stream_sweep": f"{c} SELECT file_name, {t} FROM filled",
+        "stream_gold": f"{c} SELECT * FROM gold",
     })
     return out
