@@ -64,19 +64,42 @@ def type_rank(entry):
     return r
 
 
+def top_level_entries(spark: SparkSession, inbox: str) -> DataFrame:
+    """Names of the inbox's top-level items (one directory listing, metadata only).
+
+    Needed because Spark's file scans skip zero-byte files, which must still be reported
+    (and quarantined) as empty.
+    """
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(inbox)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    it = fs.listStatusIterator(p)
+    names = []
+    while it.hasNext():
+        st = it.next()
+        name = st.getPath().getName()
+        if not name.startswith((".", "_")):
+            names.append((name, bool(st.isDirectory())))
+    return spark.createDataFrame(names, "entry string, is_dir boolean")
+
+
 def manifest(spark: SparkSession, inbox: str) -> DataFrame:
     """One row per inbox entry: name, kind, size, part count, discovery ordinal.
 
-    ``binaryFile`` with only path/length/modificationTime selected lists files without
-    reading their content.
+    ``binaryFile`` with only path/length/modificationTime selected lists the (non-empty)
+    files without reading their content; the per-entry aggregate is joined to the
+    top-level listing so that empty entries are kept with zero parts.
     """
     root = qualified(spark, inbox)
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(inbox)
              .select("path", "length", "modificationTime"))
     entry = entry_of(F.col("path"), root)
-    per_entry = (files.groupBy(entry.alias("entry"))
-                 .agg(F.count(F.lit(1)).alias("n_parts"), F.sum("length").alias("bytes"),
-                      F.max("modificationTime").alias("modified")))
+    sized = (files.groupBy(entry.alias("entry"))
+             .agg(F.count(F.lit(1)).alias("n_parts"), F.sum("length").alias("bytes"),
+                  F.max("modificationTime").alias("modified")))
+    per_entry = (top_level_entries(spark, inbox).join(sized, "entry", "left")
+                 .select("entry", F.coalesce("n_parts", F.lit(0)).alias("n_parts"),
+                         F.coalesce("bytes", F.lit(0)).alias("bytes"), "modified"))
     allowed = F.exists(F.array(*[F.lit(e) for e in INBOX_EXTENSIONS]), lambda e: F.col("entry").endswith(e))
     ext = extension(F.col("entry"))
     kind = F.when(ext == ".xls", "xls").when(ext == ".xlsx", "xlsx").when(ext == ".csv", "csv").otherwise("other")
