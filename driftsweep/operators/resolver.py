@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftsweep.functions.similarity import indel_ratio, lcs_length, passes_threshold
+from driftsweep.functions.similarity import char_masks, indel_ratio, lcs_fast, passes_threshold
 from driftsweep.schema import alias_rows
 
 KEY = ["file_name", "source"]
@@ -47,9 +47,10 @@ def header_scores(headers: DataFrame, aliases: Column | None = None) -> DataFram
     """
     aliases = alias_array() if aliases is None else aliases
     distinct = headers.select("header").distinct()
-    pairs = distinct.select("header", F.inline(aliases))
-    lcs = lcs_length(F.col("alias"), F.col("header"))
-    return (pairs.withColumn("lcs", lcs)
+    # match masks once per distinct header, shared by all 92 aliases
+    pairs = distinct.select("header", char_masks(F.col("header")).alias("masks"), F.inline(aliases))
+    lcs = lcs_fast(F.col("alias"), F.col("header"), F.col("masks"))
+    return (pairs.withColumn("lcs", lcs).drop("masks")
             .withColumn("score", indel_ratio(F.col("alias"), F.col("header"), F.col("lcs")))
             .withColumn("passes", passes_threshold(F.col("alias"), F.col("header"), F.col("lcs"))))
 

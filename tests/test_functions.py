@@ -106,3 +106,18 @@ def test_dataset_name(spark):
     df = spark.createDataFrame([("a.csv.v2.xlsx", "S1"), ("list.csv", None), ("x.xls", "Data")], "f string, s string")
     got = [r.n for r in df.select(dataset_name(F.col("f"), F.col("s")).alias("n")).collect()]
     assert got == ["a.v2_S1", "list", "x_Data"]
+
+
+def test_bit_parallel_lcs_matches_dp(spark):
+    import random
+
+    from driftsweep.functions.similarity import char_masks, lcs_fast
+
+    random.seed(7)
+    alpha = "abAB c-é"
+    words = ["".join(random.choice(alpha) for _ in range(random.randint(0, 70))) for _ in range(400)]
+    df = spark.createDataFrame([(random.choice(words), random.choice(words)) for _ in range(2000)], "a string, b string")
+    out = df.select(lcs_fast(F.col("a"), F.col("b"), char_masks(F.col("b"))).alias("x"),
+                    lcs_length(F.col("a"), F.col("b")).alias("y"), "a", "b").collect()
+    for r in out:
+        assert r.x == r.y == _lcs_py(r.a, r.b)
