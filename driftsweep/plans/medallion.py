@@ -42,6 +42,64 @@ class Sweep:
         sw.manifest, sw.status = man, status
         return sw
 
+    @classmethod
+    def from_inbox(cls, spark: SparkSession, inbox: str, width: int = csv_inbox.DEFAULT_WIDTH,
+                   multi_line: bool = True) -> "Sweep":
+        """Sweep of every CSV and workbook entry of an inbox folder.
+
+        Workbooks are decoded once (``mapInArrow``) into the shared scratch folder; both
+        kinds then share the profile -> gates -> resolver -> silver plan.
+        """
+        from pyspark.sql import functions as F
+
+        from driftsweep.session import scratch_path
+        from driftsweep.sources import xlsx_inbox
+
+        man = csv_inbox.manifest(spark, inbox)
+        kinds = {r.kind: r.n for r in man.where("type_rank IS NOT NULL").groupBy("kind")
+                 .agg(F.count(F.lit(1)).alias("n")).collect()}   # at most three rows
+        ci = csv_inbox.CsvInbox(spark, inbox, width, multi_line)
+        parts, statuses, counts, bronzes = [], [], [], []
+        if kinds.get("csv"):
+            cprof, _ = materialise_small(ci.profile())
+            cparts = ci.parts(cprof)
+            cstatus = ci.status(man, cparts)
+            parts.append(ci.datasets(cstatus).withColumn("sheet_no", F.lit(0)).withColumn("header_text_ok", F.lit(True)))
+            statuses.append(cstatus)
+            counts.append(lambda ds, p=cprof, q=cparts: ci.counts(p, q, ds))
+            bronzes.append(lambda ds: ci.bronze())
+        if kinds.get("xlsx") or kinds.get("xls"):
+            rows_path = scratch_path(spark, "xlsx_rows")
+            if kinds.get("xlsx"):
+                xlsx_inbox.workbook_rows(spark, inbox).write.parquet(rows_path)
+                rows = spark.read.parquet(rows_path)
+            else:
+                rows = spark.createDataFrame([], xlsx_inbox.ROWS_SCHEMA)
+            xi = xlsx_inbox.XlsxInbox(spark, rows, width)
+            raw = xi.raw()
+            xprof, _ = materialise_small(ci.profile(raw))
+            sheets = xi.sheets(xprof, raw)
+            xstatus = xi.status(man, sheets)
+            parts.append(xi.datasets(sheets, xstatus))
+            statuses.append(xstatus)
+            counts.append(lambda ds, p=xprof, q=sheets: xi.counts(p, q, ds))
+            bronzes.append(lambda ds, r=raw, q=sheets: xi.bronze(r, q, ds))
+        if not parts:
+            raise ValueError(f"no .csv/.xlsx/.xls entries in {inbox}")
+        ds = parts[0]
+        for p in parts[1:]:
+            ds = ds.unionByName(p, allowMissingColumns=True)
+        ds = quality.last_write_wins(ds)
+        cnt, brz = counts[0](ds), bronzes[0](ds)
+        for c, b in zip(counts[1:], bronzes[1:]):
+            cnt, brz = cnt.unionByName(c(ds)), brz.unionByName(b(ds))
+        st = statuses[0]
+        for x in statuses[1:]:
+            st = st.unionByName(x)
+        sw = cls(brz, ds, cnt)
+        sw.manifest, sw.status = man, st
+        return sw
+
     @classmethod
     def from_csv_rows(cls, spark: SparkSession, inbox: str, raw: DataFrame, width: int = csv_inbox.DEFAULT_WIDTH) -> "Sweep":
         """Sweep of already-read CSV rows (header rows included), e.g. one stream micro-batch."""
