@@ -372,6 +372,40 @@ def stream_gold(spark, sf):
     return sweep_stream.read_stream_gold(spark, _stream_out(spark, sf))
 
 
+# ---------------------------------------------------------------- workbooks + CSV in one inbox
+
+
+def _mixed_inbox(spark, sf):
+    key = (spark.sparkContext.applicationId, sf, "mixed")
+    if key not in _INBOXES:
+        from driftsweep.sources.xlsx_writer import write_fixture_workbooks
+
+        inbox = scratch_path(spark, "mixed_inbox")
+        csv_layouts = tuple(l for l in fixtures.LAYOUTS if l.fmt == "csv")
+        csv_inbox.write_fixture_inbox(spark, sf, inbox, csv_layouts)
+        write_fixture_workbooks(spark, sf, inbox)
+        _INBOXES[key] = inbox
+    return _INBOXES[key]
+
+
+def xlsx_sweep(spark, sf):
+    """Gold from an inbox where upper_S1 is the sheet S1 of upper.xlsx (decoded in tasks)."""
+    return Sweep.from_inbox(spark, _mixed_inbox(spark, sf)).gold
+
+
+def xlsx_cells(spark, sf):
+    """Decoded workbook cells in long form (entry, sheet, row, col, value)."""
+    from driftsweep.sources.xlsx_inbox import workbook_rows
+
+    rows = workbook_rows(spark, _mixed_inbox(spark, sf))
+    return rows.select("entry", "sheet", "row_no", F.posexplode("cells").alias("col", "value")).where("value IS NOT NULL")
+
+
+def mixed_rowid(spark, sf):
+    """Dense rowid over a mixed inbox: workbooks come first in discovery order."""
+    return Sweep.from_inbox(spark, _mixed_inbox(spark, sf)).silver.select("rowid", "file_name", "emailaddress")
+
+
 def registry() -> dict[str, Query]:
     return {
         "gold_harmonise": gold_harmonise,
@@ -420,4 +454,7 @@ def registry() -> dict[str, Query]:
         "gold_compact": gold_compact,
         "stream_sweep": stream_sweep,
         "stream_gold": stream_gold,
+        "xlsx_sweep": xlsx_sweep,
+        "xlsx_cells": xlsx_cells,
+        "mixed_rowid": mixed_rowid,
     }

@@ -104,3 +104,42 @@ def workbook_bytes(sheets: dict[str, list[list]]) -> bytes:
         for i, x in enumerate(sheet_xml):
             z.writestr(f"xl/worksheets/sheet{i + 1}.xml", x)
     return buf.getvalue()
+
+
+EXCEL_MAX_DATA_ROWS = 1_048_575   # sheet row limit minus the header row
+
+
+def write_fixture_workbooks(spark, sf_dir: str, inbox: str, layout=None) -> None:
+    """Write a workbook fixture dataset (default ``upper_S1``) as ``upper.xlsx``.
+
+    Rows are grouped into sheets of at most Excel's row limit (the format's own bound), so
+    no group grows without limit; each group is written by one task with Python file I/O,
+    which needs the inbox on a POSIX-mounted shared folder (true for local runs and tests).
+    """
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    from driftsweep.sources import fixtures
+
+    lay = layout or next(l for l in fixtures.LAYOUTS if l.fmt == "xlsx")
+    root = inbox.rstrip("/")
+    root = root[len("file:"):] if root.startswith("file:") else root
+    headers = [h for h, _ in lay.columns]
+    stem = lay.source.rsplit(".xlsx", 1)[0]
+    rows = (fixtures.fixture_rows(spark, sf_dir).where(F.col("file_name") == lay.file_name)
+            .select(F.floor(F.col("src_row") / F.lit(4 * EXCEL_MAX_DATA_ROWS)).cast("int").alias("book"), "src_row",
+                    *[F.col(c).alias(f"c{i}") for i, (_, c) in enumerate(lay.columns)]))
+
+    def write(pdf: pd.DataFrame) -> pd.DataFrame:
+        import os
+
+        pdf = pdf.sort_values("src_row")
+        book = int(pdf["book"].iloc[0])
+        name = lay.source if book == 0 else f"{stem}_{book + 1}.xlsx"
+        data = [[None if pd.isna(v) else v for v in r] for r in pdf[[f"c{i}" for i in range(len(headers))]].itertuples(index=False)]
+        os.makedirs(root, exist_ok=True)
+        with open(os.path.join(root, name), "wb") as f:
+            f.write(workbook_bytes({lay.sheet or "Sheet1": [headers] + data}))
+        return pd.DataFrame({"entry": [name], "n_rows": [len(data)]})
+
+    rows.groupBy("book").applyInPandas(write, "entry string, n_rows long").collect()  # one row per workbook

@@ -137,5 +137,9 @@ def sql() -> dict[str, str]:
         "gold_compact": f"{c} SELECT * FROM gold",
         "stream_sweep": f"{c} SELECT file_name, {t} FROM filled",
         "stream_gold": f"{c} SELECT * FROM gold",
+        "xlsx_sweep": f"{c} SELECT * FROM gold",
+        "mixed_rowid": f"""{c} SELECT (row_number() OVER (ORDER BY CASE WHEN file_name = 'upper_S1' THEN 0 ELSE 1 END,
+                                                         file_name, src_row) - 1) AS rowid, file_name, emailaddress
+                             FROM filled""",
     })
     return out
