@@ -79,3 +79,11 @@ def test_workbook_silver(sweep):
     assert rows["b@x"].createddate == "2023-12-31" and rows["b@x"].lastname == ""
     assert rows["c@x"].firstname == "" and rows["c@x"].cid == "17"
     assert sweep.silver.where("file_name = 'a.v2_S1'").count() == 1
+
+
+def test_empty_inbox_flows_through(spark, tmp_path):
+    from driftsweep.schema import GOLD_ORDER, SILVER_ORDER
+
+    sw = Sweep.from_inbox(spark, str(tmp_path))
+    assert sw.gold.columns == GOLD_ORDER and sw.gold.count() == 0
+    assert sw.silver.columns == SILVER_ORDER and sw.silver.count() == 0
