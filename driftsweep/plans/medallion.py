@@ -17,8 +17,10 @@ from driftsweep.sources import csv_inbox, fixtures
 
 
 class Sweep:
-    def __init__(self, bronze: DataFrame, datasets: DataFrame, counts: DataFrame):
-        self.bronze = bronze        # file_name, source, file_ordinal, src_row, cells array<string>
+    def __init__(self, bronze, datasets: DataFrame, counts: DataFrame):
+        # bronze: a DataFrame (file_name, source, part, src_row, cells array<string>), or a
+        # callable width -> DataFrame so a file scan materialises only the columns in use
+        self.bronze = bronze
         self.datasets = datasets    # file_name, source, file_ordinal, fmt, sheet, n_rows, headers
         self.counts = counts        # file_name, source, pos, n_non_blank (data rows only)
 
@@ -38,7 +40,7 @@ class Sweep:
         parts = ci.parts(profile)
         status = ci.status(man, parts)
         datasets = quality.last_write_wins(ci.datasets(status)).drop("sheet_no")
-        sw = cls(ci.bronze(), datasets, ci.counts(profile, parts, datasets))
+        sw = cls(lambda w: ci.bronze(width=w), datasets, ci.counts(profile, parts, datasets))
         sw.manifest, sw.status = man, status
         return sw
 
@@ -79,7 +81,7 @@ class Sweep:
             parts.append(ci.datasets(cstatus).withColumn("sheet_no", F.lit(0)).withColumn("header_text_ok", F.lit(True)))
             statuses.append(cstatus)
             counts.append(lambda ds, p=cprof, q=cparts: ci.counts(p, q, ds))
-            bronzes.append(lambda ds: ci.bronze())
+            bronzes.append(lambda ds, w: ci.bronze(width=w))
         if kinds.get("xlsx") or kinds.get("xls"):
             rows_path = scratch_path(spark, "xlsx_rows")
             if kinds.get("xlsx"):
@@ -95,7 +97,7 @@ class Sweep:
             parts.append(xi.datasets(sheets, xstatus))
             statuses.append(xstatus)
             counts.append(lambda ds, p=xprof, q=sheets: xi.counts(p, q, ds))
-            bronzes.append(lambda ds, r=raw, q=sheets: xi.bronze(r, q, ds))
+            bronzes.append(lambda ds, w, r=raw, q=sheets: xi.bronze(r, q, ds, w))
         if not parts:
             sw = cls.empty(spark)     # empty inbox: fixed schemas flow through, no branch later
             sw.manifest, sw.status = man, sw.status
@@ -104,9 +106,15 @@ class Sweep:
         for p in parts[1:]:
             ds = ds.unionByName(p, allowMissingColumns=True)
         ds = quality.last_write_wins(ds)
-        cnt, brz = counts[0](ds), bronzes[0](ds)
-        for c, b in zip(counts[1:], bronzes[1:]):
-            cnt, brz = cnt.unionByName(c(ds)), brz.unionByName(b(ds))
+        cnt = counts[0](ds)
+        for c in counts[1:]:
+            cnt = cnt.unionByName(c(ds))
+
+        def brz(w, ds=ds):
+            out = bronzes[0](ds, w)
+            for b in bronzes[1:]:
+                out = out.unionByName(b(ds, w))
+            return out
         st = statuses[0]
         for x in statuses[1:]:
             st = st.unionByName(x)
@@ -146,11 +154,23 @@ class Sweep:
     def mapping(self) -> DataFrame:
         return self._mapping[0]
 
+    @cached_property
+    def used_width(self) -> int:
+        """1 + the highest column position any dataset's mapping reads (one-row aggregate)."""
+        from pyspark.sql import functions as F
+
+        m, _ = self._mapping
+        top = m.select(F.max(F.array_max(F.map_values("mapping"))).alias("p")).first().p
+        return 1 if top is None else int(top) + 1
+
+    def bronze_rows(self) -> DataFrame:
+        return self.bronze(self.used_width) if callable(self.bronze) else self.bronze
+
     @cached_property
     def projected(self) -> DataFrame:
         """P1-P3 only (before dates, name split and cid fill)."""
         m, n = self._mapping
-        return harmonise.project_targets(self.bronze, m, n)
+        return harmonise.project_targets(self.bronze_rows(), m, n)
 
     @cached_property
     def silver_rows(self) -> DataFrame:

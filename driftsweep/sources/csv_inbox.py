@@ -149,15 +149,17 @@ class CsvInbox:
         self.root = qualified(spark, self.inbox)
         self.glob = f"{self.inbox}/*.csv"   # case-sensitive, like the original discovery
 
-    def raw_rows(self, df: DataFrame, path_col: str = "_metadata.file_path") -> DataFrame:
+    def raw_rows(self, df: DataFrame, path_col: str = "_metadata.file_path", n_cols: int | None = None) -> DataFrame:
         """(entry, part, mid, cells) from a CSV read with the wide string schema."""
         part = F.col(path_col)
+        n_cols = self.width + 1 if n_cols is None else n_cols
         return df.select(entry_of(part, self.root).alias("entry"), _decoded(part).alias("part"),
                          F.monotonically_increasing_id().alias("mid"),
-                         F.array(*[F.col(f"_c{i}") for i in range(self.width + 1)]).alias("cells"))
+                         F.array(*[F.col(f"_c{i}") for i in range(n_cols)]).alias("cells"))
 
-    def _scan(self, header: bool) -> DataFrame:
-        return self.raw_rows(_reader(self.spark, self.width, header, self.multi_line).csv(self.glob))
+    def _scan(self, header: bool, n_cols: int | None = None) -> DataFrame:
+        n_cols = self.width + 1 if n_cols is None else n_cols
+        return self.raw_rows(_reader(self.spark, n_cols - 1, header, self.multi_line).csv(self.glob), n_cols=n_cols)
 
     def profile(self, raw: DataFrame | None = None) -> DataFrame:
         """Pass 1: per (entry, part, field position) aggregate; pos -1 counts records."""
@@ -239,20 +241,22 @@ class CsvInbox:
         return (c.join(datasets_df.select("file_name", F.col("source").alias("entry")), "entry")
                 .select("file_name", F.col("entry").alias("source"), "pos", F.col("n_non_blank").cast("long")))
 
-    def bronze(self, raw: DataFrame | None = None, parts_df: DataFrame | None = None) -> DataFrame:
+    def bronze(self, raw: DataFrame | None = None, parts_df: DataFrame | None = None,
+               width: int | None = None) -> DataFrame:
         """Pass 2: data rows of every CSV entry.
 
         Batch: a second scan with ``header=true`` (the reader drops each file's header row).
         Stream: the micro-batch's rows were read once with their header rows; those are
         removed by a join with the per-file header position (one row per file).
         """
+        width = self.width if width is None else min(width, self.width)
         if raw is None:
-            rows = self._scan(header=True)
+            rows = self._scan(header=True, n_cols=width)   # only the columns any mapping reads
         else:
             hdr = parts_df.select("part", "hdr_mid")
             from driftsweep.operators.joins import join_checked
             rows = join_checked(raw, hdr, ["part"]).where(F.col("mid") != F.col("hdr_mid"))
-        cells = F.array(*[na_to_null(F.col("cells")[i]) for i in range(self.width)])
+        cells = F.array(*[na_to_null(F.col("cells")[i]) for i in range(width)])
         return rows.select(dataset_name(F.col("entry"), F.lit(None).cast("string")).alias("file_name"),
                            F.col("entry").alias("source"), "part", F.col("mid").alias("src_row"),
                            cells.alias("cells"))

@@ -299,13 +299,14 @@ class XlsxInbox:
         return (c.join(datasets_df.select("file_name", F.col("source").alias("part")), "part")
                 .select("file_name", F.col("part").alias("source"), "pos", F.col("n_non_blank").cast("long")))
 
-    def bronze(self, raw: DataFrame, sheets_df: DataFrame, datasets_df: DataFrame) -> DataFrame:
+    def bronze(self, raw: DataFrame, sheets_df: DataFrame, datasets_df: DataFrame, width: int | None = None) -> DataFrame:
         """Data rows: each sheet's header row removed by a join with one row per sheet."""
         from driftsweep.operators.joins import join_checked
 
         hdr = sheets_df.select("part", "hdr_mid")
         rows = join_checked(raw, hdr, ["part"]).where(F.col("mid") != F.col("hdr_mid"))
-        cells = F.array(*[na_to_null(F.col("cells")[i]) for i in range(self.width)])
+        width = self.width if width is None else min(width, self.width)
+        cells = F.array(*[na_to_null(F.col("cells")[i]) for i in range(width)])
         names = datasets_df.select("file_name", F.col("source").alias("part"))
         return (join_checked(rows, names, ["part"])
                 .select("file_name", F.col("part").alias("source"), "part", F.col("mid").alias("src_row"),
