@@ -304,6 +304,12 @@ def inbox_gates(spark, sf):
     return g.select("file_name", "n_rows", F.size("headers").alias("n_cols"), "shape_ok", "gate_ok", "accepted")
 
 
+def last_write_wins(spark, sf):
+    """Datasets after the name collision rule: one source per dataset name."""
+    ds = Sweep.from_csv_inbox(spark, fixture_inbox(spark, sf, True)).datasets
+    return ds.select("file_name", "source", "n_rows")
+
+
 def csv_lineage(spark, sf):
     sw = Sweep.from_csv_inbox(spark, fixture_inbox(spark, sf, True))
     return sw.silver_rows.groupBy("file_name").agg(F.count(F.lit(1)).alias("n_rows"))
@@ -401,6 +407,17 @@ def xlsx_cells(spark, sf):
     return rows.select("entry", "sheet", "row_no", F.posexplode("cells").alias("col", "value")).where("value IS NOT NULL")
 
 
+def sheet_fanout(spark, sf):
+    """One dataset per worksheet of every workbook entry."""
+    ds = Sweep.from_inbox(spark, _mixed_inbox(spark, sf)).datasets
+    return ds.where("fmt = 'xlsx'").select("file_name", "sheet", "n_rows", F.size("headers").alias("n_cols"))
+
+
+def silver_union(spark, sf):
+    """Silver rows of CSV and workbook datasets in one table (union by name)."""
+    return Sweep.from_inbox(spark, _mixed_inbox(spark, sf)).silver_rows.select("file_name", *TARGETS)
+
+
 def mixed_rowid(spark, sf):
     """Dense rowid over a mixed inbox: workbooks come first in discovery order."""
     return Sweep.from_inbox(spark, _mixed_inbox(spark, sf)).silver.select("rowid", "file_name", "emailaddress")
@@ -447,6 +464,7 @@ def registry() -> dict[str, Query]:
         "inbox_manifest": inbox_manifest,
         "inbox_gates": inbox_gates,
         "csv_lineage": csv_lineage,
+        "last_write_wins": last_write_wins,
         "silver_typed": silver_typed,
         "silver_roundtrip": silver_roundtrip,
         "partition_read": partition_read,
@@ -457,4 +475,6 @@ def registry() -> dict[str, Query]:
         "xlsx_sweep": xlsx_sweep,
         "xlsx_cells": xlsx_cells,
         "mixed_rowid": mixed_rowid,
+        "sheet_fanout": sheet_fanout,
+        "silver_union": silver_union,
     }

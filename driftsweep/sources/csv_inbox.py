@@ -300,6 +300,10 @@ def write_adversarial_entries(spark: SparkSession, sf_dir: str, inbox: str) -> s
             F.col("c_mktsegment").alias("notes")),
         "unmatched.csv": table(spark, sf_dir, "orders").select(
             F.col("o_orderstatus").alias("Statement"), F.col("o_orderpriority").alias("Remarks")),
+        # both name the dataset 'twin'; the later-discovered entry wins
+        "twin.csv": sup.select(F.col("s_name").alias("FirstName"), s("s_suppkey").alias("CID")),
+        "twin.csv.csv": table(spark, sf_dir, "part").select(F.col("p_name").alias("FirstName"),
+                                                            s("p_partkey").alias("CID")),
     }
     for name, df in entries.items():
         df.write.mode("overwrite").option("header", "true").option("escape", '"').csv(f"{root}/{name}")

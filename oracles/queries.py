@@ -109,7 +109,9 @@ def sql() -> dict[str, str]:
           UNION ALL SELECT 'narrow.csv', 'good', NULL, count(*) FROM part
           UNION ALL SELECT 'gate_fail.csv', 'good', NULL, count(*) FROM supplier
           UNION ALL SELECT 'email_only.csv', 'good', NULL, count(*) FROM customer
-          UNION ALL SELECT 'unmatched.csv', 'good', NULL, count(*) FROM orders),
+          UNION ALL SELECT 'unmatched.csv', 'good', NULL, count(*) FROM orders
+          UNION ALL SELECT 'twin.csv', 'good', NULL, count(*) FROM supplier
+          UNION ALL SELECT 'twin.csv.csv', 'good', NULL, count(*) FROM part),
         ranked AS (SELECT *, CAST(row_number() OVER (ORDER BY entry) AS INTEGER) AS file_ordinal FROM ents)"""
     out.update({
         "csv_sweep": f"{c} SELECT * FROM gold",
@@ -123,13 +125,19 @@ def sql() -> dict[str, str]:
         "inbox_gates": f"""{entries},
           g AS (
             SELECT regexp_replace(entry, '\\.csv$', '') AS file_name, n_rows,
-                   CASE WHEN entry = 'narrow.csv' THEN 1 WHEN entry IN ('gate_fail.csv', 'email_only.csv', 'unmatched.csv') THEN 2
+                   CASE WHEN entry = 'narrow.csv' THEN 1
+                        WHEN entry IN ('gate_fail.csv', 'email_only.csv', 'unmatched.csv', 'twin.csv.csv') THEN 2
                         ELSE (SELECT n_cols FROM ds WHERE ds.file_name = regexp_replace(entry, '\\.csv$', '')) END AS n_cols,
                    entry NOT IN ('gate_fail.csv', 'email_only.csv') AS gate_ok
-            FROM ents WHERE status = 'good')
-          SELECT file_name, n_rows, n_cols, (n_cols >= 2 AND n_rows >= 2) AS shape_ok, gate_ok,
+            FROM ents WHERE status = 'good' AND entry <> 'twin.csv')
+          SELECT regexp_replace(file_name, '\\.csv$', '') AS file_name, n_rows, n_cols,
+                 (n_cols >= 2 AND n_rows >= 2) AS shape_ok, gate_ok,
                  (n_cols >= 2 AND n_rows >= 2 AND gate_ok) AS accepted FROM g""",
-        "csv_lineage": f"{c} SELECT file_name, count(*) AS n_rows FROM filled GROUP BY file_name",
+        "csv_lineage": f"""{c} SELECT file_name, count(*) AS n_rows FROM filled GROUP BY file_name
+                              UNION ALL SELECT 'twin', count(*) FROM part""",
+        "last_write_wins": f"""{entries}
+            SELECT regexp_replace(entry, '\\.csv', '', 'g') AS file_name, entry AS source, n_rows
+            FROM ents WHERE status = 'good' AND entry <> 'twin.csv'""",
         "silver_typed": f"{c} SELECT {silver_select()} FROM silver",
         "silver_roundtrip": f"{c} SELECT {silver_select()} FROM silver",
         "partition_read": f"{c} SELECT {silver_select()} FROM silver WHERE file_name = 'canon'",
@@ -138,6 +146,8 @@ def sql() -> dict[str, str]:
         "stream_sweep": f"{c} SELECT file_name, {t} FROM filled",
         "stream_gold": f"{c} SELECT * FROM gold",
         "xlsx_sweep": f"{c} SELECT * FROM gold",
+        "sheet_fanout": f"{c} SELECT file_name, 'S1' AS sheet, n_rows, n_cols FROM ds WHERE file_name = 'upper_S1'",
+        "silver_union": f"{c} SELECT file_name, {t} FROM filled",
         "mixed_rowid": f"""{c} SELECT (row_number() OVER (ORDER BY CASE WHEN file_name = 'upper_S1' THEN 0 ELSE 1 END,
                                                          file_name, src_row) - 1) AS rowid, file_name, emailaddress
                              FROM filled""",
