@@ -24,7 +24,8 @@ def main() -> None:
     from driftsweep.session import local_session
 
     spark = local_session(cpus, app="driftsweep-bench",
-                          extra={"spark.sql.shuffle.partitions": str(max(8, int(cpus) * 2))})
+                          extra={"spark.sql.shuffle.partitions": str(max(8, int(cpus) * 2)),
+                                 "spark.ui.showConsoleProgress": "false"})
     reg = registry()
     names = [n for n in HEADLINE if n in reg]
     cold, warm = {}, {}
