@@ -22,7 +22,8 @@ def project_targets(bronze: DataFrame, mapping: DataFrame, mapping_rows: int | N
     m, cells = F.col("mapping"), F.col("cells")
     cols = [F.when(m[t].isNull(), F.lit(None).cast("string"))
              .otherwise(F.coalesce(F.try_element_at(cells, m[t] + 1), F.lit(""))).alias(t) for t in TARGETS]
-    return j.select(*LINEAGE, *cols)
+    extra = [c for c in ("_blk", "_pid") if c in bronze.columns]
+    return j.select(*LINEAGE, *extra, *cols)
 
 
 def normalise_dates(df: DataFrame, targets: list[str] = DATE_TARGETS) -> DataFrame:

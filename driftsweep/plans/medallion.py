@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from driftsweep.operators import harmonise, quality, resolver
 from driftsweep.operators.joins import materialise_small
-from driftsweep.operators.rowid import with_dense_index
+from driftsweep.operators.rowid import with_dense_index, with_dense_index_by_runs
 from driftsweep.sources import csv_inbox, fixtures
 
 
@@ -178,8 +178,18 @@ class Sweep:
 
     @cached_property
     def silver(self) -> DataFrame:
-        """Silver with a dense rowid in (dataset order, row order)."""
-        return harmonise.silver_table(with_dense_index(self.silver_rows, harmonise.ROW_ORDER))
+        """Silver with a dense rowid in (dataset order, row order).
+
+        CSV batch sweeps number rows from runs of consecutive scan ids (no data shuffle);
+        other sources use the range-partitioned zip-with-index.
+        """
+        rows = self.silver_rows
+        if "_pid" in rows.columns:
+            ided = with_dense_index_by_runs(rows, ["file_ordinal", "part", "_blk"],
+                                            ["file_ordinal", "part", "_blk", "_pid"], "src_row")
+        else:
+            ided = with_dense_index(rows, harmonise.ROW_ORDER)
+        return harmonise.silver_table(ided)
 
     @cached_property
     def gold(self) -> DataFrame:

@@ -149,12 +149,20 @@ class CsvInbox:
         self.root = qualified(spark, self.inbox)
         self.glob = f"{self.inbox}/*.csv"   # case-sensitive, like the original discovery
 
-    def raw_rows(self, df: DataFrame, path_col: str = "_metadata.file_path", n_cols: int | None = None) -> DataFrame:
-        """(entry, part, mid, cells) from a CSV read with the wide string schema."""
+    def raw_rows(self, df: DataFrame, path_col: str = "_metadata.file_path", n_cols: int | None = None,
+                 block_col: str = "_metadata.file_block_start") -> DataFrame:
+        """(entry, part, _blk, mid, _pid, cells) from a CSV read with the wide string schema.
+
+        File order of a row is (_blk, mid): the split's byte offset, then the scan id. Spark
+        may pack a file's later split into a lower-numbered partition, so ids alone do not
+        order a file. mid and _pid are taken at the scan: inside one (file, split,
+        partition) run the ids are consecutive (rowid.with_dense_index_by_runs).
+        """
         part = F.col(path_col)
         n_cols = self.width + 1 if n_cols is None else n_cols
         return df.select(entry_of(part, self.root).alias("entry"), _decoded(part).alias("part"),
-                         F.monotonically_increasing_id().alias("mid"),
+                         F.col(block_col).alias("_blk"),
+                         F.monotonically_increasing_id().alias("mid"), F.spark_partition_id().alias("_pid"),
                          F.array(*[F.col(f"_c{i}") for i in range(n_cols)]).alias("cells"))
 
     def _scan(self, header: bool, n_cols: int | None = None) -> DataFrame:
@@ -165,11 +173,11 @@ class CsvInbox:
         """Pass 1: per (entry, part, field position) aggregate; pos -1 counts records."""
         raw = self._scan(header=False) if raw is None else raw
         marked = F.concat(F.array(F.lit("\u0001")), F.col("cells"))
-        x = (raw.select("entry", "part", "mid", F.posexplode(marked).alias("p1", "value"))
+        x = (raw.select("entry", "part", F.struct("_blk", "mid").alias("key"), F.posexplode(marked).alias("p1", "value"))
              .where(F.col("value").isNotNull()))
         v = F.col("value")
         return (x.groupBy("entry", "part", (F.col("p1") - 1).alias("pos"))
-                .agg(F.min("mid").alias("first_mid"), F.min_by(v, F.col("mid")).alias("first_value"),
+                .agg(F.min("key").alias("first_mid"), F.min_by(v, F.col("key")).alias("first_value"),
                      F.count(F.lit(1)).alias("n_present"),
                      F.count_if(non_blank(na_to_null(v))).alias("n_non_blank"),
                      F.count_if(v.contains("\ufffd")).alias("n_bad_text")))
@@ -255,11 +263,11 @@ class CsvInbox:
         else:
             hdr = parts_df.select("part", "hdr_mid")
             from driftsweep.operators.joins import join_checked
-            rows = join_checked(raw, hdr, ["part"]).where(F.col("mid") != F.col("hdr_mid"))
+            rows = join_checked(raw, hdr, ["part"]).where(F.struct("_blk", "mid") != F.col("hdr_mid"))
         cells = F.array(*[na_to_null(F.col("cells")[i]) for i in range(width)])
         return rows.select(dataset_name(F.col("entry"), F.lit(None).cast("string")).alias("file_name"),
                            F.col("entry").alias("source"), "part", F.col("mid").alias("src_row"),
-                           cells.alias("cells"))
+                           cells.alias("cells"), "_blk", "_pid")
 
 
 def write_fixture_inbox(spark: SparkSession, sf_dir: str, inbox: str, layouts=None) -> str:

@@ -36,12 +36,13 @@ ROWS_SCHEMA = T.StructType([
     T.StructField("sheet_no", T.IntegerType()),
     T.StructField("sheet", T.StringType()),
     T.StructField("row_no", T.LongType()),
+    T.StructField("seq", T.LongType()),
     T.StructField("cells", T.ArrayType(T.StringType())),
     T.StructField("all_text", T.BooleanType()),
     T.StructField("error", T.StringType()),
 ])
 _ARROW_SCHEMA = pa.schema([
-    ("entry", pa.string()), ("sheet_no", pa.int32()), ("sheet", pa.string()), ("row_no", pa.int64()),
+    ("entry", pa.string()), ("sheet_no", pa.int32()), ("sheet", pa.string()), ("row_no", pa.int64()), ("seq", pa.int64()),
     ("cells", pa.list_(pa.string())), ("all_text", pa.bool_()), ("error", pa.string()),
 ])
 
@@ -137,7 +138,8 @@ def _styles(z: zipfile.ZipFile) -> list[tuple[bool, bool]]:
 
 
 def decode_workbook(entry: str, content: bytes):
-    """Yield (entry, sheet_no, sheet, row_no, cells, all_text, error) per non-empty row."""
+    """Yield (entry, sheet_no, sheet, row_no, seq, cells, all_text, error) per non-empty row;
+    ``seq`` numbers the emitted rows of a sheet 0, 1, 2, ... without gaps."""
     try:
         z = zipfile.ZipFile(io.BytesIO(content))
         sheets = _sheets(z)
@@ -146,9 +148,10 @@ def decode_workbook(entry: str, content: bytes):
         wbpr = ET.fromstring(z.read("xl/workbook.xml")).find("m:workbookPr", _NS)
         date1904 = wbpr is not None and wbpr.get("date1904") in ("1", "true")
     except Exception as e:  # noqa: BLE001  (unreadable workbook -> quarantine)
-        yield (entry, -1, None, -1, None, None, f"unreadable: {type(e).__name__}")
+        yield (entry, -1, None, -1, -1, None, None, f"unreadable: {type(e).__name__}")
         return
     for sheet_no, (name, path) in enumerate(sheets):
+        seq = 0
         try:
             with z.open(path) as fh:
                 for _, el in ET.iterparse(fh, events=("end",)):
@@ -185,11 +188,12 @@ def decode_workbook(entry: str, content: bytes):
                     if values:
                         width = max(values) + 1
                         row_no = int(el.get("r")) if el.get("r") else -1
-                        yield (entry, sheet_no, name, row_no, [values.get(i) for i in range(width)],
+                        yield (entry, sheet_no, name, row_no, seq, [values.get(i) for i in range(width)],
                                all(text_flags), None)
+                        seq += 1
                     el.clear()
         except Exception as e:  # noqa: BLE001
-            yield (entry, sheet_no, name, -1, None, None, f"unreadable sheet: {type(e).__name__}")
+            yield (entry, sheet_no, name, -1, -1, None, None, f"unreadable sheet: {type(e).__name__}")
 
 
 def _decode_batches(batches, root: str, max_bytes: int, batch_rows: int = 4096):
@@ -204,7 +208,7 @@ def _decode_batches(batches, root: str, max_bytes: int, batch_rows: int = 4096):
     for b in batches:
         d = b.to_pydict()
         for entry, length, content in zip(d["entry"], d["length"], d["content"]):
-            rows = ([(entry, -1, None, -1, None, None, "too_large")] if length > max_bytes
+            rows = ([(entry, -1, None, -1, -1, None, None, "too_large")] if length > max_bytes
                     else decode_workbook(entry, content))
             for r in rows:
                 for k, v in zip(_ARROW_SCHEMA.names, r):
@@ -243,7 +247,9 @@ class XlsxInbox:
         cells = F.when(F.size("cells") > self.width + 1,
                        F.concat(F.slice(cells, 1, self.width), F.array(F.lit("\u0001")))).otherwise(cells)
         return self.rows.select("entry", F.concat_ws("!", "entry", F.col("sheet_no").cast("string")).alias("part"),
-                                "sheet_no", "sheet", F.col("row_no").alias("mid"), "all_text", cells.alias("cells"))
+                                "sheet_no", "sheet", F.lit(0).cast("long").alias("_blk"), F.col("seq").alias("mid"),
+                                F.spark_partition_id().alias("_pid"),
+                                "all_text", cells.alias("cells"))
 
     def sheets(self, profile: DataFrame, raw: DataFrame) -> DataFrame:
         """Per sheet: header list (pandas rules: width = widest row), data rows, text header."""
@@ -259,7 +265,7 @@ class XlsxInbox:
         width = F.col("last_pos") + 1
         names = F.transform(F.sequence(F.lit(0), width - 1), lambda i: F.element_at(F.col("name_map"), i))
         meta = raw.groupBy("entry", "part").agg(F.first("sheet_no").alias("sheet_no"), F.first("sheet").alias("sheet"),
-                                                F.min_by("all_text", "mid").alias("header_text_ok"))
+                                                F.min_by("all_text", F.struct("_blk", "mid")).alias("header_text_ok"))
         return (g.join(meta, ["entry", "part"])
                 .select("entry", "part", "sheet_no", "sheet", "hdr_mid", "n_records", width.alias("width"),
                         repair_headers(names).alias("headers"), "header_text_ok",
@@ -304,10 +310,10 @@ class XlsxInbox:
         from driftsweep.operators.joins import join_checked
 
         hdr = sheets_df.select("part", "hdr_mid")
-        rows = join_checked(raw, hdr, ["part"]).where(F.col("mid") != F.col("hdr_mid"))
+        rows = join_checked(raw, hdr, ["part"]).where(F.struct("_blk", "mid") != F.col("hdr_mid"))
         width = self.width if width is None else min(width, self.width)
         cells = F.array(*[na_to_null(F.col("cells")[i]) for i in range(width)])
         names = datasets_df.select("file_name", F.col("source").alias("part"))
         return (join_checked(rows, names, ["part"])
                 .select("file_name", F.col("part").alias("source"), "part", F.col("mid").alias("src_row"),
-                        cells.alias("cells")))
+                        cells.alias("cells"), "_blk", "_pid"))

@@ -40,10 +40,11 @@ def start_sweep_stream(spark: SparkSession, inbox: str, out_dir: str, checkpoint
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     # the file path must be taken in the stream itself: a micro-batch has no _metadata
-    stream = reader.csv(f"{inbox.rstrip('/')}/*.csv").select("*", F.col("_metadata.file_path").alias("_file_path"))
+    stream = reader.csv(f"{inbox.rstrip('/')}/*.csv").select(
+        "*", F.col("_metadata.file_path").alias("_file_path"), F.col("_metadata.file_block_start").alias("_file_blk"))
 
     def process(batch: DataFrame, epoch: int) -> None:
-        raw = ci.raw_rows(batch, "_file_path").persist()
+        raw = ci.raw_rows(batch, "_file_path", block_col="_file_blk").persist()
         try:
             if raw.isEmpty():
                 return

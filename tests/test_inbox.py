@@ -95,3 +95,24 @@ def test_rowid_dense_and_gold_count(sweep):
     ids = sorted(r.rowid for r in s.select("rowid").collect())
     assert ids == list(range(len(ids)))
     assert sweep.gold.count() == len(ids)
+
+
+def test_rowid_runs_across_split_files(spark, tmp_path):
+    """Single-line CSVs split into many scan partitions: ids stay dense and in file order."""
+    for name, n in (("b_first.csv", 700), ("a_second.csv", 500)):
+        lines = ["FirstName,CID"] + [f"N{name[0]}{i:05d},C{i}" for i in range(n)]
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        sw = Sweep.from_csv_inbox(spark, str(tmp_path), multi_line=False)
+        rows = sw.silver.select("rowid", "file_name", "cid").collect()
+        runs = sw.bronze_rows().select("part", "_blk", "_pid").distinct().count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert runs > 4                     # the files really were split over several partitions
+    rows.sort(key=lambda r: r.rowid)
+    assert [r.rowid for r in rows] == list(range(1200))
+    # discovery order is by name: a_second.csv, then b_first.csv; rows in line order inside each
+    expect = [("a_second", f"C{i}") for i in range(500)] + [("b_first", f"C{i}") for i in range(700)]
+    assert [(r.file_name, r.cid) for r in rows] == expect
