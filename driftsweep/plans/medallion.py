@@ -36,11 +36,13 @@ class Sweep:
         """Sweep of every CSV entry in an inbox folder (see sources.csv_inbox)."""
         ci = csv_inbox.CsvInbox(spark, inbox, width, multi_line)
         man = csv_inbox.manifest(spark, inbox)
-        profile, _ = materialise_small(ci.profile())   # one scan; (#files x width) rows
-        parts = ci.parts(profile)
+        raw = ci._scan(header=False)                     # one file index for both profile passes
+        profile, _ = materialise_small(ci.profile(raw))  # hash aggregate; (#files x width) rows
+        headers, _ = materialise_small(ci.header_cells(raw, profile))
+        parts = ci.parts(profile, headers)
         status = ci.status(man, parts)
         datasets = quality.last_write_wins(ci.datasets(status)).drop("sheet_no")
-        sw = cls(lambda w: ci.bronze(width=w), datasets, ci.counts(profile, parts, datasets))
+        sw = cls(lambda w: ci.bronze(width=w), datasets, ci.counts(profile, headers, parts, datasets))
         sw.manifest, sw.status = man, status
         return sw
 
@@ -75,12 +77,14 @@ class Sweep:
         ci = csv_inbox.CsvInbox(spark, inbox, width, multi_line)
         parts, statuses, counts, bronzes = [], [], [], []
         if kinds.get("csv"):
-            cprof, _ = materialise_small(ci.profile())
-            cparts = ci.parts(cprof)
+            craw = ci._scan(header=False)
+            cprof, _ = materialise_small(ci.profile(craw))
+            chead, _ = materialise_small(ci.header_cells(craw, cprof))
+            cparts = ci.parts(cprof, chead)
             cstatus = ci.status(man, cparts)
             parts.append(ci.datasets(cstatus).withColumn("sheet_no", F.lit(0)).withColumn("header_text_ok", F.lit(True)))
             statuses.append(cstatus)
-            counts.append(lambda ds, p=cprof, q=cparts: ci.counts(p, q, ds))
+            counts.append(lambda ds, p=cprof, h=chead, q=cparts: ci.counts(p, h, q, ds))
             bronzes.append(lambda ds, w: ci.bronze(width=w))
         if kinds.get("xlsx") or kinds.get("xls"):
             rows_path = scratch_path(spark, "xlsx_rows")
@@ -92,11 +96,12 @@ class Sweep:
             xi = xlsx_inbox.XlsxInbox(spark, rows, width)
             raw = xi.raw()
             xprof, _ = materialise_small(ci.profile(raw))
-            sheets = xi.sheets(xprof, raw)
+            xhead, _ = materialise_small(ci.header_cells(raw, xprof))
+            sheets = xi.sheets(xprof, xhead, raw)
             xstatus = xi.status(man, sheets)
             parts.append(xi.datasets(sheets, xstatus))
             statuses.append(xstatus)
-            counts.append(lambda ds, p=xprof, q=sheets: xi.counts(p, q, ds))
+            counts.append(lambda ds, p=xprof, h=xhead, q=sheets: xi.counts(p, h, q, ds))
             bronzes.append(lambda ds, w, r=raw, q=sheets: xi.bronze(r, q, ds, w))
         if not parts:
             sw = cls.empty(spark)     # empty inbox: fixed schemas flow through, no branch later
@@ -127,10 +132,11 @@ class Sweep:
         """Sweep of already-read CSV rows (header rows included), e.g. one stream micro-batch."""
         ci = csv_inbox.CsvInbox(spark, inbox, width)
         profile, _ = materialise_small(ci.profile(raw))
-        parts = ci.parts(profile)
+        headers, _ = materialise_small(ci.header_cells(raw, profile))
+        parts = ci.parts(profile, headers)
         status = ci.status(ci.entries_from_parts(parts), parts)
         datasets = quality.last_write_wins(ci.datasets(status)).drop("sheet_no")
-        sw = cls(ci.bronze(raw, parts), datasets, ci.counts(profile, parts, datasets))
+        sw = cls(ci.bronze(raw, parts), datasets, ci.counts(profile, headers, parts, datasets))
         sw.status = status
         return sw
 

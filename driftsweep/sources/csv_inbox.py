@@ -170,27 +170,47 @@ class CsvInbox:
         return self.raw_rows(_reader(self.spark, n_cols - 1, header, self.multi_line).csv(self.glob), n_cols=n_cols)
 
     def profile(self, raw: DataFrame | None = None) -> DataFrame:
-        """Pass 1: per (entry, part, field position) aggregate; pos -1 counts records."""
+        """Pass 1: per (entry, part, field position) statistics; pos -1 counts records.
+
+        Every aggregate buffer is fixed-width, so Spark runs a hash (not sort) partial
+        aggregate: each map task keeps one small row per (file, column). ``first_mid`` is
+        the smallest id among rows of the file's first split, i.e. the header row's id
+        wherever that row has a field at this position.
+        """
         raw = self._scan(header=False) if raw is None else raw
         marked = F.concat(F.array(F.lit("\u0001")), F.col("cells"))
-        x = (raw.select("entry", "part", F.struct("_blk", "mid").alias("key"), F.posexplode(marked).alias("p1", "value"))
+        x = (raw.select("entry", "part", "_blk", "mid", F.posexplode(marked).alias("p1", "value"))
              .where(F.col("value").isNotNull()))
         v = F.col("value")
         return (x.groupBy("entry", "part", (F.col("p1") - 1).alias("pos"))
-                .agg(F.min("key").alias("first_mid"), F.min_by(v, F.col("key")).alias("first_value"),
+                .agg(F.min(F.when(F.col("_blk") == 0, F.col("mid"))).alias("first_mid"),
                      F.count(F.lit(1)).alias("n_present"),
                      F.count_if(non_blank(na_to_null(v))).alias("n_non_blank"),
                      F.count_if(v.contains("\ufffd")).alias("n_bad_text")))
 
-    def parts(self, profile: DataFrame | None = None) -> DataFrame:
+    def header_cells(self, raw: DataFrame, profile: DataFrame) -> DataFrame:
+        """(entry, part, pos, header_value): the header row of every file.
+
+        ``raw`` must be the same DataFrame the profile was computed from (same file index,
+        so the same ids). An equi-join on (part, id) with one row per file keeps only the
+        header rows; nothing is pushed into the scan, so its partitioning is unchanged.
+        """
+        from driftsweep.operators.joins import join_checked
+
+        hdr = profile.where("pos = -1").select("part", F.col("first_mid").alias("mid"))
+        rows = join_checked(raw.select("entry", "part", "mid", "cells"), hdr, ["part", "mid"])
+        return (rows.select("entry", "part", F.posexplode("cells").alias("pos", "header_value"))
+                .where(F.col("header_value").isNotNull()))
+
+    def parts(self, profile: DataFrame, headers: DataFrame) -> DataFrame:
         """Per physical file: header list, record count, width, overlong/too-wide/decode flags."""
-        p = self.profile() if profile is None else profile
+        p = profile
         rec = p.where("pos = -1").select("entry", "part", F.col("first_mid").alias("hdr_mid"),
                                          F.col("n_present").alias("n_records"))
-        f = p.where("pos >= 0").join(rec, ["entry", "part"])
-        is_hdr = F.col("first_mid") == F.col("hdr_mid")
-        raw_name = F.when(is_hdr, F.when(F.col("pos") == 0, F.regexp_replace("first_value", "^\ufeff", ""))
-                          .otherwise(F.col("first_value")))
+        f = p.where("pos >= 0").join(rec, ["entry", "part"]).join(headers, ["entry", "part", "pos"], "left")
+        is_hdr = F.col("header_value").isNotNull()
+        raw_name = F.when(is_hdr, F.when(F.col("pos") == 0, F.regexp_replace("header_value", "^\ufeff", ""))
+                          .otherwise(F.col("header_value")))
         g = f.groupBy("entry", "part", "hdr_mid", "n_records").agg(
             F.max(F.when(is_hdr, F.col("pos"))).alias("last_hdr_pos"),
             F.collect_list(F.struct("pos", raw_name.alias("name"), "n_present")).alias("cols"),
@@ -239,11 +259,11 @@ class CsvInbox:
                            F.lit(None).cast("string").alias("sheet"), F.col("n_rows").cast("long").alias("n_rows"),
                            "headers")
 
-    def counts(self, profile: DataFrame, parts_df: DataFrame, datasets_df: DataFrame) -> DataFrame:
+    def counts(self, profile: DataFrame, headers: DataFrame, parts_df: DataFrame, datasets_df: DataFrame) -> DataFrame:
         """Non-blank data cells per (dataset, position): the header row's own cell removed."""
-        hdr = parts_df.select("entry", "part", "hdr_mid", "width")
-        p = profile.where("pos >= 0").join(hdr, ["entry", "part"])
-        own = F.when((F.col("first_mid") == F.col("hdr_mid")) & non_blank(na_to_null(F.col("first_value"))), 1).otherwise(0)
+        hdr = parts_df.select("entry", "part", "width")
+        p = profile.where("pos >= 0").join(hdr, ["entry", "part"]).join(headers, ["entry", "part", "pos"], "left")
+        own = F.when(non_blank(na_to_null(F.col("header_value"))), 1).otherwise(0)
         c = (p.where(F.col("pos") < F.col("width"))
              .groupBy("entry", "pos").agg(F.sum(F.col("n_non_blank") - own).alias("n_non_blank")))
         return (c.join(datasets_df.select("file_name", F.col("source").alias("entry")), "entry")
@@ -263,7 +283,7 @@ class CsvInbox:
         else:
             hdr = parts_df.select("part", "hdr_mid")
             from driftsweep.operators.joins import join_checked
-            rows = join_checked(raw, hdr, ["part"]).where(F.struct("_blk", "mid") != F.col("hdr_mid"))
+            rows = join_checked(raw, hdr, ["part"]).where(F.col("mid") != F.col("hdr_mid"))
         cells = F.array(*[na_to_null(F.col("cells")[i]) for i in range(width)])
         return rows.select(dataset_name(F.col("entry"), F.lit(None).cast("string")).alias("file_name"),
                            F.col("entry").alias("source"), "part", F.col("mid").alias("src_row"),

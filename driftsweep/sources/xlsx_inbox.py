@@ -251,21 +251,20 @@ class XlsxInbox:
                                 F.spark_partition_id().alias("_pid"),
                                 "all_text", cells.alias("cells"))
 
-    def sheets(self, profile: DataFrame, raw: DataFrame) -> DataFrame:
+    def sheets(self, profile: DataFrame, headers: DataFrame, raw: DataFrame) -> DataFrame:
         """Per sheet: header list (pandas rules: width = widest row), data rows, text header."""
         from driftsweep.sources.csv_inbox import repair_headers
 
         rec = profile.where("pos = -1").select("entry", "part", F.col("first_mid").alias("hdr_mid"),
                                                F.col("n_present").alias("n_records"))
-        f = profile.where("pos >= 0").join(rec, ["entry", "part"])
-        is_hdr = F.col("first_mid") == F.col("hdr_mid")
+        f = profile.where("pos >= 0").join(rec, ["entry", "part"]).join(headers, ["entry", "part", "pos"], "left")
         g = f.groupBy("entry", "part", "hdr_mid", "n_records").agg(
             F.max("pos").alias("last_pos"),
-            F.map_from_entries(F.collect_list(F.struct("pos", F.when(is_hdr, F.col("first_value"))))).alias("name_map"))
+            F.map_from_entries(F.collect_list(F.struct("pos", F.col("header_value")))).alias("name_map"))
         width = F.col("last_pos") + 1
         names = F.transform(F.sequence(F.lit(0), width - 1), lambda i: F.element_at(F.col("name_map"), i))
         meta = raw.groupBy("entry", "part").agg(F.first("sheet_no").alias("sheet_no"), F.first("sheet").alias("sheet"),
-                                                F.min_by("all_text", F.struct("_blk", "mid")).alias("header_text_ok"))
+                                                F.min_by("all_text", "mid").alias("header_text_ok"))
         return (g.join(meta, ["entry", "part"])
                 .select("entry", "part", "sheet_no", "sheet", "hdr_mid", "n_records", width.alias("width"),
                         repair_headers(names).alias("headers"), "header_text_ok",
@@ -296,10 +295,10 @@ class XlsxInbox:
                         "sheet_no", (F.col("n_records") - 1).cast("long").alias("n_rows"), "headers",
                         "header_text_ok"))
 
-    def counts(self, profile: DataFrame, sheets_df: DataFrame, datasets_df: DataFrame) -> DataFrame:
-        hdr = sheets_df.select("entry", "part", "hdr_mid", "width")
-        p = profile.where("pos >= 0").join(hdr, ["entry", "part"])
-        own = F.when((F.col("first_mid") == F.col("hdr_mid")) & non_blank(na_to_null(F.col("first_value"))), 1).otherwise(0)
+    def counts(self, profile: DataFrame, headers: DataFrame, sheets_df: DataFrame, datasets_df: DataFrame) -> DataFrame:
+        hdr = sheets_df.select("entry", "part", "width")
+        p = profile.where("pos >= 0").join(hdr, ["entry", "part"]).join(headers, ["entry", "part", "pos"], "left")
+        own = F.when(non_blank(na_to_null(F.col("header_value"))), 1).otherwise(0)
         c = (p.where(F.col("pos") < F.col("width"))
              .groupBy("part", "pos").agg(F.sum(F.col("n_non_blank") - own).alias("n_non_blank")))
         return (c.join(datasets_df.select("file_name", F.col("source").alias("part")), "part")
@@ -310,7 +309,7 @@ class XlsxInbox:
         from driftsweep.operators.joins import join_checked
 
         hdr = sheets_df.select("part", "hdr_mid")
-        rows = join_checked(raw, hdr, ["part"]).where(F.struct("_blk", "mid") != F.col("hdr_mid"))
+        rows = join_checked(raw, hdr, ["part"]).where(F.col("mid") != F.col("hdr_mid"))
         width = self.width if width is None else min(width, self.width)
         cells = F.array(*[na_to_null(F.col("cells")[i]) for i in range(width)])
         names = datasets_df.select("file_name", F.col("source").alias("part"))
