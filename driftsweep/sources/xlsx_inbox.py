@@ -220,11 +220,22 @@ def _decode_batches(batches, root: str, max_bytes: int, batch_rows: int = 4096):
 
 
 def workbook_rows(spark: SparkSession, inbox: str, max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
-    """Decoded rows of every ``*.xlsx`` entry (one task per workbook)."""
+    """Decoded rows of every ``*.xlsx`` entry (one task per workbook).
+
+    The size test runs before any content is read: ``binaryFile`` pushes filters on
+    ``length`` down, so oversized workbooks are quarantined from their metadata alone.
+    """
     root = qualified(spark, inbox)
-    files = (spark.read.format("binaryFile").load(f"{inbox.rstrip('/')}/*.xlsx")
-             .select(entry_of(F.col("path"), root).alias("entry"), "length", "content"))
-    return files.mapInArrow(lambda it: _decode_batches(it, root, max_bytes), ROWS_SCHEMA)
+    files = spark.read.format("binaryFile").load(f"{inbox.rstrip('/')}/*.xlsx")
+    entry = entry_of(F.col("path"), root).alias("entry")
+    small = files.where(F.col("length") <= max_bytes).select(entry, "length", "content")
+    decoded = small.mapInArrow(lambda it: _decode_batches(it, root, max_bytes), ROWS_SCHEMA)
+    too_large = files.where(F.col("length") > max_bytes).select(
+        entry, F.lit(-1).alias("sheet_no"), F.lit(None).cast("string").alias("sheet"),
+        F.lit(-1).cast("long").alias("row_no"), F.lit(-1).cast("long").alias("seq"),
+        F.lit(None).cast("array<string>").alias("cells"), F.lit(None).cast("boolean").alias("all_text"),
+        F.lit("too_large").alias("error"))
+    return decoded.unionByName(too_large)
 
 
 class XlsxInbox:

@@ -23,11 +23,18 @@ from driftsweep.sinks import tables
 from driftsweep.sources import csv_inbox
 
 
+DEFAULT_MAX_FILES_PER_TRIGGER = 1000
+
+
 def start_sweep_stream(spark: SparkSession, inbox: str, out_dir: str, checkpoint: str,
                        archive: str | None = None, width: int = csv_inbox.DEFAULT_WIDTH,
-                       max_files_per_trigger: int | None = None, available_now: bool = True):
+                       max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
+                       available_now: bool = True):
     """Start the incremental sweep; returns the StreamingQuery.
 
+    ``max_files_per_trigger`` bounds a micro-batch (it is persisted for its passes), so a
+    large backlog is swept in several batches rather than one.
+
     Sinks under ``out_dir``: ``silver_rows`` (file_name, run epoch, the 33 targets),
     ``gold`` (the gold columns) and ``status`` (probe result per entry and epoch).
     """

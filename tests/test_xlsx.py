@@ -88,3 +88,11 @@ def test_empty_inbox_flows_through(spark, tmp_path):
     sw = Sweep.from_inbox(spark, str(tmp_path))
     assert sw.gold.columns == GOLD_ORDER and sw.gold.count() == 0
     assert sw.silver.columns == SILVER_ORDER and sw.silver.count() == 0
+
+
+def test_oversized_workbook_quarantined_without_reading(spark, tmp_path):
+    from driftsweep.sources.xlsx_inbox import workbook_rows
+
+    (tmp_path / "big.xlsx").write_bytes(_book())
+    rows = workbook_rows(spark, str(tmp_path), max_bytes=10).collect()
+    assert [(r.entry, r.error) for r in rows] == [("big.xlsx", "too_large")]
