@@ -32,6 +32,12 @@ def _nb(x: str) -> str:
     return NON_BLANK.format(x=x)
 
 
+def _raw_case(alias: str) -> str:
+    from oracles.duck import _FX_COLS
+
+    return "CASE l.col " + " ".join(f"WHEN '{c}' THEN {alias}.{c}" for c in _FX_COLS) + " END"
+
+
 def sql() -> dict[str, str]:
     c = chain()
     t = ", ".join(TARGETS)
@@ -146,6 +152,15 @@ def sql() -> dict[str, str]:
         "stream_sweep": f"{c} SELECT file_name, {t} FROM filled",
         "stream_gold": f"{c} SELECT * FROM gold",
         "xlsx_sweep": f"{c} SELECT * FROM gold",
+        "xlsx_cells": f"""{c},
+          u AS (SELECT *, row_number() OVER (ORDER BY src_row) + 1 AS row_no FROM fx WHERE file_name = 'upper_S1'),
+          cl AS (
+            SELECT 'upper.xlsx' AS entry, 'S1' AS sheet, CAST(1 AS BIGINT) AS row_no, CAST(pos AS INTEGER) AS col,
+                   header AS value FROM layout WHERE file_name = 'upper_S1'
+            UNION ALL
+            SELECT 'upper.xlsx', 'S1', CAST(u.row_no AS BIGINT), CAST(l.pos AS INTEGER), {_raw_case('u')}
+            FROM u JOIN layout l ON l.file_name = 'upper_S1')
+          SELECT entry, sheet, row_no, col, value FROM cl WHERE value IS NOT NULL AND value <> ''""",
         "sheet_fanout": f"{c} SELECT file_name, 'S1' AS sheet, n_rows, n_cols FROM ds WHERE file_name = 'upper_S1'",
         "silver_union": f"{c} SELECT file_name, {t} FROM filled",
         "mixed_rowid": f"""{c} SELECT (row_number() OVER (ORDER BY CASE WHEN file_name = 'upper_S1' THEN 0 ELSE 1 END,

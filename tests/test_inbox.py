@@ -116,3 +116,21 @@ def test_rowid_runs_across_split_files(spark, tmp_path):
     # discovery order is by name: a_second.csv, then b_first.csv; rows in line order inside each
     expect = [("a_second", f"C{i}") for i in range(500)] + [("b_first", f"C{i}") for i in range(700)]
     assert [(r.file_name, r.cid) for r in rows] == expect
+
+
+def test_resolver_invariant_under_row_order(spark, tmp_path):
+    import random
+
+    random.seed(3)
+    header = "Email Address,FirstName,Last Name,Zip Code,CID,Var1,Opens,click date"
+    rows = [f"u{i}@x,F{i} G,{'' if i % 3 else 'L' + str(i)},{'' if i % 2 else i},C{i},{'' if i % 5 else 'v'},{i % 4},"
+            for i in range(60)]
+    (tmp_path / "fwd.csv").write_text("\n".join([header] + rows) + "\n")
+    shuffled = rows[:]
+    random.shuffle(shuffled)
+    (tmp_path / "rev.csv").write_text("\n".join([header] + shuffled) + "\n")
+    d = Sweep.from_csv_inbox(spark, str(tmp_path)).resolution["decisions"]
+    got = {}
+    for r in d.collect():
+        got.setdefault(r.file_name, {})[r.target] = (r.resolved, r.found, r.i_score, r.i_count, r.row_count)
+    assert got["fwd"] == got["rev"]
