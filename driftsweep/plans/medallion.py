@@ -26,7 +26,7 @@ class Sweep:
 
     @classmethod
     def from_fixtures(cls, spark: SparkSession, sf_dir: str) -> "Sweep":
-        bronze = fixtures.fixture_bronze(spark, sf_dir)
+        bronze = fixtures.persisted_bronze(spark, sf_dir)
         counts = fixtures.fixture_counts(bronze)
         return cls(bronze, fixtures.fixture_datasets(spark, counts), counts.where("pos >= 0"))
 

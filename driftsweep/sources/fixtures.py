@@ -180,3 +180,20 @@ def fixture_datasets(spark: SparkSession, counts: DataFrame, layouts: tuple[Layo
     return (lay.join(counts, ["file_name", "source"], "left")
             .select("file_name", "source", "file_ordinal", "fmt", "sheet",
                     F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"), "headers"))
+
+
+_PERSISTED: dict[tuple[str, str], str] = {}
+
+
+def persisted_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fixture bronze written once (per application and scale) as a parquet table in
+    the shared scratch folder, then read back: both sweep passes (profile, projection)
+    read data at rest instead of recomputing the fixture joins."""
+    from driftsweep.session import scratch_path
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PERSISTED:
+        path = scratch_path(spark, "fixture_bronze")
+        fixture_bronze(spark, sf_dir).write.parquet(path)
+        _PERSISTED[key] = path
+    return spark.read.parquet(_PERSISTED[key])
