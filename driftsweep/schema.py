@@ -1,6 +1,6 @@
 """Fixed values and table schemas of the sweep.
 
-Everything under the FIXED VALUES banner must equal the values of the notebook this
+Everything under the FIXED VALUES banner must equal the values of the sweep this
 engine re-implements, because resolution, gating and output layout depend on them.
 They are stated once, here, in their natural order; every other module derives from them.
 """
