@@ -49,10 +49,11 @@ class Sweep:
     @classmethod
     def empty(cls, spark: SparkSession) -> "Sweep":
         """A sweep of an empty inbox: every table exists with its schema and has no rows."""
-        bronze = spark.createDataFrame([], "file_name string, source string, part string, src_row bigint, cells array<string>")
-        datasets = spark.createDataFrame([], "file_name string, source string, file_ordinal int, fmt string, "
-                                             "sheet string, n_rows bigint, headers array<string>")
-        counts = spark.createDataFrame([], "file_name string, source string, pos int, n_non_blank bigint")
+        from driftsweep.schema import BRONZE_SCHEMA, COUNTS_SCHEMA, DATASET_SCHEMA
+
+        bronze = spark.createDataFrame([], BRONZE_SCHEMA)
+        datasets = spark.createDataFrame([], DATASET_SCHEMA)
+        counts = spark.createDataFrame([], COUNTS_SCHEMA)
         sw = cls(bronze, datasets, counts)
         sw.status = spark.createDataFrame([], "entry string, file_ordinal int, n_parts bigint, bytes bigint, status string, "
                                               "reason string, n_rows bigint, headers array<string>")

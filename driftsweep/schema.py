@@ -136,21 +136,32 @@ SILVER_SCHEMA = T.StructType(
 
 GOLD_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in GOLD_ORDER])
 
+# Bronze: every dataset in one table; values as text, aligned with the dataset's headers.
 BRONZE_SCHEMA = T.StructType([
-    T.StructField("file_name", T.StringType(), False),
-    T.StructField("source", T.StringType(), False),
-    T.StructField("file_ordinal", T.IntegerType(), False),
-    T.StructField("src_row", T.LongType(), False),
-    T.StructField("cells", T.MapType(T.StringType(), T.StringType()), False),
+    T.StructField("file_name", T.StringType(), True),     # dataset name
+    T.StructField("source", T.StringType(), True),        # inbox entry (workbooks: entry!sheet)
+    T.StructField("part", T.StringType(), True),          # physical file
+    T.StructField("src_row", T.LongType(), True),         # row order inside the part
+    T.StructField("cells", T.ArrayType(T.StringType()), True),
 ])
 
+# Dataset catalogue: one row per dataset.
 DATASET_SCHEMA = T.StructType([
-    T.StructField("file_name", T.StringType(), False),
-    T.StructField("source", T.StringType(), False),
-    T.StructField("file_ordinal", T.IntegerType(), False),
-    T.StructField("fmt", T.StringType(), False),
-    T.StructField("n_rows", T.LongType(), False),
-    T.StructField("headers", T.ArrayType(T.StringType()), False),
+    T.StructField("file_name", T.StringType(), True),
+    T.StructField("source", T.StringType(), True),
+    T.StructField("file_ordinal", T.IntegerType(), True),
+    T.StructField("fmt", T.StringType(), True),
+    T.StructField("sheet", T.StringType(), True),
+    T.StructField("n_rows", T.LongType(), True),
+    T.StructField("headers", T.ArrayType(T.StringType()), True),
+])
+
+# Non-blank data cells per (dataset, column position): the resolver's only data input.
+COUNTS_SCHEMA = T.StructType([
+    T.StructField("file_name", T.StringType(), True),
+    T.StructField("source", T.StringType(), True),
+    T.StructField("pos", T.IntegerType(), True),
+    T.StructField("n_non_blank", T.LongType(), True),
 ])
 
 MATCH_REPORT_SCHEMA = T.StructType([
