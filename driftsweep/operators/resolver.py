@@ -12,7 +12,8 @@ Plan shape (no Python, no per-file loop, no join of data against data):
   * the only data-sized step is the non-blank count, produced by the source in the same
     pass that profiles it: posexplode(cells) then a partial (map-side) aggregate per
     (dataset, column position), so each map task ships one row per column;
-  * everything after that works on (#datasets x #headers x #aliases) rows.
+  * the best header per alias is found once per distinct header list (files from one
+    template share it), then the decisions work on (#datasets x #aliases) rows.
 """
 
 from __future__ import annotations
@@ -61,13 +62,21 @@ def named_counts(headers: DataFrame, counts: DataFrame) -> DataFrame:
             .select(*KEY, "header", F.coalesce("n_non_blank", F.lit(0)).cast("long").alias("n_non_blank")))
 
 
-def best_headers(headers: DataFrame, scores: DataFrame) -> DataFrame:
-    """Best header per (dataset, target, alias): highest score, first column on ties."""
-    joined = headers.join(scores, "header")
+def best_headers(datasets: DataFrame, scores: DataFrame) -> DataFrame:
+    """Best header per (dataset, target, alias): highest score, first column on ties.
+
+    The answer depends only on the dataset's header list, and files exported from one
+    template share it, so the arg-max runs once per distinct header list (layout) and is
+    attached to the datasets by an equi-join on that list.
+    """
+    layouts = datasets.select("headers").distinct()
+    cols = layouts.select("headers", F.posexplode("headers").alias("pos", "header"))
+    joined = cols.join(scores, "header")
     best = F.max_by(F.struct("header", "pos", "score", "passes"),
                     F.struct(F.col("score"), -F.col("pos")))
-    return (joined.groupBy(*KEY, "target_no", "target", "alias_no", "alias")
-            .agg(best.alias("b"))
+    per_layout = (joined.groupBy("headers", "target_no", "target", "alias_no", "alias")
+                  .agg(best.alias("b")))
+    return (datasets.select(*KEY, "headers").join(per_layout, "headers")
             .select(*KEY, "target_no", "target", "alias_no", "alias",
                     F.col("b.header").alias("found"), F.col("b.pos").alias("found_pos"),
                     F.col("b.score").alias("score"), F.col("b.passes").alias("passes")))
@@ -113,7 +122,7 @@ def resolve(accepted_datasets: DataFrame, counts: DataFrame) -> dict[str, DataFr
     """
     headers = header_rows(accepted_datasets)
     scores = header_scores(headers)
-    best = best_headers(headers, scores)
+    best = best_headers(accepted_datasets, scores)
     report = match_report(best, counts)
     decisions = decide(report)
     mapping = mapping_table(decisions).join(accepted_datasets.select(*KEY, "file_ordinal"), KEY)
