@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from driftsweep.operators import harmonise
 from driftsweep.plans.medallion import Sweep
 from driftsweep.schema import TARGETS
-from driftsweep.sinks import tables
 from driftsweep.sources import csv_inbox
 
 
@@ -58,10 +57,9 @@ def start_sweep_stream(spark: SparkSession, inbox: str, out_dir: str, checkpoint
             sw = Sweep.from_csv_rows(spark, inbox, raw, width)
             rows = sw.silver_rows.withColumn("epoch", F.lit(epoch).cast("long"))
             rows = rows.persist()
-            rows.select("file_name", "epoch", *TARGETS).write.mode("append").parquet(f"{out_dir}/silver_rows")
-            harmonise.gold(rows).write.mode("append").parquet(f"{out_dir}/gold")
-            sw.status.withColumn("epoch", F.lit(epoch).cast("long")).drop("headers") \
-                .write.mode("append").parquet(f"{out_dir}/status")
+            _write_epoch(rows.select("file_name", "epoch", *TARGETS), f"{out_dir}/silver_rows")
+            _write_epoch(harmonise.gold(rows).withColumn("epoch", F.lit(epoch).cast("long")), f"{out_dir}/gold")
+            _write_epoch(sw.status.withColumn("epoch", F.lit(epoch).cast("long")).drop("headers"), f"{out_dir}/status")
             rows.unpersist()
         finally:
             raw.unpersist()
@@ -71,6 +69,12 @@ def start_sweep_stream(spark: SparkSession, inbox: str, out_dir: str, checkpoint
     return writer.start()
 
 
+def _write_epoch(df: DataFrame, path: str) -> None:
+    """Idempotent per micro-batch: a replayed epoch overwrites only its own partition."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy("epoch").parquet(path))
+
+
 def _wide_schema(width: int):
     from pyspark.sql import types as T
 
@@ -87,4 +91,6 @@ def run_available(spark: SparkSession, inbox: str, out_dir: str, checkpoint: str
 
 
 def read_stream_gold(spark: SparkSession, out_dir: str) -> DataFrame:
-    return tables.read_gold(spark, f"{out_dir}/gold")
+    from driftsweep.schema import GOLD_ORDER
+
+    return spark.read.parquet(f"{out_dir}/gold").select(*GOLD_ORDER)
