@@ -96,3 +96,18 @@ def test_oversized_workbook_quarantined_without_reading(spark, tmp_path):
     (tmp_path / "big.xlsx").write_bytes(_book())
     rows = workbook_rows(spark, str(tmp_path), max_bytes=10).collect()
     assert [(r.entry, r.error) for r in rows] == [("big.xlsx", "too_large")]
+
+
+def test_run_sweep_end_to_end(spark, tmp_path):
+    from driftsweep.plans.run import run_sweep
+
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    (inbox / "book.xlsx").write_bytes(_book())
+    (inbox / "plain.csv").write_text("FirstName,CID\nAnn,C1\nBob,C2\n")
+    (inbox / "empty.csv").write_text("")
+    out = str(tmp_path / "out")
+    first = run_sweep(spark, str(inbox), out, run_id="r1")
+    assert first == {"entries": 3, "errors": 1, "silver_rows": 5, "gold_rows": 5}
+    again = run_sweep(spark, str(inbox), out, run_id="r2")     # same files: idempotent
+    assert again["silver_rows"] == 5 and again["gold_rows"] == 5
