@@ -26,7 +26,7 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,6 +64,9 @@ def type_rank(entry):
     return r
 
 
+SMALL_MANIFEST = 200_000   # entries numbered by one window below this, distributed above
+
+
 def top_level_entries(spark: SparkSession, inbox: str) -> DataFrame:
     """Names of the inbox's top-level items (one directory listing, metadata only).
 
@@ -97,7 +100,9 @@ def manifest(spark: SparkSession, inbox: str) -> DataFrame:
     sized = (files.groupBy(entry.alias("entry"))
              .agg(F.count(F.lit(1)).alias("n_parts"), F.sum("length").alias("bytes"),
                   F.max("modificationTime").alias("modified")))
-    per_entry = (top_level_entries(spark, inbox).join(sized, "entry", "left")
+    listed = top_level_entries(spark, inbox)
+    n_listed = listed.count()   # local relation built from the listing: no job
+    per_entry = (listed.join(sized, "entry", "left")
                  .select("entry", F.coalesce("n_parts", F.lit(0)).alias("n_parts"),
                          F.coalesce("bytes", F.lit(0)).alias("bytes"), "modified"))
     allowed = F.exists(F.array(*[F.lit(e) for e in INBOX_EXTENSIONS]), lambda e: F.col("entry").endswith(e))
@@ -105,7 +110,12 @@ def manifest(spark: SparkSession, inbox: str) -> DataFrame:
     kind = F.when(ext == ".xls", "xls").when(ext == ".xlsx", "xlsx").when(ext == ".csv", "csv").otherwise("other")
     m = per_entry.select("*", allowed.alias("allowed"), ext.alias("ext"), kind.alias("kind"),
                          type_rank(F.col("entry")).alias("type_rank"))
-    ranked = with_dense_index(m.where(F.col("type_rank").isNotNull()), ["type_rank", "entry"], "file_ordinal")
+    typed = m.where(F.col("type_rank").isNotNull())
+    if n_listed <= SMALL_MANIFEST:
+        # bounded by the listing size checked above: one small window is cheapest
+        ranked = typed.withColumn("file_ordinal", F.row_number().over(Window.orderBy("type_rank", "entry")) - 1)
+    else:
+        ranked = with_dense_index(typed, ["type_rank", "entry"], "file_ordinal")
     ranked = ranked.withColumn("file_ordinal", (F.col("file_ordinal") + 1).cast("int"))
     return ranked.unionByName(m.where(F.col("type_rank").isNull()).withColumn("file_ordinal", F.lit(None).cast("int")))
 
