@@ -32,9 +32,9 @@ class Sweep:
 
     @classmethod
     def from_csv_inbox(cls, spark: SparkSession, inbox: str, width: int = csv_inbox.DEFAULT_WIDTH,
-                       multi_line: bool = True) -> "Sweep":
+                       multi_line: bool = True, split_bytes: int = csv_inbox.DEFAULT_SPLIT_BYTES) -> "Sweep":
         """Sweep of every CSV entry in an inbox folder (see sources.csv_inbox)."""
-        ci = csv_inbox.CsvInbox(spark, inbox, width, multi_line)
+        ci = csv_inbox.CsvInbox(spark, inbox, width, multi_line, split_bytes)
         man = csv_inbox.manifest(spark, inbox)
         raw = ci._scan(header=False)                     # one file index for both profile passes
         profile, _ = materialise_small(ci.profile(raw))  # hash aggregate; (#files x width) rows
@@ -61,7 +61,7 @@ class Sweep:
 
     @classmethod
     def from_inbox(cls, spark: SparkSession, inbox: str, width: int = csv_inbox.DEFAULT_WIDTH,
-                   multi_line: bool = True) -> "Sweep":
+                   multi_line: bool = True, split_bytes: int = csv_inbox.DEFAULT_SPLIT_BYTES) -> "Sweep":
         """Sweep of every CSV and workbook entry of an inbox folder.
 
         Workbooks are decoded once (``mapInArrow``) into the shared scratch folder; both
@@ -75,7 +75,7 @@ class Sweep:
         man = csv_inbox.manifest(spark, inbox)
         kinds = {r.kind: r.n for r in man.where("type_rank IS NOT NULL").groupBy("kind")
                  .agg(F.count(F.lit(1)).alias("n")).collect()}   # at most three rows
-        ci = csv_inbox.CsvInbox(spark, inbox, width, multi_line)
+        ci = csv_inbox.CsvInbox(spark, inbox, width, multi_line, split_bytes)
         parts, statuses, counts, bronzes = [], [], [], []
         if kinds.get("csv"):
             craw = ci._scan(header=False)

@@ -35,6 +35,7 @@ from driftsweep.operators.rowid import with_dense_index
 from driftsweep.schema import INBOX_EXTENSIONS
 
 DEFAULT_WIDTH = 128
+DEFAULT_SPLIT_BYTES = 512 * 1024 * 1024
 _TYPE_RANK = {".xlsx": 0, ".xls": 1, ".csv": 2}
 
 
@@ -154,8 +155,10 @@ def repair_headers(headers: pd.Series) -> pd.Series:
 class CsvInbox:
     """Probe + catalogue + bronze for every CSV entry of an inbox folder."""
 
-    def __init__(self, spark: SparkSession, inbox: str, width: int = DEFAULT_WIDTH, multi_line: bool = True):
+    def __init__(self, spark: SparkSession, inbox: str, width: int = DEFAULT_WIDTH, multi_line: bool = True,
+                 split_bytes: int = DEFAULT_SPLIT_BYTES):
         self.spark, self.inbox, self.width, self.multi_line = spark, inbox.rstrip("/"), width, multi_line
+        self.split_bytes = split_bytes
         self.root = qualified(spark, self.inbox)
         self.glob = f"{self.inbox}/*.csv"   # case-sensitive, like the original discovery
 
@@ -176,8 +179,21 @@ class CsvInbox:
                          F.array(*[F.col(f"_c{i}") for i in range(n_cols)]).alias("cells"))
 
     def _scan(self, header: bool, n_cols: int | None = None) -> DataFrame:
+        """All CSV rows. Files up to ``split_bytes`` are parsed whole (records may span
+        lines, one task per file); larger files are read splittably so that one big
+        source is spread over many tasks. The size test prunes files from each scan
+        (``_metadata.file_size`` filters are applied to the file listing)."""
         n_cols = self.width + 1 if n_cols is None else n_cols
-        return self.raw_rows(_reader(self.spark, n_cols - 1, header, self.multi_line).csv(self.glob), n_cols=n_cols)
+
+        def read(multi_line: bool) -> DataFrame:
+            return _reader(self.spark, n_cols - 1, header, multi_line).csv(self.glob)
+
+        if not self.multi_line:
+            return self.raw_rows(read(False), n_cols=n_cols)
+        size = F.col("_metadata.file_size")
+        whole = self.raw_rows(read(True).where(size <= self.split_bytes), n_cols=n_cols)
+        split = self.raw_rows(read(False).where(size > self.split_bytes), n_cols=n_cols)
+        return whole.unionByName(split)   # ids are unique per file, which is all that is used
 
     def profile(self, raw: DataFrame | None = None) -> DataFrame:
         """Pass 1: per (entry, part, field position) statistics; pos -1 counts records.

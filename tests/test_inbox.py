@@ -134,3 +134,21 @@ def test_resolver_invariant_under_row_order(spark, tmp_path):
     for r in d.collect():
         got.setdefault(r.file_name, {})[r.target] = (r.resolved, r.found, r.i_score, r.i_count, r.row_count)
     assert got["fwd"] == got["rev"]
+
+
+def test_large_files_read_splittably_small_files_whole(spark, tmp_path):
+    """Above split_bytes a file is split over tasks; below it quoted newlines still work."""
+    (tmp_path / "big.csv").write_text("FirstName,CID\n" + "".join(f"Nb{i:05d},C{i}\n" for i in range(800)))
+    (tmp_path / "small.csv").write_text('FirstName,CID\nAnn,"two\nlines"\nBob,C2\n')
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        sw = Sweep.from_csv_inbox(spark, str(tmp_path), split_bytes=1000)
+        big_runs = sw.bronze_rows().where("file_name = 'big'").select("_blk", "_pid").distinct().count()
+        rows = sw.silver.select("rowid", "file_name", "cid").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert big_runs > 3
+    rows.sort(key=lambda r: r.rowid)
+    assert [r.rowid for r in rows] == list(range(802))
+    assert [(r.file_name, r.cid) for r in rows] == [("big", f"C{i}") for i in range(800)] + [("small", "two\nlines"), ("small", "C2")]
