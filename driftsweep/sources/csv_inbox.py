@@ -16,7 +16,8 @@ by pass 1 survive the later join with the resolver mapping.
 
 Reader choices that mirror the tabular reader being replaced: header in row 0, every value
 text, quote ``"`` doubled to escape, blank lines skipped, one record may span lines
-(``multiLine``, one task per file; turn it off for splittable single-line files). Known
+(``multiLine``) in files up to ``split_bytes``; larger files are read splittably so that one
+big source is spread over many tasks (their records must not span lines). Known
 deviation: Spark does not report *trailing* empty fields, so a trailing empty header field
 does not become an ``Unnamed: i`` column and an empty extra trailing field is not overlong.
 """
