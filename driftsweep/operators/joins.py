@@ -1,4 +1,4 @@
-"""Join helpers with an explicit, checked broadcast decision."""
+"""Join helpers with an explicit, checked broadcast decision and a salted fallback."""
 
 from __future__ import annotations
 
@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 DEFAULT_BROADCAST_ROWS = 50_000
 CONF_KEY = "driftsweep.broadcast.maxRows"
+SALT_CONF_KEY = "driftsweep.join.salts"
+DEFAULT_SALTS = 32
 
 
 def broadcast_limit(df: DataFrame) -> int:
@@ -23,15 +25,29 @@ def materialise_small(df: DataFrame) -> tuple[DataFrame, int]:
     return saved, saved.count()
 
 
-def join_checked(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
-                 small_rows: int | None = None) -> DataFrame:
-    """Broadcast ``small`` only when its row count is under the configured bound.
+def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
+                salts: int | None = None, salt_from: list[str] | None = None) -> DataFrame:
+    """Shuffle join that spreads every key of ``big`` over ``salts`` partitions.
 
-    Above the bound the join is a shuffle join on ``on``; AQE's skew-join splitting handles
-    a hot key on the big side.
+    The salt is a hash of ``salt_from`` (deterministic, so retried tasks agree); ``small``
+    is replicated once per salt with ``explode(sequence(...))``. A key holding a third of
+    ``big`` is split ``salts`` ways instead of landing in one task.
     """
+    n = salts or int(big.sparkSession.conf.get(SALT_CONF_KEY, str(DEFAULT_SALTS)))
+    cols = salt_from or [c for c in big.columns if c not in on][:4]
+    b = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(n)).cast("int"))
+    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    return b.join(s, [*on, "_salt"], how).drop("_salt")
+
+
+def join_checked(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
+                 small_rows: int | None = None, max_rows: int | None = None,
+                 salt_from: list[str] | None = None) -> DataFrame:
+    """Broadcast ``small`` only when its row count is under the bound (``max_rows``, else
+    the ``driftsweep.broadcast.maxRows`` setting); above it, a salted shuffle join."""
     if small_rows is None:
         small, small_rows = materialise_small(small)
-    if small_rows <= broadcast_limit(big):
+    limit = broadcast_limit(big) if max_rows is None else max_rows
+    if small_rows <= limit:
         return big.join(F.broadcast(small), on, how)
-    return big.join(small, on, how)
+    return salted_join(big, small, on, how, salt_from=salt_from)

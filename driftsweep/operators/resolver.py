@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftsweep.functions.similarity import char_masks, indel_ratio, lcs_fast, passes_threshold
+from driftsweep.operators.joins import join_checked
 from driftsweep.schema import alias_rows
 
 KEY = ["file_name", "source"]
@@ -76,7 +77,9 @@ def best_headers(datasets: DataFrame, scores: DataFrame) -> DataFrame:
                     F.struct(F.col("score"), -F.col("pos")))
     per_layout = (joined.groupBy("headers", "target_no", "target", "alias_no", "alias")
                   .agg(best.alias("b")))
-    return (datasets.select(*KEY, "headers").join(per_layout, "headers")
+    # one layout may be shared by a third of all datasets: broadcast the per-layout answers
+    # after a row-count check (about 92 rows per layout), salted shuffle join beyond it
+    return (join_checked(datasets.select(*KEY, "headers"), per_layout, ["headers"], max_rows=500_000)
             .select(*KEY, "target_no", "target", "alias_no", "alias",
                     F.col("b.header").alias("found"), F.col("b.pos").alias("found_pos"),
                     F.col("b.score").alias("score"), F.col("b.passes").alias("passes")))
