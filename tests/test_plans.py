@@ -119,3 +119,21 @@ def test_salted_join_matches_plain_join(spark):
     plain = big.join(small, "k")
     assert salted.count() == plain.count() == 20000
     assert salted.exceptAll(plain).count() == 0
+
+
+def test_salted_fallback_gives_same_gold(spark):
+    from driftsweep.operators.joins import CONF_KEY
+
+    ref = Sweep.from_fixtures(spark, SF_SMALL).gold
+    n = ref.count()
+    spark.conf.set(CONF_KEY, "0")
+    try:
+        alt = Sweep.from_fixtures(spark, SF_SMALL)
+        got = alt.gold
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert got.count() == n and got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
+        rows = sorted(r.rowid for r in alt.silver.select("rowid").collect())
+        assert rows == list(range(n))
+    finally:
+        spark.conf.unset(CONF_KEY)
+    assert "_salt" in plan or "xxhash64" in plan
