@@ -105,8 +105,14 @@ BLANK_VALUES: list[str] = ["", " "]
 # Engine choices (ours, not the original's)
 # ---------------------------------------------------------------------------
 
-# Date forms accepted, tried in order; first that parses wins.
-DATE_FORMATS: list[str] = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "M/d/yyyy", "MMM d, yyyy", "yyyyMMdd"]
+# Date forms accepted, tried in order; first that parses wins. The first five are the
+# contract of FIXTURES.md §5; the rest are common export forms (workbook datetimes with
+# fractional seconds, US dates with a time, ISO with 'T').
+DATE_FORMATS: list[str] = [
+    "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "M/d/yyyy", "MMM d, yyyy", "yyyyMMdd",
+    "yyyy-MM-dd HH:mm:ss.SSSSSS", "yyyy-MM-dd'T'HH:mm:ss", "M/d/yyyy H:mm:ss", "M/d/yyyy H:mm",
+    "M/d/yyyy h:mm:ss a", "M/d/yyyy h:mm a",
+]
 NAT = "NaT"
 
 # Characters Python's str.isspace() accepts, as one Java regex class.

@@ -25,7 +25,9 @@ def in_list(values: list[str]) -> str:
 
 
 WS = PY_WHITESPACE_CLASS
-DUCK_DATE_FORMATS = "['%Y-%m-%d %H:%M:%S', '%Y-%m-%d', '%m/%d/%Y', '%b %d, %Y', '%Y%m%d']"
+DUCK_DATE_FORMATS = ("['%Y-%m-%d %H:%M:%S', '%Y-%m-%d', '%m/%d/%Y', '%b %d, %Y', '%Y%m%d', "
+                     "'%Y-%m-%d %H:%M:%S.%f', '%Y-%m-%dT%H:%M:%S', '%m/%d/%Y %H:%M:%S', '%m/%d/%Y %H:%M', "
+                     "'%m/%d/%Y %I:%M:%S %p', '%m/%d/%Y %I:%M %p']")
 
 # The fixture view of FIXTURES.md §2, unchanged.
 FX = """

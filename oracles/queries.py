@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from driftsweep.schema import DATE_TARGETS, NA_TOKENS, TARGETS
-from oracles.duck import chain, date_sql, in_list, lcs_sql, ratio_sql, silver_select
+from oracles.duck import DUCK_DATE_FORMATS, chain, date_sql, in_list, lcs_sql, ratio_sql, silver_select
 
 NAMES_FROM_PAGES = """names AS (
   SELECT page_id, url,
@@ -84,7 +84,7 @@ def sql() -> dict[str, str]:
         "date_normalise_mixed": f"WITH {MIXED_DATES} SELECT o_orderkey, raw, {date_sql('raw')} AS normalised FROM mixed",
         "date_reject_report": f"""WITH {MIXED_DATES} SELECT form,
               count(*) FILTER (WHERE {_nb('raw')}) AS n_values,
-              count(*) FILTER (WHERE {_nb('raw')} AND try_strptime(raw, ['%Y-%m-%d %H:%M:%S', '%Y-%m-%d', '%m/%d/%Y', '%b %d, %Y', '%Y%m%d']) IS NULL) AS n_rejects
+              count(*) FILTER (WHERE {_nb('raw')} AND try_strptime(raw, {DUCK_DATE_FORMATS}) IS NULL) AS n_rejects
             FROM mixed GROUP BY form""",
         "inbox_filter": f"""WITH {NAMES_FROM_PAGES} SELECT page_id, file,
               (suffix(file, '.xlsx') OR suffix(file, '.xls') OR suffix(file, '.csv')) AS allowed FROM names""",

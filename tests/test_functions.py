@@ -84,7 +84,10 @@ def test_fill_cid_vectors(spark):
 def test_date_vectors(spark):
     cases = [("2024-01-02", "2024-01-02"), ("20240102", "2024-01-02"), ("2024-01-02 03:04:05", "2024-01-02"),
              ("", "NaT"), (None, "NaT"), ("1/2/2024", "2024-01-02"), ("abc", "NaT"),
-             ("Jan 5, 2024", "2024-01-05"), ("13/02/2024", "NaT")]
+             ("Jan 5, 2024", "2024-01-05"), ("13/02/2024", "NaT"),
+             ("2024-01-02 03:04:05.123000", "2024-01-02"), ("2024-01-02T03:04:05", "2024-01-02"),
+             ("1/2/2024 3:04:05 PM", "2024-01-02"), ("12/31/2023 23:59", "2023-12-31"),
+             ("1/2/2024 13:04:05", "2024-01-02"), ("2024-01-02 03:04:05+01:00", "NaT")]
     df = spark.createDataFrame([(i, v) for i, (v, _) in enumerate(cases)], "i int, v string")
     got = {r.i: r.d for r in df.select("i", normalise_date(F.col("v")).alias("d")).collect()}
     assert got == {i: out for i, (_, out) in enumerate(cases)}
