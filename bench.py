@@ -14,7 +14,7 @@ import time
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
-HEADLINE = ["gold_harmonise", "resolver", "csv_sweep", "non_blank_counts", "silver_order"]
+HEADLINE = ["gold_harmonise", "resolver", "csv_sweep", "hot_sweep", "non_blank_counts", "silver_order"]
 
 
 def main() -> None:

@@ -18,10 +18,15 @@ ROW_ORDER = ["file_ordinal", "part", "src_row"]
 def project_targets(bronze: DataFrame, mapping: DataFrame, mapping_rows: int | None = None) -> DataFrame:
     """P1/P2/P3: every target from its resolved column ('' for an empty cell) or NULL when
     the dataset has no column for it. Datasets without any resolved target yield no rows."""
+    from driftsweep.operators.resolver import source_col
+
     j = join_checked(bronze, mapping, KEY, "inner", mapping_rows, salt_from=["part", "src_row"])
-    m, cells = F.col("mapping"), F.col("cells")
-    cols = [F.when(m[t].isNull(), F.lit(None).cast("string"))
-             .otherwise(F.coalesce(F.try_element_at(cells, m[t] + 1), F.lit(""))).alias(t) for t in TARGETS]
+    cells = F.col("cells")
+    cols = []
+    for t in TARGETS:
+        src = F.col(source_col(t))
+        cols.append(F.when(src.isNull(), F.lit(None).cast("string"))
+                     .otherwise(F.coalesce(F.try_element_at(cells, src + 1), F.lit(""))).alias(t))
     extra = [c for c in ("_blk", "_pid") if c in bronze.columns]
     return j.select(*LINEAGE, *extra, *cols)
 

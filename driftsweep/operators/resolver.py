@@ -108,19 +108,30 @@ def decide(report: DataFrame) -> DataFrame:
                     F.col("f.row_count").alias("row_count"), resolved.alias("resolved"))
 
 
+def source_col(target: str) -> str:
+    """Mapping column holding the source column position of ``target`` (NULL: unresolved)."""
+    return f"src_{target}"
+
+
 def mapping_table(decisions: DataFrame) -> DataFrame:
-    """One row per dataset with at least one resolved target: MAP<target, column position>.
+    """One row per dataset with at least one resolved target and one int column per
+    target: the position of its source column, NULL when unresolved.
 
-    The collected group is bounded by the number of targets (33), not by data.
+    Flat columns, not a map: a map lookup scans its keys, and the projection looks up all
+    33 targets for every data row. The aggregate is fixed-width (hash) and each group
+    holds at most 33 rows.
     """
-    return (decisions.where("resolved")
-            .groupBy(*KEY)
-            .agg(F.map_from_entries(F.collect_list(F.struct("target", "found_pos"))).alias("mapping")))
+    from driftsweep.schema import TARGETS
+
+    pos = [F.max(F.when(F.col("target") == t, F.col("found_pos"))).alias(source_col(t)) for t in TARGETS]
+    return decisions.where("resolved").groupBy(*KEY).agg(*pos)
 
 
 def resolve(accepted_datasets: DataFrame, counts: DataFrame) -> dict[str, DataFrame]:
     """Full resolver plan; returns the intermediate tables for reporting and tests.
 
+    ``mapping``: file_name, source, file_ordinal and one ``src_<target>`` column per target.
+
     ``counts``: (file_name, source, pos, n_non_blank) over the data rows of each dataset.
     """
     headers = header_rows(accepted_datasets)

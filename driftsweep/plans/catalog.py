@@ -270,6 +270,27 @@ def fixture_inbox(spark: SparkSession, sf: str, adversarial: bool = False) -> st
     return _INBOXES[key]
 
 
+def _hot_inbox(spark, sf):
+    key = (spark.sparkContext.applicationId, sf, "hot")
+    if key not in _INBOXES:
+        inbox = scratch_path(spark, "hot_inbox")
+        csv_inbox.write_fixture_inbox(spark, sf, inbox)
+        csv_inbox.write_lineitem_entry(spark, sf, inbox)
+        _INBOXES[key] = inbox
+    return _INBOXES[key]
+
+
+def hot_sweep(spark, sf):
+    """Gold from an inbox whose lineitem export holds most of the rows (many part files)."""
+    return Sweep.from_csv_inbox(spark, _hot_inbox(spark, sf)).gold
+
+
+def hot_lineage(spark, sf):
+    sw = Sweep.from_csv_inbox(spark, _hot_inbox(spark, sf))
+    return sw.silver.groupBy("file_name").agg(F.count(F.lit(1)).alias("n_rows"), F.min("rowid").alias("first_rowid"),
+                                              F.max("rowid").alias("last_rowid"))
+
+
 def csv_sweep(spark, sf):
     return Sweep.from_csv_inbox(spark, fixture_inbox(spark, sf)).gold
 
@@ -457,6 +478,8 @@ def registry() -> dict[str, Query]:
         "basename": basename_q,
         "run_stamp": run_stamp,
         "csv_sweep": csv_sweep,
+        "hot_sweep": hot_sweep,
+        "hot_lineage": hot_lineage,
         "csv_silver": csv_silver,
         "probe_status": probe_status,
         "route_good": route_good,

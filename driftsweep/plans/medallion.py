@@ -34,15 +34,24 @@ class Sweep:
     def from_csv_inbox(cls, spark: SparkSession, inbox: str, width: int = csv_inbox.DEFAULT_WIDTH,
                        multi_line: bool = True, split_bytes: int = csv_inbox.DEFAULT_SPLIT_BYTES) -> "Sweep":
         """Sweep of every CSV entry in an inbox folder (see sources.csv_inbox)."""
-        ci = csv_inbox.CsvInbox(spark, inbox, width, multi_line, split_bytes)
         man = csv_inbox.manifest(spark, inbox)
-        raw = ci._scan(header=False)                     # one file index for both profile passes
-        profile, _ = materialise_small(ci.profile(raw))  # hash aggregate; (#files x width) rows
-        headers, _ = materialise_small(ci.header_cells(raw, profile))
-        parts = ci.parts(profile, headers)
+        return cls._from_csv(spark, csv_inbox.CsvInbox(spark, inbox, width, multi_line, split_bytes), man)
+
+    @classmethod
+    def from_csv_files(cls, spark: SparkSession, inbox: str, paths: list[str],
+                       width: int = csv_inbox.DEFAULT_WIDTH) -> "Sweep":
+        """Sweep of an explicit list of CSV files of an inbox (e.g. one stream micro-batch)."""
+        ci = csv_inbox.CsvInbox(spark, inbox, width, paths=paths)
+        return cls._from_csv(spark, ci, None)
+
+    @classmethod
+    def _from_csv(cls, spark: SparkSession, ci, man) -> "Sweep":
+        profile, _ = materialise_small(ci.profile())     # hash aggregate; (#files x width) rows
+        parts = ci.parts(profile)
+        man = ci.entries_from_parts(parts) if man is None else man
         status = ci.status(man, parts)
         datasets = quality.last_write_wins(ci.datasets(status)).drop("sheet_no")
-        sw = cls(lambda w: ci.bronze(width=w), datasets, ci.counts(profile, headers, parts, datasets))
+        sw = cls(lambda w: ci.bronze(width=w), datasets, ci.counts(profile, datasets))
         sw.manifest, sw.status = man, status
         return sw
 
@@ -78,14 +87,12 @@ class Sweep:
         ci = csv_inbox.CsvInbox(spark, inbox, width, multi_line, split_bytes)
         parts, statuses, counts, bronzes = [], [], [], []
         if kinds.get("csv"):
-            craw = ci._scan(header=False)
-            cprof, _ = materialise_small(ci.profile(craw))
-            chead, _ = materialise_small(ci.header_cells(craw, cprof))
-            cparts = ci.parts(cprof, chead)
+            cprof, _ = materialise_small(ci.profile())
+            cparts = ci.parts(cprof)
             cstatus = ci.status(man, cparts)
             parts.append(ci.datasets(cstatus).withColumn("sheet_no", F.lit(0)).withColumn("header_text_ok", F.lit(True)))
             statuses.append(cstatus)
-            counts.append(lambda ds, p=cprof, h=chead, q=cparts: ci.counts(p, h, q, ds))
+            counts.append(lambda ds, p=cprof: ci.counts(p, ds))
             bronzes.append(lambda ds, w: ci.bronze(width=w))
         if kinds.get("xlsx") or kinds.get("xls"):
             rows_path = scratch_path(spark, "xlsx_rows")
@@ -96,8 +103,8 @@ class Sweep:
                 rows = spark.createDataFrame([], xlsx_inbox.ROWS_SCHEMA)
             xi = xlsx_inbox.XlsxInbox(spark, rows, width)
             raw = xi.raw()
-            xprof, _ = materialise_small(ci.profile(raw))
-            xhead, _ = materialise_small(ci.header_cells(raw, xprof))
+            xprof, _ = materialise_small(csv_inbox.profile_rows(raw))
+            xhead, _ = materialise_small(csv_inbox.header_cells_rows(raw, xprof))
             sheets = xi.sheets(xprof, xhead, raw)
             xstatus = xi.status(man, sheets)
             parts.append(xi.datasets(sheets, xstatus))
@@ -128,19 +135,6 @@ class Sweep:
         sw.manifest, sw.status = man, st
         return sw
 
-    @classmethod
-    def from_csv_rows(cls, spark: SparkSession, inbox: str, raw: DataFrame, width: int = csv_inbox.DEFAULT_WIDTH) -> "Sweep":
-        """Sweep of already-read CSV rows (header rows included), e.g. one stream micro-batch."""
-        ci = csv_inbox.CsvInbox(spark, inbox, width)
-        profile, _ = materialise_small(ci.profile(raw))
-        headers, _ = materialise_small(ci.header_cells(raw, profile))
-        parts = ci.parts(profile, headers)
-        status = ci.status(ci.entries_from_parts(parts), parts)
-        datasets = quality.last_write_wins(ci.datasets(status)).drop("sheet_no")
-        sw = cls(ci.bronze(raw, parts), datasets, ci.counts(profile, headers, parts, datasets))
-        sw.status = status
-        return sw
-
     @cached_property
     def gated(self) -> DataFrame:
         return quality.with_gates(self.datasets)
@@ -167,7 +161,10 @@ class Sweep:
         from pyspark.sql import functions as F
 
         m, _ = self._mapping
-        top = m.select(F.max(F.array_max(F.map_values("mapping"))).alias("p")).first().p
+        from driftsweep.operators.resolver import source_col
+        from driftsweep.schema import TARGETS
+
+        top = m.select(F.max(F.greatest(*[F.col(source_col(t)) for t in TARGETS])).alias("p")).first().p
         return 1 if top is None else int(top) + 1
 
     def bronze_rows(self) -> DataFrame:

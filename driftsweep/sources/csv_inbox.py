@@ -153,104 +153,221 @@ def repair_headers(headers: pd.Series) -> pd.Series:
     return headers.map(fix)
 
 
+# Commas outside double quotes (quote parity to the end of the text): exact CSV token
+# boundaries for a header line or a malformed record, with doubled quotes as escapes.
+_FIELD_SPLIT = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+_GLOB_CHARS = re.compile(r"([\[\]{}*?\\])")
+
+
+def _glob_escape(path: str) -> str:
+    return _GLOB_CHARS.sub(r"\\\1", path)
+
+
+def token_count(text) -> F.Column:
+    """Number of CSV fields in a line or record, trailing empty fields included."""
+    return F.size(F.split(text, _FIELD_SPLIT, -1))
+
+
+# ---- helpers for rows that still hold their header row (workbooks, stream micro-batches)
+
+
+def profile_rows(raw: DataFrame) -> DataFrame:
+    """Per (entry, part, field position) statistics over rows that include the header row;
+    pos -1 counts records. All buffers are fixed-width: a hash (not sort) aggregate.
+    ``first_mid`` is the smallest id among rows of the file's first split."""
+    marked = F.concat(F.array(F.lit("\u0001")), F.col("cells"))
+    x = (raw.select("entry", "part", "_blk", "mid", F.posexplode(marked).alias("p1", "value"))
+         .where(F.col("value").isNotNull()))
+    v = F.col("value")
+    return (x.groupBy("entry", "part", (F.col("p1") - 1).alias("pos"))
+            .agg(F.min(F.when(F.col("_blk") == 0, F.col("mid"))).alias("first_mid"),
+                 F.count(F.lit(1)).alias("n_present"),
+                 F.count_if(non_blank(na_to_null(v))).alias("n_non_blank"),
+                 F.count_if(v.contains("\ufffd")).alias("n_bad_text")))
+
+
+def header_cells_rows(raw: DataFrame, profile: DataFrame) -> DataFrame:
+    """(entry, part, pos, header_value) of every file's first row. ``raw`` must be the
+    DataFrame the profile came from (same ids); an equi-join on (part, id) with one row per
+    file keeps only header rows and pushes nothing into the scan."""
+    from driftsweep.operators.joins import join_checked
+
+    hdr = profile.where("pos = -1").select("part", F.col("first_mid").alias("mid"))
+    rows = join_checked(raw.select("entry", "part", "mid", "cells"), hdr, ["part", "mid"])
+    return (rows.select("entry", "part", F.posexplode("cells").alias("pos", "header_value"))
+            .where(F.col("header_value").isNotNull()))
+
+
+def parts_from_rows(profile: DataFrame, headers: DataFrame, max_width: int) -> DataFrame:
+    """Per file from a row profile: header list, record count, width and flags."""
+    rec = profile.where("pos = -1").select("entry", "part", F.col("first_mid").alias("hdr_mid"),
+                                           F.col("n_present").alias("n_records"))
+    f = profile.where("pos >= 0").join(rec, ["entry", "part"]).join(headers, ["entry", "part", "pos"], "left")
+    is_hdr = F.col("header_value").isNotNull()
+    raw_name = F.when(is_hdr, F.when(F.col("pos") == 0, F.regexp_replace("header_value", "^\ufeff", ""))
+                      .otherwise(F.col("header_value")))
+    g = f.groupBy("entry", "part", "hdr_mid", "n_records").agg(
+        F.max(F.when(is_hdr, F.col("pos"))).alias("last_hdr_pos"),
+        F.collect_list(F.struct("pos", raw_name.alias("name"), "n_present")).alias("cols"),
+        F.sum("n_bad_text").alias("n_bad_text"))
+    width = F.coalesce(F.col("last_hdr_pos") + 1, F.lit(0))
+    g = g.withColumn("name_map", F.map_from_entries(F.transform("cols", lambda c: F.struct(c["pos"], c["name"]))))
+    names = F.transform(F.sequence(F.lit(0), width - 1), lambda i: F.element_at(F.col("name_map"), i))
+    overlong = F.exists("cols", lambda c: (c["pos"] >= width) & (c["n_present"] > 0))
+    too_wide = F.exists("cols", lambda c: c["pos"] >= max_width)
+    return g.select("entry", "part", "hdr_mid", (F.col("n_records") - 1).alias("n_rows"), width.alias("width"),
+                    F.when(width > 0, repair_headers(names)).otherwise(F.array().cast("array<string>")).alias("headers"),
+                    overlong.alias("overlong"), too_wide.alias("too_wide"),
+                    (F.col("n_bad_text") > 0).alias("bad_text"))
+
+
+def counts_from_rows(profile: DataFrame, headers: DataFrame, parts_df: DataFrame, datasets_df: DataFrame,
+                     key: str = "entry") -> DataFrame:
+    """Non-blank data cells per (dataset, position), the header row's own cell removed."""
+    hdr = parts_df.select("entry", "part", "width")
+    p = profile.where("pos >= 0").join(hdr, ["entry", "part"]).join(headers, ["entry", "part", "pos"], "left")
+    own = F.when(non_blank(na_to_null(F.col("header_value"))), 1).otherwise(0)
+    c = (p.where(F.col("pos") < F.col("width"))
+         .groupBy(key, "pos").agg(F.sum(F.col("n_non_blank") - own).alias("n_non_blank")))
+    return (c.join(datasets_df.select("file_name", F.col("source").alias(key)), key)
+            .select("file_name", F.col(key).alias("source"), "pos", F.col("n_non_blank").cast("long")))
+
+
 class CsvInbox:
-    """Probe + catalogue + bronze for every CSV entry of an inbox folder."""
+    """Probe + catalogue + bronze for every CSV entry of an inbox folder.
+
+    Each file is parsed with exactly its own width: Spark's CSV reader handles a row whose
+    field count differs from the schema as a malformed record (an exception per row), so a
+    catch-all wide schema would make every row slow. Hence:
+
+    1. header lines from a ``text`` scan: the first non-empty line of each file's first
+       split (hash ``min(id)`` + equi-join on the same DataFrame); exact token counts give
+       the width, trailing empty fields included;
+    2. one CSV scan per distinct width over exactly the files of that width (few widths in
+       practice), ``header=true``; only genuinely short or overlong rows take the
+       malformed-record path, and ``_corrupt_record`` gives their true field count.
+    """
 
     def __init__(self, spark: SparkSession, inbox: str, width: int = DEFAULT_WIDTH, multi_line: bool = True,
-                 split_bytes: int = DEFAULT_SPLIT_BYTES):
+                 split_bytes: int = DEFAULT_SPLIT_BYTES, paths: list[str] | None = None):
         self.spark, self.inbox, self.width, self.multi_line = spark, inbox.rstrip("/"), width, multi_line
         self.split_bytes = split_bytes
         self.root = qualified(spark, self.inbox)
         self.glob = f"{self.inbox}/*.csv"   # case-sensitive, like the original discovery
+        self.sources = [_glob_escape(p) for p in paths] if paths else [self.glob]
+        self._headers: DataFrame | None = None
+        self._groups: list[tuple[int, list[str]]] | None = None
 
-    def raw_rows(self, df: DataFrame, path_col: str = "_metadata.file_path", n_cols: int | None = None,
-                 block_col: str = "_metadata.file_block_start") -> DataFrame:
-        """(entry, part, _blk, mid, _pid, cells) from a CSV read with the wide string schema.
-
-        File order of a row is (_blk, mid): the split's byte offset, then the scan id. Spark
-        may pack a file's later split into a lower-numbered partition, so ids alone do not
-        order a file. mid and _pid are taken at the scan: inside one (file, split,
-        partition) run the ids are consecutive (rowid.with_dense_index_by_runs).
-        """
-        part = F.col(path_col)
-        n_cols = self.width + 1 if n_cols is None else n_cols
-        return df.select(entry_of(part, self.root).alias("entry"), _decoded(part).alias("part"),
-                         F.col(block_col).alias("_blk"),
-                         F.monotonically_increasing_id().alias("mid"), F.spark_partition_id().alias("_pid"),
-                         F.array(*[F.col(f"_c{i}") for i in range(n_cols)]).alias("cells"))
-
-    def _scan(self, header: bool, n_cols: int | None = None) -> DataFrame:
-        """All CSV rows. Files up to ``split_bytes`` are parsed whole (records may span
-        lines, one task per file); larger files are read splittably so that one big
-        source is spread over many tasks. The size test prunes files from each scan
-        (``_metadata.file_size`` filters are applied to the file listing)."""
-        n_cols = self.width + 1 if n_cols is None else n_cols
+    # -- pass 0: header lines ---------------------------------------------------------------
+
+    def _text(self) -> DataFrame:
+        t = self.spark.read.text(self.sources)
+        part = F.col("_metadata.file_path")
+        return t.select(entry_of(part, self.root).alias("entry"), _decoded(part).alias("part"),
+                        F.col("_metadata.file_block_start").alias("_blk"),
+                        F.monotonically_increasing_id().alias("mid"), F.col("value").alias("line"))
+
+    def header_lines(self) -> DataFrame:
+        from driftsweep.operators.joins import join_checked
+
+        lines = self._text().where(F.length("line") > 0)          # blank lines are skipped
+        first = lines.where(F.col("_blk") == 0).groupBy("part").agg(F.min("mid").alias("mid"))
+        return join_checked(lines.select("entry", "part", "mid", "line"), first, ["part", "mid"]) \
+            .select("entry", "part", F.regexp_replace("line", "^\ufeff", "").alias("line"))
+
+    def file_headers(self) -> DataFrame:
+        """Per file: exact width and the repaired header list (materialised, one row per file)."""
+        if self._headers is None:
+            from driftsweep.operators.joins import materialise_small
+
+            h = self.header_lines().withColumn("n_tok", token_count(F.col("line")))
+            wide = ", ".join(f"_c{i} string" for i in range(self.width + 1))
+            parsed = F.from_csv(F.col("line"), wide, {"escape": '"', "mode": "PERMISSIVE"})
+            cells = F.array(*[parsed[f"_c{i}"] for i in range(self.width + 1)])
+            names = F.slice(cells, 1, F.least(F.col("n_tok"), F.lit(self.width)))
+            out = h.select("entry", "part", F.least(F.col("n_tok"), F.lit(self.width)).alias("width"),
+                           repair_headers(names).alias("headers"), (F.col("n_tok") > self.width).alias("too_wide"))
+            self._headers = materialise_small(out)[0]
+        return self._headers
+
+    def width_groups(self) -> list[tuple[int, list[str]]]:
+        """(width, files) for the distinct header widths (file list as Spark must read it)."""
+        if self._groups is None:
+            rows = self.file_headers().where(~F.col("too_wide")).select("width", "part").collect()
+            groups: dict[int, list[str]] = {}
+            for r in rows:
+                groups.setdefault(int(r.width), []).append(_glob_escape(r.part))
+            self._groups = sorted(groups.items())
+        return self._groups
+
+    # -- exact-width scans ----------------------------------------------------------------
+
+    def _scan_width(self, w: int, files: list[str]) -> DataFrame:
+        schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(w)]
+                              + [T.StructField("_corrupt_record", T.StringType())])
 
         def read(multi_line: bool) -> DataFrame:
-            return _reader(self.spark, n_cols - 1, header, multi_line).csv(self.glob)
+            return (self.spark.read.schema(schema).option("header", "true").option("enforceSchema", "true")
+                    .option("multiLine", str(multi_line).lower()).option("escape", '"')
+                    .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
+                    .csv(files))
+
+        def rows(df: DataFrame) -> DataFrame:
+            part = F.col("_metadata.file_path")
+            bad = F.col("_corrupt_record")
+            return df.select(entry_of(part, self.root).alias("entry"), _decoded(part).alias("part"),
+                             F.col("_metadata.file_block_start").alias("_blk"),
+                             F.monotonically_increasing_id().alias("mid"), F.spark_partition_id().alias("_pid"),
+                             F.array(*[F.col(f"_c{i}") for i in range(w)]).alias("cells"),
+                             F.when(bad.isNotNull(), token_count(bad)).alias("n_tok"))
 
-        if not self.multi_line:
-            return self.raw_rows(read(False), n_cols=n_cols)
         size = F.col("_metadata.file_size")
-        whole = self.raw_rows(read(True).where(size <= self.split_bytes), n_cols=n_cols)
-        split = self.raw_rows(read(False).where(size > self.split_bytes), n_cols=n_cols)
-        return whole.unionByName(split)   # ids are unique per file, which is all that is used
-
-    def profile(self, raw: DataFrame | None = None) -> DataFrame:
-        """Pass 1: per (entry, part, field position) statistics; pos -1 counts records.
-
-        Every aggregate buffer is fixed-width, so Spark runs a hash (not sort) partial
-        aggregate: each map task keeps one small row per (file, column). ``first_mid`` is
-        the smallest id among rows of the file's first split, i.e. the header row's id
-        wherever that row has a field at this position.
-        """
-        raw = self._scan(header=False) if raw is None else raw
+        if not self.multi_line:
+            return rows(read(False))
+        # small files whole (records may span lines); big files split over many tasks
+        return rows(read(True).where(size <= self.split_bytes)).unionByName(rows(read(False).where(size > self.split_bytes)))
+
+    def _scans(self, pad_to: int | None = None) -> DataFrame | None:
+        out = None
+        for w, files in self.width_groups():
+            df = self._scan_width(w, files)
+            if pad_to is not None:
+                n = min(pad_to, self.width)
+                pad = [F.lit(None).cast("string")] * max(0, n - w)
+                df = df.withColumn("cells", F.slice(F.concat(F.col("cells"), F.array(*pad)) if pad else F.col("cells"), 1, n))
+            out = df if out is None else out.unionByName(df)
+        return out
+
+    # -- pass 1: profile -------------------------------------------------------------------
+
+    def profile(self) -> DataFrame:
+        """Per (entry, part, pos) data-row statistics; pos -1 carries record counts and the
+        overlong test. One hash partial aggregate per scan, exploding real fields only."""
+        scans = self._scans()
+        if scans is None:
+            return self.spark.createDataFrame([], "entry string, part string, pos int, n_present bigint, "
+                                                  "n_non_blank bigint, n_bad_text bigint, n_overlong bigint")
         marked = F.concat(F.array(F.lit("\u0001")), F.col("cells"))
-        x = (raw.select("entry", "part", "_blk", "mid", F.posexplode(marked).alias("p1", "value"))
+        x = (scans.select("entry", "part", "n_tok", F.size("cells").alias("w"), F.posexplode(marked).alias("p1", "value"))
              .where(F.col("value").isNotNull()))
         v = F.col("value")
+        marker = F.col("p1") == 0
         return (x.groupBy("entry", "part", (F.col("p1") - 1).alias("pos"))
-                .agg(F.min(F.when(F.col("_blk") == 0, F.col("mid"))).alias("first_mid"),
-                     F.count(F.lit(1)).alias("n_present"),
-                     F.count_if(non_blank(na_to_null(v))).alias("n_non_blank"),
-                     F.count_if(v.contains("\ufffd")).alias("n_bad_text")))
-
-    def header_cells(self, raw: DataFrame, profile: DataFrame) -> DataFrame:
-        """(entry, part, pos, header_value): the header row of every file.
-
-        ``raw`` must be the same DataFrame the profile was computed from (same file index,
-        so the same ids). An equi-join on (part, id) with one row per file keeps only the
-        header rows; nothing is pushed into the scan, so its partitioning is unchanged.
-        """
-        from driftsweep.operators.joins import join_checked
-
-        hdr = profile.where("pos = -1").select("part", F.col("first_mid").alias("mid"))
-        rows = join_checked(raw.select("entry", "part", "mid", "cells"), hdr, ["part", "mid"])
-        return (rows.select("entry", "part", F.posexplode("cells").alias("pos", "header_value"))
-                .where(F.col("header_value").isNotNull()))
-
-    def parts(self, profile: DataFrame, headers: DataFrame) -> DataFrame:
-        """Per physical file: header list, record count, width, overlong/too-wide/decode flags."""
-        p = profile
-        rec = p.where("pos = -1").select("entry", "part", F.col("first_mid").alias("hdr_mid"),
-                                         F.col("n_present").alias("n_records"))
-        f = p.where("pos >= 0").join(rec, ["entry", "part"]).join(headers, ["entry", "part", "pos"], "left")
-        is_hdr = F.col("header_value").isNotNull()
-        raw_name = F.when(is_hdr, F.when(F.col("pos") == 0, F.regexp_replace("header_value", "^\ufeff", ""))
-                          .otherwise(F.col("header_value")))
-        g = f.groupBy("entry", "part", "hdr_mid", "n_records").agg(
-            F.max(F.when(is_hdr, F.col("pos"))).alias("last_hdr_pos"),
-            F.collect_list(F.struct("pos", raw_name.alias("name"), "n_present")).alias("cols"),
-            F.sum("n_bad_text").alias("n_bad_text"))
-        width = F.coalesce(F.col("last_hdr_pos") + 1, F.lit(0))
-        g = g.withColumn("name_map", F.map_from_entries(F.transform("cols", lambda c: F.struct(c["pos"], c["name"]))))
-        names = F.transform(F.sequence(F.lit(0), width - 1), lambda i: F.element_at(F.col("name_map"), i))
-        overlong = F.exists("cols", lambda c: (c["pos"] >= width) & (c["n_present"] > 0))
-        too_wide = F.exists("cols", lambda c: c["pos"] >= self.width)
-        return g.select("entry", "part", "hdr_mid", "n_records", width.alias("width"),
-                        F.when(width > 0, repair_headers(names)).otherwise(F.array().cast("array<string>")).alias("headers"),
-                        overlong.alias("overlong"), too_wide.alias("too_wide"),
-                        (F.col("n_bad_text") > 0).alias("bad_text"))
+                .agg(F.count(F.lit(1)).alias("n_present"),
+                     F.count_if(~marker & non_blank(na_to_null(v))).alias("n_non_blank"),
+                     F.count_if(v.contains("\ufffd")).alias("n_bad_text"),
+                     F.count_if(marker & (F.col("n_tok") > F.col("w"))).alias("n_overlong")))
+
+    def parts(self, profile: DataFrame) -> DataFrame:
+        """Per physical file: headers, data rows, width, overlong / too-wide / decode flags."""
+        h = self.file_headers()
+        per = profile.groupBy("entry", "part").agg(
+            F.max(F.when(F.col("pos") == -1, F.col("n_present"))).alias("n_rows"),
+            F.sum("n_overlong").alias("n_overlong"), F.sum("n_bad_text").alias("n_bad_text"))
+        return (h.join(per, ["entry", "part"], "left")
+                .select("entry", "part", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), "width", "headers",
+                        (F.coalesce("n_overlong", F.lit(0)) > 0).alias("overlong"), "too_wide",
+                        (F.coalesce("n_bad_text", F.lit(0)) > 0).alias("bad_text")))
 
     def entries_from_parts(self, parts_df: DataFrame) -> DataFrame:
         """Manifest rows for the entries seen in a stream micro-batch."""
@@ -264,7 +381,7 @@ class CsvInbox:
         per_entry = parts_df.groupBy("entry").agg(
             F.min_by("headers", "part").alias("headers"),
             F.count_distinct("headers").alias("n_header_sets"),
-            F.sum(F.col("n_records") - 1).alias("n_rows"),
+            F.sum("n_rows").alias("n_rows"),
             F.bool_or("overlong").alias("overlong"), F.bool_or("too_wide").alias("too_wide"),
             F.bool_or("bad_text").alias("bad_text"))
         csv = manifest_df.where((F.col("kind") == "csv") & F.col("entry").endswith(".csv"))
@@ -286,31 +403,20 @@ class CsvInbox:
                            F.lit(None).cast("string").alias("sheet"), F.col("n_rows").cast("long").alias("n_rows"),
                            "headers")
 
-    def counts(self, profile: DataFrame, headers: DataFrame, parts_df: DataFrame, datasets_df: DataFrame) -> DataFrame:
-        """Non-blank data cells per (dataset, position): the header row's own cell removed."""
-        hdr = parts_df.select("entry", "part", "width")
-        p = profile.where("pos >= 0").join(hdr, ["entry", "part"]).join(headers, ["entry", "part", "pos"], "left")
-        own = F.when(non_blank(na_to_null(F.col("header_value"))), 1).otherwise(0)
-        c = (p.where(F.col("pos") < F.col("width"))
-             .groupBy("entry", "pos").agg(F.sum(F.col("n_non_blank") - own).alias("n_non_blank")))
+    def counts(self, profile: DataFrame, datasets_df: DataFrame) -> DataFrame:
+        """Non-blank data cells per (dataset, position) (the scans hold data rows only)."""
+        c = profile.where("pos >= 0").groupBy("entry", "pos").agg(F.sum("n_non_blank").alias("n_non_blank"))
         return (c.join(datasets_df.select("file_name", F.col("source").alias("entry")), "entry")
                 .select("file_name", F.col("entry").alias("source"), "pos", F.col("n_non_blank").cast("long")))
 
-    def bronze(self, raw: DataFrame | None = None, parts_df: DataFrame | None = None,
-               width: int | None = None) -> DataFrame:
-        """Pass 2: data rows of every CSV entry.
-
-        Batch: a second scan with ``header=true`` (the reader drops each file's header row).
-        Stream: the micro-batch's rows were read once with their header rows; those are
-        removed by a join with the per-file header position (one row per file).
-        """
+    def bronze(self, width: int | None = None) -> DataFrame:
+        """Pass 2: data rows of every CSV entry, values padded to ``width`` positions."""
         width = self.width if width is None else min(width, self.width)
-        if raw is None:
-            rows = self._scan(header=True, n_cols=width)   # only the columns any mapping reads
-        else:
-            hdr = parts_df.select("part", "hdr_mid")
-            from driftsweep.operators.joins import join_checked
-            rows = join_checked(raw, hdr, ["part"]).where(F.col("mid") != F.col("hdr_mid"))
+        rows = self._scans(pad_to=width)
+        if rows is None:
+            from driftsweep.schema import BRONZE_SCHEMA
+
+            return self.spark.createDataFrame([], BRONZE_SCHEMA)
         cells = F.array(*[na_to_null(F.col("cells")[i]) for i in range(width)])
         return rows.select(dataset_name(F.col("entry"), F.lit(None).cast("string")).alias("file_name"),
                            F.col("entry").alias("source"), "part", F.col("mid").alias("src_row"),
@@ -345,9 +451,6 @@ def write_adversarial_entries(spark: SparkSession, sf_dir: str, inbox: str) -> s
     sup = table(spark, sf_dir, "supplier")
     s = lambda c: F.col(c).cast("string")
     entries = {
-        # header "s_name,s_acctbal," then some rows carry a third field
-        "overlong.csv": sup.select(F.col("s_name"), s("s_acctbal").alias("s_acctbal"),
-                                   F.when(F.col("s_suppkey") % 10 == 0, F.lit("extra")).alias("")),
         "narrow.csv": table(spark, sf_dir, "part").select(F.col("p_name").alias("FirstName")),
         "gate_fail.csv": sup.select(F.col("s_name").alias("foo"), s("s_acctbal").alias("bar")),
         "email_only.csv": table(spark, sf_dir, "customer").select(
@@ -362,5 +465,20 @@ def write_adversarial_entries(spark: SparkSession, sf_dir: str, inbox: str) -> s
     }
     for name, df in entries.items():
         df.write.mode("overwrite").option("header", "true").option("escape", '"').csv(f"{root}/{name}")
+    # header "s_name,s_acctbal"; some rows carry a third field (quoting off, so the comma
+    # inside the value splits it)
+    over = sup.select(F.col("s_name"), F.concat(s("s_acctbal"), F.when(F.col("s_suppkey") % 10 == 0, F.lit(",extra"))
+                                                .otherwise(F.lit(""))).alias("s_acctbal"))
+    over.write.mode("overwrite").option("header", "true").option("quote", "").csv(f"{root}/overlong.csv")
     sup.select("s_name").write.mode("overwrite").text(f"{root}/notes.txt")
     return inbox
+
+
+def write_lineitem_entry(spark: SparkSession, sf_dir: str, inbox: str) -> str:
+    """The large export (every lineitem row) as one CSV entry of many part files."""
+    from driftsweep.sources.fixtures import LINEITEM_LAYOUT, lineitem_rows
+
+    out = lineitem_rows(spark, sf_dir).select(*[F.col(c).alias(h) for h, c in LINEITEM_LAYOUT.columns])
+    (out.write.mode("overwrite").option("header", "true").option("escape", '"')
+        .csv(f"{inbox.rstrip('/')}/{LINEITEM_LAYOUT.source}"))
+    return inbox

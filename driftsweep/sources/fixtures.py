@@ -58,6 +58,28 @@ LAYOUTS: tuple[Layout, ...] = (
          "SoftBounce"], _COMBINED_COLS)),
 )
 
+# A large campaign export drawn from lineitem: one entry holding most rows of its inbox.
+LINEITEM_LAYOUT = Layout("lineitem", "lineitem.csv", None, "csv", (
+    ("Subscriber Key", "li_key"), ("campaign name", "li_campaign"), ("SENT", "li_sent"),
+    ("Created Date", "li_created"), ("CID", "li_cid"), ("Var 1", "li_var1"), ("HardBounce", "li_bounce"),
+))
+
+
+def lineitem_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every lineitem row as a text row of the large export."""
+    li = table(spark, sf_dir, "lineitem")
+    s = lambda c: F.col(c).cast("string")
+    return li.select(
+        F.concat(F.lit("L"), s("l_orderkey"), F.lit("-"), s("l_linenumber")).alias("li_key"),
+        F.concat(F.col("l_returnflag"), F.col("l_linestatus")).alias("li_campaign"),
+        s("l_quantity").alias("li_sent"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("li_created"),
+        s("l_partkey").alias("li_cid"),
+        s("l_suppkey").alias("li_var1"),
+        F.when(F.col("l_discount") > 0.05, F.date_format("l_shipdate", "M/d/yyyy")).alias("li_bounce"),
+    )
+
+
 _TYPE_RANK = {"xlsx": 0, "xls": 1, "csv": 2}
 
 

@@ -251,12 +251,11 @@ class XlsxInbox:
         self.errors = rows.where(F.col("error").isNotNull()).select("entry", "error").distinct()
 
     def raw(self) -> DataFrame:
-        """Rows in the shape of the CSV profile input: one 'part' per sheet; a row wider than
-        the schema keeps a non-null cell in the last slot so the sheet is flagged too wide."""
-        pad = F.array_repeat(F.lit(None).cast("string"), F.greatest(F.lit(0), F.lit(self.width + 1) - F.size("cells")))
-        cells = F.slice(F.concat(F.col("cells"), pad), 1, self.width + 1)
+        """Rows in the shape of the row-profile input: one 'part' per sheet, values as decoded
+        (no padding). A row wider than the limit keeps a marker in the last slot so the
+        sheet is flagged too wide."""
         cells = F.when(F.size("cells") > self.width + 1,
-                       F.concat(F.slice(cells, 1, self.width), F.array(F.lit("\u0001")))).otherwise(cells)
+                       F.concat(F.slice("cells", 1, self.width), F.array(F.lit("\u0001")))).otherwise(F.col("cells"))
         return self.rows.select("entry", F.concat_ws("!", "entry", F.col("sheet_no").cast("string")).alias("part"),
                                 "sheet_no", "sheet", F.lit(0).cast("long").alias("_blk"), F.col("seq").alias("mid"),
                                 F.spark_partition_id().alias("_pid"),
@@ -322,7 +321,7 @@ class XlsxInbox:
         hdr = sheets_df.select("part", "hdr_mid")
         rows = join_checked(raw, hdr, ["part"]).where(F.col("mid") != F.col("hdr_mid"))
         width = self.width if width is None else min(width, self.width)
-        cells = F.array(*[na_to_null(F.col("cells")[i]) for i in range(width)])
+        cells = F.array(*[na_to_null(F.try_element_at("cells", F.lit(i + 1))) for i in range(width)])
         names = datasets_df.select("file_name", F.col("source").alias("part"))
         return (join_checked(rows, names, ["part"])
                 .select("file_name", F.col("part").alias("source"), "part", F.col("mid").alias("src_row"),

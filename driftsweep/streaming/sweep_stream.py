@@ -6,9 +6,10 @@ inbox into an archive folder (done by a *later* micro-batch, so the folder is no
 the quarantine/manifest table is). Each micro-batch runs the batch plan in ``foreachBatch``:
 profile -> gates -> resolver -> silver rows -> gold, appended to parquet sinks.
 
-Every micro-batch is read once: its rows (header rows included) are persisted for the
-batch, profiled, then projected. Entries should be complete when they land in the inbox
-(write elsewhere, then move), so all parts of one entry arrive in the same micro-batch.
+The stream's own source is a cheap ``text`` read used only to learn which files arrived; a
+micro-batch (bounded by ``maxFilesPerTrigger``) then runs the batch sweep over exactly
+those files. Entries should be complete when they land in the inbox (write elsewhere, then
+move), so all parts of one entry arrive in the same micro-batch.
 """
 
 from __future__ import annotations
@@ -37,32 +38,29 @@ def start_sweep_stream(spark: SparkSession, inbox: str, out_dir: str, checkpoint
     Sinks under ``out_dir``: ``silver_rows`` (file_name, run epoch, the 33 targets),
     ``gold`` (the gold columns) and ``status`` (probe result per entry and epoch).
     """
-    ci = csv_inbox.CsvInbox(spark, inbox, width)
-    reader = (spark.readStream.schema(_wide_schema(width))
-              .option("header", "false").option("multiLine", "true").option("escape", '"')
-              .option("mode", "PERMISSIVE"))
+    # the file source only tells which files are new; each micro-batch then runs the batch
+    # sweep over exactly those files (header lines, exact-width CSV scans, resolver, silver)
+    reader = spark.readStream.format("text")
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     # the file path must be taken in the stream itself: a micro-batch has no _metadata
-    stream = reader.csv(f"{inbox.rstrip('/')}/*.csv").select(
-        "*", F.col("_metadata.file_path").alias("_file_path"), F.col("_metadata.file_block_start").alias("_file_blk"))
+    stream = reader.load(f"{inbox.rstrip('/')}/*.csv").select(F.col("_metadata.file_path").alias("_file_path"))
 
     def process(batch: DataFrame, epoch: int) -> None:
-        raw = ci.raw_rows(batch, "_file_path", block_col="_file_blk").persist()
+        # at most max_files_per_trigger paths
+        paths = [r.p for r in batch.select(csv_inbox._decoded(F.col("_file_path")).alias("p")).distinct().collect()]
+        if not paths:
+            return
+        sw = Sweep.from_csv_files(spark, inbox, sorted(paths), width)
+        rows = sw.silver_rows.withColumn("epoch", F.lit(epoch).cast("long")).persist()
         try:
-            if raw.isEmpty():
-                return
-            sw = Sweep.from_csv_rows(spark, inbox, raw, width)
-            rows = sw.silver_rows.withColumn("epoch", F.lit(epoch).cast("long"))
-            rows = rows.persist()
             _write_epoch(rows.select("file_name", "epoch", *TARGETS), f"{out_dir}/silver_rows")
             _write_epoch(harmonise.gold(rows).withColumn("epoch", F.lit(epoch).cast("long")), f"{out_dir}/gold")
             _write_epoch(sw.status.withColumn("epoch", F.lit(epoch).cast("long")).drop("headers"), f"{out_dir}/status")
-            rows.unpersist()
         finally:
-            raw.unpersist()
+            rows.unpersist()
 
     writer = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
@@ -75,12 +73,6 @@ def _write_epoch(df: DataFrame, path: str) -> None:
        .partitionBy("epoch").parquet(path))
 
 
-def _wide_schema(width: int):
-    from pyspark.sql import types as T
-
-    return T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width + 1)])
-
-
 def run_available(spark: SparkSession, inbox: str, out_dir: str, checkpoint: str, archive: str | None = None,
                   width: int = csv_inbox.DEFAULT_WIDTH) -> None:
     """Process everything currently in the inbox, then stop."""

@@ -69,13 +69,39 @@ LEFT JOIN ev ON ev.user_id = c.c_custkey)"""
 _FX_COLS = ["email", "first_name", "last_name", "state", "campaign", "sub_key", "cid", "var1", "var2",
             "created", "modified", "sent", "opens", "open_date", "clicks", "click_date", "hard_bounce"]
 
-
-def _layout_values() -> str:
-    ords = discover_ordinals()
+# The large lineitem export, as its text rows (src_row only needs to be unique per row).
+LX = """lx AS (
+  SELECT row_number() OVER () AS src_row, 'lineitem' AS file_name,
+         'L' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS li_key,
+         l_returnflag || l_linestatus AS li_campaign,
+         CAST(l_quantity AS VARCHAR) AS li_sent,
+         strftime(l_shipdate, '%Y-%m-%d') AS li_created,
+         CAST(l_partkey AS VARCHAR) AS li_cid,
+         CAST(l_suppkey AS VARCHAR) AS li_var1,
+         CASE WHEN l_discount > CAST(0.05 AS DOUBLE) THEN strftime(l_shipdate, '%-m/%-d/%Y') END AS li_bounce
+  FROM lineitem)"""
+_LX_COLS = ["li_key", "li_campaign", "li_sent", "li_created", "li_cid", "li_var1", "li_bounce"]
+
+
+def _layouts(hot: bool):
+    """(file_name, source, fmt, ordinal, columns) per dataset of the inbox being modelled."""
+    if not hot:
+        ords = discover_ordinals()
+        return [(l.file_name, l.source, l.fmt, ords[l.source], l.columns) for l in LAYOUTS]
+    from driftsweep.sources.fixtures import LINEITEM_LAYOUT
+
+    # the CSV inbox: every fixture dataset as <name>.csv plus the lineitem export
+    entries = [(l.file_name, l.source if l.fmt == "csv" else f"{l.file_name}.csv", l.columns) for l in LAYOUTS]
+    entries.append((LINEITEM_LAYOUT.file_name, LINEITEM_LAYOUT.source, LINEITEM_LAYOUT.columns))
+    order = {src: i + 1 for i, src in enumerate(sorted(e[1] for e in entries))}
+    return [(n, src, "csv", order[src], cols) for n, src, cols in entries]
+
+
+def _layout_values(hot: bool = False) -> str:
     rows = []
-    for l in LAYOUTS:
-        for pos, (h, c) in enumerate(l.columns):
-            rows.append(f"({q(l.file_name)}, {q(l.source)}, {q(l.fmt)}, {ords[l.source]}, {pos}, {q(h)}, {q(c)})")
+    for name, src, fmt, ordinal, cols in _layouts(hot):
+        for pos, (h, c) in enumerate(cols):
+            rows.append(f"({q(name)}, {q(src)}, {q(fmt)}, {ordinal}, {pos}, {q(h)}, {q(c)})")
     return ",\n  ".join(rows)
 
 
@@ -108,11 +134,11 @@ def strip_sql(x: str) -> str:
     return f"regexp_replace({x}, '^{WS}+|{WS}+$', '', 'g')"
 
 
-def _raw_value_case() -> str:
-    return "CASE l.col " + " ".join(f"WHEN {q(c)} THEN fx.{c}" for c in _FX_COLS) + " END"
+def _raw_value_case(alias: str = "fx", cols: list[str] = _FX_COLS) -> str:
+    return "CASE l.col " + " ".join(f"WHEN {q(c)} THEN {alias}.{c}" for c in cols) + " END"
 
 
-def chain() -> str:
+def chain(hot: bool = False) -> str:
     """All CTEs from the driver tables to gold. Every query selects from one of them."""
     targets_pivot = ",\n    ".join(f"max(v) FILTER (WHERE target = {q(t)}) AS {t}" for t in TARGETS)
     date_cols = ", ".join(f"{date_sql(t)} AS {t}" for t in DATE_TARGETS)
@@ -128,12 +154,18 @@ def chain() -> str:
             gold_cols.append(f"(CASE WHEN {c} LIKE 'NaT' THEN NULL ELSE {c} END) AS {c}")
         else:
             gold_cols.append(c)
-    return f"""WITH {FX},
+    lx_cte = f",\n{LX}" if hot else ""
+    lx_raw = (f"""
+  UNION ALL
+  SELECT lx.src_row, l.file_name, l.source, l.fmt, l.file_ordinal, l.pos, l.header, {_raw_value_case('lx', _LX_COLS)} AS v
+  FROM lx JOIN layout l ON l.file_name = lx.file_name""" if hot else "")
+    lx_rows = "\n    UNION ALL SELECT file_name, count(*) FROM lx GROUP BY file_name" if hot else ""
+    return f"""WITH {FX}{lx_cte},
 layout(file_name, source, fmt, file_ordinal, pos, header, col) AS (VALUES
-  {_layout_values()}),
+  {_layout_values(hot)}),
 raw AS (
   SELECT fx.src_row, l.file_name, l.source, l.fmt, l.file_ordinal, l.pos, l.header, {_raw_value_case()} AS v
-  FROM fx JOIN layout l ON l.file_name = fx.file_name),
+  FROM fx JOIN layout l ON l.file_name = fx.file_name{lx_raw}),
 cells AS (
   SELECT src_row, file_name, source, fmt, file_ordinal, pos, header,
          CASE WHEN v IN {in_list(NA_TOKENS)} THEN NULL ELSE v END AS value
@@ -141,7 +173,7 @@ cells AS (
 ds AS (
   SELECT l.file_name, l.source, l.fmt, l.file_ordinal, count(DISTINCT l.pos) AS n_cols,
          coalesce(max(r.n_rows), 0) AS n_rows
-  FROM layout l LEFT JOIN (SELECT file_name, count(*) AS n_rows FROM fx GROUP BY file_name) r USING (file_name)
+  FROM layout l LEFT JOIN (SELECT file_name, count(*) AS n_rows FROM fx GROUP BY file_name{lx_rows}) r USING (file_name)
   GROUP BY ALL),
 partials(p) AS (VALUES {", ".join(f"({q(p)})" for p in PARTIAL_NAMES)}),
 gates AS (

@@ -121,6 +121,9 @@ def sql() -> dict[str, str]:
         ranked AS (SELECT *, CAST(row_number() OVER (ORDER BY entry) AS INTEGER) AS file_ordinal FROM ents)"""
     out.update({
         "csv_sweep": f"{c} SELECT * FROM gold",
+        "hot_sweep": f"{chain(hot=True)} SELECT * FROM gold",
+        "hot_lineage": f"""{chain(hot=True)} SELECT file_name, count(*) AS n_rows, min(rowid) AS first_rowid,
+                                                  max(rowid) AS last_rowid FROM silver GROUP BY file_name""",
         "csv_silver": f"{c} SELECT file_name, {t} FROM filled",
         "probe_status": f"{entries} SELECT entry, status, reason, n_rows FROM ents",
         "route_good": f"{entries} SELECT entry, file_ordinal FROM ranked WHERE status = 'good'",

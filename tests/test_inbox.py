@@ -23,6 +23,8 @@ FILES = {
     "na.csv": "FirstName,CID,Var1\nN/A,C1, NA\nnull,C2,NA\n",
     "notes.txt": "not a sheet\n",
     "SHOUT.CSV": "FirstName,CID\nA,1\nB,2\n",
+    "trail.csv": "FirstName,CID,\nAnn,C1,\nBob,C2,\n",
+    "trail_bad.csv": "FirstName,CID\nAnn,C1,\nBob,C2\n",
 }
 
 
@@ -42,6 +44,8 @@ def _silver(sweep, name):
 def test_probe_routes(sweep):
     st = {r.entry: (r.status, r.reason) for r in sweep.status.collect()}
     assert st["overlong.csv"] == ("error", "overlong")
+    assert st["trail_bad.csv"] == ("error", "overlong")   # an empty extra field still counts
+    assert st["trail.csv"] == ("good", None)
     assert st["empty.csv"] == ("error", "empty")
     assert st["canon.csv" if "canon.csv" in st else "gate_fail.csv"][0] == "good"
     assert "notes.txt" not in st and "SHOUT.CSV" not in st   # not discovered (case-sensitive glob)
@@ -76,6 +80,7 @@ def test_all_blank_column_quirk(sweep):
 def test_header_repair_and_quoting(sweep):
     hdr = {r.file_name: r.headers for r in sweep.datasets.collect()}
     assert hdr["dup"] == ["FirstName", "FirstName.1", "Unnamed: 2", "CID"]
+    assert hdr["trail"] == ["FirstName", "CID", "Unnamed: 2"]   # trailing empty header field
     q = _silver(sweep, "quoted")
     assert [r["cid"] for r in q] == ["Smith, Ann", 'say "hi"', "multi\nline"]
     d = _silver(sweep, "dup")
