@@ -35,7 +35,7 @@ from driftsweep.functions.text import dataset_name, extension, na_to_null, non_b
 from driftsweep.operators.rowid import with_dense_index
 from driftsweep.schema import INBOX_EXTENSIONS
 
-DEFAULT_WIDTH = 128
+DEFAULT_WIDTH = 1024   # widest header accepted (each file is read at its own width)
 DEFAULT_SPLIT_BYTES = 512 * 1024 * 1024
 _TYPE_RANK = {".xlsx": 0, ".xls": 1, ".csv": 2}
 
@@ -163,6 +163,13 @@ def _glob_escape(path: str) -> str:
     return _GLOB_CHARS.sub(r"\\\1", path)
 
 
+def _unquote(tok):
+    """A CSV token as text: surrounding quotes removed, doubled quotes undone."""
+    quoted = tok.startswith('"') & tok.endswith('"') & (F.length(tok) >= 2)
+    inner = F.regexp_replace(tok, '^"|"$', "")
+    return F.when(quoted, F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(tok)
+
+
 def token_count(text) -> F.Column:
     """Number of CSV fields in a line or record, trailing empty fields included."""
     return F.size(F.split(text, _FIELD_SPLIT, -1))
@@ -280,11 +287,9 @@ class CsvInbox:
         if self._headers is None:
             from driftsweep.operators.joins import materialise_small
 
-            h = self.header_lines().withColumn("n_tok", token_count(F.col("line")))
-            wide = ", ".join(f"_c{i} string" for i in range(self.width + 1))
-            parsed = F.from_csv(F.col("line"), wide, {"escape": '"', "mode": "PERMISSIVE"})
-            cells = F.array(*[parsed[f"_c{i}"] for i in range(self.width + 1)])
-            names = F.slice(cells, 1, F.least(F.col("n_tok"), F.lit(self.width)))
+            h = self.header_lines().withColumn("tokens", F.split(F.col("line"), _FIELD_SPLIT, -1))
+            h = h.withColumn("n_tok", F.size("tokens"))
+            names = F.slice(F.transform("tokens", _unquote), 1, F.least(F.col("n_tok"), F.lit(self.width)))
             out = h.select("entry", "part", F.least(F.col("n_tok"), F.lit(self.width)).alias("width"),
                            repair_headers(names).alias("headers"), (F.col("n_tok") > self.width).alias("too_wide"))
             self._headers = materialise_small(out)[0]

@@ -25,6 +25,7 @@ FILES = {
     "SHOUT.CSV": "FirstName,CID\nA,1\nB,2\n",
     "trail.csv": "FirstName,CID,\nAnn,C1,\nBob,C2,\n",
     "trail_bad.csv": "FirstName,CID\nAnn,C1,\nBob,C2\n",
+    "qhead.csv": '"First, Name","C""ID"\nAnn,C1\nBob,C2\n',
 }
 
 
@@ -81,6 +82,7 @@ def test_header_repair_and_quoting(sweep):
     hdr = {r.file_name: r.headers for r in sweep.datasets.collect()}
     assert hdr["dup"] == ["FirstName", "FirstName.1", "Unnamed: 2", "CID"]
     assert hdr["trail"] == ["FirstName", "CID", "Unnamed: 2"]   # trailing empty header field
+    assert hdr["qhead"] == ["First, Name", 'C"ID']             # quoted header names
     q = _silver(sweep, "quoted")
     assert [r["cid"] for r in q] == ["Smith, Ann", 'say "hi"', "multi\nline"]
     d = _silver(sweep, "dup")
