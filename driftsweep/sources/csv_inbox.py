@@ -122,16 +122,6 @@ def manifest(spark: SparkSession, inbox: str) -> DataFrame:
     return ranked.unionByName(m.where(F.col("type_rank").isNull()).withColumn("file_ordinal", F.lit(None).cast("int")))
 
 
-def _reader(spark: SparkSession, width: int, header: bool, multi_line: bool):
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width + 1)])
-    return (spark.read.schema(schema)
-            .option("header", str(header).lower())
-            .option("enforceSchema", "true")
-            .option("multiLine", str(multi_line).lower())
-            .option("escape", '"')
-            .option("mode", "PERMISSIVE"))
-
-
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def repair_headers(headers: pd.Series) -> pd.Series:
     """Reader header rules: blank -> 'Unnamed: i'; repeated names get '.k' suffixes.
@@ -175,7 +165,7 @@ def token_count(text) -> F.Column:
     return F.size(F.split(text, _FIELD_SPLIT, -1))
 
 
-# ---- helpers for rows that still hold their header row (workbooks, stream micro-batches)
+# ---- helpers for rows that still hold their header row (decoded workbook sheets)
 
 
 def profile_rows(raw: DataFrame) -> DataFrame:
@@ -205,41 +195,6 @@ def header_cells_rows(raw: DataFrame, profile: DataFrame) -> DataFrame:
             .where(F.col("header_value").isNotNull()))
 
 
-def parts_from_rows(profile: DataFrame, headers: DataFrame, max_width: int) -> DataFrame:
-    """Per file from a row profile: header list, record count, width and flags."""
-    rec = profile.where("pos = -1").select("entry", "part", F.col("first_mid").alias("hdr_mid"),
-                                           F.col("n_present").alias("n_records"))
-    f = profile.where("pos >= 0").join(rec, ["entry", "part"]).join(headers, ["entry", "part", "pos"], "left")
-    is_hdr = F.col("header_value").isNotNull()
-    raw_name = F.when(is_hdr, F.when(F.col("pos") == 0, F.regexp_replace("header_value", "^\ufeff", ""))
-                      .otherwise(F.col("header_value")))
-    g = f.groupBy("entry", "part", "hdr_mid", "n_records").agg(
-        F.max(F.when(is_hdr, F.col("pos"))).alias("last_hdr_pos"),
-        F.collect_list(F.struct("pos", raw_name.alias("name"), "n_present")).alias("cols"),
-        F.sum("n_bad_text").alias("n_bad_text"))
-    width = F.coalesce(F.col("last_hdr_pos") + 1, F.lit(0))
-    g = g.withColumn("name_map", F.map_from_entries(F.transform("cols", lambda c: F.struct(c["pos"], c["name"]))))
-    names = F.transform(F.sequence(F.lit(0), width - 1), lambda i: F.element_at(F.col("name_map"), i))
-    overlong = F.exists("cols", lambda c: (c["pos"] >= width) & (c["n_present"] > 0))
-    too_wide = F.exists("cols", lambda c: c["pos"] >= max_width)
-    return g.select("entry", "part", "hdr_mid", (F.col("n_records") - 1).alias("n_rows"), width.alias("width"),
-                    F.when(width > 0, repair_headers(names)).otherwise(F.array().cast("array<string>")).alias("headers"),
-                    overlong.alias("overlong"), too_wide.alias("too_wide"),
-                    (F.col("n_bad_text") > 0).alias("bad_text"))
-
-
-def counts_from_rows(profile: DataFrame, headers: DataFrame, parts_df: DataFrame, datasets_df: DataFrame,
-                     key: str = "entry") -> DataFrame:
-    """Non-blank data cells per (dataset, position), the header row's own cell removed."""
-    hdr = parts_df.select("entry", "part", "width")
-    p = profile.where("pos >= 0").join(hdr, ["entry", "part"]).join(headers, ["entry", "part", "pos"], "left")
-    own = F.when(non_blank(na_to_null(F.col("header_value"))), 1).otherwise(0)
-    c = (p.where(F.col("pos") < F.col("width"))
-         .groupBy(key, "pos").agg(F.sum(F.col("n_non_blank") - own).alias("n_non_blank")))
-    return (c.join(datasets_df.select("file_name", F.col("source").alias(key)), key)
-            .select("file_name", F.col(key).alias("source"), "pos", F.col("n_non_blank").cast("long")))
-
-
 class CsvInbox:
     """Probe + catalogue + bronze for every CSV entry of an inbox folder.
 
