@@ -159,3 +159,11 @@ def test_large_files_read_splittably_small_files_whole(spark, tmp_path):
     rows.sort(key=lambda r: r.rowid)
     assert [r.rowid for r in rows] == list(range(802))
     assert [(r.file_name, r.cid) for r in rows] == [("big", f"C{i}") for i in range(800)] + [("small", "two\nlines"), ("small", "C2")]
+
+
+def test_csv_silver_plan_has_no_shuffle(sweep):
+    """Projection + dense rowid over the data: broadcast joins only, no shuffle exchange."""
+    plan = sweep.silver._jdf.queryExecution().executedPlan().toString()
+    shuffles = [l for l in plan.splitlines() if "Exchange" in l and "BroadcastExchange" not in l]
+    assert shuffles == [], shuffles
+    assert "FileScan csv" in plan and "BroadcastHashJoin" in plan
