@@ -21,7 +21,7 @@ from driftsweep.operators.rowid import with_dense_index
 from driftsweep.plans.medallion import Sweep
 from driftsweep.schema import DATE_TARGETS, INBOX_EXTENSIONS, NA_TOKENS, SILVER_ORDER, TARGETS
 from driftsweep.sinks import tables
-from driftsweep.session import scratch_path
+from driftsweep.session import app_id, scratch_path
 from driftsweep.sources import csv_inbox, fixtures
 from driftsweep.sources.fixtures import table
 from driftsweep.streaming import sweep_stream
@@ -260,7 +260,7 @@ _INBOXES: dict[tuple[str, str, bool], str] = {}
 def fixture_inbox(spark: SparkSession, sf: str, adversarial: bool = False) -> str:
     """Write (once per session and scale) the fixture datasets as CSV entries, optionally
     with the adversarial entries, into the shared scratch folder."""
-    key = (spark.sparkContext.applicationId, sf, adversarial)
+    key = (app_id(spark), sf, adversarial)
     if key not in _INBOXES:
         inbox = scratch_path(spark, "inbox")
         csv_inbox.write_fixture_inbox(spark, sf, inbox)
@@ -271,7 +271,7 @@ def fixture_inbox(spark: SparkSession, sf: str, adversarial: bool = False) -> st
 
 
 def _hot_inbox(spark, sf):
-    key = (spark.sparkContext.applicationId, sf, "hot")
+    key = (app_id(spark), sf, "hot")
     if key not in _INBOXES:
         inbox = scratch_path(spark, "hot_inbox")
         csv_inbox.write_fixture_inbox(spark, sf, inbox)
@@ -340,7 +340,7 @@ def csv_lineage(spark, sf):
 
 
 def _silver_written(spark, sf):
-    key = (spark.sparkContext.applicationId, sf, "silver")
+    key = (app_id(spark), sf, "silver")
     if key not in _INBOXES:
         path = scratch_path(spark, "silver")
         tables.append_silver(Sweep.from_fixtures(spark, sf).silver, path)
@@ -362,7 +362,7 @@ def partition_read(spark, sf):
 
 def silver_table(spark, sf):
     """Create the silver table by DDL (external, in the scratch folder), append, read back."""
-    name = "silver_" + spark.sparkContext.applicationId.replace("-", "_").replace(".", "_")
+    name = "silver_" + app_id(spark).replace("-", "_").replace(".", "_")
     tables.drop_table(spark, name)
     tables.create_silver_table(spark, name, scratch_path(spark, "silver_tbl"))
     tables.append_silver(Sweep.from_fixtures(spark, sf).silver, table=name)
@@ -379,7 +379,7 @@ def gold_compact(spark, sf):
 
 
 def _stream_out(spark, sf):
-    key = (spark.sparkContext.applicationId, sf, "stream")
+    key = (app_id(spark), sf, "stream")
     if key not in _INBOXES:
         inbox = scratch_path(spark, "stream_inbox")
         csv_inbox.write_fixture_inbox(spark, sf, inbox)
@@ -403,7 +403,7 @@ def stream_gold(spark, sf):
 
 
 def _mixed_inbox(spark, sf):
-    key = (spark.sparkContext.applicationId, sf, "mixed")
+    key = (app_id(spark), sf, "mixed")
     if key not in _INBOXES:
         from driftsweep.sources.xlsx_writer import write_fixture_workbooks
 

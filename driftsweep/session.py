@@ -35,7 +35,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     Only when the setting is absent (local runs, tests) is a private folder created.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (remote session: no SparkContext in this process)
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            configured = tempfile.mkdtemp(prefix="driftsweep-ckpt-", dir="/tmp")
+            spark.conf.set("spark.checkpoint.dir", configured)
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -46,6 +53,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def app_id(spark: SparkSession) -> str:
+    """Identifier of the running application (memo keys for tables written once per run)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location for written intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

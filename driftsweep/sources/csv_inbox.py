@@ -42,10 +42,17 @@ _TYPE_RANK = {".xlsx": 0, ".xls": 1, ".csv": 2}
 
 def qualified(spark: SparkSession, path: str) -> str:
     """Fully qualified form of a folder path, as Spark reports file paths."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.makeQualified(p).toString().rstrip("/")
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return fs.makeQualified(p).toString().rstrip("/")
+    except Exception:  # noqa: BLE001  (remote session: qualify by rule)
+        import os
+
+        if re.match(r"^[A-Za-z][A-Za-z0-9+.-]*:", path):
+            return path.rstrip("/")
+        return "file:" + os.path.abspath(path).rstrip("/")
 
 
 def _decoded(path_col):
@@ -75,16 +82,21 @@ def top_level_entries(spark: SparkSession, inbox: str) -> DataFrame:
     Needed because Spark's file scans skip zero-byte files, which must still be reported
     (and quarantined) as empty.
     """
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(inbox)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    it = fs.listStatusIterator(p)
     names = []
-    while it.hasNext():
-        st = it.next()
-        name = st.getPath().getName()
-        if not name.startswith((".", "_")):
-            names.append((name, bool(st.isDirectory())))
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(inbox)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        it = fs.listStatusIterator(p)
+        while it.hasNext():
+            st = it.next()
+            names.append((st.getPath().getName(), bool(st.isDirectory())))
+    except Exception:  # noqa: BLE001  (remote session: list a locally mounted folder)
+        import os
+
+        local = inbox[len("file:"):] if inbox.startswith("file:") else inbox
+        names = [(n, os.path.isdir(os.path.join(local, n))) for n in os.listdir(local)]
+    names = [(n, d) for n, d in names if not n.startswith((".", "_"))]
     return spark.createDataFrame(names, "entry string, is_dir boolean")
 
 

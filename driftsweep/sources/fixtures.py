@@ -211,9 +211,9 @@ def persisted_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fixture bronze written once (per application and scale) as a parquet table in
     the shared scratch folder, then read back: both sweep passes (profile, projection)
     read data at rest instead of recomputing the fixture joins."""
-    from driftsweep.session import scratch_path
+    from driftsweep.session import app_id, scratch_path
 
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (app_id(spark), sf_dir)
     if key not in _PERSISTED:
         path = scratch_path(spark, "fixture_bronze")
         fixture_bronze(spark, sf_dir).write.parquet(path)
