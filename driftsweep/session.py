@@ -26,8 +26,7 @@ def local_session(cores: int | str = "*", app: str = "driftsweep", extra: dict |
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
-    return spark
+    return prepare(spark)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -65,3 +64,35 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location for written intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``driftsweep`` importable in Python workers (header repair, workbook decoding).
+
+    Spark's own mechanism, as ``--py-files`` does: the package is zipped once on the driver
+    and added with ``addPyFile``, which serves it to every executor. Idempotent.
+    """
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (remote session: the server side provides the package)
+        return
+    if getattr(sc, "_driftsweep_shipped", False):
+        return
+    import os
+    import shutil
+
+    import driftsweep
+
+    pkg_dir = os.path.dirname(os.path.abspath(driftsweep.__file__))
+    out = tempfile.mkdtemp(prefix="driftsweep-pyfiles-")
+    archive = shutil.make_archive(os.path.join(out, "driftsweep"), "zip",
+                                  root_dir=os.path.dirname(pkg_dir), base_dir="driftsweep")
+    sc.addPyFile(archive)
+    sc._driftsweep_shipped = True
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Checkpoint folder + package on executors: call once per session before sweeping."""
+    ensure_checkpoint_dir(spark)
+    ship_package(spark)
+    return spark

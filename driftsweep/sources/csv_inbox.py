@@ -224,6 +224,9 @@ class CsvInbox:
 
     def __init__(self, spark: SparkSession, inbox: str, width: int = DEFAULT_WIDTH, multi_line: bool = True,
                  split_bytes: int = DEFAULT_SPLIT_BYTES, paths: list[str] | None = None):
+        from driftsweep.session import ship_package
+
+        ship_package(spark)   # header repair runs in Python workers
         self.spark, self.inbox, self.width, self.multi_line = spark, inbox.rstrip("/"), width, multi_line
         self.split_bytes = split_bytes
         self.root = qualified(spark, self.inbox)

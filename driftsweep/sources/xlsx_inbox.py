@@ -225,6 +225,9 @@ def workbook_rows(spark: SparkSession, inbox: str, max_bytes: int = DEFAULT_MAX_
     The size test runs before any content is read: ``binaryFile`` pushes filters on
     ``length`` down, so oversized workbooks are quarantined from their metadata alone.
     """
+    from driftsweep.session import ship_package
+
+    ship_package(spark)   # the decoder runs in Python workers
     root = qualified(spark, inbox)
     files = spark.read.format("binaryFile").load(f"{inbox.rstrip('/')}/*.xlsx")
     entry = entry_of(F.col("path"), root).alias("entry")

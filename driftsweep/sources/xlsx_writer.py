@@ -121,6 +121,9 @@ def write_fixture_workbooks(spark, sf_dir: str, inbox: str, layout=None) -> None
 
     from driftsweep.sources import fixtures
 
+    from driftsweep.session import ship_package
+
+    ship_package(spark)
     lay = layout or next(l for l in fixtures.LAYOUTS if l.fmt == "xlsx")
     root = inbox.rstrip("/")
     root = root[len("file:"):] if root.startswith("file:") else root
