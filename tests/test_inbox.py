@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from driftsweep.plans.medallion import Sweep
 
@@ -167,3 +168,14 @@ def test_csv_silver_plan_has_no_shuffle(sweep):
     shuffles = [l for l in plan.splitlines() if "Exchange" in l and "BroadcastExchange" not in l]
     assert shuffles == [], shuffles
     assert "FileScan csv" in plan and "BroadcastHashJoin" in plan
+
+
+def test_awkward_file_names(spark, tmp_path):
+    names = ["Email List (2).csv", "a+b%20c.csv", "[draft] q1.csv"]
+    for n in names:
+        (tmp_path / n).write_text("FirstName,CID\nAnn,C1\nBob,C2\n")
+    sw = Sweep.from_csv_inbox(spark, str(tmp_path))
+    st = {r.entry: r.status for r in sw.status.collect()}
+    assert st == {n: "good" for n in names}
+    got = {r.file_name: r.n for r in sw.silver_rows.groupBy("file_name").agg(F.count("*").alias("n")).collect()}
+    assert got == {"Email List (2)": 2, "a+b%20c": 2, "[draft] q1": 2}
