@@ -5,9 +5,12 @@
 * gold: rebuilt from all of silver and overwritten, written compact (rebalance hint);
 * reads prune partitions: ``read_silver(..., dataset=...)`` shows PartitionFilters.
 
-Writes use ``REBALANCE(file_name)`` rather than ``repartition(file_name)``: AQE splits a
-hot dataset over several tasks and coalesces small ones, so no partition value is funnelled
-through one task.
+Silver is written scan-aligned by default: each task writes the rows it read (one file per
+dataset it touched), so there is no shuffle before the write and a hot dataset stays
+spread over many tasks. ``rebalance=True`` adds ``REBALANCE(file_name)`` (never
+``repartition(file_name)``, which would funnel a hot dataset through one task) when fewer,
+larger files are worth a full shuffle. Gold keeps the rebalance: compaction is the
+original's own step after every rebuild.
 """
 
 from __future__ import annotations
@@ -54,9 +57,11 @@ def typed_silver(df: DataFrame) -> DataFrame:
 
 
 def append_silver(df: DataFrame, path: str | None = None, table: str | None = None,
-                  idempotent: bool = False, fmt: str = "parquet") -> None:
+                  idempotent: bool = False, fmt: str = "parquet", rebalance: bool = False) -> None:
     """K4: append silver partitioned by file_name (dynamic partition overwrite if idempotent)."""
-    out = typed_silver(df).hint("rebalance", "file_name")
+    out = typed_silver(df)
+    if rebalance:
+        out = out.hint("rebalance", "file_name")
     if table is not None:
         # by position: the table's data columns, then its partition column (file_name last)
         w = out.write.format(fmt)
