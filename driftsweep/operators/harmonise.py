@@ -27,7 +27,7 @@ def project_targets(bronze: DataFrame, mapping: DataFrame, mapping_rows: int | N
         src = F.col(source_col(t))
         cols.append(F.when(src.isNull(), F.lit(None).cast("string"))
                      .otherwise(F.coalesce(F.try_element_at(cells, src + 1), F.lit(""))).alias(t))
-    extra = [c for c in ("_blk", "_pid") if c in bronze.columns]
+    extra = [c for c in ("_file", "_blk", "_mid", "_pid") if c in bronze.columns]
     return j.select(*LINEAGE, *extra, *cols)
 
 

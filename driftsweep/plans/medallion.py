@@ -188,7 +188,10 @@ class Sweep:
         other sources use the range-partitioned zip-with-index.
         """
         rows = self.silver_rows
-        if "_pid" in rows.columns:
+        if "_file" in rows.columns:      # data at rest written in row order (fixture bronze)
+            ided = with_dense_index_by_runs(rows, ["file_ordinal", "_file", "_blk"],
+                                            ["file_ordinal", "_file", "_blk", "_pid"], "_mid")
+        elif "_pid" in rows.columns:     # scanned files: ids run in file order
             ided = with_dense_index_by_runs(rows, ["file_ordinal", "part", "_blk"],
                                             ["file_ordinal", "part", "_blk", "_pid"], "src_row")
         else:

@@ -216,6 +216,24 @@ def persisted_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (app_id(spark), sf_dir)
     if key not in _PERSISTED:
         path = scratch_path(spark, "fixture_bronze")
-        fixture_bronze(spark, sf_dir).write.parquet(path)
+        ords = discover_ordinals()
+        fn = F.col("file_name")
+        ordinal = None
+        for l in LAYOUTS:
+            ordinal = (F.when(fn == l.file_name, F.lit(ords[l.source])) if ordinal is None
+                       else ordinal.when(fn == l.file_name, F.lit(ords[l.source])))
+        # written in (dataset order, row order): every physical file is one sorted range, so
+        # row ids can later be numbered from scan runs without a shuffle
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        (fixture_bronze(spark, sf_dir).withColumn("_ord", ordinal)
+            .repartitionByRange(n, "_ord", "src_row").sortWithinPartitions("_ord", "src_row")
+            .drop("_ord").write.parquet(path))
         _PERSISTED[key] = path
-    return spark.read.parquet(_PERSISTED[key])
+    from driftsweep.sources.csv_inbox import _decoded
+
+    df = spark.read.parquet(_PERSISTED[key])
+    # scan ids for shuffle-free row numbering: physical file, split offset, id, partition
+    return df.select("file_name", "source", "part", "src_row", "cells",
+                     _decoded(F.col("_metadata.file_path")).alias("_file"),
+                     F.col("_metadata.file_block_start").alias("_blk"),
+                     F.monotonically_increasing_id().alias("_mid"), F.spark_partition_id().alias("_pid"))
