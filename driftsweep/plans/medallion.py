@@ -1,7 +1,9 @@
 """Medallion plan: bronze + dataset catalogue -> gates -> resolver -> silver -> gold.
 
-``Sweep`` is lazy: every attribute is a DataFrame built on first use. The only eager step
-is materialising the (small) resolver mapping so the broadcast decision can be checked.
+``Sweep`` is lazy: every attribute is a DataFrame built on first use. The eager steps all
+materialise *small* tables into the shared checkpoint folder: the per-file profile and
+header lists of a file inbox (one row per file and column), and the resolver mapping (one
+row per dataset) whose row count decides the broadcast.
 """
 
 from __future__ import annotations
@@ -35,6 +37,10 @@ class Sweep:
                        multi_line: bool = True, split_bytes: int = csv_inbox.DEFAULT_SPLIT_BYTES) -> "Sweep":
         """Sweep of every CSV entry in an inbox folder (see sources.csv_inbox)."""
         man = csv_inbox.manifest(spark, inbox)
+        if man.where("kind = 'csv' AND type_rank IS NOT NULL").isEmpty():
+            sw = cls.empty(spark)
+            sw.manifest = man
+            return sw
         return cls._from_csv(spark, csv_inbox.CsvInbox(spark, inbox, width, multi_line, split_bytes), man)
 
     @classmethod

@@ -179,3 +179,10 @@ def test_awkward_file_names(spark, tmp_path):
     assert st == {n: "good" for n in names}
     got = {r.file_name: r.n for r in sw.silver_rows.groupBy("file_name").agg(F.count("*").alias("n")).collect()}
     assert got == {"Email List (2)": 2, "a+b%20c": 2, "[draft] q1": 2}
+
+
+def test_csv_sweep_of_inbox_without_csv(spark, tmp_path):
+    (tmp_path / "notes.txt").write_text("nothing to sweep\n")
+    sw = Sweep.from_csv_inbox(spark, str(tmp_path))
+    assert sw.gold.count() == 0 and sw.status.count() == 0
+    assert [r.entry for r in sw.manifest.collect()] == ["notes.txt"]
