@@ -1,25 +1,23 @@
 """CSV inbox sweep: manifest, readability probe, dataset catalogue, bronze rows.
 
 An inbox *entry* is a top-level item of the inbox folder: a plain ``name.csv`` file or a
-folder of part files (what Spark itself writes). All entries are read by ONE scan per pass;
-nothing is looped per file on the driver.
+folder of part files (what Spark itself writes). Nothing is looped per file on the driver;
+the driver only holds file metadata (names, widths), as Spark's own file listing does.
 
-Pass 1 (probe) reads every CSV with ``header=false`` and aggregates per (file, field
-position) in a partial, map-side aggregate: the first row's cell (the header), non-blank
-counts, presence counts and decode failures. From that small table come the header list,
-the data-row count, the overlong check and the per-column non-blank counts that the
-resolver needs, so the data is profiled in a single pass.
-
-Pass 2 (bronze) reads the same entries with ``header=true`` (Spark drops each file's first
-record itself) and yields (file_name, source, part, src_row, cells). Only entries accepted
-by pass 1 survive the later join with the resolver mapping.
+Pass 0 reads every file as text and keeps the first non-empty line of each (the header):
+a quote-aware token count gives the file's exact width, and its tokens the header names.
+Pass 1 (probe) reads each group of files of one width with exactly that many columns,
+``header=true``, and aggregates per (file, field position) in a hash partial aggregate:
+non-blank counts, record counts, overlong rows, decode failures. Pass 2 (bronze) reads the
+same groups again and yields (file_name, source, part, src_row, cells). Only entries
+accepted by pass 1 survive the later join with the resolver mapping.
 
 Reader choices that mirror the tabular reader being replaced: header in row 0, every value
-text, quote ``"`` doubled to escape, blank lines skipped, one record may span lines
+text, quote ``"`` doubled to escape, blank lines skipped, a row with more fields than the
+header (an empty extra field included) is an error, one record may span lines
 (``multiLine``) in files up to ``split_bytes``; larger files are read splittably so that one
-big source is spread over many tasks (their records must not span lines). Known
-deviation: Spark does not report *trailing* empty fields, so a trailing empty header field
-does not become an ``Unnamed: i`` column and an empty extra trailing field is not overlong.
+big source is spread over many tasks (their records must not span lines). A header line
+is one physical line.
 """
 
 from __future__ import annotations
