@@ -137,3 +137,19 @@ def test_salted_fallback_gives_same_gold(spark):
     finally:
         spark.conf.unset(CONF_KEY)
     assert "_salt" in plan or "xxhash64" in plan
+
+
+def test_stream_one_file_per_batch_equals_batch(spark):
+    from driftsweep.sources.csv_inbox import write_fixture_inbox
+    from driftsweep.streaming.sweep_stream import read_stream_gold, start_sweep_stream
+
+    inbox, out, ck = (scratch_path(spark, n) for n in ("s1_inbox", "s1_out", "s1_ck"))
+    write_fixture_inbox(spark, SF_SMALL, inbox)
+    q = start_sweep_stream(spark, inbox, out, ck, max_files_per_trigger=1)
+    q.awaitTermination()
+    assert q.exception() is None
+    epochs = {r.epoch for r in spark.read.parquet(f"{out}/gold").select("epoch").distinct().collect()}
+    got = read_stream_gold(spark, out)
+    ref = Sweep.from_fixtures(spark, SF_SMALL).gold
+    assert len(epochs) >= 4
+    assert got.count() == ref.count() and got.exceptAll(ref).count() == 0
