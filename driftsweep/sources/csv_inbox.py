@@ -264,13 +264,24 @@ class CsvInbox:
         return self._headers
 
     def width_groups(self) -> list[tuple[int, list[str]]]:
-        """(width, files) for the distinct header widths (file list as Spark must read it)."""
+        """(width, sources) per distinct header width.
+
+        Only the distinct widths come to the driver when every file shares one width (the
+        usual case: one export template); then the original sources are read as they are.
+        With several widths the file list of each width is passed explicitly (metadata the
+        driver holds anyway when Spark lists files).
+        """
         if self._groups is None:
-            rows = self.file_headers().where(~F.col("too_wide")).select("width", "part").collect()
-            groups: dict[int, list[str]] = {}
-            for r in rows:
-                groups.setdefault(int(r.width), []).append(_glob_escape(r.part))
-            self._groups = sorted(groups.items())
+            h = self.file_headers()
+            kinds = h.groupBy("width", "too_wide").count().collect()   # a handful of rows
+            widths = sorted({int(r.width) for r in kinds if not r.too_wide})
+            if len(widths) == 1 and not any(r.too_wide for r in kinds):
+                self._groups = [(widths[0], list(self.sources))]
+            else:
+                groups: dict[int, list[str]] = {}
+                for r in h.where(~F.col("too_wide")).select("width", "part").collect():
+                    groups.setdefault(int(r.width), []).append(_glob_escape(r.part))
+                self._groups = sorted(groups.items())
         return self._groups
 
     # -- exact-width scans ----------------------------------------------------------------
