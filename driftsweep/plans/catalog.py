@@ -66,6 +66,13 @@ def date_normalise(spark, sf):
     return Sweep.from_fixtures(spark, sf).silver_rows.select("file_name", "src_row", *DATE_TARGETS)
 
 
+def silver_date_rejects(spark, sf):
+    """Reject report on the swept data: non-blank date cells no accepted form parses."""
+    from driftsweep.operators.harmonise import date_rejects
+
+    return date_rejects(Sweep.from_fixtures(spark, sf).projected)
+
+
 def split_name(spark, sf):
     return Sweep.from_fixtures(spark, sf).silver_rows.select("file_name", "src_row", "firstname", "lastname")
 
@@ -454,6 +461,7 @@ def registry() -> dict[str, Query]:
         "best_header": best_header,
         "non_blank_counts": non_blank_counts,
         "date_normalise": date_normalise,
+        "silver_date_rejects": silver_date_rejects,
         "split_name": split_name,
         "fill_cid": fill_cid,
         "rowid": rowid,

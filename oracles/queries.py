@@ -51,6 +51,14 @@ def sql() -> dict[str, str]:
         "best_header": f"{c} SELECT file_name, target, alias_no, found, found_pos, score FROM rep",
         "non_blank_counts": f"{c} SELECT file_name, header, n_non_blank FROM cnt",
         "date_normalise": f"{c} SELECT file_name, src_row, {d} FROM filled",
+        "silver_date_rejects": f"""{c},
+          dv AS (SELECT file_name, unnest([{", ".join(repr(x) for x in DATE_TARGETS)}]) AS target,
+                        unnest([{d}]) AS value FROM proj),
+          rj AS (SELECT file_name, target,
+                        count(*) FILTER (WHERE {_nb('value')} AND try_strptime(value, {DUCK_DATE_FORMATS}) IS NULL) AS n_rejects,
+                        count(*) FILTER (WHERE {_nb('value')}) AS n_values
+                 FROM dv GROUP BY file_name, target)
+          SELECT file_name, target, n_rejects, n_values FROM rj WHERE n_rejects > 0""",
         "split_name": f"{c} SELECT file_name, src_row, firstname, lastname FROM filled",
         "fill_cid": f"{c} SELECT file_name, src_row, cid, var1, var2, var3, var4 FROM filled",
         "rowid": f"{c} SELECT rowid, file_name, emailaddress FROM silver",
