@@ -186,3 +186,16 @@ def test_csv_sweep_of_inbox_without_csv(spark, tmp_path):
     sw = Sweep.from_csv_inbox(spark, str(tmp_path))
     assert sw.gold.count() == 0 and sw.status.count() == 0
     assert [r.entry for r in sw.manifest.collect()] == ["notes.txt"]
+
+
+def test_profile_is_hash_aggregate_and_scans_exact_width(spark, tmp_path):
+    from driftsweep.sources.csv_inbox import CsvInbox
+
+    (tmp_path / "a.csv").write_text("FirstName,CID\nAnn,C1\nBob,C2\n")
+    (tmp_path / "b.csv").write_text("FirstName,CID,Var1\nAnn,C1,v\nBob,C2,w\n")
+    ci = CsvInbox(spark, str(tmp_path))
+    assert [w for w, _ in ci.width_groups()] == [2, 3]
+    plan = ci.profile()._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    scans = [l for l in plan.splitlines() if "FileScan csv" in l]
+    assert scans and all("_c3" not in l for l in scans)      # no catch-all wide schema
