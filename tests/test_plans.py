@@ -153,3 +153,10 @@ def test_stream_one_file_per_batch_equals_batch(spark):
     ref = Sweep.from_fixtures(spark, SF_SMALL).gold
     assert len(epochs) >= 4
     assert got.count() == ref.count() and got.exceptAll(ref).count() == 0
+
+
+def test_fixture_silver_plan_has_no_shuffle(spark):
+    plan = _plan(Sweep.from_fixtures(spark, SF_SMALL).silver)
+    shuffles = [l for l in plan.splitlines() if "Exchange" in l and "BroadcastExchange" not in l]
+    assert shuffles == [], shuffles
+    assert "GetMapValue" not in plan and "element_at(mapping" not in plan   # flat mapping columns
