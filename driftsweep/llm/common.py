@@ -90,3 +90,20 @@ def components(edges: DataFrame) -> DataFrame:
     if labels is None:
         return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return labels
+
+
+def ranked(rows: DataFrame, *order: Column) -> DataFrame:
+    """Rows with ``rank`` (0, 1, ...) in the given order, without a window over all rows.
+
+    The sorted rows are checkpointed, so each keeps its partition; ranks are the row's place in its
+    partition plus the counts of the partitions before it (as many numbers as partitions).
+    """
+    from pyspark.sql import Window
+
+    s = cut(rows.orderBy(*order)).withColumn("__at", F.monotonically_increasing_id())
+    part = F.shiftright("__at", 33)
+    sizes = s.groupBy(part.alias("__part")).agg(F.count("*").alias("__n"))
+    before = sizes.select("__part", (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__before"))
+    return (s.withColumn("__part", part).join(F.broadcast(before), "__part")
+            .withColumn("rank", F.col("__before") + F.col("__at") - F.shiftleft("__part", 33))
+            .drop("__at", "__part", "__before"))

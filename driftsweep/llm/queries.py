@@ -6,22 +6,43 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from driftsweep.llm import language_id, simhash
+import corpus_pipeline
+from driftsweep.llm import decontaminate, language_id, mixing, sharding, simhash
 from driftsweep.llm.common import table
 
 
+def op1_bounded_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents"))
+
+
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_plan(table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_simhash_near_dedup, op9_language_id)}
+    return {f.__name__: f for f in (op1_bounded_ring_shards, op3_benchmark_decontamination, op4_simhash_near_dedup,
+                                    op7_source_mix, op9_language_id, pipeline)}
 
 
 def sql() -> dict[str, str]:
     """DuckDB SQL for the queries that SQL can express."""
-    return {}
+    out = {"op7_source_mix": mixing.SQL}
+    if corpus_pipeline.ORACLE_SQL:
+        out["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return out
