@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from driftsweep.llm import decontaminate, language_id, mixing, sharding, simhash
+from driftsweep.llm import decontaminate, language_id, mixing, sharding, simhash, topk
 from driftsweep.llm.common import table
 
 
@@ -31,18 +31,22 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op10_threshold_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_bounded_ring_shards, op3_benchmark_decontamination, op4_simhash_near_dedup,
-                                    op7_source_mix, op9_language_id, pipeline)}
+                                    op7_source_mix, op9_language_id, op10_threshold_top_k, pipeline)}
 
 
 def sql() -> dict[str, str]:
     """DuckDB SQL for the queries that SQL can express."""
-    out = {"op7_source_mix": mixing.SQL}
+    out = {"op7_source_mix": mixing.SQL, "op10_threshold_top_k": topk.SQL}
     if corpus_pipeline.ORACLE_SQL:
         out["pipeline"] = corpus_pipeline.ORACLE_SQL
     return out
