@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from driftsweep.llm import decontaminate, language_id, mixing, sharding, simhash, topk
+from driftsweep.llm import decontaminate, language_id, mixing, repeats, sharding, simhash, topk
 from driftsweep.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf_dir, "documents"))
 
 
+def op8_prefix_free_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
@@ -41,7 +45,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_bounded_ring_shards, op3_benchmark_decontamination, op4_simhash_near_dedup,
-                                    op7_source_mix, op9_language_id, op10_threshold_top_k, pipeline)}
+                                    op7_source_mix, op8_prefix_free_repeats, op9_language_id, op10_threshold_top_k, pipeline)}
 
 
 def sql() -> dict[str, str]:
