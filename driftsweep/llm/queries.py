@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from driftsweep.llm import decontaminate, language_id, mixing, repeats, sharding, simhash, topk
+from driftsweep.llm import (
+    decontaminate,
+    language_id,
+    licenses,
+    mixing,
+    pii,
+    repeats,
+    sharding,
+    simhash,
+    token_counts,
+    topk,
+)
 from driftsweep.llm.common import table
 
 
@@ -15,6 +26,10 @@ def op1_bounded_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"))
 
 
+def op2_edit_aware_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_edited(table(spark, sf_dir, "documents"))
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -23,6 +38,14 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op6_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf_dir, "documents"))
 
@@ -44,13 +67,15 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bounded_ring_shards, op3_benchmark_decontamination, op4_simhash_near_dedup,
-                                    op7_source_mix, op8_prefix_free_repeats, op9_language_id, op10_threshold_top_k, pipeline)}
+    every = (op1_bounded_ring_shards, op2_edit_aware_token_counts, op3_benchmark_decontamination, op4_simhash_near_dedup,
+             op5_license_notices, op6_boosted_pii, op7_source_mix, op8_prefix_free_repeats, op9_language_id,
+             op10_threshold_top_k, pipeline)
+    return {f.__name__: f for f in every}
 
 
 def sql() -> dict[str, str]:
     """DuckDB SQL for the queries that SQL can express."""
-    out = {"op7_source_mix": mixing.SQL, "op10_threshold_top_k": topk.SQL}
+    out = {"op5_license_notices": licenses.sql(), "op7_source_mix": mixing.SQL, "op10_threshold_top_k": topk.SQL}
     if corpus_pipeline.ORACLE_SQL:
         out["pipeline"] = corpus_pipeline.ORACLE_SQL
     return out
