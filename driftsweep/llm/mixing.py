@@ -64,7 +64,7 @@ def _border(rows: DataFrame) -> DataFrame:
     Whole repetitions; the words left; the hash range in which they end; the words in ranges before.
     """
     t = cut(targets(rows.groupBy("source").agg(F.sum("size").alias("total"))))
-    t = t.withColumn("whole", F.coalesce(F.floor(F.col("target") / F.col("total")), F.lit(0)).cast("long"))
+    t = t.withColumn("whole", F.coalesce(F.floor(F.try_divide("target", "total")), F.lit(0)).cast("long"))
     t = t.withColumn("extra", F.round("target").cast("long") - F.col("whole") * F.col("total"))
     cells = rows.groupBy("source", F.substring("key", 1, RANGE_DIGITS).alias("range")).agg(F.sum("size").alias("n"))
     upto = cells.withColumn("upto", F.sum("n").over(Window.partitionBy("source").orderBy("range")))
@@ -119,7 +119,7 @@ def mixed(docs: DataFrame) -> DataFrame:
                        row_key(docs).alias("key"))
     border = _border(cut(full.select("source", "size", "key")))
     elsewhere, groups, times = _placed(full, border)
-    left = (F.col("extra") - F.col("from")) / F.col("size")  # rows of the group that fit, and a part
+    left = F.try_divide(F.col("extra") - F.col("from"), F.col("size"))  # rows of the group that fit, and a part
     copies = F.col("whole") * F.col("n") + F.least(F.greatest(F.round(left), F.lit(0)), F.col("n")).cast("long")
     edges = border.select(F.col("source").alias("__src"), F.col("edge").alias("__edge"))
     once = full.join(_small(edges), F.col("source").eqNullSafe(F.col("__src")))

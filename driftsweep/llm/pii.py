@@ -36,7 +36,7 @@ RADIX = (4, 8, 3, 2, 2, 3, 3, 2)
 CELLS = math.prod(RADIX)
 _BLOCK = 256
 
-#: (kind, what a text must hold, pattern) of the base matches and of the wider generators.
+#: (kind, what a text must hold, pattern) of the base matches and of the wider generators, by kind.
 BASE = (
     (0, "@", r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"),
     (1, ".", r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"),
@@ -66,25 +66,15 @@ def _octets(s: Column) -> Column:
     return ~s.rlike(r"(?:^|\.)0*(?:[1-9][0-9]{3,}|[3-9][0-9]{2}|2[6-9][0-9]|25[6-9])(?:\.|$)")
 
 
-def _with(rows: DataFrame, name: str, make) -> DataFrame:
-    """A column ``name``<i> for each pattern; a step of its own, so that later steps read it, not redo it."""
-    return rows.withColumns({f"{name}{i}": make(i, *p) for i, p in enumerate(BASE + WIDE)})
+def _passes(i: Column, x: Column) -> Column:
+    """The check of match ``x`` of pattern ``i`` (base patterns first, then the wide ones)."""
+    return (F.when(i == 0, F.lit(True)).when(i == len(BASE), x["s"].rlike(r"[.)\]}\x20][A-Za-z]{2,}$"))
+            .when(i == 1, _octets(x["s"])).when(i == len(BASE) + 1, F.lit(True))
+            .when(i % 4 == 2, F.when(x["n"].between(14, 19), _luhn(x["d"])).otherwise(False))
+            .otherwise(x["n"].between(10, 15)))
 
 
-def _check(kind: int, base: bool):
-    """The check of a kind's format, on the fields of a match ``x``."""
-    def run(x: Column) -> Column:
-        if kind == 0:
-            return F.lit(True) if base else x["s"].rlike(r"[.)\]}\x20][A-Za-z]{2,}$")
-        if kind == 1:
-            return _octets(x["s"]) if base else F.lit(True)
-        if kind == 2:
-            return F.when(x["n"].between(14, 19), _luhn(x["d"])).otherwise(False)
-        return x["n"].between(10, 15)
-    return run
-
-
-def _cell(kind: int, x: Column) -> Column:
+def _cell(kind: Column, x: Column) -> Column:
     """Features of a checked match as one number below CELLS."""
     n = x["n"]
     size = F.when(n == 0, 0).when(n < 7, 1).when(n < 10, 2).when(n < 12, 3).when(n < 14, 4).when(n < 16, 5).when(n < 20, 6).otherwise(7)
@@ -92,55 +82,63 @@ def _cell(kind: int, x: Column) -> Column:
     seps = F.when(x["seps"] == "", 0).when(one_kind, 1).otherwise(2)
     side = lambda c: F.when((c == "") | c.rlike(r"\s"), 0).when(c.rlike(r"[\p{L}\p{N}]"), 2).otherwise(1)
     same = (n > 1) & (F.length(F.replace(x["d"], F.left(x["d"], F.lit(1)), F.lit(""))) == 0)
-    code = F.lit(kind)
+    code = kind
     for base, f in zip(RADIX[1:], (size, seps, x["passes"].cast("int"), x["before"].rlike(CUES).cast("int"),
                                    side(F.right(x["before"], F.lit(1))), side(x["after"]), same.cast("int")), strict=True):
         code = code * base + F.coalesce(f, F.lit(0))
     return code.cast("int")
 
 
+def _fields(x: Column, *names: str) -> list[Column]:
+    return [x[n].alias(n) for n in names]
+
+
 def candidates(docs: DataFrame) -> DataFrame:
     """doc_id, base, wide: arrays of (start, kind, end, cell, passes) for every row of docs (doc_id, text).
 
-    Starts come from the gaps between matches: the lengths of a pattern's gaps and matches are summed
-    in blocks (n^1.5 steps for n matches), so a text full of matches stays cheap.
+    Every step is an array with one entry for each pattern. Starts come from the gaps between matches:
+    the lengths of a pattern's gaps and matches are summed in blocks (n^1.5 steps for n matches), so a
+    text full of matches stays cheap.
     """
+    patterns, text = BASE + WIDE, F.col("text")
+    none = F.array().cast("array<string>")
+
     def possible(needs):
-        return F.col("text").rlike("[0-9]") if needs is None else F.contains("text", F.lit(needs))
+        return text.rlike("[0-9]") if needs is None else F.contains(text, F.lit(needs))
 
-    text = F.col("text")
-    none = F.array().cast("array<string>")
+    def each(column, make):  # nested: the matches of each pattern
+        return F.transform(column, lambda own, i: F.transform(own, lambda x, j: make(x, i, j)))
+
+    total = lambda a: F.aggregate(a, F.lit(0).cast("long"), lambda x, y: x + y)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = _with(rows, "m", lambda i, k, needs, p: F.when(possible(needs), F.regexp_extract_all(text, F.lit(p), F.lit(0))).otherwise(none))
-    rows = _with(rows, "g", lambda i, k, needs, p: F.when(F.size(f"m{i}") > 0, F.split(text, p, -1)).otherwise(none))
-    rows = _with(rows.drop("text"), "x", lambda i, k, needs, p: F.transform(f"m{i}", lambda s, j: F.struct(
+    rows = rows.select("doc_id", "text", *[
+        F.when(possible(needs), F.regexp_extract_all(text, F.lit(p), F.lit(0))).otherwise(none).alias(f"m{i}")
+        for i, (_, needs, p) in enumerate(patterns)])
+    rows = rows.select("doc_id", F.array(*[f"m{i}" for i in range(len(patterns))]).alias("found"), F.array(*[
+        F.when(F.size(f"m{i}") > 0, F.split(text, p, -1)).otherwise(none) for i, (_, _, p) in enumerate(patterns)]).alias("gaps"))
+    gap = lambda i, j: F.get(F.get("gaps", i), j)
+    rows = rows.select("doc_id", each("found", lambda s, i, j: F.struct(
         s.alias("s"), F.regexp_replace(s, "[^0-9]", "").alias("d"), F.regexp_replace(s, "[A-Za-z0-9]", "").alias("seps"),
-        F.length(F.get(f"g{i}", j)).alias("gap"), F.length(s).alias("len"),
-        F.right(F.get(f"g{i}", j), F.lit(24)).alias("before"), F.left(F.get(f"g{i}", j + 1), F.lit(1)).alias("after"))))
-    rows = rows.select("doc_id", *[f"x{i}" for i in range(len(BASE + WIDE))])
-    rows = _with(rows, "b", lambda i, *_: F.transform(
-        F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(f"x{i}") - 1) / _BLOCK).cast("int"))),
-        lambda b: F.transform(F.slice(f"x{i}", b * _BLOCK + 1, F.lit(_BLOCK)), lambda x: (x["gap"] + x["len"]).cast("long"))))
-    total = lambda a: F.aggregate(a, F.lit(0).cast("long"), lambda x, y: x + y)
-    rows = _with(rows, "t", lambda i, *_: F.transform(f"b{i}", total))
-    rows = _with(rows, "o", lambda i, *_: F.transform(f"t{i}", lambda _, j: total(F.slice(f"t{i}", F.lit(1), j))))
-    rows = _with(rows, "a", lambda i, *_: F.flatten(F.transform(f"b{i}", lambda b, k: F.transform(
-        b, lambda _, j: F.get(f"o{i}", k) + total(F.slice(b, F.lit(1), j))))))
-    rows = _with(rows, "y", lambda i, k, *_: F.transform(f"x{i}", lambda x, j: F.struct(
-        (F.get(f"a{i}", j) + x["gap"]).alias("start"), x["len"].alias("len"), x["s"].alias("s"), x["d"].alias("d"),
-        F.length(x["d"]).alias("n"), x["seps"].alias("seps"), x["before"].alias("before"), x["after"].alias("after"))))
-    rows = rows.select("doc_id", *[f"y{i}" for i in range(len(BASE + WIDE))])
-    rows = _with(rows, "z", lambda i, k, *_: F.transform(f"y{i}", lambda x: F.struct(
-        x["start"].alias("start"), x["len"].alias("len"), x["d"].alias("d"), x["n"].alias("n"),
-        x["seps"].alias("seps"), x["before"].alias("before"), x["after"].alias("after"),
-        _check(k, i < len(BASE))(x).alias("passes"))))
-    rows = rows.select("doc_id", *[f"z{i}" for i in range(len(BASE + WIDE))])
-    rows = _with(rows, "s", lambda i, k, *_: F.transform(f"z{i}", lambda x: F.struct(
-        x["start"].alias("start"), F.lit(k).alias("kind"), (x["start"] + x["len"]).alias("end"),
-        _cell(k, x).alias("cell"), x["passes"].alias("passes"))))
+        F.length(gap(i, j)).cast("long").alias("gap"), F.length(s).cast("long").alias("len"),
+        F.right(gap(i, j), F.lit(24)).alias("before"), F.left(gap(i, j + 1), F.lit(1)).alias("after"))).alias("found"))
+    rows = rows.withColumn("blocks", F.transform("found", lambda own: F.transform(
+        F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(own) - 1) / _BLOCK).cast("int"))),
+        lambda b: F.transform(F.slice(own, b * _BLOCK + 1, F.lit(_BLOCK)), lambda x: x["gap"] + x["len"]))))
+    rows = rows.withColumn("sums", F.transform("blocks", lambda own: F.transform(own, total)))
+    rows = rows.withColumn("sums", F.transform("sums", lambda own: F.transform(
+        own, lambda _, k: total(F.slice(own, F.lit(1), k)))))
+    rows = rows.withColumn("at", F.transform("blocks", lambda own, i: F.flatten(F.transform(own, lambda block, k: F.transform(
+        block, lambda _, j: F.get(F.get("sums", i), k) + total(F.slice(block, F.lit(1), j)))))))
+    rows = rows.select("doc_id", each("found", lambda x, i, j: F.struct(
+        (F.get(F.get("at", i), j) + x["gap"]).alias("start"), F.length(x["d"]).alias("n"),
+        *_fields(x, "len", "s", "d", "seps", "before", "after"))).alias("found"))
+    rows = rows.select("doc_id", each("found", lambda x, i, j: F.struct(
+        *_fields(x, "start", "len", "d", "n", "seps", "before", "after"), _passes(i, x).alias("passes"))).alias("found"))
+    rows = rows.select("doc_id", each("found", lambda x, i, j: F.struct(
+        x["start"].alias("start"), (i % 4).alias("kind"), (x["start"] + x["len"]).alias("end"), _cell(i % 4, x).alias("cell"),
+        x["passes"].alias("passes"))).alias("found"))
     n = len(BASE)
-    return rows.select("doc_id", F.concat(*[f"s{i}" for i in range(n)]).alias("base"),
-                       F.concat(*[f"s{i}" for i in range(n, n + len(WIDE))]).alias("wide"))
+    return rows.select("doc_id", F.flatten(F.slice("found", 1, n)).alias("base"), F.flatten(F.slice("found", n + 1, n)).alias("wide"))
 
 
 def _features(cell: int) -> tuple[int, ...]:
