@@ -90,7 +90,7 @@ def _piece_phrases(data: np.ndarray, row: np.ndarray):
     new = np.flatnonzero(np.concatenate(([True], (at[1:] != at[:-1]) | (start[1:] != start[:-1] + 1))))
     first, last = start[new], start[np.concatenate((new[1:] - 1, [len(start) - 1]))]
     own = _mix((total[last + LENGTH] - total[first]) * down[first] + (last - first).astype(np.uint64))
-    return first, last, g[at[new]], own
+    return first, last, _mix(g[at[new]]), own  # mixed anew: smallest hashes are small, ranges need even ones
 
 
 class Parse:
