@@ -26,7 +26,8 @@ def py_strip(c: Column) -> Column:
 
 def py_split(c: Column) -> Column:
     """Python ``str.split()`` with no separator: runs of whitespace, no empty tokens."""
-    return F.filter(F.split(py_strip(c), f"{PY_WHITESPACE_CLASS}+"), lambda t: t != "")
+    text = py_strip(c)  # only an empty text has an empty token then
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, f"{PY_WHITESPACE_CLASS}+"))
 
 
 def clean_header(c: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftsweep.functions.dates import normalise_date, parse_date
-from driftsweep.functions.text import non_blank, py_split, py_strip
+from driftsweep.functions.text import na_to_null, non_blank, py_split, py_strip
 from driftsweep.operators.joins import join_checked
 from driftsweep.schema import DATE_TARGETS, GOLD_ORDER, GOLD_UPPER, NAT, SILVER_ORDER, TARGETS
 
@@ -21,13 +21,12 @@ def project_targets(bronze: DataFrame, mapping: DataFrame, mapping_rows: int | N
     from driftsweep.operators.resolver import source_col
 
     j = join_checked(bronze, mapping, KEY, "inner", mapping_rows, salt_from=["part", "src_row"])
-    cells = F.col("cells")
     cols = []
     for t in TARGETS:
         src = F.col(source_col(t))
-        cols.append(F.when(src.isNull(), F.lit(None).cast("string"))
-                     .otherwise(F.coalesce(F.try_element_at(cells, src + 1), F.lit(""))).alias(t))
-    extra = [c for c in ("_file", "_blk", "_mid", "_pid") if c in bronze.columns]
+        value = na_to_null(F.try_element_at(F.col("cells"), src + 1))
+        cols.append(F.when(src.isNull(), F.lit(None).cast("string")).otherwise(F.coalesce(value, F.lit(""))).alias(t))
+    extra = [c for c in ("_file", "_blk", "_mid") if c in bronze.columns]
     return j.select(*LINEAGE, *extra, *cols)
 
 
@@ -63,11 +62,6 @@ def fill_cid(df: DataFrame) -> DataFrame:
     return df.withColumn("cid", F.coalesce(F.col("cid"), F.concat_ws("", "var1", "var2", "var3", "var4")))
 
 
-def silver_rows(bronze: DataFrame, mapping: DataFrame, mapping_rows: int | None = None) -> DataFrame:
-    """Harmonised rows with lineage columns (no rowid yet)."""
-    return fill_cid(split_name(normalise_dates(project_targets(bronze, mapping, mapping_rows))))
-
-
 def silver_table(with_rowid: DataFrame) -> DataFrame:
     """Silver in its fixed 35-column order."""
     return with_rowid.select(*SILVER_ORDER)

@@ -11,6 +11,10 @@ SALT_CONF_KEY = "driftsweep.join.salts"
 DEFAULT_SALTS = 32
 
 
+#: A table is broadcast only if its rows as text stay below this, too.
+BROADCAST_BYTES = 32 << 20
+
+
 def broadcast_limit(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(CONF_KEY, str(DEFAULT_BROADCAST_ROWS)))
 
@@ -44,10 +48,14 @@ def join_checked(big: DataFrame, small: DataFrame, on: list[str], how: str = "in
                  small_rows: int | None = None, max_rows: int | None = None,
                  salt_from: list[str] | None = None) -> DataFrame:
     """Broadcast ``small`` only when its row count is under the bound (``max_rows``, else
-    the ``driftsweep.broadcast.maxRows`` setting); above it, a salted shuffle join."""
+    the ``driftsweep.broadcast.maxRows`` setting) and its size under BROADCAST_BYTES; above
+    either, a salted shuffle join."""
     if small_rows is None:
         small, small_rows = materialise_small(small)
     limit = broadcast_limit(big) if max_rows is None else max_rows
     if small_rows <= limit:
-        return big.join(F.broadcast(small), on, how)
+        # the table is checkpointed: its size is one small aggregate
+        size = small.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+        if size <= BROADCAST_BYTES:
+            return big.join(F.broadcast(small), on, how)
     return salted_join(big, small, on, how, salt_from=salt_from)

@@ -49,12 +49,12 @@ def last_write_wins(datasets: DataFrame) -> DataFrame:
 
 
 def preview(bronze: DataFrame, k: int = 10) -> DataFrame:
-    """First ``k`` rows of each dataset, by source row order.
+    """First ``k`` rows of each dataset, in the order that also numbers its rows.
 
     ``row_number() <= k`` lets Spark insert a partial WindowGroupLimit before the shuffle,
     so a hot dataset ships at most ``k`` rows per map task.
     """
-    w = Window.partitionBy("file_name").orderBy("src_row")
+    w = Window.partitionBy("file_name").orderBy("part", *[c for c in ("_blk",) if c in bronze.columns], "src_row")
     return bronze.withColumn("preview_no", F.row_number().over(w)).where(F.col("preview_no") <= k)
 
 

@@ -68,18 +68,20 @@ def best_headers(datasets: DataFrame, scores: DataFrame) -> DataFrame:
 
     The answer depends only on the dataset's header list, and files exported from one
     template share it, so the arg-max runs once per distinct header list (layout) and is
-    attached to the datasets by an equi-join on that list.
+    attached to the datasets by an equi-join on the layout's digest: neither the key nor
+    the broadcast rows carry the list.
     """
-    layouts = datasets.select("headers").distinct()
-    cols = layouts.select("headers", F.posexplode("headers").alias("pos", "header"))
+    datasets = datasets.withColumn("layout", F.sha2(F.to_json("headers"), 256))
+    layouts = datasets.select("layout", "headers").dropDuplicates(["layout"])
+    cols = layouts.select("layout", F.posexplode("headers").alias("pos", "header"))
     joined = cols.join(scores, "header")
     best = F.max_by(F.struct("header", "pos", "score", "passes"),
                     F.struct(F.col("score"), -F.col("pos")))
-    per_layout = (joined.groupBy("headers", "target_no", "target", "alias_no", "alias")
+    per_layout = (joined.groupBy("layout", "target_no", "target", "alias_no", "alias")
                   .agg(best.alias("b")))
     # one layout may be shared by a third of all datasets: broadcast the per-layout answers
-    # after a row-count check (about 92 rows per layout), salted shuffle join beyond it
-    return (join_checked(datasets.select(*KEY, "headers"), per_layout, ["headers"], max_rows=500_000)
+    # (about 92 rows a layout) after a size check, salted shuffle join beyond it
+    return (join_checked(datasets.select(*KEY, "layout"), per_layout, ["layout"], salt_from=KEY)
             .select(*KEY, "target_no", "target", "alias_no", "alias",
                     F.col("b.header").alias("found"), F.col("b.pos").alias("found_pos"),
                     F.col("b.score").alias("score"), F.col("b.passes").alias("passes")))

@@ -32,21 +32,39 @@ def with_dense_index(df: DataFrame, order_cols: list[str], name: str = "rowid",
                   .drop("_pid", "_mid", "_off", "_first"))
 
 
-def with_dense_index_by_runs(df: DataFrame, order_cols: list[str], run_cols: list[str], mid: str,
-                             name: str = "rowid") -> DataFrame:
-    """Dense ids when each run (``run_cols`` group, e.g. one file split) holds *consecutive*
-    ``mid`` values, as ``monotonically_increasing_id`` gives right at a scan with no row
-    filter after it. No data shuffle: one small aggregate per run (about one row per
-    split), a running sum over it, and a size-checked broadcast join.
-
-    ``order_cols`` orders the runs (then their first ``mid``); ``run_cols`` must include
-    ``order_cols``.
+def running_total(df: DataFrame, order_cols: list[str], value: str, name: str) -> DataFrame:
+    """Adds the sum of ``value`` over all earlier rows. The sorted rows are checkpointed, so each keeps
+    its partition: totals of the partitions (one small row each) plus a window inside each partition."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+            .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
+    upto = Window.partitionBy("_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # <= n rows
+    sizes = rows.groupBy("_pid").agg(F.sum(value).alias("_t")).select("_pid", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_b"))
+    return (rows.withColumn(name, F.coalesce(F.sum(value).over(upto), F.lit(0)))
+            .join(F.broadcast(sizes), "_pid").withColumn(name, F.col(name) + F.col("_b")).drop("_pid", "_b"))
+
+
+def with_dense_index_by_runs(df: DataFrame, order_cols: list[str], mid: str, name: str = "rowid") -> DataFrame:
+    """Dense ids for rows whose ``order_cols`` runs (e.g. one file split each) hold consecutive ``mid``.
+
+    The rows are written once to the shared folder first: run starts and ids are then read from the
+    same stored values, however the scan that made them was packed into tasks. One small aggregate
+    per run, a distributed running sum over the runs, a size-checked join. A run with gaps, or a
+    row without a run, stops the query instead of losing or repeating ids.
     """
     from driftsweep.operators.joins import join_checked
+    from driftsweep.session import scratch_path
 
-    runs = df.groupBy(*run_cols).agg(F.count(F.lit(1)).alias("_n"), F.min(mid).alias("_first"))
-    w = Window.orderBy(*order_cols, "_first").rowsBetween(Window.unboundedPreceding, -1)  # one row per run
-    offsets = runs.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    return (join_checked(df, offsets, run_cols)
-            .withColumn(name, (F.col("_off") + F.col(mid) - F.col("_first")).cast("long"))
+    spark = df.sparkSession
+    path = scratch_path(spark, "rowid")
+    df.write.parquet(path)
+    staged = spark.read.parquet(path)
+    runs = staged.groupBy(*order_cols).agg(F.count(F.lit(1)).alias("_n"), F.min(mid).alias("_first"), F.max(mid).alias("_last"))
+    gap = F.raise_error(F.lit("a run of rows has gaps; it cannot be numbered")).cast("long")
+    runs = runs.withColumn("_n", F.when(F.col("_last") - F.col("_first") + 1 == F.col("_n"), F.col("_n")).otherwise(gap))
+    offsets = running_total(runs.drop("_last"), order_cols, "_n", "_off").drop("_n")
+    lost = F.raise_error(F.lit("a row belongs to no run")).cast("long")
+    return (join_checked(staged, offsets, order_cols, "left", salt_from=[mid])
+            .withColumn(name, F.coalesce(F.col("_off") + F.col(mid) - F.col("_first"), lost).cast("long"))
             .drop("_off", "_first"))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftsweep.functions.dates import normalise_date, parse_date
-from driftsweep.functions.similarity import indel_ratio, lcs_length, passes_threshold
+from driftsweep.functions.similarity import char_masks, indel_ratio, lcs_fast, lcs_length, passes_threshold
 from driftsweep.functions.text import (
     basename, clean_header, dataset_name, extension, na_to_null,
 )
@@ -67,10 +67,11 @@ def date_normalise(spark, sf):
 
 
 def silver_date_rejects(spark, sf):
-    """Reject report on the swept data: non-blank date cells no accepted form parses."""
+    """Reject report on swept data: non-blank date cells no accepted form parses (an orders export)."""
     from driftsweep.operators.harmonise import date_rejects
 
-    return date_rejects(Sweep.from_fixtures(spark, sf).projected)
+    m = _mixed_dates(spark, sf).select(F.col("o_orderkey").cast("string").alias("CID"), F.col("raw").alias("CreatedDate"))
+    return date_rejects(Sweep.from_csv_inbox(spark, _written(spark, sf, "dates", {"dates.csv": m})).projected)
 
 
 def split_name(spark, sf):
@@ -152,22 +153,19 @@ def na_tokens(spark, sf):
 
 
 def indel_ratio_q(spark, sf):
-    p = table(spark, sf, "part")
-    w1 = F.split_part(F.col("p_name"), F.lit(" "), F.lit(1))
-    w2 = F.split_part(F.col("p_name"), F.lit(" "), F.lit(2))
-    x = p.select("p_partkey", w1.alias("w1"), w2.alias("w2"))
-    x = x.withColumn("lcs", lcs_length(F.col("w1"), F.col("w2")))
-    return x.withColumn("score", indel_ratio(F.col("w1"), F.col("w2"), F.col("lcs")))
+    x = table(spark, sf, "part").select("p_partkey", "p_name", "p_type")
+    x = x.withColumn("lcs", lcs_length(F.col("p_name"), F.col("p_type")))
+    return x.withColumn("score", indel_ratio(F.col("p_name"), F.col("p_type"), F.col("lcs")))
 
 
 def score_threshold(spark, sf):
-    c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    s = table(spark, sf, "supplier").select("s_suppkey", "s_name")
-    j = c.join(s, c.c_custkey == s.s_suppkey)
-    a, b = F.col("c_mktsegment"), F.col("s_name")
-    lcs = lcs_length(a, b)
-    return j.select("c_custkey", "c_mktsegment", "s_name", indel_ratio(a, b, lcs).alias("score"),
-                    passes_threshold(a, b, lcs).alias("passes"))
+    """Every part type against a misspelt form of itself (no E) or against the part's name."""
+    a = F.col("p_type")
+    b = F.when(F.col("p_partkey") % 2 == 0, F.replace(a, F.lit("E"), F.lit(""))).otherwise(F.col("p_name"))
+    x = table(spark, sf, "part").select("p_partkey", "p_type", b.alias("other"))
+    lcs = lcs_fast(a, F.col("other"), char_masks(F.col("other")))
+    return x.select("p_partkey", "p_type", "other", indel_ratio(a, F.col("other"), lcs).alias("score"),
+                    passes_threshold(a, F.col("other"), lcs).alias("passes"))
 
 
 def clean_header_q(spark, sf):
@@ -323,8 +321,77 @@ def route_error(spark, sf):
 
 
 def inbox_manifest(spark, sf):
-    m = csv_inbox.manifest(spark, fixture_inbox(spark, sf, True))
-    return m.select("entry", "allowed", "ext", "kind", "file_ordinal")
+    """Manifest of an inbox with one entry per nation that has suppliers, its name from the tables."""
+    key = (app_id(spark), sf, "nations")
+    if key not in _INBOXES:
+        n = table(spark, sf, "nation")
+        ext = F.element_at(F.array(*[F.lit(e) for e in (".csv", ".txt", ".csv.csv", ".xls")]), (F.col("n_nationkey") % 4 + 1).cast("int"))
+        rows = table(spark, sf, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).select(
+            "s_name", F.concat("n_name", ext).alias("nation"))
+        _INBOXES[key] = scratch_path(spark, "nation_inbox")
+        rows.write.partitionBy("nation").option("header", "true").csv(_INBOXES[key])
+    return csv_inbox.manifest(spark, _INBOXES[key]).select("entry", "allowed", "ext", "kind", "file_ordinal")
+
+
+def _written(spark, sf, name, entries):
+    """Write (once per session and scale) CSV entries into a fresh inbox of the shared scratch folder."""
+    key = (app_id(spark), sf, name)
+    if key not in _INBOXES:
+        inbox = scratch_path(spark, f"{name}_inbox")
+        for entry, df in entries.items():
+            (df.write.option("header", "true").option("escape", '"').option("ignoreLeadingWhiteSpace", "false")
+             .option("ignoreTrailingWhiteSpace", "false").csv(f"{inbox}/{entry}"))
+        _INBOXES[key] = inbox
+    return _INBOXES[key]
+
+
+def csv_multiline(spark, sf):
+    """Whole documents as cells with line breaks, quotes and commas, under a header with a line break."""
+    d = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("CID"), F.col("text").alias("Var1"),
+                                             F.col("lang").alias("State\nof origin"))
+    sw = Sweep.from_csv_inbox(spark, _written(spark, sf, "texts", {"texts.csv": d}))
+    return sw.silver_rows.select("cid", "var1", F.lit(sw.datasets.first()["headers"][2]).alias("third_header"))
+
+
+def csv_wide(spark, sf):
+    """An entry of 1,500 columns."""
+    s = table(spark, sf, "supplier")
+    wide = s.select(F.col("s_suppkey").cast("string").alias("CID"), F.col("s_name").alias("SubscriberKey"),
+                    *[(F.col("s_suppkey") + i).cast("string").alias(f"x{i}") for i in range(1498)])
+    sw = Sweep.from_csv_inbox(spark, _written(spark, sf, "wide", {"wide.csv": wide}))
+    n = sw.datasets.select("file_name", F.size("headers").alias("n_cols"))
+    return sw.silver_rows.join(n, "file_name").select("file_name", "cid", "subscriberkey", "n_cols")
+
+
+def header_repair(spark, sf):
+    """Header lists made of nation names: repeated names, blanks, a name that is another's repetition."""
+    n = F.col("n_name")
+    names = (F.when(F.col("n_nationkey") % 3 == 0, F.array(n, n, F.concat(n, F.lit(".1")), F.lit("")))
+             .when(F.col("n_nationkey") % 3 == 1, F.array(F.concat(n, F.lit(".1")), n, n, n))
+             .otherwise(F.array(F.lit(""), n, F.lit("Unnamed: 0"), n)))
+    return table(spark, sf, "nation").select("n_name", F.array_join(csv_inbox.repair_headers(names), "|").alias("headers"))
+
+
+def silver_two_runs(spark, sf):
+    """Two deliveries under one dataset name: both runs' rows are kept, (run_id, rowid) is their key."""
+    from driftsweep.plans.run import run_sweep
+
+    key = (app_id(spark), sf, "two_runs")
+    if key not in _INBOXES:
+        c = table(spark, sf, "customer").orderBy("c_custkey").select(F.col("c_custkey").cast("string").alias("CID"), F.col("c_name").alias("SubscriberKey"))
+        s = table(spark, sf, "supplier").orderBy("s_suppkey").select(F.col("s_suppkey").cast("string").alias("CID"), F.col("s_name").alias("SubscriberKey"))
+        out = scratch_path(spark, "two_runs_out")
+        for run, df in (("run-1", c), ("run-2", s), ("run-2", s)):
+            run_sweep(spark, _written(spark, sf, run, {"weekly.csv": df}), out, run)
+        _INBOXES[key] = out
+    return tables.read_silver(spark, f"{_INBOXES[key]}/silver", with_run=True).select("run_id", "rowid", "file_name", "cid", "subscriberkey")
+
+
+def gold_pii_absent(spark, sf):
+    """Rows of gold, and rows in which any column still holds an e-mail address."""
+    g = Sweep.from_fixtures(spark, sf).gold
+    return g.groupBy("sourcefile").agg(F.count(F.lit(1)).alias("n_rows"),
+                                       F.count_if(F.concat_ws("|", *g.columns).contains("@")).alias("n_with_email"))
 
 
 def inbox_gates(spark, sf):
@@ -391,15 +458,14 @@ def _stream_out(spark, sf):
         inbox = scratch_path(spark, "stream_inbox")
         csv_inbox.write_fixture_inbox(spark, sf, inbox)
         out = scratch_path(spark, "stream_out")
-        sweep_stream.run_available(spark, inbox, out, scratch_path(spark, "stream_ckpt"),
-                                   archive=scratch_path(spark, "stream_archive"))
+        # a few files a time, so that entries of several parts are cut by micro-batches
+        sweep_stream.run_available(spark, inbox, out, scratch_path(spark, "stream_ckpt"), max_files_per_trigger=3)
         _INBOXES[key] = out
     return _INBOXES[key]
 
 
 def stream_sweep(spark, sf):
-    out = _stream_out(spark, sf)
-    return spark.read.parquet(f"{out}/silver_rows").select("file_name", *TARGETS)
+    return sweep_stream.read_stream_silver(spark, _stream_out(spark, sf)).select("file_name", *TARGETS)
 
 
 def stream_gold(spark, sf):
@@ -494,6 +560,11 @@ def registry() -> dict[str, Query]:
         "route_error": route_error,
         "inbox_manifest": inbox_manifest,
         "inbox_gates": inbox_gates,
+        "csv_multiline": csv_multiline,
+        "csv_wide": csv_wide,
+        "header_repair": header_repair,
+        "silver_two_runs": silver_two_runs,
+        "gold_pii_absent": gold_pii_absent,
         "csv_lineage": csv_lineage,
         "last_write_wins": last_write_wins,
         "silver_typed": silver_typed,

@@ -11,6 +11,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from driftsweep.operators import harmonise, quality, resolver
 from driftsweep.operators.joins import materialise_small
@@ -21,7 +22,7 @@ from driftsweep.sources import csv_inbox, fixtures
 class Sweep:
     def __init__(self, bronze, datasets: DataFrame, counts: DataFrame):
         # bronze: a DataFrame (file_name, source, part, src_row, cells array<string>), or a
-        # callable width -> DataFrame so a file scan materialises only the columns in use
+        # callable that gives one (a file scan)
         self.bronze = bronze
         self.datasets = datasets    # file_name, source, file_ordinal, fmt, sheet, n_rows, headers
         self.counts = counts        # file_name, source, pos, n_non_blank (data rows only)
@@ -33,31 +34,20 @@ class Sweep:
         return cls(bronze, fixtures.fixture_datasets(spark, counts), counts.where("pos >= 0"))
 
     @classmethod
-    def from_csv_inbox(cls, spark: SparkSession, inbox: str, width: int = csv_inbox.DEFAULT_WIDTH,
-                       multi_line: bool = True, split_bytes: int = csv_inbox.DEFAULT_SPLIT_BYTES) -> "Sweep":
-        """Sweep of every CSV entry in an inbox folder (see sources.csv_inbox)."""
+    def from_csv_inbox(cls, spark: SparkSession, inbox: str, entries: list[str] | None = None) -> "Sweep":
+        """Sweep of the CSV entries of an inbox folder, all or the named ones (see sources.csv_inbox)."""
         man = csv_inbox.manifest(spark, inbox)
-        if man.where("kind = 'csv' AND type_rank IS NOT NULL").isEmpty():
+        if entries is not None:
+            man = man.where(F.col("entry").isin(entries))
+        if man.where("kind = 'csv' AND type_rank IS NOT NULL AND n_parts > 0").isEmpty():
             sw = cls.empty(spark)
             sw.manifest = man
             return sw
-        return cls._from_csv(spark, csv_inbox.CsvInbox(spark, inbox, width, multi_line, split_bytes), man)
-
-    @classmethod
-    def from_csv_files(cls, spark: SparkSession, inbox: str, paths: list[str],
-                       width: int = csv_inbox.DEFAULT_WIDTH) -> "Sweep":
-        """Sweep of an explicit list of CSV files of an inbox (e.g. one stream micro-batch)."""
-        ci = csv_inbox.CsvInbox(spark, inbox, width, paths=paths)
-        return cls._from_csv(spark, ci, None)
-
-    @classmethod
-    def _from_csv(cls, spark: SparkSession, ci, man) -> "Sweep":
+        ci = csv_inbox.CsvInbox(spark, inbox, entries)
         profile, _ = materialise_small(ci.profile())     # hash aggregate; (#files x width) rows
-        parts = ci.parts(profile)
-        man = ci.entries_from_parts(parts) if man is None else man
-        status = ci.status(man, parts)
+        status = ci.status(man, ci.parts(profile))
         datasets = quality.last_write_wins(ci.datasets(status)).drop("sheet_no")
-        sw = cls(lambda w: ci.bronze(width=w), datasets, ci.counts(profile, datasets))
+        sw = cls(lambda: ci.bronze(datasets), datasets, ci.counts(profile, datasets))
         sw.manifest, sw.status = man, status
         return sw
 
@@ -70,27 +60,27 @@ class Sweep:
         datasets = spark.createDataFrame([], DATASET_SCHEMA)
         counts = spark.createDataFrame([], COUNTS_SCHEMA)
         sw = cls(bronze, datasets, counts)
-        sw.status = spark.createDataFrame([], "entry string, file_ordinal int, n_parts bigint, bytes bigint, status string, "
+        sw.status = spark.createDataFrame([], "entry string, file_ordinal int, n_parts bigint, bytes bigint, modified timestamp, status string, "
                                               "reason string, n_rows bigint, headers array<string>")
         return sw
 
     @classmethod
-    def from_inbox(cls, spark: SparkSession, inbox: str, width: int = csv_inbox.DEFAULT_WIDTH,
-                   multi_line: bool = True, split_bytes: int = csv_inbox.DEFAULT_SPLIT_BYTES) -> "Sweep":
-        """Sweep of every CSV and workbook entry of an inbox folder.
+    def from_inbox(cls, spark: SparkSession, inbox: str, entries: list[str] | None = None) -> "Sweep":
+        """Sweep of every CSV and workbook entry of an inbox folder (or of the named ones).
 
         Workbooks are decoded once (``mapInArrow``) into the shared scratch folder; both
         kinds then share the profile -> gates -> resolver -> silver plan.
         """
-        from pyspark.sql import functions as F
-
         from driftsweep.session import scratch_path
         from driftsweep.sources import xlsx_inbox
 
         man = csv_inbox.manifest(spark, inbox)
+        if entries is not None:
+            man = man.where(F.col("entry").isin(entries))
         kinds = {r.kind: r.n for r in man.where("type_rank IS NOT NULL").groupBy("kind")
-                 .agg(F.count(F.lit(1)).alias("n")).collect()}   # at most three rows
-        ci = csv_inbox.CsvInbox(spark, inbox, width, multi_line, split_bytes)
+                 .agg(F.sum(F.greatest("n_parts", F.lit(0))).alias("n")).collect()}   # at most three rows
+        names = None if entries is None else [e for e in entries if e.endswith(".csv")]
+        ci = csv_inbox.CsvInbox(spark, inbox, names)
         parts, statuses, counts, bronzes = [], [], [], []
         if kinds.get("csv"):
             cprof, _ = materialise_small(ci.profile())
@@ -99,7 +89,7 @@ class Sweep:
             parts.append(ci.datasets(cstatus).withColumn("sheet_no", F.lit(0)).withColumn("header_text_ok", F.lit(True)))
             statuses.append(cstatus)
             counts.append(lambda ds, p=cprof: ci.counts(p, ds))
-            bronzes.append(lambda ds, w: ci.bronze(width=w))
+            bronzes.append(ci.bronze)
         if kinds.get("xlsx") or kinds.get("xls"):
             rows_path = scratch_path(spark, "xlsx_rows")
             if kinds.get("xlsx"):
@@ -107,7 +97,7 @@ class Sweep:
                 rows = spark.read.parquet(rows_path)
             else:
                 rows = spark.createDataFrame([], xlsx_inbox.ROWS_SCHEMA)
-            xi = xlsx_inbox.XlsxInbox(spark, rows, width)
+            xi = xlsx_inbox.XlsxInbox(spark, rows)
             raw = xi.raw()
             xprof, _ = materialise_small(csv_inbox.profile_rows(raw))
             xhead, _ = materialise_small(csv_inbox.header_cells_rows(raw, xprof))
@@ -116,7 +106,7 @@ class Sweep:
             parts.append(xi.datasets(sheets, xstatus))
             statuses.append(xstatus)
             counts.append(lambda ds, p=xprof, h=xhead, q=sheets: xi.counts(p, h, q, ds))
-            bronzes.append(lambda ds, w, r=raw, q=sheets: xi.bronze(r, q, ds, w))
+            bronzes.append(lambda ds, r=raw, q=sheets: xi.bronze(r, q, ds))
         if not parts:
             sw = cls.empty(spark)     # empty inbox: fixed schemas flow through, no branch later
             sw.manifest, sw.status = man, sw.status
@@ -129,10 +119,10 @@ class Sweep:
         for c in counts[1:]:
             cnt = cnt.unionByName(c(ds))
 
-        def brz(w, ds=ds):
-            out = bronzes[0](ds, w)
+        def brz(ds=ds):
+            out = bronzes[0](ds)
             for b in bronzes[1:]:
-                out = out.unionByName(b(ds, w))
+                out = out.unionByName(b(ds))
             return out
         st = statuses[0]
         for x in statuses[1:]:
@@ -161,20 +151,8 @@ class Sweep:
     def mapping(self) -> DataFrame:
         return self._mapping[0]
 
-    @cached_property
-    def used_width(self) -> int:
-        """1 + the highest column position any dataset's mapping reads (one-row aggregate)."""
-        from pyspark.sql import functions as F
-
-        m, _ = self._mapping
-        from driftsweep.operators.resolver import source_col
-        from driftsweep.schema import TARGETS
-
-        top = m.select(F.max(F.greatest(*[F.col(source_col(t)) for t in TARGETS])).alias("p")).first().p
-        return 1 if top is None else int(top) + 1
-
     def bronze_rows(self) -> DataFrame:
-        return self.bronze(self.used_width) if callable(self.bronze) else self.bronze
+        return self.bronze() if callable(self.bronze) else self.bronze
 
     @cached_property
     def projected(self) -> DataFrame:
@@ -190,16 +168,14 @@ class Sweep:
     def silver(self) -> DataFrame:
         """Silver with a dense rowid in (dataset order, row order).
 
-        CSV batch sweeps number rows from runs of consecutive scan ids (no data shuffle);
-        other sources use the range-partitioned zip-with-index.
+        Scanned rows are written once and numbered from runs of consecutive scan ids (no data
+        shuffle); other sources use the range-partitioned zip-with-index.
         """
         rows = self.silver_rows
         if "_file" in rows.columns:      # data at rest written in row order (fixture bronze)
-            ided = with_dense_index_by_runs(rows, ["file_ordinal", "_file", "_blk"],
-                                            ["file_ordinal", "_file", "_blk", "_pid"], "_mid")
-        elif "_pid" in rows.columns:     # scanned files: ids run in file order
-            ided = with_dense_index_by_runs(rows, ["file_ordinal", "part", "_blk"],
-                                            ["file_ordinal", "part", "_blk", "_pid"], "src_row")
+            ided = with_dense_index_by_runs(rows, ["file_ordinal", "_file", "_blk"], "_mid")
+        elif "_blk" in rows.columns:     # scanned files: ids run in file order
+            ided = with_dense_index_by_runs(rows, ["file_ordinal", "part", "_blk"], "src_row")
         else:
             ided = with_dense_index(rows, harmonise.ROW_ORDER)
         return harmonise.silver_table(ided)

@@ -1,10 +1,12 @@
-"""One sweep run, end to end: inbox -> status -> silver (append) -> gold (rebuilt).
+"""One sweep run, end to end: inbox -> status, quarantine -> silver (append) -> gold (rebuilt).
 
     python -m driftsweep --inbox <folder> --out <folder> [--run-id 2024-01-02_030405]
 
-writes ``<out>/status`` (one row per inbox entry and run: good / error + reason),
-appends ``<out>/silver`` (partitioned by file_name; dynamic overwrite makes a re-run of
-the same files idempotent) and rebuilds ``<out>/gold`` from all of silver.
+writes ``<out>/status`` (one row per inbox entry and run: good / error + reason), puts the files
+of unreadable entries into ``<out>/quarantine``, adds the run to ``<out>/silver`` (partitioned by
+run_id and file_name; rows of earlier runs stay, a repeated run_id replaces its own rows) and
+rebuilds ``<out>/gold`` from all of silver. An entry that an earlier run recorded with the same
+size and modification time is not swept again.
 """
 
 from __future__ import annotations
@@ -12,27 +14,56 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftsweep.operators import harmonise
 from driftsweep.plans.medallion import Sweep
+from driftsweep.session import prepare
 from driftsweep.sinks import tables
+from driftsweep.sources import csv_inbox
 
+STATUS = "entry string, file_ordinal int, n_parts bigint, bytes bigint, modified timestamp, status string, reason string, n_rows bigint, run_id string"
 
-def run_sweep(spark: SparkSession, inbox: str, out: str, run_id: str | None = None,
-              idempotent: bool = True) -> dict[str, int]:
-    """Sweep ``inbox`` once; returns row counts of what was written."""
+
+def recorded(spark: SparkSession, out: str) -> DataFrame:
+    """Status rows of all runs so far (none before the first run)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{out}/status")
+    there = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    return spark.read.schema(STATUS).parquet(f"{out}/status") if there else spark.createDataFrame([], STATUS)
+
+
+def new_entries(spark: SparkSession, inbox: str, out: str, run_id: str) -> list[str]:
+    """Names of the inbox entries that no other run has recorded in their present state."""
+    seen = recorded(spark, out).where(F.col("run_id") != run_id).select("entry", "bytes", "modified")
+    man = csv_inbox.manifest(spark, inbox).where("type_rank IS NOT NULL")
+    same = [man[c].eqNullSafe(seen[c]) for c in ("entry", "bytes", "modified")]
+    return [r.entry for r in man.join(seen, same[0] & same[1] & same[2], "left_anti").select("entry").collect()]
+
+
+def quarantine(spark: SparkSession, inbox: str, status: DataFrame, path: str) -> None:
+    """The files of unreadable entries, as they are (path, content), partitioned by run."""
+    root = csv_inbox.qualified(spark, inbox)
+    bad = status.where("status = 'error' AND n_parts > 0").select("entry", "reason", "run_id")
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(inbox)
+             .withColumn("entry", csv_inbox.entry_of(F.col("path"), root)))
+    (files.join(bad, "entry").select("entry", "reason", "path", "content", "run_id")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path))
+
+
+def run_sweep(spark: SparkSession, inbox: str, out: str, run_id: str | None = None) -> dict[str, int]:
+    """Sweep the new entries of ``inbox`` once; returns row counts of what was written."""
     out = out.rstrip("/")
     run_id = run_id or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d_%H%M%S")
-    sw = Sweep.from_inbox(spark, inbox)
+    sw = Sweep.from_inbox(spark, inbox, new_entries(spark, inbox, out, run_id))
     status = sw.status.drop("headers").withColumn("run_id", F.lit(run_id))
     (status.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy("run_id").parquet(f"{out}/status"))
-    tables.append_silver(sw.silver, f"{out}/silver", idempotent=idempotent)
+    written = spark.read.schema(STATUS).parquet(f"{out}/status").where(F.col("run_id") == run_id)
+    quarantine(spark, inbox, written, f"{out}/quarantine")
+    tables.append_silver(sw.silver, f"{out}/silver", run_id=run_id)
     silver = tables.read_silver(spark, f"{out}/silver")
     tables.write_gold(harmonise.gold(silver), f"{out}/gold")
-    written = spark.read.parquet(f"{out}/status").where(F.col("run_id") == run_id)
     return {
         "entries": written.count(),
         "errors": written.where("status = 'error'").count(),
@@ -46,13 +77,9 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--inbox", required=True)
     ap.add_argument("--out", required=True)
     ap.add_argument("--run-id", default=None)
-    ap.add_argument("--append", action="store_true", help="plain append instead of dynamic overwrite")
     args = ap.parse_args(argv)
-    spark = SparkSession.builder.appName("driftsweep").getOrCreate()
-    from driftsweep.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(spark)
-    print(run_sweep(spark, args.inbox, args.out, args.run_id, idempotent=not args.append))
+    spark = prepare(SparkSession.builder.appName("driftsweep").getOrCreate())
+    print(run_sweep(spark, args.inbox, args.out, args.run_id))
 
 
 if __name__ == "__main__":

@@ -169,13 +169,3 @@ COUNTS_SCHEMA = T.StructType([
     T.StructField("pos", T.IntegerType(), True),
     T.StructField("n_non_blank", T.LongType(), True),
 ])
-
-MATCH_REPORT_SCHEMA = T.StructType([
-    T.StructField("file_name", T.StringType(), False),
-    T.StructField("target", T.StringType(), False),
-    T.StructField("alias_no", T.IntegerType(), False),
-    T.StructField("query", T.StringType(), False),
-    T.StructField("found", T.StringType(), True),
-    T.StructField("score", T.DoubleType(), True),
-    T.StructField("row_count", T.LongType(), True),
-])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -32,32 +33,26 @@ def local_session(cores: int | str = "*", app: str = "driftsweep", extra: dict |
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local runs, tests) is a private folder created.
+    A private folder stands in for it only where driver and executors are one process (tests,
+    local runs); any other master without the setting is an error, as executors would not
+    see the driver's folder.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001  (remote session: no SparkContext in this process)
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        if not configured:
-            configured = tempfile.mkdtemp(prefix="driftsweep-ckpt-", dir="/tmp")
-            spark.conf.set("spark.checkpoint.dir", configured)
-        return configured
+    sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="driftsweep-ckpt-", dir="/tmp")
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        configured = tempfile.mkdtemp(prefix="driftsweep-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
 def app_id(spark: SparkSession) -> str:
     """Identifier of the running application (memo keys for tables written once per run)."""
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001
-        return spark.conf.get("spark.app.id", None) or str(id(spark))
+    return spark.sparkContext.applicationId
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -67,15 +62,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make ``driftsweep`` importable in Python workers (header repair, workbook decoding).
+    """Make ``driftsweep`` importable in Python workers (workbook decoding).
 
     Spark's own mechanism, as ``--py-files`` does: the package is zipped once on the driver
     and added with ``addPyFile``, which serves it to every executor. Idempotent.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001  (remote session: the server side provides the package)
-        return
+    sc = spark.sparkContext
     if getattr(sc, "_driftsweep_shipped", False):
         return
     import os

@@ -1,7 +1,8 @@
 """Silver and gold sinks (parquet; the format is a parameter).
 
 * silver: fixed 35-column schema, rowid and file_name NOT NULL, partitioned by file_name,
-  appended per run (or dynamic partition overwrite for idempotent re-delivery);
+  appended per run; with a ``run_id`` partitioned by (run_id, file_name), where writing the
+  same run again replaces that run only and earlier deliveries stay: (run_id, rowid) is unique;
 * gold: rebuilt from all of silver and overwritten, written compact (rebalance hint);
 * reads prune partitions: ``read_silver(..., dataset=...)`` shows PartitionFilters.
 
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from driftsweep.schema import GOLD_SCHEMA, SILVER_ORDER, SILVER_SCHEMA
 
@@ -57,33 +59,32 @@ def typed_silver(df: DataFrame) -> DataFrame:
 
 
 def append_silver(df: DataFrame, path: str | None = None, table: str | None = None,
-                  idempotent: bool = False, fmt: str = "parquet", rebalance: bool = False) -> None:
-    """K4: append silver partitioned by file_name (dynamic partition overwrite if idempotent)."""
+                  run_id: str | None = None, fmt: str = "parquet", rebalance: bool = False) -> None:
+    """K4: append silver, partitioned by file_name; under ``run_id`` (path only) by (run_id, file_name)."""
     out = typed_silver(df)
     if rebalance:
         out = out.hint("rebalance", "file_name")
     if table is not None:
         # by position: the table's data columns, then its partition column (file_name last)
-        w = out.write.format(fmt)
-        if idempotent:
-            w.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
-        else:
-            w.insertInto(table)
-        return
-    w = out.write.format(fmt).partitionBy("file_name")
-    if idempotent:
-        w.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(path)
+        out.write.format(fmt).insertInto(table)
+    elif run_id is None:
+        out.write.format(fmt).partitionBy("file_name").mode("append").save(path)
     else:
-        w.mode("append").save(path)
+        (out.withColumn("run_id", F.lit(run_id)).write.format(fmt).partitionBy("run_id", "file_name")
+         .mode("overwrite").option("partitionOverwriteMode", "dynamic").save(path))
 
 
-def read_silver(spark: SparkSession, path: str, dataset: str | None = None, fmt: str = "parquet") -> DataFrame:
-    """K7: read silver back in its declared order; a dataset filter prunes partitions."""
-    schema = SILVER_SCHEMA
+def read_silver(spark: SparkSession, path: str, dataset: str | None = None, fmt: str = "parquet",
+                with_run: bool = False) -> DataFrame:
+    """K7: read silver back in its declared order; a dataset filter prunes partitions.
+
+    ``with_run`` adds the run_id of a silver table written per run.
+    """
+    schema = T.StructType([*SILVER_SCHEMA.fields, T.StructField("run_id", T.StringType())]) if with_run else SILVER_SCHEMA
     df = spark.read.format(fmt).schema(schema).load(path)
     if dataset is not None:
         df = df.where(F.col("file_name") == dataset)
-    return df.select(*SILVER_ORDER)
+    return df.select(*SILVER_ORDER, *(["run_id"] if with_run else []))
 
 
 def write_gold(gold: DataFrame, path: str, fmt: str = "parquet") -> None:

@@ -1,56 +1,47 @@
 """CSV inbox sweep: manifest, readability probe, dataset catalogue, bronze rows.
 
 An inbox *entry* is a top-level item of the inbox folder: a plain ``name.csv`` file or a
-folder of part files (what Spark itself writes). Nothing is looped per file on the driver;
-the driver only holds file metadata (names, widths), as Spark's own file listing does.
-
-Pass 0 reads every file as text and keeps the first non-empty line of each (the header):
-a quote-aware token count gives the file's exact width, and its tokens the header names.
-Pass 1 (probe) reads each group of files of one width with exactly that many columns,
-``header=true``, and aggregates per (file, field position) in a hash partial aggregate:
-non-blank counts, record counts, overlong rows, decode failures. Pass 2 (bronze) reads the
-same groups again and yields (file_name, source, part, src_row, cells). Only entries
-accepted by pass 1 survive the later join with the resolver mapping.
-
-Reader choices that mirror the tabular reader being replaced: header in row 0, every value
-text, quote ``"`` doubled to escape, blank lines skipped, a row with more fields than the
-header (an empty extra field included) is an error, one record may span lines
-(``multiLine``) in files up to ``split_bytes``; larger files are read splittably so that one
-big source is spread over many tasks (their records must not span lines). A header line
-is one physical line.
+folder of part files (what Spark itself writes). The driver holds the entries' names, as
+the folder listing does, and nothing per file.
+
+Files are read as lines, splittably, at any size and any width:
+
+* pass 0 (``files``) groups the text lines by file: the header line, invalid UTF-8, and
+  whether some line leaves a quoted field open;
+* the data rows (``rows``) come from a line scan that drops each file's header line. In a
+  file without open lines every line is a record. Files with open lines (their *content*
+  decides, not their size) have their lines put together again: a line either sets, flips
+  or keeps the state inside/outside quotes, so windows over the file's lines give the
+  state before each line and hence the records. Such a file is one task's work;
+* a record without quotes is split at its commas; only records with quotes go through the
+  pattern that finds quoted fields.
+
+Reader rules that mirror the tabular reader being replaced: header in the first record,
+every value text, quote ``"`` doubled to escape, records of blanks only are skipped, a
+record with more fields than the header (an empty extra field included) is an error, so
+is a quote that is still open at the end of the file. A line break inside quotes is
+kept as ``\\n``.
 """
 
 from __future__ import annotations
 
 import re
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from driftsweep.functions.text import dataset_name, extension, na_to_null, non_blank
 from driftsweep.operators.rowid import with_dense_index
 from driftsweep.schema import INBOX_EXTENSIONS
 
-DEFAULT_WIDTH = 1024   # widest header accepted (each file is read at its own width)
-DEFAULT_SPLIT_BYTES = 512 * 1024 * 1024
 _TYPE_RANK = {".xlsx": 0, ".xls": 1, ".csv": 2}
 
 
 def qualified(spark: SparkSession, path: str) -> str:
     """Fully qualified form of a folder path, as Spark reports file paths."""
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return fs.makeQualified(p).toString().rstrip("/")
-    except Exception:  # noqa: BLE001  (remote session: qualify by rule)
-        import os
-
-        if re.match(r"^[A-Za-z][A-Za-z0-9+.-]*:", path):
-            return path.rstrip("/")
-        return "file:" + os.path.abspath(path).rstrip("/")
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.makeQualified(p).toString().rstrip("/")
 
 
 def _decoded(path_col):
@@ -71,29 +62,18 @@ def type_rank(entry):
     return r
 
 
-SMALL_MANIFEST = 200_000   # entries numbered by one window below this, distributed above
-
-
 def top_level_entries(spark: SparkSession, inbox: str) -> DataFrame:
     """Names of the inbox's top-level items (one directory listing, metadata only).
 
     Needed because Spark's file scans skip zero-byte files, which must still be reported
     (and quarantined) as empty.
     """
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(inbox)
+    it = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatusIterator(p)
     names = []
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(inbox)
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        it = fs.listStatusIterator(p)
-        while it.hasNext():
-            st = it.next()
-            names.append((st.getPath().getName(), bool(st.isDirectory())))
-    except Exception:  # noqa: BLE001  (remote session: list a locally mounted folder)
-        import os
-
-        local = inbox[len("file:"):] if inbox.startswith("file:") else inbox
-        names = [(n, os.path.isdir(os.path.join(local, n))) for n in os.listdir(local)]
+    while it.hasNext():
+        st = it.next()
+        names.append((st.getPath().getName(), bool(st.isDirectory())))
     names = [(n, d) for n, d in names if not n.startswith((".", "_"))]
     return spark.createDataFrame(names, "entry string, is_dir boolean")
 
@@ -113,7 +93,6 @@ def manifest(spark: SparkSession, inbox: str) -> DataFrame:
              .agg(F.count(F.lit(1)).alias("n_parts"), F.sum("length").alias("bytes"),
                   F.max("modificationTime").alias("modified")))
     listed = top_level_entries(spark, inbox)
-    n_listed = listed.count()   # local relation built from the listing: no job
     per_entry = (listed.join(sized, "entry", "left")
                  .select("entry", F.coalesce("n_parts", F.lit(0)).alias("n_parts"),
                          F.coalesce("bytes", F.lit(0)).alias("bytes"), "modified"))
@@ -123,56 +102,68 @@ def manifest(spark: SparkSession, inbox: str) -> DataFrame:
     m = per_entry.select("*", allowed.alias("allowed"), ext.alias("ext"), kind.alias("kind"),
                          type_rank(F.col("entry")).alias("type_rank"))
     typed = m.where(F.col("type_rank").isNotNull())
-    if n_listed <= SMALL_MANIFEST:
-        # bounded by the listing size checked above: one small window is cheapest
-        ranked = typed.withColumn("file_ordinal", F.row_number().over(Window.orderBy("type_rank", "entry")) - 1)
-    else:
-        ranked = with_dense_index(typed, ["type_rank", "entry"], "file_ordinal")
+    ranked = with_dense_index(typed, ["type_rank", "entry"], "file_ordinal")
     ranked = ranked.withColumn("file_ordinal", (F.col("file_ordinal") + 1).cast("int"))
     return ranked.unionByName(m.where(F.col("type_rank").isNull()).withColumn("file_ordinal", F.lit(None).cast("int")))
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def repair_headers(headers: pd.Series) -> pd.Series:
-    """Reader header rules: blank -> 'Unnamed: i'; repeated names get '.k' suffixes.
+def repair_headers(names: Column) -> Column:
+    """Reader header rules on a list of names: blank -> 'Unnamed: i'; repeated names get '.k'.
 
-    Runs on the per-file header lists only (one row per file), never on data rows.
+    The o-th repetition of a name takes the o-th positive number k for which 'name.k' is not
+    itself a name of the header; names given by the file come before 'Unnamed' ones.
     """
-    def fix(names):
-        names = [n if n is not None and n != "" else f"Unnamed: {i}" for i, n in enumerate(list(names))]
-        counts: dict[str, int] = {}
-        for i, col in enumerate(names):
-            cur = counts.get(col, 0)
-            while cur > 0:
-                counts[col] = cur + 1
-                col = f"{col}.{cur}"
-                cur = counts.get(col, 0)
-            names[i] = col
-            counts[col] = cur + 1
-        return names
-    return headers.map(fix)
+    blank = lambda x: x.isNull() | (x == "")
+    marked = F.transform(names, lambda x, i: F.struct(
+        F.when(blank(x), F.concat(F.lit("Unnamed: "), i.cast("string"))).otherwise(x).alias("n"),
+        (blank(x).cast("int") * F.size(names) + i).alias("turn")))     # unnamed ones take their turn last
+    plain = F.transform(marked, lambda x: x["n"])
+
+    def name(x: Column) -> Column:
+        earlier = F.size(F.filter(marked, lambda y: (y["n"] == x["n"]) & (y["turn"] < x["turn"])))
+        free = F.filter(F.sequence(F.lit(1), F.size(names) + 1),
+                        lambda k: ~F.array_contains(plain, F.concat(x["n"], F.lit("."), k.cast("string"))))
+        return F.when(earlier == 0, x["n"]).otherwise(
+            F.concat(x["n"], F.lit("."), F.get(free, earlier - 1).cast("string")))
+    return F.when(F.size(F.array_distinct(plain)) == F.size(names), plain).otherwise(F.transform(marked, name))
 
 
-# Commas outside double quotes (quote parity to the end of the text): exact CSV token
-# boundaries for a header line or a malformed record, with doubled quotes as escapes.
-_FIELD_SPLIT = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
-_GLOB_CHARS = re.compile(r"([\[\]{}*?\\])")
+# A closed quoted run, and a field up to its comma: quoted (text may follow) or plain.
+_QUOTED = '"[^"]*+(?:""[^"]*+)*+"'
+_FIELD = f'(?:{_QUOTED}[^,]*|[^",][^,]*|)'
+_OPEN_TAIL = '"[^"]*+(?:""[^"]*+)*+$'
+_OPENS = f"(?s)^(?:{_FIELD},)*+{_OPEN_TAIL}"
+_STAYS = f'(?s)^[^"]*+(?:""[^"]*+)*+(?:$|"[^,]*,(?:{_FIELD},)*+{_OPEN_TAIL})'
+_TOKEN = f"(?s),(?:{_QUOTED}[^,]*|[^,]*)"
+_CLOSED = '(?s)^,"([^"]*+(?:""[^"]*+)*+)"(.*)$'
 
 
-def _glob_escape(path: str) -> str:
-    return _GLOB_CHARS.sub(r"\\\1", path)
+def opens(line: Column) -> Column:
+    """A line that begins outside quotes ends inside a quoted field."""
+    return F.contains(line, F.lit('"')) & line.rlike(_OPENS)
 
 
-def _unquote(tok):
-    """A CSV token as text: surrounding quotes removed, doubled quotes undone."""
-    quoted = tok.startswith('"') & tok.endswith('"') & (F.length(tok) >= 2)
-    inner = F.regexp_replace(tok, '^"|"$', "")
-    return F.when(quoted, F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(tok)
+def stays(line: Column) -> Column:
+    """A line that begins inside a quoted field ends inside one."""
+    return line.rlike(_STAYS)
 
 
-def token_count(text) -> F.Column:
-    """Number of CSV fields in a line or record, trailing empty fields included."""
-    return F.size(F.split(text, _FIELD_SPLIT, -1))
+def _unquoted(token: Column) -> Column:
+    """Text of a field with its leading comma: surrounding quotes removed, doubled quotes undone."""
+    inner = F.replace(F.regexp_extract(token, _CLOSED, 1), F.lit('""'), F.lit('"'))
+    return (F.when(token.rlike(_CLOSED), F.concat(inner, F.regexp_extract(token, _CLOSED, 2)))
+            .otherwise(F.substring(token, 2, 2**31 - 1)))
+
+
+def fields(record: Column) -> Column:
+    """Texts of a record's fields, trailing empty ones included; only records with quotes need the pattern."""
+    quoted = F.transform(F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(_TOKEN), F.lit(0)), _unquoted)
+    return F.when(F.contains(record, F.lit('"')), quoted).otherwise(F.split(record, ",", -1))
+
+
+def has_text(line: Column) -> Column:
+    """Some character beyond blanks and control characters (other records are skipped)."""
+    return line.rlike("[^\\x00-\\x20]")
 
 
 # ---- helpers for rows that still hold their header row (decoded workbook sheets)
@@ -206,159 +197,127 @@ def header_cells_rows(raw: DataFrame, profile: DataFrame) -> DataFrame:
 
 
 class CsvInbox:
-    """Probe + catalogue + bronze for every CSV entry of an inbox folder.
-
-    Each file is parsed with exactly its own width: Spark's CSV reader handles a row whose
-    field count differs from the schema as a malformed record (an exception per row), so a
-    catch-all wide schema would make every row slow. Hence:
-
-    1. header lines from a ``text`` scan: the first non-empty line of each file's first
-       split (hash ``min(id)`` + equi-join on the same DataFrame); exact token counts give
-       the width, trailing empty fields included;
-    2. one CSV scan per distinct width over exactly the files of that width (few widths in
-       practice), ``header=true``; only genuinely short or overlong rows take the
-       malformed-record path, and ``_corrupt_record`` gives their true field count.
-    """
+    """Probe + catalogue + bronze for the CSV entries of an inbox folder (see the module docstring).
 
-    def __init__(self, spark: SparkSession, inbox: str, width: int = DEFAULT_WIDTH, multi_line: bool = True,
-                 split_bytes: int = DEFAULT_SPLIT_BYTES, paths: list[str] | None = None):
-        from driftsweep.session import ship_package
+    ``entries`` restricts the sweep to some top-level items (one run's new ones, a stream's
+    changed ones); their names come from the folder listing.
+    """
 
-        ship_package(spark)   # header repair runs in Python workers
-        self.spark, self.inbox, self.width, self.multi_line = spark, inbox.rstrip("/"), width, multi_line
-        self.split_bytes = split_bytes
+    def __init__(self, spark: SparkSession, inbox: str, entries: list[str] | None = None):
+        self.spark, self.inbox = spark, inbox.rstrip("/")
         self.root = qualified(spark, self.inbox)
-        self.glob = f"{self.inbox}/*.csv"   # case-sensitive, like the original discovery
-        self.sources = [_glob_escape(p) for p in paths] if paths else [self.glob]
-        self._headers: DataFrame | None = None
-        self._groups: list[tuple[int, list[str]]] | None = None
+        escape = lambda name: re.sub(r"([\[\]{}*?\\])", r"\\\1", name)
+        # case-sensitive, like the original discovery
+        self.sources = [f"{self.inbox}/*.csv"] if entries is None else [f"{self.inbox}/{escape(e)}" for e in entries]
+        self._files: DataFrame | None = None
+        self._several = False
 
-    # -- pass 0: header lines ---------------------------------------------------------------
+    # -- pass 0: one row per file -----------------------------------------------------------
 
-    def _text(self) -> DataFrame:
-        t = self.spark.read.text(self.sources)
-        part = F.col("_metadata.file_path")
-        return t.select(entry_of(part, self.root).alias("entry"), _decoded(part).alias("part"),
-                        F.col("_metadata.file_block_start").alias("_blk"),
-                        F.monotonically_increasing_id().alias("mid"), F.col("value").alias("line"))
+    def _lines(self) -> DataFrame:
+        return self.spark.read.text(self.sources).select(
+            F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_blk"),
+            F.monotonically_increasing_id().alias("mid"), "value")
 
-    def header_lines(self) -> DataFrame:
-        from driftsweep.operators.joins import join_checked
+    def _records(self, paths: DataFrame) -> DataFrame:
+        """(path, rec_no, record, unclosed) of the files in ``paths``, lines put together.
 
-        lines = self._text().where(F.length("line") > 0)          # blank lines are skipped
-        first = lines.where(F.col("_blk") == 0).groupBy("part").agg(F.min("mid").alias("mid"))
-        return join_checked(lines.select("entry", "part", "mid", "line"), first, ["part", "mid"]) \
-            .select("entry", "part", F.regexp_replace("line", "^\ufeff", "").alias("line"))
+        A line sets the state (both rules agree), flips it, or keeps it; the state after a line is
+        the value last set, flipped as often as lines since then flip it.
+        """
+        from driftsweep.operators.joins import join_checked
 
-    def file_headers(self) -> DataFrame:
-        """Per file: exact width and the repaired header list (materialised, one row per file)."""
-        if self._headers is None:
+        lines = join_checked(self._lines(), paths.select("path"), ["path"], salt_from=["mid"])
+        lines = lines.withColumns({"_a": opens(F.col("value")), "_b": stays(F.col("value"))})
+        order = Window.partitionBy("path").orderBy("_blk", "mid")
+        lines = lines.withColumn("_seg", F.sum((F.col("_a") == F.col("_b")).cast("int")).over(order))
+        within = Window.partitionBy("path", "_seg").orderBy("_blk", "mid")
+        flips = F.sum((F.col("_a") & ~F.col("_b")).cast("int")).over(within)
+        base = F.coalesce(F.first(F.when(F.col("_a") == F.col("_b"), F.col("_a"))).over(within), F.lit(False))
+        lines = lines.withColumn("_after", base != (flips % 2 == 1))
+        before = F.coalesce(F.lag("_after").over(order), F.lit(False))
+        lines = lines.withColumn("_new", ~before)
+        lines = lines.withColumn("_rec", F.sum(F.col("_new").cast("long")).over(order))
+        pieces = F.array_sort(F.collect_list(F.struct("_blk", "mid", "value")))
+        return (lines.groupBy("path", F.col("_rec").alias("rec_no"))
+                .agg(F.array_join(F.transform(pieces, lambda x: x["value"]), "\n").alias("record"),
+                     F.max_by("_after", F.struct("_blk", "mid")).alias("unclosed"))
+                .where(has_text(F.col("record"))))
+
+    def files(self) -> DataFrame:
+        """Per file: path, entry, part, headers, width, several (records span lines), bad_text, unclosed."""
+        if self._files is None:
             from driftsweep.operators.joins import materialise_small
 
-            h = self.header_lines().withColumn("tokens", F.split(F.col("line"), _FIELD_SPLIT, -1))
-            h = h.withColumn("n_tok", F.size("tokens"))
-            names = F.slice(F.transform("tokens", _unquote), 1, F.least(F.col("n_tok"), F.lit(self.width)))
-            out = h.select("entry", "part", F.least(F.col("n_tok"), F.lit(self.width)).alias("width"),
-                           repair_headers(names).alias("headers"), (F.col("n_tok") > self.width).alias("too_wide"))
-            self._headers = materialise_small(out)[0]
-        return self._headers
-
-    def width_groups(self) -> list[tuple[int, list[str]]]:
-        """(width, sources) per distinct header width.
-
-        Only the distinct widths come to the driver when every file shares one width (the
-        usual case: one export template); then the original sources are read as they are.
-        With several widths the file list of each width is passed explicitly (metadata the
-        driver holds anyway when Spark lists files).
-        """
-        if self._groups is None:
-            h = self.file_headers()
-            kinds = h.groupBy("width", "too_wide").count().collect()   # a handful of rows
-            widths = sorted({int(r.width) for r in kinds if not r.too_wide})
-            if len(widths) == 1 and not any(r.too_wide for r in kinds):
-                self._groups = [(widths[0], list(self.sources))]
-            else:
-                groups: dict[int, list[str]] = {}
-                for r in h.where(~F.col("too_wide")).select("width", "part").collect():
-                    groups.setdefault(int(r.width), []).append(_glob_escape(r.part))
-                self._groups = sorted(groups.items())
-        return self._groups
-
-    # -- exact-width scans ----------------------------------------------------------------
-
-    def _scan_width(self, w: int, files: list[str]) -> DataFrame:
-        schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(w)]
-                              + [T.StructField("_corrupt_record", T.StringType())])
-
-        def read(multi_line: bool) -> DataFrame:
-            return (self.spark.read.schema(schema).option("header", "true").option("enforceSchema", "true")
-                    .option("multiLine", str(multi_line).lower()).option("escape", '"')
-                    .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
-                    .csv(files))
-
-        def rows(df: DataFrame) -> DataFrame:
-            part = F.col("_metadata.file_path")
-            bad = F.col("_corrupt_record")
-            return df.select(entry_of(part, self.root).alias("entry"), _decoded(part).alias("part"),
-                             F.col("_metadata.file_block_start").alias("_blk"),
-                             F.monotonically_increasing_id().alias("mid"), F.spark_partition_id().alias("_pid"),
-                             F.array(*[F.col(f"_c{i}") for i in range(w)]).alias("cells"),
-                             F.when(bad.isNotNull(), token_count(bad)).alias("n_tok"))
-
-        size = F.col("_metadata.file_size")
-        if not self.multi_line:
-            return rows(read(False))
-        # small files whole (records may span lines); big files split over many tasks
-        return rows(read(True).where(size <= self.split_bytes)).unionByName(rows(read(False).where(size > self.split_bytes)))
-
-    def _scans(self, pad_to: int | None = None) -> DataFrame | None:
-        out = None
-        for w, files in self.width_groups():
-            df = self._scan_width(w, files)
-            if pad_to is not None:
-                n = min(pad_to, self.width)
-                pad = [F.lit(None).cast("string")] * max(0, n - w)
-                df = df.withColumn("cells", F.slice(F.concat(F.col("cells"), F.array(*pad)) if pad else F.col("cells"), 1, n))
-            out = df if out is None else out.unionByName(df)
-        return out
+            v = F.col("value")
+            first = F.min(F.when(has_text(v), F.struct("_blk", "mid", "value")))
+            # collect_set keeps this an object-hash aggregate although a buffer holds text
+            agg = self._lines().groupBy("path").agg(
+                first.alias("first"), F.collect_set(F.when(opens(v), F.lit(True))).alias("open"),
+                F.count_if(~F.is_valid_utf8(v)).alias("n_bad"))
+            agg = agg.select("path", F.col("first.value").alias("record"), (F.size("open") > 0).alias("several"),
+                             (F.col("n_bad") > 0).alias("bad_text"), F.lit(False).alias("unclosed"))
+            agg, _ = materialise_small(agg)
+            several, n = materialise_small(agg.where("several").select("path"))
+            self._several = n > 0
+            if self._several:
+                own = self._records(several).groupBy("path").agg(
+                    F.min_by("record", "rec_no").alias("_record"), F.bool_or("unclosed").alias("_unclosed"))
+                agg = (agg.join(own, "path", "left")
+                       .select("path", F.coalesce("_record", "record").alias("record"), "several", "bad_text",
+                               F.coalesce("_unclosed", "unclosed").alias("unclosed")))
+            agg = agg.where(F.col("record").isNotNull()).withColumn(
+                "names", fields(F.regexp_replace("record", "^\ufeff", "")))
+            out = agg.select("path", entry_of(F.col("path"), self.root).alias("entry"), _decoded(F.col("path")).alias("part"),
+                             F.size("names").alias("width"), repair_headers(F.col("names")).alias("headers"),
+                             "several", "bad_text", "unclosed")
+            self._files = materialise_small(out)[0]
+        return self._files
+
+    # -- data rows ----------------------------------------------------------------------------
+
+    def rows(self) -> DataFrame:
+        """(path, _blk, mid, cells as written) of every data record. In a file's split the ``mid`` are consecutive."""
+        from driftsweep.operators.joins import join_checked
+
+        files = self.files()
+        # one column per line: no quoting, a separator that lines rarely hold (a line with it arrives
+        # whole in _line); the reader drops each file's first line with text, and lines without text
+        lines = (self.spark.read.schema("value string, _line string").option("header", "true")
+                 .option("enforceSchema", "true").option("sep", "\u0001").option("quote", "").option("escape", "")
+                 .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_line").csv(self.sources))
+        out = lines.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_blk"),
+                           F.monotonically_increasing_id().alias("mid"),
+                           F.coalesce("_line", "value").alias("record"))
+        if self._several:
+            several = files.where("several").select("path")
+            single = join_checked(out, files.where("not several").select("path"), ["path"], salt_from=["mid"])
+            w = Window.partitionBy("path").orderBy("rec_no")
+            whole = (self._records(several).withColumn("mid", F.row_number().over(w).cast("long"))
+                     .where("mid > 1").select("path", F.lit(0).cast("long").alias("_blk"), "mid", "record"))
+            out = single.select("path", "_blk", "mid", "record").unionByName(whole)
+        return out.select("path", "_blk", "mid", fields(F.col("record")).alias("cells"))
 
     # -- pass 1: profile -------------------------------------------------------------------
 
     def profile(self) -> DataFrame:
-        """Per (entry, part, pos) data-row statistics; pos -1 carries record counts and the
-        overlong test. One hash partial aggregate per scan, exploding real fields only."""
-        scans = self._scans()
-        if scans is None:
-            return self.spark.createDataFrame([], "entry string, part string, pos int, n_present bigint, "
-                                                  "n_non_blank bigint, n_bad_text bigint, n_overlong bigint")
+        """Per (path, pos): non-blank cells; pos -1 carries the records and the widest record.
+
+        One hash partial aggregate over the exploded fields; a file ships a row per field and task.
+        """
         marked = F.concat(F.array(F.lit("\u0001")), F.col("cells"))
-        x = (scans.select("entry", "part", "n_tok", F.size("cells").alias("w"), F.posexplode(marked).alias("p1", "value"))
-             .where(F.col("value").isNotNull()))
-        v = F.col("value")
-        marker = F.col("p1") == 0
-        return (x.groupBy("entry", "part", (F.col("p1") - 1).alias("pos"))
-                .agg(F.count(F.lit(1)).alias("n_present"),
-                     F.count_if(~marker & non_blank(na_to_null(v))).alias("n_non_blank"),
-                     F.count_if(v.contains("\ufffd")).alias("n_bad_text"),
-                     F.count_if(marker & (F.col("n_tok") > F.col("w"))).alias("n_overlong")))
+        x = self.rows().select("path", F.size("cells").alias("w"), F.posexplode(marked).alias("p1", "value"))
+        return (x.groupBy("path", (F.col("p1") - 1).alias("pos"))
+                .agg(F.count(F.lit(1)).alias("n_rows"),
+                     F.count_if((F.col("p1") > 0) & non_blank(na_to_null(F.col("value")))).alias("n_non_blank"),
+                     F.max("w").alias("max_width")))
 
     def parts(self, profile: DataFrame) -> DataFrame:
-        """Per physical file: headers, data rows, width, overlong / too-wide / decode flags."""
-        h = self.file_headers()
-        per = profile.groupBy("entry", "part").agg(
-            F.max(F.when(F.col("pos") == -1, F.col("n_present"))).alias("n_rows"),
-            F.sum("n_overlong").alias("n_overlong"), F.sum("n_bad_text").alias("n_bad_text"))
-        return (h.join(per, ["entry", "part"], "left")
-                .select("entry", "part", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), "width", "headers",
-                        (F.coalesce("n_overlong", F.lit(0)) > 0).alias("overlong"), "too_wide",
-                        (F.coalesce("n_bad_text", F.lit(0)) > 0).alias("bad_text")))
-
-    def entries_from_parts(self, parts_df: DataFrame) -> DataFrame:
-        """Manifest rows for the entries seen in a stream micro-batch."""
-        e = parts_df.groupBy("entry").agg(F.count(F.lit(1)).alias("n_parts")).withColumn("bytes", F.lit(None).cast("long"))
-        e = e.select("*", F.lit("csv").alias("kind"), type_rank(F.col("entry")).alias("type_rank"))
-        out = with_dense_index(e, ["type_rank", "entry"], "file_ordinal")
-        return out.withColumn("file_ordinal", (F.col("file_ordinal") + 1).cast("int"))
+        """Per physical file: headers, data rows, width, overlong / decode / quote flags."""
+        per = profile.where("pos = -1").select("path", "n_rows", "max_width")
+        return (self.files().join(per, "path", "left")
+                .select("path", "entry", "part", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), "width", "headers",
+                        (F.coalesce("max_width", F.lit(0)) > F.col("width")).alias("overlong"), "bad_text", "unclosed"))
 
     def status(self, manifest_df: DataFrame, parts_df: DataFrame) -> DataFrame:
         """Readability per CSV entry: good, or error with a reason (probe S10 + route S12)."""
@@ -366,16 +325,16 @@ class CsvInbox:
             F.min_by("headers", "part").alias("headers"),
             F.count_distinct("headers").alias("n_header_sets"),
             F.sum("n_rows").alias("n_rows"),
-            F.bool_or("overlong").alias("overlong"), F.bool_or("too_wide").alias("too_wide"),
+            F.bool_or("overlong").alias("overlong"), F.bool_or("unclosed").alias("unclosed"),
             F.bool_or("bad_text").alias("bad_text"))
         csv = manifest_df.where((F.col("kind") == "csv") & F.col("entry").endswith(".csv"))
         j = csv.join(per_entry, "entry", "left")
         reason = (F.when(F.col("n_rows").isNull(), "empty")
                    .when(F.col("bad_text"), "decode_error")
-                   .when(F.col("too_wide"), "too_wide")
+                   .when(F.col("unclosed"), "unclosed_quote")
                    .when(F.col("overlong"), "overlong")
                    .when(F.col("n_header_sets") > 1, "header_mismatch"))
-        return j.select("entry", "file_ordinal", "n_parts", "bytes",
+        return j.select("entry", "file_ordinal", "n_parts", "bytes", "modified",
                         F.when(reason.isNull(), "good").otherwise("error").alias("status"),
                         reason.alias("reason"), F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
                         F.coalesce("headers", F.array().cast("array<string>")).alias("headers"))
@@ -388,23 +347,22 @@ class CsvInbox:
                            "headers")
 
     def counts(self, profile: DataFrame, datasets_df: DataFrame) -> DataFrame:
-        """Non-blank data cells per (dataset, position) (the scans hold data rows only)."""
-        c = profile.where("pos >= 0").groupBy("entry", "pos").agg(F.sum("n_non_blank").alias("n_non_blank"))
+        """Non-blank data cells per (dataset, position)."""
+        c = (profile.where("pos >= 0").join(self.files().select("path", "entry"), "path")
+             .groupBy("entry", "pos").agg(F.sum("n_non_blank").alias("n_non_blank")))
         return (c.join(datasets_df.select("file_name", F.col("source").alias("entry")), "entry")
                 .select("file_name", F.col("entry").alias("source"), "pos", F.col("n_non_blank").cast("long")))
 
-    def bronze(self, width: int | None = None) -> DataFrame:
-        """Pass 2: data rows of every CSV entry, values padded to ``width`` positions."""
-        width = self.width if width is None else min(width, self.width)
-        rows = self._scans(pad_to=width)
-        if rows is None:
-            from driftsweep.schema import BRONZE_SCHEMA
-
-            return self.spark.createDataFrame([], BRONZE_SCHEMA)
-        cells = F.array(*[na_to_null(F.col("cells")[i]) for i in range(width)])
-        return rows.select(dataset_name(F.col("entry"), F.lit(None).cast("string")).alias("file_name"),
-                           F.col("entry").alias("source"), "part", F.col("mid").alias("src_row"),
-                           cells.alias("cells"), "_blk", "_pid")
+    def bronze(self, datasets_df: DataFrame) -> DataFrame:
+        """Pass 2: data rows of the datasets, cells as written (the projection applies the missing-value
+        tokens to the cells it uses). What belongs to a file is joined from one row per file."""
+        from driftsweep.operators.joins import join_checked
+
+        per_file = (self.files().select("path", F.col("entry").alias("source"), "part")
+                    .join(datasets_df.select("file_name", "source"), "source")
+                    .select("path", "file_name", "source", "part"))
+        return (join_checked(self.rows(), per_file, ["path"], salt_from=["_blk", "mid"])
+                .select("file_name", "source", "part", F.col("mid").alias("src_row"), "cells", "_blk"))
 
 
 def write_fixture_inbox(spark: SparkSession, sf_dir: str, inbox: str, layouts=None) -> str:

@@ -232,8 +232,8 @@ def persisted_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     from driftsweep.sources.csv_inbox import _decoded
 
     df = spark.read.parquet(_PERSISTED[key])
-    # scan ids for shuffle-free row numbering: physical file, split offset, id, partition
+    # scan ids for shuffle-free row numbering: physical file, split offset, id
     return df.select("file_name", "source", "part", "src_row", "cells",
                      _decoded(F.col("_metadata.file_path")).alias("_file"),
                      F.col("_metadata.file_block_start").alias("_blk"),
-                     F.monotonically_increasing_id().alias("_mid"), F.spark_partition_id().alias("_pid"))
+                     F.monotonically_increasing_id().alias("_mid"))

@@ -8,8 +8,7 @@ cells whose style is a date format become ``YYYY-MM-DD HH:MM:SS`` text, the way
 tabular reader being replaced renders them as text. Everything after decoding (header
 row, counts, gates, resolver, silver) is the DataFrame plan shared with the CSV sweep.
 
-A workbook is one task (the zip format is not splittable); ``max_bytes`` sends larger
-workbooks to quarantine instead of loading them. BIFF ``.xls`` files are not decoded: they
+A workbook is one task (the zip format is not splittable). BIFF ``.xls`` files are not decoded: they
 are quarantined with reason ``unsupported_xls``.
 """
 
@@ -29,8 +28,6 @@ from pyspark.sql import types as T
 from driftsweep.functions.text import dataset_name, na_to_null, non_blank
 from driftsweep.sources.csv_inbox import entry_of, qualified
 
-DEFAULT_MAX_BYTES = 512 * 1024 * 1024
-
 ROWS_SCHEMA = T.StructType([
     T.StructField("entry", T.StringType()),
     T.StructField("sheet_no", T.IntegerType()),
@@ -151,7 +148,7 @@ def decode_workbook(entry: str, content: bytes):
         yield (entry, -1, None, -1, -1, None, None, f"unreadable: {type(e).__name__}")
         return
     for sheet_no, (name, path) in enumerate(sheets):
-        seq = 0
+        seq = last = 0
         try:
             with z.open(path) as fh:
                 for _, el in ET.iterparse(fh, events=("end",)):
@@ -185,9 +182,13 @@ def decode_workbook(entry: str, content: bytes):
                         if val is not None and val != "":
                             values[col] = val
                             text_flags.append(t in ("s", "str", "inlineStr"))
+                    row_no = int(el.get("r")) if el.get("r") else last + 1
                     if values:
                         width = max(values) + 1
-                        row_no = int(el.get("r")) if el.get("r") else -1
+                        for blank in range(last + 1, row_no):     # rows without values stay rows
+                            yield (entry, sheet_no, name, blank, seq, [], True, None)
+                            seq += 1
+                        last = row_no
                         yield (entry, sheet_no, name, row_no, seq, [values.get(i) for i in range(width)],
                                all(text_flags), None)
                         seq += 1
@@ -196,7 +197,7 @@ def decode_workbook(entry: str, content: bytes):
             yield (entry, sheet_no, name, -1, -1, None, None, f"unreadable sheet: {type(e).__name__}")
 
 
-def _decode_batches(batches, root: str, max_bytes: int, batch_rows: int = 4096):
+def _decode_batches(batches, batch_rows: int = 4096):
     cols = {k: [] for k in _ARROW_SCHEMA.names}
 
     def flush():
@@ -207,10 +208,8 @@ def _decode_batches(batches, root: str, max_bytes: int, batch_rows: int = 4096):
 
     for b in batches:
         d = b.to_pydict()
-        for entry, length, content in zip(d["entry"], d["length"], d["content"]):
-            rows = ([(entry, -1, None, -1, -1, None, None, "too_large")] if length > max_bytes
-                    else decode_workbook(entry, content))
-            for r in rows:
+        for entry, content in zip(d["entry"], d["content"]):
+            for r in decode_workbook(entry, content):
                 for k, v in zip(_ARROW_SCHEMA.names, r):
                     cols[k].append(v)
                 if len(cols["entry"]) >= batch_rows:
@@ -219,26 +218,14 @@ def _decode_batches(batches, root: str, max_bytes: int, batch_rows: int = 4096):
         yield flush()
 
 
-def workbook_rows(spark: SparkSession, inbox: str, max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
-    """Decoded rows of every ``*.xlsx`` entry (one task per workbook).
-
-    The size test runs before any content is read: ``binaryFile`` pushes filters on
-    ``length`` down, so oversized workbooks are quarantined from their metadata alone.
-    """
+def workbook_rows(spark: SparkSession, inbox: str) -> DataFrame:
+    """Decoded rows of every ``*.xlsx`` entry (one task per workbook)."""
     from driftsweep.session import ship_package
 
     ship_package(spark)   # the decoder runs in Python workers
     root = qualified(spark, inbox)
     files = spark.read.format("binaryFile").load(f"{inbox.rstrip('/')}/*.xlsx")
-    entry = entry_of(F.col("path"), root).alias("entry")
-    small = files.where(F.col("length") <= max_bytes).select(entry, "length", "content")
-    decoded = small.mapInArrow(lambda it: _decode_batches(it, root, max_bytes), ROWS_SCHEMA)
-    too_large = files.where(F.col("length") > max_bytes).select(
-        entry, F.lit(-1).alias("sheet_no"), F.lit(None).cast("string").alias("sheet"),
-        F.lit(-1).cast("long").alias("row_no"), F.lit(-1).cast("long").alias("seq"),
-        F.lit(None).cast("array<string>").alias("cells"), F.lit(None).cast("boolean").alias("all_text"),
-        F.lit("too_large").alias("error"))
-    return decoded.unionByName(too_large)
+    return files.select(entry_of(F.col("path"), root).alias("entry"), "content").mapInArrow(_decode_batches, ROWS_SCHEMA)
 
 
 class XlsxInbox:
@@ -248,21 +235,17 @@ class XlsxInbox:
     every later pass reads that table.
     """
 
-    def __init__(self, spark: SparkSession, rows: DataFrame, width: int):
-        self.spark, self.width = spark, width
+    def __init__(self, spark: SparkSession, rows: DataFrame):
+        self.spark = spark
         self.rows = rows.where(F.col("error").isNull())
         self.errors = rows.where(F.col("error").isNotNull()).select("entry", "error").distinct()
 
     def raw(self) -> DataFrame:
         """Rows in the shape of the row-profile input: one 'part' per sheet, values as decoded
-        (no padding). A row wider than the limit keeps a marker in the last slot so the
-        sheet is flagged too wide."""
-        cells = F.when(F.size("cells") > self.width + 1,
-                       F.concat(F.slice("cells", 1, self.width), F.array(F.lit("\u0001")))).otherwise(F.col("cells"))
+        (no padding)."""
         return self.rows.select("entry", F.concat_ws("!", "entry", F.col("sheet_no").cast("string")).alias("part"),
                                 "sheet_no", "sheet", F.lit(0).cast("long").alias("_blk"), F.col("seq").alias("mid"),
-                                F.spark_partition_id().alias("_pid"),
-                                "all_text", cells.alias("cells"))
+                                "all_text", "cells")
 
     def sheets(self, profile: DataFrame, headers: DataFrame, raw: DataFrame) -> DataFrame:
         """Per sheet: header list (pandas rules: width = widest row), data rows, text header."""
@@ -280,22 +263,19 @@ class XlsxInbox:
                                                 F.min_by("all_text", "mid").alias("header_text_ok"))
         return (g.join(meta, ["entry", "part"])
                 .select("entry", "part", "sheet_no", "sheet", "hdr_mid", "n_records", width.alias("width"),
-                        repair_headers(names).alias("headers"), "header_text_ok",
-                        (F.col("last_pos") >= self.width).alias("too_wide")))
+                        repair_headers(names).alias("headers"), "header_text_ok"))
 
     def status(self, manifest_df: DataFrame, sheets_df: DataFrame) -> DataFrame:
         """Readability per workbook entry; old-format .xls is not decoded (quarantined)."""
         per = sheets_df.groupBy("entry").agg(F.count(F.lit(1)).alias("n_sheets"),
-                                             F.sum(F.col("n_records") - 1).alias("n_rows"),
-                                             F.bool_or("too_wide").alias("too_wide"))
+                                             F.sum(F.col("n_records") - 1).alias("n_rows"))
         err = self.errors.groupBy("entry").agg(F.min("error").alias("error"))
         books = manifest_df.where(F.col("kind").isin("xlsx", "xls") & F.col("type_rank").isin(0, 1))
         j = books.join(per, "entry", "left").join(err, "entry", "left")
         reason = (F.when(F.col("kind") == "xls", "unsupported_xls")
                    .when(F.col("error").isNotNull(), F.col("error"))
-                   .when(F.col("too_wide"), "too_wide")
                    .when(F.col("n_sheets").isNull(), "empty"))
-        return j.select("entry", "file_ordinal", "n_parts", "bytes",
+        return j.select("entry", "file_ordinal", "n_parts", "bytes", "modified",
                         F.when(reason.isNull(), "good").otherwise("error").alias("status"),
                         reason.alias("reason"), F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
                         F.array().cast("array<string>").alias("headers"))
@@ -317,15 +297,12 @@ class XlsxInbox:
         return (c.join(datasets_df.select("file_name", F.col("source").alias("part")), "part")
                 .select("file_name", F.col("part").alias("source"), "pos", F.col("n_non_blank").cast("long")))
 
-    def bronze(self, raw: DataFrame, sheets_df: DataFrame, datasets_df: DataFrame, width: int | None = None) -> DataFrame:
+    def bronze(self, raw: DataFrame, sheets_df: DataFrame, datasets_df: DataFrame) -> DataFrame:
         """Data rows: each sheet's header row removed by a join with one row per sheet."""
         from driftsweep.operators.joins import join_checked
 
-        hdr = sheets_df.select("part", "hdr_mid")
-        rows = join_checked(raw, hdr, ["part"]).where(F.col("mid") != F.col("hdr_mid"))
-        width = self.width if width is None else min(width, self.width)
-        cells = F.array(*[na_to_null(F.try_element_at("cells", F.lit(i + 1))) for i in range(width)])
-        names = datasets_df.select("file_name", F.col("source").alias("part"))
-        return (join_checked(rows, names, ["part"])
-                .select("file_name", F.col("part").alias("source"), "part", F.col("mid").alias("src_row"),
-                        cells.alias("cells"), "_blk", "_pid"))
+        per_sheet = sheets_df.select("part", "hdr_mid").join(
+            datasets_df.select("file_name", F.col("source").alias("part")), "part")
+        rows = join_checked(raw, per_sheet, ["part"], salt_from=["mid"]).where(F.col("mid") != F.col("hdr_mid"))
+        return rows.select("file_name", F.col("part").alias("source"), "part", F.col("mid").alias("src_row"),
+                           F.transform("cells", na_to_null).alias("cells"), "_blk")

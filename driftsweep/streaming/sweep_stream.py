@@ -1,88 +1,111 @@
 """T1/T2: incremental inbox sweep with Structured Streaming.
 
-The file source's checkpoint records which files were processed, so each inbox file is
-swept once (exactly-once pickup); ``cleanSource=archive`` moves processed files out of the
-inbox into an archive folder (done by a *later* micro-batch, so the folder is not a status:
-the quarantine/manifest table is). Each micro-batch runs the batch plan in ``foreachBatch``:
-profile -> gates -> resolver -> silver rows -> gold, appended to parquet sinks.
-
-The stream's own source is a cheap ``text`` read used only to learn which files arrived; a
-micro-batch (bounded by ``maxFilesPerTrigger``) then runs the batch sweep over exactly
-those files. Entries should be complete when they land in the inbox (write elsewhere, then
-move), so all parts of one entry arrive in the same micro-batch.
+The stream is only a signal of which *entries* changed: the file source's checkpoint records the
+files it has seen, and a micro-batch's distinct entry names start a batch sweep of those entries as
+a whole, every file they hold by then. However a micro-batch cuts an entry's files, the last one
+that touches it sweeps all of it, so gates, counts, mapping and row order are those of the batch
+plan. Workbooks and CSV entries are swept alike.
+
+Sinks under ``out_dir``: ``silver`` (the 33 targets, rowid and epoch; partitioned by dataset),
+``gold`` (partitioned by dataset) and ``status`` (partitioned by epoch). A sweep replaces the
+partitions of its datasets, so a replayed micro-batch changes nothing, and (epoch, rowid) is unique.
+If two entries name the same dataset, the one later in discovery order wins, also across
+micro-batches: ``owners`` records which entry each dataset's rows come from.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from driftsweep.operators import harmonise
 from driftsweep.plans.medallion import Sweep
-from driftsweep.schema import TARGETS
+from driftsweep.schema import GOLD_ORDER, SILVER_ORDER
 from driftsweep.sources import csv_inbox
 
-
-DEFAULT_MAX_FILES_PER_TRIGGER = 1000
+OWNERS = "file_name string, type_rank int, owner string, epoch long"
 
 
 def start_sweep_stream(spark: SparkSession, inbox: str, out_dir: str, checkpoint: str,
-                       archive: str | None = None, width: int = csv_inbox.DEFAULT_WIDTH,
-                       max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
-                       available_now: bool = True):
+                       max_files_per_trigger: int | None = None, available_now: bool = True):
     """Start the incremental sweep; returns the StreamingQuery.
 
-    ``max_files_per_trigger`` bounds a micro-batch (it is persisted for its passes), so a
-    large backlog is swept in several batches rather than one.
-
-    Sinks under ``out_dir``: ``silver_rows`` (file_name, run epoch, the 33 targets),
-    ``gold`` (the gold columns) and ``status`` (probe result per entry and epoch).
+    ``max_files_per_trigger`` only sets how many files may announce themselves in one micro-batch.
     """
-    # the file source only tells which files are new; each micro-batch then runs the batch
-    # sweep over exactly those files (header lines, exact-width CSV scans, resolver, silver)
-    reader = spark.readStream.format("text")
-    if archive:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    reader = spark.readStream.format("binaryFile").schema(
+        "path string, modificationTime timestamp, length long, content binary").option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    # the file path must be taken in the stream itself: a micro-batch has no _metadata
-    stream = reader.load(f"{inbox.rstrip('/')}/*.csv").select(F.col("_metadata.file_path").alias("_file_path"))
+    root = csv_inbox.qualified(spark, inbox)
+    # only the path is selected: no file content is read here
+    stream = reader.load(inbox).select(csv_inbox.entry_of(F.col("path"), root).alias("entry"))
 
     def process(batch: DataFrame, epoch: int) -> None:
-        # at most max_files_per_trigger paths
-        paths = [r.p for r in batch.select(csv_inbox._decoded(F.col("_file_path")).alias("p")).distinct().collect()]
-        if not paths:
-            return
-        sw = Sweep.from_csv_files(spark, inbox, sorted(paths), width)
-        rows = sw.silver_rows.withColumn("epoch", F.lit(epoch).cast("long")).persist()
-        try:
-            _write_epoch(rows.select("file_name", "epoch", *TARGETS), f"{out_dir}/silver_rows")
-            _write_epoch(harmonise.gold(rows).withColumn("epoch", F.lit(epoch).cast("long")), f"{out_dir}/gold")
-            _write_epoch(sw.status.withColumn("epoch", F.lit(epoch).cast("long")).drop("headers"), f"{out_dir}/status")
-        finally:
-            rows.unpersist()
+        # names of changed inbox entries: part of the folder's listing
+        entries = sorted(r.entry for r in batch.distinct().collect())
+        if entries:
+            sweep_entries(spark, inbox, out_dir, entries, epoch)
 
     writer = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()
 
 
-def _write_epoch(df: DataFrame, path: str) -> None:
-    """Idempotent per micro-batch: a replayed epoch overwrites only its own partition."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("epoch").parquet(path))
-
-
-def run_available(spark: SparkSession, inbox: str, out_dir: str, checkpoint: str, archive: str | None = None,
-                  width: int = csv_inbox.DEFAULT_WIDTH) -> None:
+def _owners(spark: SparkSession, out_dir: str, epoch: int) -> DataFrame:
+    """The latest owner of each dataset before this micro-batch."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{out_dir}/owners")
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        return spark.createDataFrame([], "file_name string, type_rank int, owner string")
+    rows = spark.read.schema(OWNERS).parquet(f"{out_dir}/owners").where(F.col("epoch") < epoch)
+    last = F.max(F.struct("epoch", "type_rank", "owner")).alias("o")
+    return rows.groupBy("file_name").agg(last).select("file_name", "o.type_rank", "o.owner")
+
+
+def sweep_entries(spark: SparkSession, inbox: str, out_dir: str, entries: list[str], epoch: int) -> None:
+    """Sweep whole entries and replace their datasets, unless a later entry owns the dataset."""
+    sw = Sweep.from_inbox(spark, inbox, entries)
+    rank = sw.manifest.select(F.col("entry").alias("owner"), "type_rank")
+    own = (sw.datasets.select("file_name", F.split_part("source", F.lit("!"), F.lit(1)).alias("owner"))
+           .join(rank, "owner").select("file_name", "type_rank", "owner"))
+    old = _owners(spark, out_dir, epoch).select("file_name", F.struct("type_rank", "owner").alias("_old"))
+    own = own.join(old, "file_name", "left").where(
+        F.col("_old").isNull() | (F.col("_old") <= F.struct("type_rank", "owner"))).drop("_old")
+    _write(own.withColumn("epoch", F.lit(epoch).cast("long")), f"{out_dir}/owners", "epoch")
+    mine = spark.read.schema(OWNERS).parquet(f"{out_dir}/owners").where(F.col("epoch") == epoch).select("file_name")
+    silver = sw.silver.join(mine, "file_name", "left_semi").select(
+        F.lit(epoch).cast("long").alias("epoch"), *SILVER_ORDER)
+    _write(silver, f"{out_dir}/silver", "file_name")
+    gold = harmonise.gold(_silver(spark, out_dir).where(F.col("epoch") == epoch))
+    _write(gold, f"{out_dir}/gold", "sourcefile")
+    _write(sw.status.withColumn("epoch", F.lit(epoch).cast("long")).drop("headers"), f"{out_dir}/status", "epoch")
+
+
+def _silver(spark: SparkSession, out_dir: str) -> DataFrame:
+    fields = [T.StructField("epoch", T.LongType()), T.StructField("rowid", T.LongType()),
+              *[T.StructField(c, T.StringType()) for c in SILVER_ORDER[1:]]]
+    return spark.read.schema(T.StructType(fields)).parquet(f"{out_dir}/silver")
+
+
+def _write(df: DataFrame, path: str, by: str) -> None:
+    """Replace the partitions of ``by`` that the rows belong to."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+
+
+def run_available(spark: SparkSession, inbox: str, out_dir: str, checkpoint: str,
+                  max_files_per_trigger: int | None = None) -> None:
     """Process everything currently in the inbox, then stop."""
-    q = start_sweep_stream(spark, inbox, out_dir, checkpoint, archive, width)
+    q = start_sweep_stream(spark, inbox, out_dir, checkpoint, max_files_per_trigger)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
 
 
-def read_stream_gold(spark: SparkSession, out_dir: str) -> DataFrame:
-    from driftsweep.schema import GOLD_ORDER
+def read_stream_silver(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Silver columns and the epoch that wrote them."""
+    return _silver(spark, out_dir)
+
 
-    return spark.read.parquet(f"{out_dir}/gold").select(*GOLD_ORDER)
+def read_stream_gold(spark: SparkSession, out_dir: str) -> DataFrame:
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in GOLD_ORDER])
+    return spark.read.schema(schema).parquet(f"{out_dir}/gold").select(*GOLD_ORDER)

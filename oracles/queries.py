@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from driftsweep.schema import DATE_TARGETS, NA_TOKENS, TARGETS
+from driftsweep.schema import DATE_TARGETS, GOLD_ORDER, NA_TOKENS, TARGETS
 from oracles.duck import DUCK_DATE_FORMATS, chain, date_sql, in_list, lcs_sql, ratio_sql, silver_select
 
 NAMES_FROM_PAGES = """names AS (
@@ -51,14 +51,10 @@ def sql() -> dict[str, str]:
         "best_header": f"{c} SELECT file_name, target, alias_no, found, found_pos, score FROM rep",
         "non_blank_counts": f"{c} SELECT file_name, header, n_non_blank FROM cnt",
         "date_normalise": f"{c} SELECT file_name, src_row, {d} FROM filled",
-        "silver_date_rejects": f"""{c},
-          dv AS (SELECT file_name, unnest([{", ".join(repr(x) for x in DATE_TARGETS)}]) AS target,
-                        unnest([{d}]) AS value FROM proj),
-          rj AS (SELECT file_name, target,
-                        count(*) FILTER (WHERE {_nb('value')} AND try_strptime(value, {DUCK_DATE_FORMATS}) IS NULL) AS n_rejects,
-                        count(*) FILTER (WHERE {_nb('value')}) AS n_values
-                 FROM dv GROUP BY file_name, target)
-          SELECT file_name, target, n_rejects, n_values FROM rj WHERE n_rejects > 0""",
+        "silver_date_rejects": f"""WITH {MIXED_DATES}
+            SELECT 'dates' AS file_name, 'createddate' AS target,
+                   count(*) FILTER (WHERE {_nb('raw')} AND try_strptime(raw, {DUCK_DATE_FORMATS}) IS NULL) AS n_rejects,
+                   count(*) FILTER (WHERE {_nb('raw')}) AS n_values FROM mixed""",
         "split_name": f"{c} SELECT file_name, src_row, firstname, lastname FROM filled",
         "fill_cid": f"{c} SELECT file_name, src_row, cid, var1, var2, var3, var4 FROM filled",
         "rowid": f"{c} SELECT rowid, file_name, emailaddress FROM silver",
@@ -81,13 +77,13 @@ def sql() -> dict[str, str]:
               count(*) FILTER (WHERE v IN {in_list(NA_TOKENS)}) AS n_na,
               count(*) FILTER (WHERE v IS NULL OR v IN {in_list(NA_TOKENS)}) AS n_null_after
             FROM raw GROUP BY file_name, header""",
-        "indel_ratio": f"""WITH w AS (SELECT p_partkey, split_part(p_name, ' ', 1) AS w1, split_part(p_name, ' ', 2) AS w2 FROM part),
-            l AS (SELECT *, {lcs_sql('w1', 'w2')} AS lcs FROM w)
-            SELECT p_partkey, w1, w2, lcs, {ratio_sql('w1', 'w2', 'lcs')} AS score FROM l""",
-        "score_threshold": f"""WITH j AS (SELECT c_custkey, c_mktsegment, s_name FROM customer JOIN supplier ON c_custkey = s_suppkey),
-            l AS (SELECT *, {lcs_sql('c_mktsegment', 's_name')} AS lcs FROM j)
-            SELECT c_custkey, c_mktsegment, s_name, {ratio_sql('c_mktsegment', 's_name', 'lcs')} AS score,
-                   200 * lcs > 80 * (length(c_mktsegment) + length(s_name)) AS passes FROM l""",
+        "indel_ratio": f"""WITH l AS (SELECT p_partkey, p_name, p_type, {lcs_sql('p_name', 'p_type')} AS lcs FROM part)
+            SELECT p_partkey, p_name, p_type, CAST(lcs AS INTEGER) AS lcs, {ratio_sql('p_name', 'p_type', 'lcs')} AS score FROM l""",
+        "score_threshold": f"""WITH x AS (SELECT p_partkey, p_type,
+              CASE WHEN p_partkey % 2 = 0 THEN replace(p_type, 'E', '') ELSE p_name END AS other FROM part),
+            l AS (SELECT *, {lcs_sql('p_type', 'other')} AS lcs FROM x)
+            SELECT p_partkey, p_type, other, {ratio_sql('p_type', 'other', 'lcs')} AS score,
+                   200 * lcs > 80 * (length(p_type) + length(other)) AS passes FROM l""",
         "clean_header": """SELECT p_partkey, p_type, trim(lower(regexp_replace(p_type, '[^a-zA-Z]', '', 'g'))) AS cleaned FROM part""",
         "date_normalise_mixed": f"WITH {MIXED_DATES} SELECT o_orderkey, raw, {date_sql('raw')} AS normalised FROM mixed",
         "date_reject_report": f"""WITH {MIXED_DATES} SELECT form,
@@ -136,9 +132,24 @@ def sql() -> dict[str, str]:
         "probe_status": f"{entries} SELECT entry, status, reason, n_rows FROM ents",
         "route_good": f"{entries} SELECT entry, file_ordinal FROM ranked WHERE status = 'good'",
         "route_error": f"{entries} SELECT entry, reason FROM ranked WHERE status = 'error'",
-        "inbox_manifest": f"""{entries}
-            SELECT entry, true AS allowed, '.csv' AS ext, 'csv' AS kind, file_ordinal FROM ranked
-            UNION ALL SELECT 'notes.txt', false, '.txt', 'other', NULL""",
+        "inbox_manifest": """WITH e AS (SELECT DISTINCT n_name, CASE n_nationkey % 4 WHEN 0 THEN '.csv' WHEN 1 THEN '.txt'
+                WHEN 2 THEN '.csv.csv' ELSE '.xls' END AS x FROM nation JOIN supplier ON n_nationkey = s_nationkey),
+              m AS (SELECT 'nation=' || n_name || x AS entry, x <> '.txt' AS allowed, regexp_extract(x, '[.][a-z]+$') AS ext FROM e),
+              k AS (SELECT *, CASE ext WHEN '.xls' THEN 1 WHEN '.csv' THEN 2 END AS r FROM m)
+            SELECT entry, allowed, ext, CASE WHEN r IS NULL THEN 'other' ELSE substr(ext, 2) END AS kind,
+                   CASE WHEN r IS NOT NULL THEN CAST(row_number() OVER (ORDER BY r, entry) AS INTEGER) END AS file_ordinal FROM k""",
+        "csv_multiline": """SELECT CAST(doc_id AS VARCHAR) AS cid, text AS var1, 'State' || chr(10) || 'of origin' AS third_header
+                            FROM documents""",
+        "csv_wide": """SELECT 'wide' AS file_name, CAST(s_suppkey AS VARCHAR) AS cid, s_name AS subscriberkey, 1500 AS n_cols
+                       FROM supplier""",
+        "header_repair": """SELECT n_name, CASE n_nationkey % 3 WHEN 0 THEN n_name || '|' || n_name || '.2|' || n_name || '.1|Unnamed: 3'
+                              WHEN 1 THEN n_name || '.1|' || n_name || '|' || n_name || '.2|' || n_name || '.3'
+                              ELSE 'Unnamed: 0.1|' || n_name || '|Unnamed: 0|' || n_name || '.1' END AS headers FROM nation""",
+        "silver_two_runs": """SELECT 'run-1' AS run_id, row_number() OVER (ORDER BY c_custkey) - 1 AS rowid, 'weekly' AS file_name,
+                 CAST(c_custkey AS VARCHAR) AS cid, c_name AS subscriberkey FROM customer
+            UNION ALL SELECT 'run-2', row_number() OVER (ORDER BY s_suppkey) - 1, 'weekly', CAST(s_suppkey AS VARCHAR), s_name FROM supplier""",
+        "gold_pii_absent": f"""{c} SELECT sourcefile, count(*) AS n_rows,
+              count(*) FILTER (WHERE concat_ws('|', {', '.join(GOLD_ORDER)}) LIKE '%@%') AS n_with_email FROM gold GROUP BY sourcefile""",
         "inbox_gates": f"""{entries},
           g AS (
             SELECT regexp_replace(entry, '\\.csv$', '') AS file_name, n_rows,

@@ -113,9 +113,11 @@ def test_rowid_runs_across_split_files(spark, tmp_path):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
     try:
-        sw = Sweep.from_csv_inbox(spark, str(tmp_path), multi_line=False)
-        rows = sw.silver.select("rowid", "file_name", "cid").collect()
-        runs = sw.bronze_rows().select("part", "_blk", "_pid").distinct().count()
+        sw = Sweep.from_csv_inbox(spark, str(tmp_path))
+        silver = sw.silver
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")   # other packing after the rows are stored
+        rows = silver.select("rowid", "file_name", "cid").collect()
+        runs = sw.bronze_rows().select("part", "_blk").distinct().count()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert runs > 4                     # the files really were split over several partitions
@@ -144,30 +146,91 @@ def test_resolver_invariant_under_row_order(spark, tmp_path):
     assert got["fwd"] == got["rev"]
 
 
-def test_large_files_read_splittably_small_files_whole(spark, tmp_path):
-    """Above split_bytes a file is split over tasks; below it quoted newlines still work."""
-    (tmp_path / "big.csv").write_text("FirstName,CID\n" + "".join(f"Nb{i:05d},C{i}\n" for i in range(800)))
-    (tmp_path / "small.csv").write_text('FirstName,CID\nAnn,"two\nlines"\nBob,C2\n')
+TRICKY = {
+    "lines.csv": 'FirstName,CID\nAnn,"two\nlines"\nBob,C2\n"C""y","a,b"\n\n"x"y,"\n\n""q"\n',
+    "header.csv": '"First\nName",CID\nAnn,C1\nBob,C2\n',
+    "blank.csv": " \t\nFirstName,CID\n  Ann,C1\n \t \nBob,C2\n\n",
+    "inch.csv": 'FirstName,CID\n5" pipe,C1\n6" pipe,"C2"\n',
+    "fffd.csv": "FirstName,CID\n\ufffd,C1\nBob,C2\n",
+    "bom.csv": "\ufeffFirstName,CID\nAnn,C1\nBob,C2\n",
+    "soh.csv": "FirstName,CID\nA\u0001nn,C1\nBob,C\u00012\n",
+}
+
+
+@pytest.mark.parametrize("split", ["64", "128m"])
+def test_records_like_the_tabular_reader_at_any_split_size(spark, tmp_path, split):
+    import pandas as pd
+
+    for name, text in TRICKY.items():
+        (tmp_path / name).write_text(text, encoding="utf-8")
+    (tmp_path / "latin.csv").write_bytes(b"FirstName,CID\nAnn\xe9,C1\nBob,C2\n")
+    (tmp_path / "open.csv").write_text('FirstName,CID\nAnn,"C1\nBob,C2\n')
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
     try:
-        sw = Sweep.from_csv_inbox(spark, str(tmp_path), split_bytes=1000)
-        big_runs = sw.bronze_rows().where("file_name = 'big'").select("_blk", "_pid").distinct().count()
-        rows = sw.silver.select("rowid", "file_name", "cid").collect()
+        sw = Sweep.from_csv_inbox(spark, str(tmp_path))
+        status = {r.entry: (r.status, r.reason) for r in sw.status.collect()}
+        headers = {r.source: r.headers for r in sw.datasets.collect()}
+        got = {}
+        for r in sw.bronze_rows().select("source", "_blk", "src_row", F.col("cells").alias("c")).collect():
+            got.setdefault(r.source, []).append((r["_blk"], r.src_row, r.c))
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    assert big_runs > 3
-    rows.sort(key=lambda r: r.rowid)
-    assert [r.rowid for r in rows] == list(range(802))
-    assert [(r.file_name, r.cid) for r in rows] == [("big", f"C{i}") for i in range(800)] + [("small", "two\nlines"), ("small", "C2")]
+    assert status.pop("latin.csv") == ("error", "decode_error") and status.pop("open.csv") == ("error", "unclosed_quote")
+    for name in TRICKY:
+        want = pd.read_csv(tmp_path / name, dtype=str, keep_default_na=False)
+        assert status[name] == ("good", None) and headers[name] == list(want.columns)
+        rows = [c + [""] * (len(want.columns) - len(c)) for _, _, c in sorted(got[name])]
+        assert rows == want.values.tolist(), name
+
+
+def test_header_repair_like_the_tabular_reader(spark):
+    import io
+
+    import pandas as pd
+    from driftsweep.sources.csv_inbox import repair_headers
+
+    names = ["a,a,a.1", "a.1,a,a", "a,,b,", ",a,,a,Unnamed: 0", "a,a.1,a,a", "x,x,x,x.2,x", "a,b,c", ",,", "a,a,a.1,a.1"]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    got = {r.n: r.h for r in df.select("n", repair_headers(F.split("n", ",", -1)).alias("h")).collect()}
+    assert got == {n: list(pd.read_csv(io.StringIO(n + "\n" + "1," * n.count(",") + "1\n")).columns) for n in names}
+
+
+def test_wide_file(spark, tmp_path):
+    width = 1500
+    (tmp_path / "wide.csv").write_text(",".join(["FirstName", "CID", *[f"x{i}" for i in range(width)]]) + "\n"
+                                       + "".join(f"N{k},C{k}" + ",v" * width + "\n" for k in range(3)))
+    sw = Sweep.from_csv_inbox(spark, str(tmp_path))
+    assert [(r.status, r.n_rows, len(r.headers)) for r in sw.status.collect()] == [("good", 3, width + 2)]
+    assert sorted(r.cid for r in sw.silver.collect()) == ["C0", "C1", "C2"]
+
+
+def test_runs_with_gaps_stop_the_query(spark):
+    from driftsweep.operators.rowid import with_dense_index_by_runs
+
+    rows = spark.createDataFrame([(1, "a", 5), (1, "a", 6), (2, "b", 1), (2, "b", 3)], "o int, p string, m long")
+    ok = with_dense_index_by_runs(rows.where("o = 1"), ["o", "p"], "m")
+    assert sorted(r.rowid for r in ok.collect()) == [0, 1]
+    with pytest.raises(Exception, match="gaps"):
+        with_dense_index_by_runs(rows, ["o", "p"], "m").collect()
 
 
 def test_csv_silver_plan_has_no_shuffle(sweep):
-    """Projection + dense rowid over the data: broadcast joins only, no shuffle exchange."""
+    """Rows stored once, then numbered: broadcast joins only, no shuffle exchange; gold within codegen."""
     plan = sweep.silver._jdf.queryExecution().executedPlan().toString()
     shuffles = [l for l in plan.splitlines() if "Exchange" in l and "BroadcastExchange" not in l]
     assert shuffles == [], shuffles
-    assert "FileScan csv" in plan and "BroadcastHashJoin" in plan
+    assert "BroadcastHashJoin" in plan
+
+
+def test_gold_of_plain_files_is_all_codegen(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("FirstName,CID\nAnn,C1\nBob,C2\n")
+    gold = Sweep.from_csv_inbox(spark, str(tmp_path)).gold
+    gold.collect()
+    plan = gold._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Exchange" not in plan.replace("BroadcastExchange", "")
+    outside = [l for l in plan.splitlines() if "Project " in l and "*(" not in l]
+    assert len(outside) <= 1, plan     # the split of records at commas and quotes, right above the scan
 
 
 def test_awkward_file_names(spark, tmp_path):
@@ -188,14 +251,11 @@ def test_csv_sweep_of_inbox_without_csv(spark, tmp_path):
     assert [r.entry for r in sw.manifest.collect()] == ["notes.txt"]
 
 
-def test_profile_is_hash_aggregate_and_scans_exact_width(spark, tmp_path):
+def test_profile_is_a_hash_aggregate(spark, tmp_path):
     from driftsweep.sources.csv_inbox import CsvInbox
 
     (tmp_path / "a.csv").write_text("FirstName,CID\nAnn,C1\nBob,C2\n")
     (tmp_path / "b.csv").write_text("FirstName,CID,Var1\nAnn,C1,v\nBob,C2,w\n")
-    ci = CsvInbox(spark, str(tmp_path))
-    assert [w for w, _ in ci.width_groups()] == [2, 3]
-    plan = ci.profile()._jdf.queryExecution().executedPlan().toString()
+    plan = CsvInbox(spark, str(tmp_path)).profile()._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan
-    scans = [l for l in plan.splitlines() if "FileScan csv" in l]
-    assert scans and all("_c3" not in l for l in scans)      # no catch-all wide schema
+    assert len([l for l in plan.splitlines() if "FileScan csv" in l]) == 1     # one scan for all widths

@@ -36,13 +36,18 @@ def test_partition_pruning(spark):
     assert df.count() == df.where("file_name = 'canon'").count() > 0
 
 
-def test_idempotent_append(spark):
-    path = scratch_path(spark, "silver_idem")
+def test_runs_are_kept_and_a_repeated_run_adds_nothing(spark):
+    path = scratch_path(spark, "silver_runs")
     silver = Sweep.from_fixtures(spark, SF_SMALL).silver
     n = silver.count()
-    tables.append_silver(silver, path, idempotent=True)
-    tables.append_silver(silver, path, idempotent=True)
-    assert tables.read_silver(spark, path).count() == n
+    for run in ("r1", "r2", "r2"):
+        tables.append_silver(silver, path, run_id=run)
+    back = tables.read_silver(spark, path, with_run=True)
+    assert back.count() == 2 * n == back.select("run_id", "rowid").distinct().count()
+    plain = scratch_path(spark, "silver_append")
+    tables.append_silver(silver, plain)
+    tables.append_silver(silver, plain)
+    assert tables.read_silver(spark, plain).count() == 2 * n
 
 
 def test_not_null_enforced(spark):
@@ -139,20 +144,26 @@ def test_salted_fallback_gives_same_gold(spark):
     assert "_salt" in plan or "xxhash64" in plan
 
 
-def test_stream_one_file_per_batch_equals_batch(spark):
-    from driftsweep.sources.csv_inbox import write_fixture_inbox
-    from driftsweep.streaming.sweep_stream import read_stream_gold, start_sweep_stream
+def test_stream_one_file_per_batch_equals_batch(spark, tmp_path):
+    """Entries of several one-row parts, one file a micro-batch; a later entry keeps a shared dataset name."""
+    from driftsweep.streaming.sweep_stream import read_stream_gold, read_stream_silver, start_sweep_stream
 
-    inbox, out, ck = (scratch_path(spark, n) for n in ("s1_inbox", "s1_out", "s1_ck"))
-    write_fixture_inbox(spark, SF_SMALL, inbox)
-    q = start_sweep_stream(spark, inbox, out, ck, max_files_per_trigger=1)
+    inbox = tmp_path / "inbox"
+    for name, n in (("parts.csv", 3), ("two.csv", 2)):
+        (inbox / name).mkdir(parents=True)
+        for k in range(n):
+            (inbox / name / f"part-{k}.csv").write_text(f"FirstName,CID\nAnn{k},C{k}\n")
+    (inbox / "twin.csv").write_text("FirstName,CID\nA,1\nB,2\n")
+    (inbox / "twin.csv.csv").write_text("FirstName,CID\nC,3\nD,4\n")
+    out, ck = (scratch_path(spark, n) for n in ("s1_out", "s1_ck"))
+    q = start_sweep_stream(spark, str(inbox), out, ck, max_files_per_trigger=1)
     q.awaitTermination()
     assert q.exception() is None
-    epochs = {r.epoch for r in spark.read.parquet(f"{out}/gold").select("epoch").distinct().collect()}
-    got = read_stream_gold(spark, out)
-    ref = Sweep.from_fixtures(spark, SF_SMALL).gold
-    assert len(epochs) >= 4
-    assert got.count() == ref.count() and got.exceptAll(ref).count() == 0
+    got, ref = read_stream_gold(spark, out), Sweep.from_csv_inbox(spark, str(inbox)).gold
+    assert got.count() == ref.count() == 7 and got.exceptAll(ref).count() == 0
+    assert {r.cid for r in got.where("sourcefile = 'twin'").collect()} == {"3", "4"}
+    s = read_stream_silver(spark, out)
+    assert s.select("epoch", "rowid").distinct().count() == 7 and s.select("epoch").distinct().count() >= 3
 
 
 def test_fixture_silver_plan_has_no_shuffle(spark):

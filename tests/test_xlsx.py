@@ -27,12 +27,13 @@ def _book():
 def test_decode_cells():
     rows = list(decode_workbook("book.xlsx", _book()))
     s1 = [r for r in rows if r[2] == "S1"]
-    assert [r[3] for r in s1] == [1, 2, 3, 5]                       # blank row skipped
-    assert [r[4] for r in s1] == [0, 1, 2, 3]                       # dense sequence per sheet
+    assert [r[3] for r in s1] == [1, 2, 3, 4, 5]                    # a blank row stays a row
+    assert [r[4] for r in s1] == [0, 1, 2, 3, 4]                    # dense sequence per sheet
+    assert s1[3][5] == []
     assert s1[0][5] == CANON and s1[0][6] is True                    # header, all text
     assert s1[1][5] == ["a@x", "Ann", "Lee", "C1", "2024-01-02 03:04:05", "5", "True"]
     assert s1[2][5] == ["b@x", "Bob Ray", None, "C2", "2023-12-31 00:00:00", "2.5", "False"]
-    assert s1[3][5] == ["c@x", "N/A", "Roe", "17", "2024-02-03", "0"]
+    assert s1[4][5] == ["c@x", "N/A", "Roe", "17", "2024-02-03", "0"]
     assert not [r for r in rows if r[2] == "Empty"]                  # no rows, no dataset
     nums = [r for r in rows if r[2] == "Numbers"]
     assert nums[0][6] is False                                       # numeric header cell
