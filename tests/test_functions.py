@@ -124,3 +124,33 @@ def test_bit_parallel_lcs_matches_dp(spark):
                     lcs_length(F.col("a"), F.col("b")).alias("y"), "a", "b").collect()
     for r in out:
         assert r.x == r.y == _lcs_py(r.a, r.b)
+
+
+def test_shared_folder_is_required_off_local_masters(tmp_path):
+    from driftsweep.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Context:
+        def __init__(self, master):
+            self.master, self.folder = master, None
+
+        def getCheckpointDir(self):
+            return self.folder
+
+        def setCheckpointDir(self, folder):
+            self.folder = folder
+
+        def getConf(self):
+            return Conf()
+
+    session = type("Session", (), {})()
+    for master in ("local", "local[4]", "local[*]"):
+        session.sparkContext = Context(master)
+        assert ensure_checkpoint_dir(session)
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        session.sparkContext = Context(master)
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            ensure_checkpoint_dir(session)

@@ -91,12 +91,22 @@ def test_empty_inbox_flows_through(spark, tmp_path):
     assert sw.silver.columns == SILVER_ORDER and sw.silver.count() == 0
 
 
-def test_oversized_workbook_quarantined_without_reading(spark, tmp_path):
+def test_wide_and_long_workbook_is_read_whole(spark, tmp_path):
     from driftsweep.sources.xlsx_inbox import workbook_rows
 
-    (tmp_path / "big.xlsx").write_bytes(_book())
-    rows = workbook_rows(spark, str(tmp_path), max_bytes=10).collect()
-    assert [(r.entry, r.error) for r in rows] == [("big.xlsx", "too_large")]
+    wide = ["FirstName", "CID", *[f"x{i}" for i in range(1500)]]
+    (tmp_path / "big.xlsx").write_bytes(workbook_bytes({"S": [wide, *[[f"N{k}", f"C{k}", *["v"] * 1500] for k in range(300)]]}))
+    rows = workbook_rows(spark, str(tmp_path)).collect()
+    assert len(rows) == 301 and {len(r.cells) for r in rows} == {1502} and not any(r.error for r in rows)
+
+
+def test_blank_rows_stay_rows(spark, tmp_path):
+    blank = [None, None]
+    (tmp_path / "gap.xlsx").write_bytes(workbook_bytes({"S": [["FirstName", "CID"], ["A", "1"], blank, blank, ["B", "2"]],
+                                                        "T": [blank, ["C", "3"], ["D", "4"]]}))
+    sw = Sweep.from_inbox(spark, str(tmp_path))
+    assert [r.cid for r in sw.silver.where("file_name = 'gap_S'").orderBy("rowid").collect()] == ["1", "", "", "2"]
+    assert {r.file_name: r.headers for r in sw.datasets.collect()}["gap_T"] == ["Unnamed: 0", "Unnamed: 1"]
 
 
 def test_run_sweep_end_to_end(spark, tmp_path):
@@ -109,6 +119,14 @@ def test_run_sweep_end_to_end(spark, tmp_path):
     (inbox / "empty.csv").write_text("")
     out = str(tmp_path / "out")
     first = run_sweep(spark, str(inbox), out, run_id="r1")
-    assert first == {"entries": 3, "errors": 1, "silver_rows": 5, "gold_rows": 5}
-    again = run_sweep(spark, str(inbox), out, run_id="r2")     # same files: idempotent
-    assert again["silver_rows"] == 5 and again["gold_rows"] == 5
+    assert first == {"entries": 3, "errors": 1, "silver_rows": 6, "gold_rows": 6}     # a blank sheet row is a row
+    same = run_sweep(spark, str(inbox), out, run_id="r1")      # the same run again: its own rows only
+    assert same == first
+    again = run_sweep(spark, str(inbox), out, run_id="r2")     # nothing new in the inbox
+    assert again == {"entries": 0, "errors": 0, "silver_rows": 6, "gold_rows": 6}
+    (inbox / "plain.csv").write_text("FirstName,CID\nCy,C3\nDee,C4\nEve,C5\n")
+    (inbox / "bad.csv").write_text("FirstName,CID\nCy,C3,x\n")
+    third = run_sweep(spark, str(inbox), out, run_id="r3")     # a second delivery: both are kept
+    assert third == {"entries": 2, "errors": 1, "silver_rows": 9, "gold_rows": 9}
+    held = spark.read.parquet(f"{out}/quarantine").collect()
+    assert [(r.entry, r.reason, bytes(r.content)) for r in held] == [("bad.csv", "overlong", b"FirstName,CID\nCy,C3,x\n")]
