@@ -195,8 +195,8 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """
     ready(docs.sparkSession)
     marked = cut(fingerprints(docs))
-    keep = groups(marked).select(F.col("component_id").alias("__sd_id"), F.col("first_key").alias("__sd_key")).distinct()
-    rows = docs.withColumn("__sd_row", F.xxhash64("text"))
-    kept = rows.join(keep, rows["doc_id"].cast("long").eqNullSafe(keep["__sd_id"])
-                     & (rows["__sd_row"] == keep["__sd_key"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "__sd_row"]).select(*docs.columns)
+    name = lambda c, key: [c.isNull().alias("__sd_none"), F.coalesce(c.cast("long"), F.lit(0)).alias("__sd_id"), key.alias("__sd_row")]
+    keep = groups(marked).select(*name(F.col("component_id"), F.col("first_key"))).distinct()
+    rows = docs.select("*", *name(F.col("doc_id"), F.xxhash64("text")))
+    on = ["__sd_none", "__sd_id", "__sd_row"]  # keys of the join and of dropDuplicates: texts are shuffled once
+    return rows.join(keep, on, "left_semi").dropDuplicates(on).select(*docs.columns)
