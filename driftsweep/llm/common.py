@@ -34,10 +34,6 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def unsigned_mod(col: Column, n: int) -> Column:
-    return F.pmod(col, F.lit(n))
-
-
 def buffers(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string array and its row offsets (nulls are empty), without copying rows."""
     arr = arr.cast(pa.large_binary())
