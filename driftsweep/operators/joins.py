@@ -50,12 +50,12 @@ def join_checked(big: DataFrame, small: DataFrame, on: list[str], how: str = "in
     """Broadcast ``small`` only when its row count is under the bound (``max_rows``, else
     the ``driftsweep.broadcast.maxRows`` setting) and its size under BROADCAST_BYTES; above
     either, a salted shuffle join."""
-    if small_rows is None:
-        small, small_rows = materialise_small(small)
     limit = broadcast_limit(big) if max_rows is None else max_rows
-    if small_rows <= limit:
-        # the table is checkpointed: its size is one small aggregate
-        size = small.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
-        if size <= BROADCAST_BYTES:
+    if small_rows is None:
+        small = small.checkpoint(eager=True)
+    if small_rows is None or small_rows <= limit:
+        # the table is checkpointed: rows and size are one small aggregate
+        rows, size = small.agg(F.count(F.lit(1)), F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()
+        if rows <= limit and (size or 0) <= BROADCAST_BYTES:
             return big.join(F.broadcast(small), on, how)
     return salted_join(big, small, on, how, salt_from=salt_from)

@@ -258,10 +258,9 @@ class CsvInbox:
             agg = agg.select("path", F.col("first.value").alias("record"), (F.size("open") > 0).alias("several"),
                              (F.col("n_bad") > 0).alias("bad_text"), F.lit(False).alias("unclosed"))
             agg, _ = materialise_small(agg)
-            several, n = materialise_small(agg.where("several").select("path"))
-            self._several = n > 0
+            self._several = not agg.where("several").isEmpty()
             if self._several:
-                own = self._records(several).groupBy("path").agg(
+                own = self._records(agg.where("several").select("path")).groupBy("path").agg(
                     F.min_by("record", "rec_no").alias("_record"), F.bool_or("unclosed").alias("_unclosed"))
                 agg = (agg.join(own, "path", "left")
                        .select("path", F.coalesce("_record", "record").alias("record"), "several", "bad_text",
