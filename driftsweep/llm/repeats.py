@@ -17,14 +17,18 @@ Distribution. Documents are written once to the shared folder in batches of boun
 table bucketed by batch, so later rounds join it without a shuffle of texts. Batches and ranges of
 trigger hashes exchange packed arrays in three rounds:
   1. trigger hashes of each batch (5 bytes each); back come those that some other batch has too;
-  2. phrases of these triggers (hash, smallest doc_id in the batch); back comes the smallest doc_id of
-     all for triggers with one phrase, and a request for the text of the others;
+  2. of each of these triggers at most two phrases (hash, smallest doc_id in the batch) and the number
+     of its phrases; back comes the smallest doc_id of all for triggers with one phrase, and a request
+     for the text of the others;
   3. those phrases' texts: distinct ones form the dictionary of the range, its suffix array (to depth
      50) brings equal strings together; back comes the smallest doc_id for each string of a phrase.
+     At the edges of a shared passage a trigger has as many phrases as documents hold it. The strings of
+     triggers with over ``HOT`` phrases are not kept together: each goes, as bytes, to a range of
+     its own hash.
 Every exchange holds an entry once for each batch, however often it repeats there, so a passage that
 a third of all documents share adds one entry for each batch, not one for each document. Phrases are
-told apart by 64-bit hashes within one trigger (48 bits sent less would do); their strings are compared
-as bytes.
+told apart by 64-bit hashes within one trigger (48 bits sent less would do), and so are the strings of a hot
+trigger within one batch; strings of different batches are compared as bytes.
 """
 
 from __future__ import annotations
@@ -47,6 +51,10 @@ WINDOW = LENGTH - TRIGGER + 1
 BATCH_BYTES = 8 << 20
 #: Text bytes for each range of trigger hashes, and the most ranges.
 RANGE_BYTES, MAX_RANGES = 4 << 20, 1 << 16
+#: A trigger with more phrases, summed over the batches, has its strings dealt by their own hash.
+HOT = 2048
+#: Ranges of strings of hot triggers are numbered from here.
+_OWN_RANGE = 1 << 30
 _PIECE = 1 << 20
 _LAST = np.int64(2**63 - 1)
 
@@ -125,6 +133,16 @@ class Parse:
         at = np.repeat(self.first[k] - (np.cumsum(n) - n), n) + np.arange(n.sum())
         return self.data[at].tobytes(), n
 
+    def strings(self, k: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Starts of the strings of phrases ``k``, each string's phrase and hash."""
+        n = self.last[k] - self.first[k] + 1
+        of = np.repeat(k, n)
+        start = self.first[of] + np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+        up, h = _powers()[0], np.zeros(len(of), np.uint64)
+        for j in range(LENGTH):
+            h += _BYTE[self.data[start + j]] * up[j]
+        return start, of, _mix(h)
+
 
 def pack(*arrays: np.ndarray) -> bytes:
     raw = [np.ascontiguousarray(a).tobytes() for a in arrays]
@@ -183,13 +201,20 @@ def _lookup(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.n
     return at, sorted_keys[at] == keys
 
 
+def _once(keys: np.ndarray, doc: np.ndarray):
+    """Distinct keys: a place of each, its smallest doc, whether other docs have it."""
+    order = np.lexsort((doc, keys))
+    if not len(order):
+        return order, doc, np.zeros(0, bool)
+    new = np.flatnonzero(np.concatenate(([True], keys[order][1:] != keys[order][:-1])))
+    low = doc[order[new]]
+    return order[new], low, np.maximum.reduceat(doc[order], new) > low
+
+
 def _distinct(parse: Parse, chosen: np.ndarray):
     """Distinct phrases among ``chosen``: a place of each, its smallest doc, whether other docs have it."""
-    order = chosen[np.lexsort((parse.doc[chosen], parse.own[chosen]))]
-    new = np.flatnonzero(np.concatenate(([True], parse.own[order][1:] != parse.own[order][:-1]))) if len(order) else order
-    if not len(order):
-        return order, parse.doc[order], np.zeros(0, bool)
-    return order[new], parse.doc[order[new]], np.maximum.reduceat(parse.doc[order], new) > parse.doc[order[new]]
+    at, low, more = _once(parse.own[chosen], parse.doc[chosen])
+    return chosen[at], low, more
 
 
 def _send_triggers(bits: int):
@@ -231,22 +256,30 @@ def _send_phrases(bits: int):
         two = np.unique(t[1:][(t[1:] == t[:-1]) & (d[1:] != d[:-1])])
         shared |= _lookup(two, p.trigger)[1]
         k, low, more = _distinct(p, np.flatnonzero(shared))
-        order, ranges = _by_range(p.trigger[k], bits)
+        order = np.argsort(p.trigger[k], kind="stable")
         k, low, more = k[order], low[order], more[order]
+        head = np.flatnonzero(np.diff(p.trigger[k], prepend=~p.trigger[k[:1]]))  # first phrase of each trigger
+        size = np.diff(head, append=len(k))
+        number = np.zeros(len(k), np.uint32)
+        number[head] = size
+        two = np.sort(np.concatenate((head, head[size > 1] + 1)))  # a second one tells that there are several
+        k, low, more, number = k[two], low[two], more[two], number[two]
+        _, ranges = _by_range(p.trigger[k], bits)
         ids = np.unique(p.ids)
         doc = (np.searchsorted(ids, low).astype(np.uint32) << np.uint32(1)) | more.astype(np.uint32)
         batch, out = docs.column("batch")[0].as_py(), []
         for r, s in ranges:
             used = np.unique(doc[s] >> np.uint32(1))
             place = np.searchsorted(used, doc[s] >> np.uint32(1)).astype(np.uint32) << np.uint32(1) | doc[s] & np.uint32(1)
-            out.append((r, pack(_five(_sent(p.trigger[k[s]], bits)), p.own[k[s]], place, ids[used])))
+            out.append((r, pack(_five(_sent(p.trigger[k[s]], bits)), p.own[k[s]], place, ids[used], number[s])))
         return _rows(batch=[batch] * len(out), range=[r for r, _ in out], blob=[b for _, b in out])
     return run
 
 
-def _smallest(rows: pa.Table) -> pa.Table:
-    """Phrase to smallest doc_id (triggers with one phrase), or to -1 - a request - encoded by kind 1."""
-    got = [unpack(b, np.uint8, np.uint64, np.uint32, np.int64) for b in rows.column("blob").to_pylist()]
+def _smallest(rows: pa.Table, hot: int) -> pa.Table:
+    """Kind 0: phrase to smallest doc_id (triggers with one phrase). A request for all phrases of a
+    phrase's trigger: kind 1, kind 3 for a trigger of over ``hot`` phrases."""
+    got = [unpack(b, np.uint8, np.uint64, np.uint32, np.int64, np.uint32) for b in rows.column("blob").to_pylist()]
     n = [len(g[1]) for g in got]
     trigger, own = np.concatenate([_eight(g[0]) for g in got]), np.concatenate([g[1] for g in got])
     doc = np.concatenate([g[3][g[2] >> np.uint32(1)] for g in got])
@@ -257,8 +290,10 @@ def _smallest(rows: pa.Table) -> pa.Table:
     group = np.cumsum(np.concatenate(([False], t[1:] != t[:-1])))
     low = np.minimum.reduceat(doc[order], starts)[group]
     several = (np.minimum.reduceat(u, starts) != np.maximum.reduceat(u, starts))[group]
-    smallest, ask = np.empty(len(doc), np.int64), np.empty(len(doc), bool)
-    smallest[order], ask[order] = low, several
+    number = np.concatenate([g[4] for g in got]).astype(np.int64)
+    many = (np.add.reduceat(number[order], starts) > hot)[group]
+    smallest, ask, deal = np.empty(len(doc), np.int64), np.empty(len(doc), bool), np.empty(len(doc), bool)
+    smallest[order], ask[order], deal[order] = low, several, several & many
     tell = ~ask & ((smallest < doc) | more)
     out, at = [], 0
     for batch, m in zip(rows.column("batch").to_pylist(), n, strict=True):
@@ -266,25 +301,40 @@ def _smallest(rows: pa.Table) -> pa.Table:
         at += m
         if tell[s].any():
             out.append((batch, 0, pack(own[s][tell[s]], _squeeze(smallest[s][tell[s]]))))
-        if ask[s].any():
-            out.append((batch, 1, pack(own[s][ask[s]])))
+        for kind, want in ((1, ask[s] & ~deal[s]), (3, deal[s])):
+            if want.any():
+                out.append((batch, kind, pack(own[s][want])))
     return _rows(batch=[o[0] for o in out], kind=[o[1] for o in out], blob=[o[2] for o in out])
 
 
 def _send_texts(bits: int):
     def run(docs: pa.Table, told: pa.Table) -> pa.Table:
-        asked = [unpack(b, np.uint64)[0] for b, k in
-                 zip(told.column("blob").to_pylist(), told.column("kind").to_pylist(), strict=True) if k == 1]
-        if not asked or not docs.num_rows:
+        asked: dict[int, list[np.ndarray]] = {1: [], 3: []}
+        for b, k in zip(told.column("blob").to_pylist(), told.column("kind").to_pylist(), strict=True):
+            asked[k].append(unpack(b, np.uint64)[0])
+        if not told.num_rows or not docs.num_rows:
             return _rows(batch=[], range=[], blob=[])
         p = Parse(docs)
-        k, low, _ = _distinct(p, np.flatnonzero(_lookup(np.sort(np.concatenate(asked)), p.own)[1]))
+
+        def phrases_of(kind):  # all phrases of the asked ones' triggers
+            own = np.sort(np.concatenate(asked[kind])) if asked[kind] else np.zeros(0, np.uint64)
+            return np.flatnonzero(_lookup(np.unique(p.trigger[_lookup(own, p.own)[1]]), p.trigger)[1])
+
+        k, low, _ = _distinct(p, phrases_of(1))
         order, ranges = _by_range(p.trigger[k], bits)
         k, low = k[order], low[order]
         batch, out = docs.column("batch")[0].as_py(), []
         for r, s in ranges:
             text, n = p.text(k[s])
             out.append((r, pack(p.own[k[s]], low[s], n, _squeeze(np.frombuffer(text, np.uint8)))))
+        start, of, h = p.strings(phrases_of(3))
+        at, low, more = _once(h, p.doc[of])
+        start, of, h = start[at], of[at], h[at]
+        order, ranges = _by_range(h, bits)
+        for r, s in ranges:
+            i = order[s]
+            out.append((_OWN_RANGE + r, pack(h[i], _squeeze(low[i]), _squeeze(more[i]), _squeeze(p.trigger[of[i]]),
+                                             _squeeze(p.data[start[i][:, None] + np.arange(LENGTH)]))))
         return _rows(batch=[batch] * len(out), range=[r for r, _ in out], blob=[b for _, b in out])
     return run
 
@@ -304,8 +354,28 @@ def string_order(dictionary: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray
     return order, new
 
 
+def _dealt(rows: pa.Table) -> pa.Table:
+    """Smallest doc_id of each string of a hot trigger dealt to this range, where it matters to the batch."""
+    got = [unpack(b, np.uint64, *[np.uint8] * 4) for b in rows.column("blob").to_pylist()]
+    n = [len(g[0]) for g in got]
+    doc = np.concatenate([_stretch(g[1], np.int64) for g in got])
+    order, new = string_order(np.concatenate([_stretch(g[4], np.uint8) for g in got]), np.arange(len(doc)) * LENGTH)
+    smallest = np.empty(len(doc), np.int64)
+    smallest[order] = np.minimum.reduceat(doc[order], np.flatnonzero(new))[np.cumsum(new) - 1]
+    out, at = [], 0
+    for batch, g, m in zip(rows.column("batch").to_pylist(), got, n, strict=True):
+        low = smallest[at:at + m]
+        tell = (low < doc[at:at + m]) | _stretch(g[2], bool)
+        at += m
+        if tell.any():
+            out.append((batch, pack(g[0][tell], _squeeze(low[tell]), np.unique(_stretch(g[3], np.uint64)[tell]))))
+    return _rows(batch=[b for b, _ in out], kind=[3] * len(out), blob=[x for _, x in out])
+
+
 def _strings(rows: pa.Table) -> pa.Table:
-    """Smallest doc_id of every 50-byte string of the phrases sent to this range."""
+    """Smallest doc_id of every 50-byte string of the phrases, or of the strings, sent to this range."""
+    if rows.column("range")[0].as_py() >= _OWN_RANGE:
+        return _dealt(rows)
     got = [unpack(b, np.uint64, np.int64, np.int64, np.uint8) for b in rows.column("blob").to_pylist()]
     texts = [_stretch(g[3], np.uint8) for g in got]
     found: dict[bytes, int] = {}  # the dictionary: distinct phrases
@@ -345,7 +415,7 @@ def _strings(rows: pa.Table) -> pa.Table:
 def _remove(docs: pa.Table, told: pa.Table) -> pa.Table:
     p = Parse(docs)
     hit = np.zeros(len(p.data) + 1, bool)  # starts of repeated strings
-    simple, strings = [], []
+    simple, strings, dealt = [], [], []
     for kind, blob in zip(told.column("kind").to_pylist(), told.column("blob").to_pylist(), strict=True):
         if kind == 0:
             own, d = unpack(blob, np.uint64, np.uint8)
@@ -353,6 +423,9 @@ def _remove(docs: pa.Table, told: pa.Table) -> pa.Table:
         elif kind == 2:
             own, c, d = unpack(blob, np.uint64, np.int64, np.uint8)
             strings.append((own, c, _stretch(d, np.int64)))
+        else:
+            h, d, trigger = unpack(blob, np.uint64, np.uint8, np.uint64)
+            dealt.append((h, _stretch(d, np.int64), trigger))
     edge = np.zeros(len(p.data) + 2, np.int32)
     if simple:
         own, low = np.concatenate([s[0] for s in simple]), np.concatenate([s[1] for s in simple])
@@ -373,6 +446,13 @@ def _remove(docs: pa.Table, told: pa.Table) -> pa.Table:
         low = low[np.repeat(at0[order[at[k]]], n) + nth]
         where = np.repeat(p.first[k], n) + nth
         hit[where[low < np.repeat(p.doc[k], n)]] = True
+    if dealt:
+        h, low = np.concatenate([s[0] for s in dealt]), np.concatenate([s[1] for s in dealt])
+        hot = np.unique(np.concatenate([s[2] for s in dealt]))
+        order = np.argsort(h)
+        where, of, own = p.strings(np.flatnonzero(_lookup(hot, p.trigger)[1]))
+        at, ok = _lookup(h[order], own)
+        hit[where[ok & (low[order][at] < p.doc[of])]] = True
     edge[:] = 0
     starts = np.flatnonzero(hit[:len(p.data)])
     np.add.at(edge, starts, 1)
@@ -414,7 +494,8 @@ def _stage(docs: DataFrame, total: int, size: int) -> DataFrame:
     return spark.table(name)
 
 
-def remove_repeats(docs: DataFrame, batch_bytes: int = BATCH_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, batch_bytes: int = BATCH_BYTES, range_bytes: int = RANGE_BYTES,
+                   hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row of docs (doc_id, text)."""
     spark = ready(docs.sparkSession)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -425,8 +506,8 @@ def remove_repeats(docs: DataFrame, batch_bytes: int = BATCH_BYTES, range_bytes:
     triggers = staged.groupBy("batch").applyInArrow(_send_triggers(bits), by)
     shared = triggers.groupBy("range").applyInArrow(_shared_triggers, by)
     phrases = staged.groupBy("batch").cogroup(shared.groupBy("batch")).applyInArrow(_send_phrases(bits), by)
-    smallest = cut(phrases.groupBy("range").applyInArrow(_smallest, asked))
-    texts = (staged.groupBy("batch").cogroup(smallest.filter("kind = 1").groupBy("batch"))
+    smallest = cut(phrases.groupBy("range").applyInArrow(lambda rows: _smallest(rows, hot), asked))
+    texts = (staged.groupBy("batch").cogroup(smallest.filter("kind <> 0").groupBy("batch"))
              .applyInArrow(_send_texts(bits), by))
     strings = texts.groupBy("range").applyInArrow(_strings, asked)
     told = smallest.filter("kind = 0").union(strings)

@@ -2,6 +2,8 @@ import hashlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from driftsweep.llm import repeats
@@ -66,3 +68,41 @@ def test_suffix_array_orders_all_strings():
 
 def test_empty(empty):
     assert repeats.remove_repeats(empty).count() == 0
+
+
+def around_one_passage(n, passage=60, seed=5):
+    rng = np.random.default_rng(seed)
+    word = lambda k: "".join(chr(97 + x) for x in rng.integers(0, 26, k))
+    shared = word(passage)
+    return [(i, word(80) + shared + word(80)) for i in range(n)]
+
+
+def group(tables, key):
+    rows = pa.concat_tables(tables)
+    return [rows.filter(pc.equal(rows[key], k)) for k in sorted(set(rows[key].to_pylist()))]
+
+
+def test_no_range_gets_all_strings_at_the_edge_of_a_shared_passage():
+    docs, bits = around_one_passage(2000), 6
+    batches = [pa.table({"batch": pa.array([b] * 100), "doc_id": pa.array([i for i, _ in part]),
+                         "text": pa.array([t.encode() for _, t in part])}) for b in range(20) for part in [docs[b * 100:b * 100 + 100]]]
+    shared = group([repeats._shared_triggers(g) for g in group([repeats._send_triggers(bits)(d) for d in batches], "range")], "batch")
+    phrases = group([repeats._send_phrases(bits)(d, t) for d, t in zip(batches, shared, strict=True)], "range")
+    asked = pa.concat_tables([repeats._smallest(g, 200) for g in phrases])
+    told = group([asked.filter(pc.not_equal(asked["kind"], 0))], "batch")
+    texts = group([repeats._send_texts(bits)(d, t) for d, t in zip(batches, told, strict=True)], "range")
+    # entries of the second round do not grow with a batch's documents, bytes of the third are spread
+    assert max(sum(len(b) for b in g["blob"].to_pylist()) for g in phrases) < 20_000
+    held = [sum(len(b) for b in g["blob"].to_pylist()) for g in texts]
+    assert max(held) < 3 * sum(held) / len(held) and len(held) > 40
+
+
+@pytest.mark.parametrize("hot", [0, 3, 100])
+def test_hot_triggers_like_brute_force(spark, hot):
+    rng = np.random.default_rng(6)
+    docs = around_one_passage(300) + around_one_passage(150, 25, 7)
+    docs += [(int(i), t[40:190]) for i, t in zip(rng.integers(0, 900, 200), (t for _, t in docs[::2]), strict=False)]
+    docs += [(i, t + t) for i, t in docs[:20]] + [(None, docs[3][1]), (None, None), (7, "")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    got = repeats.remove_repeats(df, batch_bytes=9000, range_bytes=4000, hot=hot)
+    assert Counter(map(tuple, got.collect())) == brute(docs)
