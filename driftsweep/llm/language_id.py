@@ -8,10 +8,14 @@ language up to a fair share) by spherical k-means, ``PER_LANGUAGE`` centroids fo
 Prediction. A text gets the language of the nearest centroid and, as score, the cosine to it
 (0 to 1). ``und`` with score 0: null or empty text, text without a letter, or nothing learned.
 
-Rejection by distance. Over all training rows the smallest cosine is kept for each length class
-(bit length of the number of trigrams); a text is rejected if it is ``und`` or its cosine is under
-``REJECT`` times that minimum of its class (a class that no training row has rejects nothing but
-``und``). Repeated rows get equal results; ties between centroids go to the language first in
+Rejection by distance. Over all training rows the cosines are counted in a histogram for each length
+class (bit length of the number of trigrams); a text is rejected if it is ``und`` or its cosine is
+under ``REJECT`` times the ``LOW`` quantile of its class (a class that no training row has rejects
+nothing but ``und``), so a few training rows in another language under a known label are rejected
+themselves and do not move the floor. In a class of under ``FEW`` rows that quantile is its smallest
+cosine; as cosines grow with length, its floor is at least the smallest one of the shorter classes
+with ``FEW`` rows, if there are any. For the same reason k-means does not start at the farthest rows,
+but leaves out the ``OUTLIERS`` share of them. Repeated rows get equal results; ties between centroids go to the language first in
 code point order; an empty table gives no rows.
 """
 
@@ -30,6 +34,10 @@ DIMS = 4096
 PER_LANGUAGE = 3
 SAMPLE_ROWS = 3000
 REJECT = 0.5
+#: Quantile of the cosines of a length class, the bins they are counted in, rows that a quantile needs.
+LOW, BINS, FEW = 0.01, 1000, 100
+#: Share of a language's rows farthest from the starts so far that are no start of k-means.
+OUTLIERS = 0.05
 UND = "und"
 
 _FOLD = np.full(256, 32, np.uint8)
@@ -73,7 +81,8 @@ def _centroids(x: np.ndarray, k: int) -> np.ndarray:
     """Spherical k-means from far-apart starts; deterministic."""
     c = [x.mean(0)]
     while len(c) < min(k, len(x)):
-        c.append(x[np.argmin(np.max(x @ (np.array(c) / np.linalg.norm(c, axis=1, keepdims=True)).T, axis=1))])
+        near = np.max(x @ (np.array(c) / np.linalg.norm(c, axis=1, keepdims=True)).T, axis=1)
+        c.append(x[np.argsort(near, kind="stable")[int(OUTLIERS * len(x))]])
     c = np.array(c)
     for _ in range(12):
         c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
@@ -156,9 +165,26 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
 
 
 def floors(predicted: DataFrame) -> dict[int, float]:
-    """Smallest accepted cosine per length class, from all training rows (kept = false): 64 rows at most."""
-    low = predicted.filter("not kept and lang_pred <> 'und'").groupBy("size_class").agg(F.min("score").alias("s"))
-    return {r["size_class"]: REJECT * r["s"] for r in low.collect()}
+    """Smallest accepted cosine per length class, from all training rows (kept = false).
+
+    At most BINS + 1 counts for each of 64 classes come to the driver.
+    """
+    rows = (predicted.filter("not kept and lang_pred <> 'und'")
+            .groupBy("size_class", F.floor(F.col("score") * BINS).alias("bin")).count().collect())
+    counts: dict[int, dict[int, int]] = {}
+    for r in rows:
+        counts.setdefault(r["size_class"], {})[r["bin"]] = r["count"]
+    low = {}
+    for cls, own in counts.items():
+        skip, seen = int(LOW * sum(own.values())), 0
+        for b in sorted(own):
+            seen += own[b]
+            if seen > skip:
+                low[cls] = REJECT * b / BINS
+                break
+    large = {cls: low[cls] for cls, own in counts.items() if cls in low and sum(own.values()) >= FEW}
+    return {cls: f if cls in large else max(f, min((g for c, g in large.items() if c < cls), default=0.0))
+            for cls, f in low.items()}
 
 
 def held_out(doc_id: str = "doc_id"):

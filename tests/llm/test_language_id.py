@@ -62,3 +62,18 @@ def test_labels_of_held_out_rows_and_other_columns_do_not_matter(spark):
     want = sorted(map(tuple, lid.identify(docs).collect()))
     other = docs.selectExpr("doc_id", "text", "if(crc32(cast(doc_id as string)) % 5 = 0, 'xx', lang) as lang", "'s' as source")
     assert sorted(map(tuple, lid.identify(other).collect())) == want
+
+
+FINNISH = ("suomi on tasavalta ja sen naapurimaat ovat ruotsi norja sekä viro joka sijaitsee meren toisella puolella kaikki "
+           "ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki ja omatunto").split()
+
+
+def test_foreign_training_rows_are_rejected_and_do_not_switch_rejection_off(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    words = np.random.default_rng(1).permutation(FINNISH * 12).tolist()
+    training = [i for i in range(700_000, 700_400) if zlib.crc32(str(i).encode()) % 5][:1]
+    held = [i for i in range(700_000, 700_400) if zlib.crc32(str(i).encode()) % 5 == 0][:20]
+    rows = [(i, " ".join(words[n % 40:n % 40 + 100]), "en") for n, i in enumerate(training + held)]
+    got = {r.doc_id: r for r in lid.identify(docs.union(spark.createDataFrame(rows, docs.schema))).collect()}
+    assert all(got[i].rejected for i in training + held)
+    assert not any(r.rejected for i, r in got.items() if i < 700_000)
