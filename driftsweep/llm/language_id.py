@@ -2,8 +2,8 @@
 
 Fit. Document frequencies of the hashed trigrams are counted over *all* training rows (a map-side
 combined aggregate of at most ``DIMS`` rows). The centroids are fitted on at most ``SAMPLE_ROWS``
-training rows (the bound is a parameter; the rows with the smallest content hash, taken per
-language up to a fair share) by spherical k-means, ``PER_LANGUAGE`` centroids for each language.
+training rows (the bound is a parameter; of the distinct rows of each language those with the
+smallest content hash, up to a fair share, so copies count once and no language is left out) by spherical k-means, ``PER_LANGUAGE`` centroids for each language.
 
 Prediction. A text gets the language of the nearest centroid and, as score, the cosine to it
 (0 to 1). ``und`` with score 0: null or empty text, text without a letter, or nothing learned.
@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftsweep.llm.common import SLICE_BYTES, cut, ready, slices
@@ -102,12 +102,33 @@ def _df_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sample_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sent: set[tuple] = set()  # a task sends copies once; at most the sample's rows
     for rows, counts in _blocks(batches):
+        keys = list(zip(rows.column("lang").to_pylist(), rows.column("pos").to_pylist(), strict=True))
+        fresh = [i for i, k in enumerate(keys) if not (k in sent or sent.add(k))]
+        if not fresh:
+            continue
+        rows, counts = rows.take(pa.array(fresh)), counts[fresh]
         yield pa.record_batch({"lang": rows.column("lang"), "pos": rows.column("pos"),
                                "dims": pa.array([np.flatnonzero(c).astype(np.int16).tobytes() for c in counts], pa.binary()),
                                "counts": pa.array([c[c > 0].astype(np.float32).tobytes() for c in counts], pa.binary())})
 
 
+def _last_picked(keys: DataFrame, sample_rows: int) -> dict[str, int]:
+    """For each language the largest hash of its share of the sample, from distinct (lang, pos)."""
+    keys = cut(keys)
+    counts = keys.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(sample_rows).collect()
+    if not counts:
+        return {}
+    share = max(1, sample_rows // len(counts))
+    # hashes are even: a range with half as many again and some more holds the share, and bounds the window
+    wide = {c["lang"]: min(2**63 - 1, int(min(1.0, (1.5 * share + 50) / c["n"]) * 2**64) - 2**63) for c in counts}
+    limit = F.create_map(*[x for k, v in wide.items() for x in (F.lit(k), F.lit(v))])
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("pos"))
+    few = keys.filter(F.col("pos") <= limit[F.col("lang")]).withColumn("place", place).filter(F.col("place") <= share)
+    return {r["lang"]: r["last"] for r in few.groupBy("lang").agg(F.max("pos").alias("last")).collect()}
+
+
 def fit(train: DataFrame, sample_rows: int = SAMPLE_ROWS) -> dict:
     """Learn from rows (text, lang); see the module docstring. No usable row: a model that knows nothing."""
     train = train.filter("lang is not null and text rlike '\\\\p{L}'").select("text", "lang")
@@ -116,16 +137,14 @@ def fit(train: DataFrame, sample_rows: int = SAMPLE_ROWS) -> dict:
     n = got.get(-1, 0)
     df = np.array([got.get(i, 0) for i in range(DIMS)], float)
     idf = np.log((1 + n) / (1 + df)) + 1
-    counts = train.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(sample_rows).collect()
-    if not counts:
+    train = train.withColumn("pos", F.xxhash64("text", "lang"))
+    last = _last_picked(train.select("lang", "pos").distinct(), sample_rows)
+    if not last:
         return {"langs": [], "idf": idf.astype(np.float32), "owner": [], "centroids": np.zeros((0, DIMS), np.float32)}
-    share = max(1, sample_rows // len(counts))
-    pos = F.xxhash64("text", "lang")
-    cut_at = {c["lang"]: min(2**63 - 1, int(min(1.0, share / c["n"]) * 2**64) - 2**63) for c in counts}
-    limit = F.create_map(*[x for k, v in cut_at.items() for x in (F.lit(k), F.lit(v))])
-    picked = (train.withColumn("pos", pos).filter(F.col("pos") <= limit[F.col("lang")])
+    limit = F.create_map(*[x for k, v in last.items() for x in (F.lit(k), F.lit(v))])
+    picked = (train.filter(F.col("pos") <= limit[F.col("lang")])
               .mapInArrow(_sample_rows, "lang string, pos long, dims binary, counts binary")
-              .orderBy("pos", "lang").limit(sample_rows).collect())
+              .dropDuplicates(["lang", "pos"]).orderBy("pos", "lang").collect())  # sample_rows at most
     x = np.zeros((len(picked), DIMS), np.float32)
     for i, r in enumerate(picked):
         x[i, np.frombuffer(r["dims"], np.int16)] = np.frombuffer(r["counts"], np.float32)

@@ -77,3 +77,16 @@ def test_foreign_training_rows_are_rejected_and_do_not_switch_rejection_off(spar
     got = {r.doc_id: r for r in lid.identify(docs.union(spark.createDataFrame(rows, docs.schema))).collect()}
     assert all(got[i].rejected for i in training + held)
     assert not any(r.rejected for i, r in got.items() if i < 700_000)
+
+
+def test_copies_do_not_take_the_sample_from_other_languages(spark):
+    texts = [f"the cat number {i} sat on the mat" for i in range(400)]
+    own = spark.createDataFrame([(t, "en") for t in texts], "text string, lang string").selectExpr("text", "xxhash64(text, lang) as pos")
+    first = min(own.collect(), key=lambda r: r.pos).text  # its copies come before all other rows
+    rows = [(t, "en") for t in texts] + [(first, "en")] * 500
+    rows += [(f"der hund {i} liegt im garten", "de") for i in range(30)] + [("le chat dort dans la maison", "fr"), ("el perro duerme", "es")]
+    model = lid.fit(spark.createDataFrame(rows, "text string, lang string").repartition(4), 40)
+    assert model["langs"] == ["de", "en", "es", "fr"]
+    assert np.bincount(model["owner"]).tolist() == [3, 3, 1, 1]
+    picked = lid._last_picked(spark.createDataFrame(rows, "text string, lang string").selectExpr("lang", "xxhash64(text, lang) as pos").distinct(), 40)
+    assert sum(r.pos <= picked["en"] for r in own.collect()) == 10
