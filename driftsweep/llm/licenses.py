@@ -5,6 +5,11 @@ template are normalised alike: lower case, every run of other characters than a-
 blank. A segment carries the licence whose template has the highest Dice coefficient over sets of
 word bigrams, if it is at least ``DICE`` = 0.8 (ties: the template listed first).
 
+Wrapped notices. A sentence that runs over line ends, up to ``.``, ``!`` or ``?`` at a line's or
+word's end or to a line without a-z and 0-9, is a segment as a whole, too; it counts in place of its
+lines if its coefficient is higher than that of each. ``sql()`` knows segments within one line only: it gives the same for texts
+without wrapped notices.
+
 Pruning without loss. Size bounds: with a bigrams in the segment only templates of a * t / (2 - t) to
 a * (2 - t) / t bigrams can reach t. Before that, a segment that reaches t holds at least two thirds
 of a template's bigrams, hence one of any set of a third and one more of them; a text without any of
@@ -74,14 +79,20 @@ def notices(docs: DataFrame) -> DataFrame:
     sizes = [len(grams(t)) for _, t in TEMPLATES]
     least, most = min(bounds(n)[0] for n in sizes), max(bounds(n)[1] for n in sizes)
     some = F.concat(F.lit(" "), _normal(F.col("text")), F.lit(" ")).rlike(" (?:" + "|".join(telling()) + ") ")
-    cut = F.split(F.regexp_replace("text", r"([.!?])[ \t]+", "$1\n"), "\n")
     none = F.array().cast("array<string>")
-    rows = docs.select("doc_id", F.when(some, cut).otherwise(none).alias("segments"))
-    rows = rows.withColumn("segments", F.transform("segments", lambda s: F.struct(
-        s.alias("segment"), F.split(F.trim(_normal(s)), " ").alias("words"))))
+    sentences = F.split("text", r"(?<=[.!?])[ \t]+|(?<=[.!?])\r?\n|\n[^A-Za-z0-9\n]*+(?=\n)")
+    rows = docs.select("doc_id", F.when(some, sentences).otherwise(none).alias("segments"))
+    part = lambda s, i, whole: F.struct(s.alias("segment"), i.alias("sentence"), F.lit(whole).alias("whole"))
+    rows = rows.withColumn("segments", F.flatten(F.transform("segments", lambda s, i: F.concat(
+        F.transform(F.split(s, "\n"), lambda line: part(line, i, False)),
+        F.when(F.trim(s, F.lit("\n")).contains("\n"), F.array(part(s, i, True))).otherwise(F.filter(
+            F.array(part(s, i, True)), lambda _: F.lit(False)))))))
+    rows = rows.withColumn("segments", F.transform("segments", lambda x: F.struct(
+        x["segment"].alias("segment"), x["sentence"].alias("sentence"), x["whole"].alias("whole"),
+        F.split(F.trim(_normal(x["segment"])), " ").alias("words"))))
     rows = rows.withColumn("segments", F.filter("segments", lambda x: F.size(x["words"]) > least))
     rows = rows.withColumn("segments", F.transform("segments", lambda x: F.struct(
-        x["segment"].alias("segment"),
+        x["segment"].alias("segment"), x["sentence"].alias("sentence"), x["whole"].alias("whole"),
         F.array_distinct(F.zip_with(F.slice(x["words"], F.lit(1), F.size(x["words"]) - 1),
                                     F.slice(x["words"], F.lit(2), F.size(x["words"]) - 1),
                                     lambda a, b: F.concat_ws(" ", a, b))).alias("grams"))))
@@ -93,9 +104,16 @@ def notices(docs: DataFrame) -> DataFrame:
         return F.struct(F.when(F.size(x["grams"]).between(low, high), dice).otherwise(0.0).alias("dice"), F.lit(-k).alias("k"))
 
     rows = rows.withColumn("segments", F.transform("segments", lambda x: F.struct(
-        x["segment"].alias("segment"), F.greatest(*[against(k, x) for k in range(len(TEMPLATES))]).alias("best"))))
+        x["segment"].alias("segment"), x["sentence"].alias("sentence"), x["whole"].alias("whole"), F.greatest(*[against(k, x) for k in range(len(TEMPLATES))]).alias("best"))))
     names = F.array(*[F.lit(name) for name, _ in TEMPLATES])
-    found = F.transform(F.filter("segments", lambda x: x["best"]["dice"] >= DICE), lambda x: F.struct(
+    rows = rows.withColumn("segments", F.filter("segments", lambda x: x["best"]["dice"] >= DICE))
+    lines = F.filter("segments", lambda x: ~x["whole"])
+    better = F.filter("segments", lambda x: x["whole"] & ~F.exists("lines", lambda y: (
+        y["sentence"] == x["sentence"]) & (y["best"]["dice"] >= x["best"]["dice"])))
+    rows = rows.withColumn("lines", lines).withColumn("better", F.transform(better, lambda x: x["sentence"]))
+    rows = rows.withColumn("segments", F.filter(
+        "segments", lambda x: x["whole"] == F.array_contains(F.col("better"), x["sentence"])))
+    found = F.transform("segments", lambda x: F.struct(
         F.get(names, -x["best"]["k"]).alias("license"), x["best"]["dice"].alias("dice"), x["segment"].alias("segment")))
     return rows.select("doc_id", found.alias("notices"))
 

@@ -1,4 +1,5 @@
 import re
+import textwrap
 
 import duckdb
 
@@ -45,3 +46,24 @@ def test_pruning_bounds_are_lossless():
 
 def test_empty(empty):
     assert licenses.scan(empty).count() == 0
+
+
+def test_wrapped_notices_are_found(spark):
+    long = [(name, t) for name, t in licenses.TEMPLATES if len(t) > 60]
+    docs, want = [], {}
+    for n, (name, t) in enumerate(long * 2):
+        width, mark = (60, " * ") if n < len(long) else (72, "")
+        docs.append((n, f"Some words before\n{mark}\n" + "\n".join(mark + x for x in textwrap.wrap(t, width)) + f"\n{mark}\nand words after"))
+        want[n] = (1, name, 1.0)
+    docs += [(900, "All rights reserved.\nAll rights\nreserved."), (901, "All rights reserved\nfoo bar baz\nfoo bar"), (902, "\n\n"), (903, None)]
+    want |= {900: (2, "proprietary", 1.0), 901: (1, "proprietary", 1.0), 902: (0, "", 0.0), 903: (0, "", 0.0)}
+    got = licenses.scan(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: tuple(r)[1:] for r in got} == want
+
+
+def test_given_documents_like_sql(spark):
+    path = "/root/testdata/sf0.01/documents.parquet"
+    got = sorted(map(tuple, licenses.scan(spark.read.parquet(path)).collect()), key=str)
+    with duckdb.connect() as con:
+        con.sql(f"CREATE VIEW documents AS SELECT * FROM '{path}'")
+        assert sorted(con.sql(licenses.sql()).fetchall(), key=str) == got
