@@ -1,4 +1,4 @@
-"""The training-data operators' queries, op1 to op10 and the pipeline, over the tables of a folder."""
+"""The training-data operators' queries, op1 to op13 and the pipeline, over the tables of a folder."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from driftsweep.llm import (
     decontaminate,
+    divergence,
     language_id,
     licenses,
     mixing,
@@ -62,6 +63,10 @@ def op10_threshold_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -69,13 +74,14 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (op1_bounded_ring_shards, op2_edit_aware_token_counts, op3_benchmark_decontamination, op4_simhash_near_dedup,
              op5_license_notices, op6_boosted_pii, op7_source_mix, op8_prefix_free_repeats, op9_language_id,
-             op10_threshold_top_k, pipeline)
+             op10_threshold_top_k, op13_source_divergence, pipeline)
     return {f.__name__: f for f in every}
 
 
 def sql() -> dict[str, str]:
     """DuckDB SQL for the queries that SQL can express."""
-    out = {"op5_license_notices": licenses.sql(), "op7_source_mix": mixing.SQL, "op10_threshold_top_k": topk.SQL}
+    out = {"op5_license_notices": licenses.sql(), "op7_source_mix": mixing.SQL, "op10_threshold_top_k": topk.SQL,
+           "op13_source_divergence": divergence.SQL}
     if corpus_pipeline.ORACLE_SQL:
         out["pipeline"] = corpus_pipeline.ORACLE_SQL
     return out
