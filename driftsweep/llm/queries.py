@@ -18,6 +18,7 @@ from driftsweep.llm import (
     repeats,
     sharding,
     simhash,
+    substrings,
     token_counts,
     topk,
 )
@@ -68,6 +69,10 @@ def op11_dual_tree_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.compress(table(spark, sf_dir, "embeddings"))
 
 
+def op12_fm_index_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeated(table(spark, sf_dir, "documents"))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
@@ -79,14 +84,16 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (op1_bounded_ring_shards, op2_edit_aware_token_counts, op3_benchmark_decontamination, op4_simhash_near_dedup,
              op5_license_notices, op6_boosted_pii, op7_source_mix, op8_prefix_free_repeats, op9_language_id,
-             op10_threshold_top_k, op11_dual_tree_codes, op13_source_divergence, pipeline)
+             op10_threshold_top_k, op11_dual_tree_codes, op12_fm_index_repeats,
+             op13_source_divergence, pipeline)
     return {f.__name__: f for f in every}
 
 
 def sql() -> dict[str, str]:
     """DuckDB SQL for the queries that SQL can express."""
     out = {"op5_license_notices": licenses.sql(), "op7_source_mix": mixing.SQL, "op10_threshold_top_k": topk.SQL,
-           "op11_dual_tree_codes": codes.sql(), "op13_source_divergence": divergence.SQL}
+           "op11_dual_tree_codes": codes.sql(), "op12_fm_index_repeats": substrings.SQL,
+           "op13_source_divergence": divergence.SQL}
     if corpus_pipeline.ORACLE_SQL:
         out["pipeline"] = corpus_pipeline.ORACLE_SQL
     return out
