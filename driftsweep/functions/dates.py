@@ -38,6 +38,31 @@ def _try(c: Column, fmt: str) -> Column:
     return parsed if guard is None else F.when(c.rlike(guard), parsed)
 
 
+_MONTH, _DAY = "(?:0?[1-9]|1[0-2])", "(?:0?[1-9]|[12][0-9]|3[01])"
+_SLASHES = f"^{_D}/{_D}/{_D}( .*)?$"
+_MONTH_FIRST = f"^{_MONTH}/{_DAY}/{_D}( .*)?$"
+_DAY_FIRST = f"^{_DAY}/{_MONTH}/{_D}( .*)?$"
+
+
+def slash_votes(c: Column) -> dict[str, Column]:
+    """A value's votes on the order of its column's slash dates: it is one, it can be month first, it can be day first.
+
+    The votes of a column are sums, so they merge in any order (see ``day_first``)."""
+    slash = F.contains(c, F.lit("/"))    # few values reach the patterns
+    return {"n_slash": slash & c.rlike(_SLASHES), "n_month_first": slash & c.rlike(_MONTH_FIRST),
+            "n_day_first": slash & c.rlike(_DAY_FIRST)}
+
+
+def day_first(n_slash: Column, n_month_first: Column, n_day_first: Column) -> Column:
+    """A column is read day first if that explains all its slash dates and month first does not."""
+    return (n_slash > 0) & (n_day_first == n_slash) & (n_month_first < n_slash)
+
+
+def month_first_text(c: Column) -> Column:
+    """A day-first slash date as month-first text; other texts as they are."""
+    return F.when(c.rlike(_DAY_FIRST), F.regexp_replace(c, f"^({_D})/({_D})/", "$2/$1/")).otherwise(c)
+
+
 def parse_date(c: Column) -> Column:
     """Timestamp of the first format in DATE_FORMATS that parses ``c`` (NULL if none)."""
     return F.when(c.isNotNull() & (F.length(c) > 0), F.coalesce(*[_try(c, fmt) for fmt in DATE_FORMATS]))

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftsweep.functions.dates import normalise_date, parse_date
+from driftsweep.functions.dates import month_first_text, normalise_date, parse_date
 from driftsweep.functions.text import na_to_null, non_blank, py_split, py_strip
 from driftsweep.operators.joins import join_checked
 from driftsweep.schema import DATE_TARGETS, GOLD_ORDER, GOLD_UPPER, NAT, SILVER_ORDER, TARGETS
@@ -18,7 +18,7 @@ ROW_ORDER = ["file_ordinal", "part", "src_row"]
 def project_targets(bronze: DataFrame, mapping: DataFrame, mapping_rows: int | None = None) -> DataFrame:
     """P1/P2/P3: every target from its resolved column ('' for an empty cell) or NULL when
     the dataset has no column for it. Datasets without any resolved target yield no rows."""
-    from driftsweep.operators.resolver import source_col
+    from driftsweep.operators.resolver import day_first_col, source_col
 
     j = join_checked(bronze, mapping, KEY, "inner", mapping_rows, salt_from=["part", "src_row"])
     cols = []
@@ -27,18 +27,29 @@ def project_targets(bronze: DataFrame, mapping: DataFrame, mapping_rows: int | N
         value = na_to_null(F.try_element_at(F.col("cells"), src + 1))
         cols.append(F.when(src.isNull(), F.lit(None).cast("string")).otherwise(F.coalesce(value, F.lit(""))).alias(t))
     extra = [c for c in ("_file", "_blk", "_mid") if c in bronze.columns]
+    extra += [c for c in map(day_first_col, DATE_TARGETS) if c in mapping.columns]
     return j.select(*LINEAGE, *extra, *cols)
 
 
+def date_text(df: DataFrame, target: str) -> Column:
+    """A date target's text, day-first columns turned month first (the order that the accepted forms have)."""
+    from driftsweep.operators.resolver import day_first_col
+
+    flag = day_first_col(target)
+    return F.when(F.col(flag), month_first_text(F.col(target))).otherwise(F.col(target)) if flag in df.columns else F.col(target)
+
+
 def normalise_dates(df: DataFrame, targets: list[str] = DATE_TARGETS) -> DataFrame:
-    """P5: the date targets become YYYY-MM-DD text, or 'NaT'."""
-    return df.withColumns({t: normalise_date(F.col(t)) for t in targets})
+    """P5: the date targets become YYYY-MM-DD text, or 'NaT'; one order of slash dates for each column."""
+    from driftsweep.operators.resolver import day_first_col
+
+    return df.withColumns({t: normalise_date(date_text(df, t)) for t in targets}).drop(*map(day_first_col, targets))
 
 
 def date_rejects(df: DataFrame, targets: list[str] = DATE_TARGETS) -> DataFrame:
     """Data-quality report: non-blank date cells that no accepted form parses."""
     long = df.select("file_name", F.explode(F.map_from_arrays(
-        F.array(*[F.lit(t) for t in targets]), F.array(*[F.col(t) for t in targets]))).alias("target", "value"))
+        F.array(*[F.lit(t) for t in targets]), F.array(*[date_text(df, t) for t in targets]))).alias("target", "value"))
     bad = non_blank(F.col("value")) & parse_date(F.col("value")).isNull()
     return (long.groupBy("file_name", "target")
             .agg(F.count_if(bad).alias("n_rejects"), F.count_if(non_blank(F.col("value"))).alias("n_values"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,9 +14,6 @@ def _partial_pattern(partials: list[str]) -> str:
     return "|".join(re.escape(p) for p in partials)
 
 
-import re  # noqa: E402  (kept next to its only use)
-
-
 def min_shape_ok(fmt: Column, n_rows: Column, n_cols: Column) -> Column:
     """Keep iff more than one column and enough data rows for the format
     (CSV counts data rows only, so it needs two; a workbook sheet needs one)."""

@@ -129,12 +129,27 @@ def mapping_table(decisions: DataFrame) -> DataFrame:
     return decisions.where("resolved").groupBy(*KEY).agg(*pos)
 
 
+def day_first_col(target: str) -> str:
+    """Mapping column telling that the slash dates of ``target``'s source column are day first."""
+    return f"day_first_{target}"
+
+
+def day_first_targets(decisions: DataFrame, counts: DataFrame) -> DataFrame:
+    """One row per dataset with a day-first date column: one boolean column per date target."""
+    from driftsweep.schema import DATE_TARGETS
+
+    voted = counts.where("day_first").select(*KEY, F.col("pos").alias("found_pos"))
+    dates = decisions.where(F.col("resolved") & F.col("target").isin(DATE_TARGETS)).join(voted, [*KEY, "found_pos"], "left_semi")
+    return dates.groupBy(*KEY).agg(*[F.bool_or(F.col("target") == t).alias(day_first_col(t)) for t in DATE_TARGETS])
+
+
 def resolve(accepted_datasets: DataFrame, counts: DataFrame) -> dict[str, DataFrame]:
     """Full resolver plan; returns the intermediate tables for reporting and tests.
 
     ``mapping``: file_name, source, file_ordinal and one ``src_<target>`` column per target.
 
-    ``counts``: (file_name, source, pos, n_non_blank) over the data rows of each dataset.
+    ``counts``: (file_name, source, pos, n_non_blank) over the data rows of each dataset; with a column
+    ``day_first`` the mapping also tells which date targets are to be read day first.
     """
     headers = header_rows(accepted_datasets)
     scores = header_scores(headers)
@@ -142,5 +157,7 @@ def resolve(accepted_datasets: DataFrame, counts: DataFrame) -> dict[str, DataFr
     report = match_report(best, counts)
     decisions = decide(report)
     mapping = mapping_table(decisions).join(accepted_datasets.select(*KEY, "file_ordinal"), KEY)
+    if "day_first" in counts.columns:
+        mapping = mapping.join(day_first_targets(decisions, counts), KEY, "left")
     return {"headers": headers, "scores": scores, "best": best, "counts": named_counts(headers, counts),
             "report": report, "decisions": decisions, "mapping": mapping}

@@ -32,17 +32,20 @@ def with_dense_index(df: DataFrame, order_cols: list[str], name: str = "rowid",
                   .drop("_pid", "_mid", "_off", "_first"))
 
 
-def running_total(df: DataFrame, order_cols: list[str], value: str, name: str) -> DataFrame:
-    """Adds the sum of ``value`` over all earlier rows. The sorted rows are checkpointed, so each keeps
-    its partition: totals of the partitions (one small row each) plus a window inside each partition."""
+def running_totals(df: DataFrame, order_cols: list[str], totals: dict[str, str]) -> DataFrame:
+    """Adds, for each (name, value column) of ``totals``, the value's sum over all earlier rows. The sorted rows are
+    checkpointed, so each keeps its partition: sums of the partitions (one small row each) plus a window
+    inside each partition."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
             .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
     upto = Window.partitionBy("_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # <= n rows
-    sizes = rows.groupBy("_pid").agg(F.sum(value).alias("_t")).select("_pid", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_b"))
-    return (rows.withColumn(name, F.coalesce(F.sum(value).over(upto), F.lit(0)))
-            .join(F.broadcast(sizes), "_pid").withColumn(name, F.col(name) + F.col("_b")).drop("_pid", "_b"))
+    sizes = rows.groupBy("_pid").agg(*[F.sum(v).alias(f"_t_{k}") for k, v in totals.items()])
+    sizes = sizes.select("_pid", *[F.coalesce(F.sum(f"_t_{k}").over(before), F.lit(0)).alias(f"_b_{k}") for k in totals])
+    inside = rows.withColumns({k: F.coalesce(F.sum(v).over(upto), F.lit(0)) for k, v in totals.items()})
+    return (inside.join(F.broadcast(sizes), "_pid").withColumns({k: F.col(k) + F.col(f"_b_{k}") for k in totals})
+            .drop("_pid", *[f"_b_{k}" for k in totals]))
 
 
 def with_dense_index_by_runs(df: DataFrame, order_cols: list[str], mid: str, name: str = "rowid") -> DataFrame:
@@ -63,7 +66,7 @@ def with_dense_index_by_runs(df: DataFrame, order_cols: list[str], mid: str, nam
     runs = staged.groupBy(*order_cols).agg(F.count(F.lit(1)).alias("_n"), F.min(mid).alias("_first"), F.max(mid).alias("_last"))
     gap = F.raise_error(F.lit("a run of rows has gaps; it cannot be numbered")).cast("long")
     runs = runs.withColumn("_n", F.when(F.col("_last") - F.col("_first") + 1 == F.col("_n"), F.col("_n")).otherwise(gap))
-    offsets = running_total(runs.drop("_last"), order_cols, "_n", "_off").drop("_n")
+    offsets = running_totals(runs.drop("_last"), order_cols, {"_off": "_n"}).drop("_n")
     lost = F.raise_error(F.lit("a row belongs to no run")).cast("long")
     return (join_checked(staged, offsets, order_cols, "left", salt_from=[mid])
             .withColumn(name, F.coalesce(F.col("_off") + F.col(mid) - F.col("_first"), lost).cast("long"))

@@ -449,6 +449,122 @@ def gold_compact(spark, sf):
     return tables.read_gold(spark, path)
 
 
+# ---------------------------------------------------------------- runs: ledger, quarantine, changed datasets, compaction
+
+
+def _keyed(df, key, name):
+    return df.orderBy(key).select(F.col(key).cast("string").alias("CID"), F.col(name).alias("SubscriberKey"))
+
+
+def silver_after_failure(spark, sf):
+    """Silver after a run that stopped between its silver rows and their record, and the run after it."""
+    from driftsweep.plans import ledger
+    from driftsweep.plans.run import Run, run_sweep
+
+    key = (app_id(spark), sf, "after_failure")
+    if key not in _INBOXES:
+        inbox = _written(spark, sf, "failing", {"weekly.csv": _keyed(table(spark, sf, "customer"), "c_custkey", "c_name"),
+                                                "other.csv": _keyed(table(spark, sf, "supplier"), "s_suppkey", "s_name")})
+        out = scratch_path(spark, "after_failure_out")
+        stopped = Run(spark, inbox, out, "run-1")
+        stopped.record_status()
+        stopped.append_silver()
+        run_sweep(spark, inbox, out, "run-2")
+        _INBOXES[key] = out
+    out = _INBOXES[key]
+    rows = tables.read_silver(spark, f"{out}/silver", with_run=True, runs=ledger.committed_runs(spark, out))
+    return rows.select("run_id", "file_name", "cid", "subscriberkey")
+
+
+def quarantine_chunks(spark, sf):
+    """What the quarantine keeps of an unreadable export: bytes, lines and a checksum over its lines."""
+    from driftsweep.plans.run import Run
+
+    key = (app_id(spark), sf, "quarantine")
+    if key not in _INBOXES:
+        inbox, out = scratch_path(spark, "bad_inbox"), scratch_path(spark, "bad_out")
+        o = table(spark, sf, "orders")
+        line = F.concat_ws(",", F.col("o_orderkey").cast("string"), "o_orderstatus", F.when(F.col("o_orderkey") % 7 == 0, F.lit("extra")))
+        lines = o.select(F.col("o_orderkey").cast("long").alias("k"), line.alias("value")).union(
+            spark.createDataFrame([(-1, "CID,State")], "k long, value string"))
+        lines.repartition(1).sortWithinPartitions("k").select("value").write.text(f"{inbox}/overlong.csv")
+        _keyed(table(spark, sf, "customer"), "c_custkey", "c_name").write.option("header", "true").csv(f"{inbox}/good.csv")
+        run = Run(spark, inbox, out, "run-1")
+        run.record_status()
+        run.quarantine()
+        _INBOXES[key] = out
+    held = spark.read.schema("entry string, reason string, path string, offset long, content binary, run_id string").parquet(
+        f"{_INBOXES[key]}/quarantine")
+    lines = held.select("entry", "reason", "content", F.explode(F.split(F.rtrim(F.col("content").cast("string"), F.lit("\n")), "\n")).alias("line"))
+    sums = lines.groupBy("entry", "reason").agg(
+        F.count(F.lit(1)).alias("n_lines"),
+        F.sum(F.conv(F.substring(F.md5(F.col("line").cast("binary")), 1, 8), 16, 10).cast("long")).alias("checksum"))
+    sizes = held.groupBy("entry").agg(F.sum(F.octet_length("content")).cast("long").alias("bytes"))
+    return sums.join(sizes, "entry").select("entry", "reason", "bytes", "n_lines", "checksum")
+
+
+def gold_changed(spark, sf):
+    """Gold after a second delivery that changed one of two datasets: only that one was rebuilt."""
+    from driftsweep.plans.run import run_sweep
+
+    key = (app_id(spark), sf, "gold_changed")
+    if key not in _INBOXES:
+        out = scratch_path(spark, "gold_changed_out")
+        c, s = _keyed(table(spark, sf, "customer"), "c_custkey", "c_name"), _keyed(table(spark, sf, "supplier"), "s_suppkey", "s_name")
+        run_sweep(spark, _written(spark, sf, "changed-1", {"weekly.csv": c, "other.csv": s}), out, "run-1")
+        run_sweep(spark, _written(spark, sf, "changed-2", {"weekly.csv": s}), out, "run-2")
+        _INBOXES[key] = out
+    return tables.read_gold(spark, f"{_INBOXES[key]}/gold").select("sourcefile", "cid", "subscriberkey")
+
+
+def compact_files(spark, sf):
+    """Files and rows of a silver table's partitions after its crowded ones were rewritten."""
+    from driftsweep.schema import SILVER_SCHEMA
+
+    key = (app_id(spark), sf, "compacted")
+    if key not in _INBOXES:
+        path = scratch_path(spark, "crowded")
+        tables.append_silver(Sweep.from_fixtures(spark, sf).silver.repartition(7), path)
+        tables.compact(spark, path, SILVER_SCHEMA, ["file_name"])
+        _INBOXES[key] = path
+    files = tables.file_sizes(spark, _INBOXES[key]).groupBy("folder").agg(F.count(F.lit(1)).alias("n_files"))
+    files = files.select(F.regexp_extract("folder", "file_name=([^/]*)$", 1).alias("file_name"), "n_files")
+    rows = tables.read_silver(spark, _INBOXES[key]).groupBy("file_name").agg(F.count(F.lit(1)).alias("n_rows"))
+    return rows.join(files, "file_name").select("file_name", "n_files", "n_rows")
+
+
+def read_success_status(spark, sf):
+    """Read-success counter of a swept inbox: its good entries."""
+    st = Sweep.from_csv_inbox(spark, fixture_inbox(spark, sf, True)).status
+    return st.agg(F.count_if(F.col("status") == "good").alias("n_read"), F.count(F.lit(1)).alias("n_entries"))
+
+
+def date_day_first(spark, sf):
+    """Dates of an export with one day-first and one month-first column: each column is read in its own order."""
+    o = table(spark, sf, "orders")
+    d = F.col("o_orderdate")
+    df = o.select(F.col("o_orderkey").cast("string").alias("CID"), F.date_format(d, "dd/MM/yyyy").alias("CreatedDate"),
+                  F.date_format(d, "M/d/yyyy").alias("LastModifiedDate"),
+                  F.when(F.col("o_orderkey") % 3 > 0, F.date_format(d, "d/M/yyyy HH:mm")).alias("sentdate"))
+    sw = Sweep.from_csv_inbox(spark, _written(spark, sf, "dayfirst", {"dayfirst.csv": df}))
+    return sw.silver_rows.select("cid", "createddate", "lastmodifieddate", "sentdate")
+
+
+def cells_to_records_q(spark, sf):
+    """Customers as sheets of long cells, with blank cells and blank rows, put together to records."""
+    from driftsweep.operators.records import cells_to_records
+
+    c = table(spark, sf, "customer")
+    k = F.col("c_custkey")
+    sheet = F.concat(F.lit("S"), (k / 400).cast("int").cast("string"))
+    values = F.array(F.col("c_name"), F.when(k % 5 > 0, F.col("c_mktsegment")), F.when(k % 7 == 0, k.cast("string")))
+    body = c.where(k % 11 > 0).select(sheet.alias("sheet"), (k % 400 + 2).cast("long").alias("row_no"), F.posexplode(values).alias("col", "value"))
+    heads = c.select(sheet.alias("sheet")).distinct().select(
+        "sheet", F.lit(1).cast("long").alias("row_no"), F.posexplode(F.array(F.lit("Name"), F.lit("Segment"), F.lit("Key"))).alias("col", "value"))
+    r = cells_to_records(body.where("value IS NOT NULL").unionByName(heads), ["sheet"])
+    return r.select("sheet", "row_no", F.array_join("headers", "|").alias("headers"), F.array_join("cells", "|", "-").alias("cells"))
+
+
 # ---------------------------------------------------------------- incremental sweep (Structured Streaming)
 
 
@@ -472,6 +588,22 @@ def stream_gold(spark, sf):
     return sweep_stream.read_stream_gold(spark, _stream_out(spark, sf))
 
 
+def stream_archive(spark, sf):
+    """Two runs of the stream over an inbox whose handled entries leave it: what is left, and the silver rows."""
+    key = (app_id(spark), sf, "stream_archive")
+    if key not in _INBOXES:
+        inbox, out, ckpt, archive = (scratch_path(spark, f"archived_{n}") for n in ("inbox", "out", "ckpt", "done"))
+        _keyed(table(spark, sf, "customer"), "c_custkey", "c_name").repartition(4).write.option("header", "true").csv(f"{inbox}/weekly.csv")
+        sweep_stream.run_available(spark, inbox, out, ckpt, max_files_per_trigger=3, archive=archive)
+        _keyed(table(spark, sf, "supplier"), "s_suppkey", "s_name").write.option("header", "true").csv(f"{inbox}/other.csv")
+        sweep_stream.run_available(spark, inbox, out, ckpt, max_files_per_trigger=3, archive=archive)
+        _INBOXES[key] = f"{inbox}|{out}"
+    inbox, out = _INBOXES[key].split("|")
+    left = csv_inbox.manifest(spark, inbox).agg(F.count(F.lit(1)).alias("n_left"))
+    rows = sweep_stream.read_stream_silver(spark, out).groupBy("file_name").agg(F.count(F.lit(1)).alias("n_rows"))
+    return rows.join(F.broadcast(left)).select("file_name", "n_rows", "n_left")   # one row of counts
+
+
 # ---------------------------------------------------------------- workbooks + CSV in one inbox
 
 
@@ -574,6 +706,14 @@ def registry() -> dict[str, Query]:
         "gold_compact": gold_compact,
         "stream_sweep": stream_sweep,
         "stream_gold": stream_gold,
+        "stream_archive": stream_archive,
+        "silver_after_failure": silver_after_failure,
+        "quarantine_chunks": quarantine_chunks,
+        "gold_changed": gold_changed,
+        "compact_files": compact_files,
+        "read_success_status": read_success_status,
+        "date_day_first": date_day_first,
+        "cells_to_records": cells_to_records_q,
         "xlsx_sweep": xlsx_sweep,
         "xlsx_cells": xlsx_cells,
         "mixed_rowid": mixed_rowid,

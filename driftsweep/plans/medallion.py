@@ -33,17 +33,25 @@ class Sweep:
         counts = fixtures.fixture_counts(bronze)
         return cls(bronze, fixtures.fixture_datasets(spark, counts), counts.where("pos >= 0"))
 
+    @staticmethod
+    def _manifest(spark: SparkSession, inbox: str, entries: DataFrame | None) -> tuple[DataFrame, str | None]:
+        """Manifest of all entries or the given ones, and the time their files were modified after (if given)."""
+        if entries is None:
+            return csv_inbox.manifest(spark, inbox), None
+        man = entries
+        if "file_ordinal" not in entries.columns:    # names only
+            man, _ = materialise_small(csv_inbox.manifest(spark, inbox).join(entries.select("entry"), "entry", "left_semi"))
+        return man, csv_inbox.since(man)
+
     @classmethod
-    def from_csv_inbox(cls, spark: SparkSession, inbox: str, entries: list[str] | None = None) -> "Sweep":
-        """Sweep of the CSV entries of an inbox folder, all or the named ones (see sources.csv_inbox)."""
-        man = csv_inbox.manifest(spark, inbox)
-        if entries is not None:
-            man = man.where(F.col("entry").isin(entries))
+    def from_csv_inbox(cls, spark: SparkSession, inbox: str, entries: DataFrame | None = None) -> "Sweep":
+        """Sweep of the CSV entries of an inbox folder, all or those of a table (see sources.csv_inbox)."""
+        man, modified_after = cls._manifest(spark, inbox, entries)
         if man.where("kind = 'csv' AND type_rank IS NOT NULL AND n_parts > 0").isEmpty():
             sw = cls.empty(spark)
             sw.manifest = man
             return sw
-        ci = csv_inbox.CsvInbox(spark, inbox, entries)
+        ci = csv_inbox.CsvInbox(spark, inbox, entries, modified_after)
         profile, _ = materialise_small(ci.profile())     # hash aggregate; (#files x width) rows
         status = ci.status(man, ci.parts(profile))
         datasets = quality.last_write_wins(ci.datasets(status)).drop("sheet_no")
@@ -65,8 +73,9 @@ class Sweep:
         return sw
 
     @classmethod
-    def from_inbox(cls, spark: SparkSession, inbox: str, entries: list[str] | None = None) -> "Sweep":
-        """Sweep of every CSV and workbook entry of an inbox folder (or of the named ones).
+    def from_inbox(cls, spark: SparkSession, inbox: str, entries: DataFrame | None = None) -> "Sweep":
+        """Sweep of every CSV and workbook entry of an inbox folder (or of those of a table: the manifest's
+        rows, or just a column ``entry``).
 
         Workbooks are decoded once (``mapInArrow``) into the shared scratch folder; both
         kinds then share the profile -> gates -> resolver -> silver plan.
@@ -74,13 +83,10 @@ class Sweep:
         from driftsweep.session import scratch_path
         from driftsweep.sources import xlsx_inbox
 
-        man = csv_inbox.manifest(spark, inbox)
-        if entries is not None:
-            man = man.where(F.col("entry").isin(entries))
+        man, modified_after = cls._manifest(spark, inbox, entries)
         kinds = {r.kind: r.n for r in man.where("type_rank IS NOT NULL").groupBy("kind")
                  .agg(F.sum(F.greatest("n_parts", F.lit(0))).alias("n")).collect()}   # at most three rows
-        names = None if entries is None else [e for e in entries if e.endswith(".csv")]
-        ci = csv_inbox.CsvInbox(spark, inbox, names)
+        ci = csv_inbox.CsvInbox(spark, inbox, entries, modified_after)
         parts, statuses, counts, bronzes = [], [], [], []
         if kinds.get("csv"):
             cprof, _ = materialise_small(ci.profile())
@@ -93,7 +99,7 @@ class Sweep:
         if kinds.get("xlsx") or kinds.get("xls"):
             rows_path = scratch_path(spark, "xlsx_rows")
             if kinds.get("xlsx"):
-                xlsx_inbox.workbook_rows(spark, inbox).write.parquet(rows_path)
+                xlsx_inbox.workbook_rows(spark, inbox, entries, modified_after).write.parquet(rows_path)
                 rows = spark.read.parquet(rows_path)
             else:
                 rows = spark.createDataFrame([], xlsx_inbox.ROWS_SCHEMA)

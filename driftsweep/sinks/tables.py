@@ -3,7 +3,9 @@
 * silver: fixed 35-column schema, rowid and file_name NOT NULL, partitioned by file_name,
   appended per run; with a ``run_id`` partitioned by (run_id, file_name), where writing the
   same run again replaces that run only and earlier deliveries stay: (run_id, rowid) is unique;
-* gold: rebuilt from all of silver and overwritten, written compact (rebalance hint);
+* gold: rebuilt from all of silver and overwritten, written compact (rebalance hint), or partitioned by
+  sourcefile with only the changed datasets rebuilt (``write_gold_of``);
+* ``compact`` rewrites the partitions that hold more files than they need;
 * reads prune partitions: ``read_silver(..., dataset=...)`` shows PartitionFilters.
 
 Silver is written scan-aligned by default: each task writes the rows it read (one file per
@@ -16,10 +18,12 @@ original's own step after every rebuild.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from driftsweep.operators.harmonise import gold
+from driftsweep.operators.joins import join_checked
 from driftsweep.schema import GOLD_SCHEMA, SILVER_ORDER, SILVER_SCHEMA
 
 NOT_NULL = [f.name for f in SILVER_SCHEMA.fields if not f.nullable]
@@ -74,24 +78,76 @@ def append_silver(df: DataFrame, path: str | None = None, table: str | None = No
          .mode("overwrite").option("partitionOverwriteMode", "dynamic").save(path))
 
 
+def run_schema() -> T.StructType:
+    """Schema of a silver table that is written per run."""
+    return T.StructType([*SILVER_SCHEMA.fields, T.StructField("run_id", T.StringType())])
+
+
 def read_silver(spark: SparkSession, path: str, dataset: str | None = None, fmt: str = "parquet",
-                with_run: bool = False) -> DataFrame:
+                with_run: bool = False, runs: DataFrame | None = None) -> DataFrame:
     """K7: read silver back in its declared order; a dataset filter prunes partitions.
 
-    ``with_run`` adds the run_id of a silver table written per run.
+    ``with_run`` adds the run_id of a silver table written per run; ``runs`` (column run_id) keeps the rows of these
+    runs only, such as ``ledger.committed_runs``.
     """
-    schema = T.StructType([*SILVER_SCHEMA.fields, T.StructField("run_id", T.StringType())]) if with_run else SILVER_SCHEMA
+    by_run = with_run or runs is not None
+    schema = run_schema() if by_run else SILVER_SCHEMA
     df = spark.read.format(fmt).schema(schema).load(path)
     if dataset is not None:
         df = df.where(F.col("file_name") == dataset)
+    if runs is not None:
+        df = join_checked(df, runs.select("run_id"), ["run_id"], "left_semi", salt_from=["rowid"])
     return df.select(*SILVER_ORDER, *(["run_id"] if with_run else []))
 
 
-def write_gold(gold: DataFrame, path: str, fmt: str = "parquet") -> None:
+def write_gold(rows: DataFrame, path: str, fmt: str = "parquet") -> None:
     """K5 + K6: overwrite gold from silver, written compact (AQE-sized rebalanced files)."""
-    gold.select(*[F.col(f.name).cast(f.dataType) for f in GOLD_SCHEMA.fields]) \
+    rows.select(*[F.col(f.name).cast(f.dataType) for f in GOLD_SCHEMA.fields]) \
         .hint("rebalance").write.format(fmt).mode("overwrite").save(path)
 
 
+def write_gold_of(spark: SparkSession, silver_path: str, gold_path: str, datasets: DataFrame, runs: DataFrame) -> int:
+    """K5 for some datasets (column file_name): their partitions of a gold table partitioned by sourcefile are rebuilt
+    from the silver rows of ``runs``, all other partitions and their files stay. Returns the rows written."""
+    datasets = datasets.select("file_name").distinct().checkpoint(eager=True)
+    if datasets.isEmpty():
+        return 0
+    silver = join_checked(read_silver(spark, silver_path, runs=runs), datasets, ["file_name"], "left_semi", salt_from=["rowid"])
+    seen = Observation("gold")
+    rows = gold(silver).select(*[F.col(f.name).cast(f.dataType) for f in GOLD_SCHEMA.fields])
+    (rows.observe(seen, F.count(F.lit(1)).alias("rows")).hint("rebalance", "sourcefile").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("sourcefile").parquet(gold_path))
+    return seen.get["rows"]
+
+
+def file_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """(folder, file, bytes) of a table's files, from the listing (no content is read)."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+             .select(F.col("_metadata.file_path").alias("file"), F.col("length").alias("bytes")))
+    return files.select(F.regexp_extract("file", "(?s)^(.*)/[^/]*$", 1).alias("folder"), "file", "bytes")
+
+
+def compact(spark: SparkSession, path: str, schema: T.StructType, partition_by: list[str],
+            target_bytes: int = 128 << 20) -> DataFrame:
+    """K6 for a partitioned table: partitions with more files than their bytes need are rewritten in bins of about
+    ``target_bytes``; other partitions are left alone. Returns what was rewritten: (folder, files, bytes, bins).
+
+    The partitions to rewrite are chosen from file sizes. Their rows are dealt to bins by a hash of the row, so a large
+    partition is written by as many tasks as it has bins; they replace the old files when the job commits."""
+    sizes = file_sizes(spark, path).groupBy("folder").agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"))
+    bins = F.greatest(F.lit(1), F.ceil(F.col("bytes") / target_bytes)).cast("int")
+    chosen = sizes.withColumn("bins", bins).where("files > bins").checkpoint(eager=True)
+    if chosen.isEmpty():
+        return chosen
+    table = spark.read.schema(schema).parquet(path)   # the schema keeps partition values as written
+    names = table.columns
+    rows = table.withColumn("folder", F.regexp_extract(F.col("_metadata.file_path"), "(?s)^(.*)/[^/]*$", 1))
+    rows = join_checked(rows, chosen.select("folder", "bins"), ["folder"], salt_from=names[:4])
+    rows = rows.withColumn("_bin", F.pmod(F.xxhash64(*names), F.col("bins")))
+    (rows.repartition(F.col("folder"), F.col("_bin")).select(*names).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
+    return chosen
+
+
 def read_gold(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).schema(GOLD_SCHEMA).load(path)

@@ -1,38 +1,41 @@
 """CSV inbox sweep: manifest, readability probe, dataset catalogue, bronze rows.
 
 An inbox *entry* is a top-level item of the inbox folder: a plain ``name.csv`` file or a
-folder of part files (what Spark itself writes). The driver holds the entries' names, as
-the folder listing does, and nothing per file.
+folder of part files (what Spark itself writes). A sweep of some entries (one run's new ones, a
+stream's changed ones) takes them as a table; nothing is kept per entry on the driver beyond
+Spark's own file listing.
 
 Files are read as lines, splittably, at any size and any width:
 
 * pass 0 (``files``) groups the text lines by file: the header line, invalid UTF-8, and
   whether some line leaves a quoted field open;
 * the data rows (``rows``) come from a line scan that drops each file's header line. In a
-  file without open lines every line is a record. Files with open lines (their *content*
-  decides, not their size) have their lines put together again: a line either sets, flips
-  or keeps the state inside/outside quotes, so windows over the file's lines give the
-  state before each line and hence the records. Such a file is one task's work;
+  file without open lines every line is a record;
+* lines of files with open lines (their *content* decides, not their size) are put together by
+  ``driftsweep.sources.quote_state``, split by split; only these files are read for it, and their
+  records are written once to the shared folder;
 * a record without quotes is split at its commas; only records with quotes go through the
   pattern that finds quoted fields.
 
 Reader rules that mirror the tabular reader being replaced: header in the first record,
 every value text, quote ``"`` doubled to escape, records of blanks only are skipped, a
 record with more fields than the header (an empty extra field included) is an error, so
-is a quote that is still open at the end of the file. A line break inside quotes is
-kept as ``\\n``.
+is a quote that is still open at the end of the file (known before any record of the file is
+put together). A line break inside quotes is kept as ``\\n``.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from driftsweep.functions.dates import day_first, slash_votes
 from driftsweep.functions.text import dataset_name, extension, na_to_null, non_blank
 from driftsweep.operators.rowid import with_dense_index
 from driftsweep.schema import INBOX_EXTENSIONS
+from driftsweep.sources.quote_state import QUOTED, has_text, opens, put_together
 
 _TYPE_RANK = {".xlsx": 0, ".xls": 1, ".csv": 2}
 
@@ -66,20 +69,22 @@ def top_level_entries(spark: SparkSession, inbox: str) -> DataFrame:
     """Names of the inbox's top-level items (one directory listing, metadata only).
 
     Needed because Spark's file scans skip zero-byte files, which must still be reported
-    (and quarantined) as empty.
+    (and quarantined) as empty. The listing comes over in one call and is cut up by Spark.
     """
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(inbox)
-    it = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatusIterator(p)
-    names = []
-    while it.hasNext():
-        st = it.next()
-        names.append((st.getPath().getName(), bool(st.isDirectory())))
-    names = [(n, d) for n, d in names if not n.startswith((".", "_"))]
-    return spark.createDataFrame(names, "entry string, is_dir boolean")
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(inbox)
+    statuses = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)
+    listed = jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(statuses).mkString("\u0001")
+    path = F.regexp_extract("status", "(?s)path=(.*); isDirectory=(?:true|false);", 1)
+    return (spark.createDataFrame([(listed,)], "listed string")
+            .select(F.explode(F.split("listed", "\u0001")).alias("status"))
+            .select(F.regexp_extract(path, "(?s)([^/]*)$", 1).alias("entry")).where("entry <> ''")
+            .where(~F.col("entry").startswith(".") & ~F.col("entry").startswith("_")))
 
 
 def manifest(spark: SparkSession, inbox: str) -> DataFrame:
-    """One row per inbox entry: name, kind, size, part count, discovery ordinal.
+    """One row per inbox entry: name, kind, size, part count, latest (``modified``) and earliest
+    (``oldest``) modification time of its files, discovery ordinal.
 
     ``binaryFile`` with only path/length/modificationTime selected lists the (non-empty)
     files without reading their content; the per-entry aggregate is joined to the
@@ -91,11 +96,11 @@ def manifest(spark: SparkSession, inbox: str) -> DataFrame:
     entry = entry_of(F.col("path"), root)
     sized = (files.groupBy(entry.alias("entry"))
              .agg(F.count(F.lit(1)).alias("n_parts"), F.sum("length").alias("bytes"),
-                  F.max("modificationTime").alias("modified")))
+                  F.max("modificationTime").alias("modified"), F.min("modificationTime").alias("oldest")))
     listed = top_level_entries(spark, inbox)
     per_entry = (listed.join(sized, "entry", "left")
                  .select("entry", F.coalesce("n_parts", F.lit(0)).alias("n_parts"),
-                         F.coalesce("bytes", F.lit(0)).alias("bytes"), "modified"))
+                         F.coalesce("bytes", F.lit(0)).alias("bytes"), "modified", "oldest"))
     allowed = F.exists(F.array(*[F.lit(e) for e in INBOX_EXTENSIONS]), lambda e: F.col("entry").endswith(e))
     ext = extension(F.col("entry"))
     kind = F.when(ext == ".xls", "xls").when(ext == ".xlsx", "xlsx").when(ext == ".csv", "csv").otherwise("other")
@@ -128,26 +133,10 @@ def repair_headers(names: Column) -> Column:
     return F.when(F.size(F.array_distinct(plain)) == F.size(names), plain).otherwise(F.transform(marked, name))
 
 
-# A closed quoted run, and a field up to its comma: quoted (text may follow) or plain.
-_QUOTED = '"[^"]*+(?:""[^"]*+)*+"'
-_FIELD = f'(?:{_QUOTED}[^,]*|[^",][^,]*|)'
-_OPEN_TAIL = '"[^"]*+(?:""[^"]*+)*+$'
-_OPENS = f"(?s)^(?:{_FIELD},)*+{_OPEN_TAIL}"
-_STAYS = f'(?s)^[^"]*+(?:""[^"]*+)*+(?:$|"[^,]*,(?:{_FIELD},)*+{_OPEN_TAIL})'
-_TOKEN = f"(?s),(?:{_QUOTED}[^,]*|[^,]*)"
+_TOKEN = f"(?s),(?:{QUOTED}[^,]*|[^,]*)"
 _CLOSED = '(?s)^,"([^"]*+(?:""[^"]*+)*+)"(.*)$'
 
 
-def opens(line: Column) -> Column:
-    """A line that begins outside quotes ends inside a quoted field."""
-    return F.contains(line, F.lit('"')) & line.rlike(_OPENS)
-
-
-def stays(line: Column) -> Column:
-    """A line that begins inside a quoted field ends inside one."""
-    return line.rlike(_STAYS)
-
-
 def _unquoted(token: Column) -> Column:
     """Text of a field with its leading comma: surrounding quotes removed, doubled quotes undone."""
     inner = F.replace(F.regexp_extract(token, _CLOSED, 1), F.lit('""'), F.lit('"'))
@@ -161,11 +150,6 @@ def fields(record: Column) -> Column:
     return F.when(F.contains(record, F.lit('"')), quoted).otherwise(F.split(record, ",", -1))
 
 
-def has_text(line: Column) -> Column:
-    """Some character beyond blanks and control characters (other records are skipped)."""
-    return line.rlike("[^\\x00-\\x20]")
-
-
 # ---- helpers for rows that still hold their header row (decoded workbook sheets)
 
 
@@ -181,7 +165,8 @@ def profile_rows(raw: DataFrame) -> DataFrame:
             .agg(F.min(F.when(F.col("_blk") == 0, F.col("mid"))).alias("first_mid"),
                  F.count(F.lit(1)).alias("n_present"),
                  F.count_if(non_blank(na_to_null(v))).alias("n_non_blank"),
-                 F.count_if(v.contains("\ufffd")).alias("n_bad_text")))
+                 F.count_if(v.contains("\ufffd")).alias("n_bad_text"),
+                 *[F.count_if(x).alias(k) for k, x in slash_votes(v).items()]))
 
 
 def header_cells_rows(raw: DataFrame, profile: DataFrame) -> DataFrame:
@@ -196,56 +181,65 @@ def header_cells_rows(raw: DataFrame, profile: DataFrame) -> DataFrame:
             .where(F.col("header_value").isNotNull()))
 
 
+#: The profile's votes on the order of slash dates.
+VOTES = ["n_slash", "n_month_first", "n_day_first"]
+#: Up to so many files with open lines are named in their scan's filter, which then opens no other file.
+NAMED_FILES = 1000
+#: A table of one short row a file is broadcast up to so many rows (and BROADCAST_BYTES).
+FILE_ROWS = 250_000
+
+
+def since(manifest_df: DataFrame) -> str | None:
+    """Time before which no file of the manifest's entries was modified (one value), for ``modifiedAfter``."""
+    oldest = manifest_df.agg(F.date_format(F.min("oldest") - F.expr("INTERVAL 1 SECOND"), "yyyy-MM-dd'T'HH:mm:ss")).first()[0]
+    return oldest
+
+
 class CsvInbox:
     """Probe + catalogue + bronze for the CSV entries of an inbox folder (see the module docstring).
 
-    ``entries`` restricts the sweep to some top-level items (one run's new ones, a stream's
-    changed ones); their names come from the folder listing.
+    ``entries`` (a table with a column ``entry``) restricts the sweep to some top-level items, and
+    ``modified_after`` the files that Spark's listing gives to its scans.
     """
 
-    def __init__(self, spark: SparkSession, inbox: str, entries: list[str] | None = None):
-        self.spark, self.inbox = spark, inbox.rstrip("/")
+    def __init__(self, spark: SparkSession, inbox: str, entries: DataFrame | None = None, modified_after: str | None = None):
+        self.spark, self.inbox, self.entries = spark, inbox.rstrip("/"), entries
         self.root = qualified(spark, self.inbox)
-        escape = lambda name: re.sub(r"([\[\]{}*?\\])", r"\\\1", name)
         # case-sensitive, like the original discovery
-        self.sources = [f"{self.inbox}/*.csv"] if entries is None else [f"{self.inbox}/{escape(e)}" for e in entries]
+        self.sources = f"{self.inbox}/*.csv"
+        self.options = {} if modified_after is None else {
+            "modifiedAfter": modified_after, "timeZone": spark.conf.get("spark.sql.session.timeZone")}
         self._files: DataFrame | None = None
-        self._several = False
+        self._several: DataFrame | None = None      # files with open lines: their records, once put together
+        self._named: list[str] | None = None         # their paths, if they are few
 
     # -- pass 0: one row per file -----------------------------------------------------------
 
     def _lines(self) -> DataFrame:
-        return self.spark.read.text(self.sources).select(
+        return self.spark.read.options(**self.options).text(self.sources).select(
             F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_blk"),
             F.monotonically_increasing_id().alias("mid"), "value")
 
-    def _records(self, paths: DataFrame) -> DataFrame:
-        """(path, rec_no, record, unclosed) of the files in ``paths``, lines put together.
-
-        A line sets the state (both rules agree), flips it, or keeps it; the state after a line is
-        the value last set, flipped as often as lines since then flip it.
-        """
+    def _put_together(self, paths: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Records of the files in ``paths`` (path, _blk, mid, record; written once), and per file whether a
+        quote stays open (path, unclosed)."""
         from driftsweep.operators.joins import join_checked
-
-        lines = join_checked(self._lines(), paths.select("path"), ["path"], salt_from=["mid"])
-        lines = lines.withColumns({"_a": opens(F.col("value")), "_b": stays(F.col("value"))})
-        order = Window.partitionBy("path").orderBy("_blk", "mid")
-        lines = lines.withColumn("_seg", F.sum((F.col("_a") == F.col("_b")).cast("int")).over(order))
-        within = Window.partitionBy("path", "_seg").orderBy("_blk", "mid")
-        flips = F.sum((F.col("_a") & ~F.col("_b")).cast("int")).over(within)
-        base = F.coalesce(F.first(F.when(F.col("_a") == F.col("_b"), F.col("_a"))).over(within), F.lit(False))
-        lines = lines.withColumn("_after", base != (flips % 2 == 1))
-        before = F.coalesce(F.lag("_after").over(order), F.lit(False))
-        lines = lines.withColumn("_new", ~before)
-        lines = lines.withColumn("_rec", F.sum(F.col("_new").cast("long")).over(order))
-        pieces = F.array_sort(F.collect_list(F.struct("_blk", "mid", "value")))
-        return (lines.groupBy("path", F.col("_rec").alias("rec_no"))
-                .agg(F.array_join(F.transform(pieces, lambda x: x["value"]), "\n").alias("record"),
-                     F.max_by("_after", F.struct("_blk", "mid")).alias("unclosed"))
-                .where(has_text(F.col("record"))))
+        from driftsweep.session import scratch_path
+
+        few = [r.path for r in paths.limit(NAMED_FILES + 1).collect()]
+        if len(few) <= NAMED_FILES:
+            self._named = few
+            lines = self._lines().where(F.col("path").isin(few))   # prunes the scan's files
+        else:
+            lines = join_checked(self._lines(), paths, ["path"], "left_semi", max_rows=FILE_ROWS, salt_from=["mid"])
+        records, ends = put_together(lines)
+        stored = scratch_path(self.spark, "records")
+        records.write.parquet(stored)
+        return self.spark.read.parquet(stored), ends
 
     def files(self) -> DataFrame:
-        """Per file: path, entry, part, headers, width, several (records span lines), bad_text, unclosed."""
+        """Per file: path, entry, part, headers, width, several (records span lines), head (split of the header
+        record of such a file), bad_text, unclosed."""
         if self._files is None:
             from driftsweep.operators.joins import materialise_small
 
@@ -255,21 +249,26 @@ class CsvInbox:
             agg = self._lines().groupBy("path").agg(
                 first.alias("first"), F.collect_set(F.when(opens(v), F.lit(True))).alias("open"),
                 F.count_if(~F.is_valid_utf8(v)).alias("n_bad"))
-            agg = agg.select("path", F.col("first.value").alias("record"), (F.size("open") > 0).alias("several"),
-                             (F.col("n_bad") > 0).alias("bad_text"), F.lit(False).alias("unclosed"))
+            agg = agg.select("path", entry_of(F.col("path"), self.root).alias("entry"), F.col("first.value").alias("record"),
+                             (F.size("open") > 0).alias("several"), (F.col("n_bad") > 0).alias("bad_text"))
+            if self.entries is not None:
+                agg = agg.join(self.entries.select("entry"), "entry", "left_semi")
             agg, _ = materialise_small(agg)
-            self._several = not agg.where("several").isEmpty()
-            if self._several:
-                own = self._records(agg.where("several").select("path")).groupBy("path").agg(
-                    F.min_by("record", "rec_no").alias("_record"), F.bool_or("unclosed").alias("_unclosed"))
-                agg = (agg.join(own, "path", "left")
-                       .select("path", F.coalesce("_record", "record").alias("record"), "several", "bad_text",
-                               F.coalesce("_unclosed", "unclosed").alias("unclosed")))
+            several = agg.where("several").select("path")
+            if several.isEmpty():
+                agg = agg.select("*", F.lit(None).cast("long").alias("head"), F.lit(False).alias("unclosed"))
+            else:
+                self._several, ends = self._put_together(several)
+                place = F.struct("_blk", "mid")
+                own = self._several.groupBy("path").agg(F.min_by("record", place).alias("_record"), F.min("_blk").alias("head"))
+                agg = (agg.join(own, "path", "left").join(ends, "path", "left")
+                       .select("path", "entry", F.coalesce("_record", "record").alias("record"), "several", "bad_text", "head",
+                               F.coalesce("unclosed", F.lit(False)).alias("unclosed")))
             agg = agg.where(F.col("record").isNotNull()).withColumn(
                 "names", fields(F.regexp_replace("record", "^\ufeff", "")))
-            out = agg.select("path", entry_of(F.col("path"), self.root).alias("entry"), _decoded(F.col("path")).alias("part"),
+            out = agg.select("path", "entry", _decoded(F.col("path")).alias("part"),
                              F.size("names").alias("width"), repair_headers(F.col("names")).alias("headers"),
-                             "several", "bad_text", "unclosed")
+                             "several", "head", "bad_text", "unclosed")
             self._files = materialise_small(out)[0]
         return self._files
 
@@ -280,27 +279,31 @@ class CsvInbox:
         from driftsweep.operators.joins import join_checked
 
         files = self.files()
-        # one column per line: no quoting, a separator that lines rarely hold (a line with it arrives
-        # whole in _line); the reader drops each file's first line with text, and lines without text
-        lines = (self.spark.read.schema("value string, _line string").option("header", "true")
-                 .option("enforceSchema", "true").option("sep", "\u0001").option("quote", "").option("escape", "")
+        # one column per line: no quoting (the quote is a character that text does not hold), a separator that
+        # lines rarely hold (a line with it arrives whole in _line); the reader drops each file's first line
+        # with text, and lines without text
+        lines = (self.spark.read.schema("value string, _line string").options(**self.options).option("header", "true")
+                 .option("enforceSchema", "true").option("sep", "\u0001").option("quote", "\ufdd0").option("escape", "")
                  .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_line").csv(self.sources))
         out = lines.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_blk"),
                            F.monotonically_increasing_id().alias("mid"),
                            F.coalesce("_line", "value").alias("record"))
-        if self._several:
-            several = files.where("several").select("path")
-            single = join_checked(out, files.where("not several").select("path"), ["path"], salt_from=["mid"])
-            w = Window.partitionBy("path").orderBy("rec_no")
-            whole = (self._records(several).withColumn("mid", F.row_number().over(w).cast("long"))
-                     .where("mid > 1").select("path", F.lit(0).cast("long").alias("_blk"), "mid", "record"))
-            out = single.select("path", "_blk", "mid", "record").unionByName(whole)
+        by_path = {"on": ["path"], "max_rows": FILE_ROWS, "salt_from": ["mid"]}
+        if self._several is not None and self._named is not None:
+            out = out.where(~F.col("path").isin(self._named))
+        if self.entries is not None or (self._several is not None and self._named is None):
+            out = join_checked(out, files.where("not several").select("path"), how="left_semi", **by_path)
+        if self._several is not None:
+            heads = files.where("several").select("path", "head")
+            whole = (join_checked(self._several, heads, **by_path).where("not (_blk = head and mid = 1)")
+                     .select("path", "_blk", "mid", "record"))
+            out = out.unionByName(whole)
         return out.select("path", "_blk", "mid", fields(F.col("record")).alias("cells"))
 
     # -- pass 1: profile -------------------------------------------------------------------
 
     def profile(self) -> DataFrame:
-        """Per (path, pos): non-blank cells; pos -1 carries the records and the widest record.
+        """Per (path, pos): non-blank cells and the votes on slash dates; pos -1 carries the records and the widest record.
 
         One hash partial aggregate over the exploded fields; a file ships a row per field and task.
         """
@@ -309,7 +312,8 @@ class CsvInbox:
         return (x.groupBy("path", (F.col("p1") - 1).alias("pos"))
                 .agg(F.count(F.lit(1)).alias("n_rows"),
                      F.count_if((F.col("p1") > 0) & non_blank(na_to_null(F.col("value")))).alias("n_non_blank"),
-                     F.max("w").alias("max_width")))
+                     F.max("w").alias("max_width"),
+                     *[F.count_if(v).alias(k) for k, v in slash_votes(F.col("value")).items()]))
 
     def parts(self, profile: DataFrame) -> DataFrame:
         """Per physical file: headers, data rows, width, overlong / decode / quote flags."""
@@ -346,11 +350,12 @@ class CsvInbox:
                            "headers")
 
     def counts(self, profile: DataFrame, datasets_df: DataFrame) -> DataFrame:
-        """Non-blank data cells per (dataset, position)."""
+        """Non-blank data cells per (dataset, position), and whether its slash dates are day first."""
         c = (profile.where("pos >= 0").join(self.files().select("path", "entry"), "path")
-             .groupBy("entry", "pos").agg(F.sum("n_non_blank").alias("n_non_blank")))
+             .groupBy("entry", "pos").agg(F.sum("n_non_blank").alias("n_non_blank"), *[F.sum(k).alias(k) for k in VOTES]))
         return (c.join(datasets_df.select("file_name", F.col("source").alias("entry")), "entry")
-                .select("file_name", F.col("entry").alias("source"), "pos", F.col("n_non_blank").cast("long")))
+                .select("file_name", F.col("entry").alias("source"), "pos", F.col("n_non_blank").cast("long"),
+                        day_first(*[F.col(k) for k in VOTES]).alias("day_first")))
 
     def bronze(self, datasets_df: DataFrame) -> DataFrame:
         """Pass 2: data rows of the datasets, cells as written (the projection applies the missing-value
@@ -360,7 +365,7 @@ class CsvInbox:
         per_file = (self.files().select("path", F.col("entry").alias("source"), "part")
                     .join(datasets_df.select("file_name", "source"), "source")
                     .select("path", "file_name", "source", "part"))
-        return (join_checked(self.rows(), per_file, ["path"], salt_from=["_blk", "mid"])
+        return (join_checked(self.rows(), per_file, ["path"], max_rows=FILE_ROWS, salt_from=["_blk", "mid"])
                 .select("file_name", "source", "part", F.col("mid").alias("src_row"), "cells", "_blk"))
 
 

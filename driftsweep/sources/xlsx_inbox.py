@@ -25,8 +25,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from driftsweep.functions.dates import day_first
 from driftsweep.functions.text import dataset_name, na_to_null, non_blank
-from driftsweep.sources.csv_inbox import entry_of, qualified
+from driftsweep.operators.joins import join_checked
+from driftsweep.sources.csv_inbox import VOTES, entry_of, qualified
 
 ROWS_SCHEMA = T.StructType([
     T.StructField("entry", T.StringType()),
@@ -218,14 +220,20 @@ def _decode_batches(batches, batch_rows: int = 4096):
         yield flush()
 
 
-def workbook_rows(spark: SparkSession, inbox: str) -> DataFrame:
-    """Decoded rows of every ``*.xlsx`` entry (one task per workbook)."""
+def workbook_rows(spark: SparkSession, inbox: str, entries: DataFrame | None = None,
+                  modified_after: str | None = None) -> DataFrame:
+    """Decoded rows of every ``*.xlsx`` entry, or of those of a table with a column ``entry`` (one task per workbook)."""
     from driftsweep.session import ship_package
 
     ship_package(spark)   # the decoder runs in Python workers
     root = qualified(spark, inbox)
-    files = spark.read.format("binaryFile").load(f"{inbox.rstrip('/')}/*.xlsx")
-    return files.select(entry_of(F.col("path"), root).alias("entry"), "content").mapInArrow(_decode_batches, ROWS_SCHEMA)
+    reader = spark.read.format("binaryFile")
+    if modified_after is not None:
+        reader = reader.option("modifiedAfter", modified_after).option("timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    files = reader.load(f"{inbox.rstrip('/')}/*.xlsx").select(entry_of(F.col("path"), root).alias("entry"), "content")
+    if entries is not None:
+        files = join_checked(files, entries.select("entry"), ["entry"], "left_semi", salt_from=["entry"])
+    return files.mapInArrow(_decode_batches, ROWS_SCHEMA)
 
 
 class XlsxInbox:
@@ -293,14 +301,13 @@ class XlsxInbox:
         p = profile.where("pos >= 0").join(hdr, ["entry", "part"]).join(headers, ["entry", "part", "pos"], "left")
         own = F.when(non_blank(na_to_null(F.col("header_value"))), 1).otherwise(0)
         c = (p.where(F.col("pos") < F.col("width"))
-             .groupBy("part", "pos").agg(F.sum(F.col("n_non_blank") - own).alias("n_non_blank")))
+             .groupBy("part", "pos").agg(F.sum(F.col("n_non_blank") - own).alias("n_non_blank"), *[F.sum(k).alias(k) for k in VOTES]))
         return (c.join(datasets_df.select("file_name", F.col("source").alias("part")), "part")
-                .select("file_name", F.col("part").alias("source"), "pos", F.col("n_non_blank").cast("long")))
+                .select("file_name", F.col("part").alias("source"), "pos", F.col("n_non_blank").cast("long"),
+                        day_first(*[F.col(k) for k in VOTES]).alias("day_first")))
 
     def bronze(self, raw: DataFrame, sheets_df: DataFrame, datasets_df: DataFrame) -> DataFrame:
         """Data rows: each sheet's header row removed by a join with one row per sheet."""
-        from driftsweep.operators.joins import join_checked
-
         per_sheet = sheets_df.select("part", "hdr_mid").join(
             datasets_df.select("file_name", F.col("source").alias("part")), "part")
         rows = join_checked(raw, per_sheet, ["part"], salt_from=["mid"]).where(F.col("mid") != F.col("hdr_mid"))

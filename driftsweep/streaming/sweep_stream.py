@@ -4,13 +4,18 @@ The stream is only a signal of which *entries* changed: the file source's checkp
 files it has seen, and a micro-batch's distinct entry names start a batch sweep of those entries as
 a whole, every file they hold by then. However a micro-batch cuts an entry's files, the last one
 that touches it sweeps all of it, so gates, counts, mapping and row order are those of the batch
-plan. Workbooks and CSV entries are swept alike.
+plan. Workbooks and CSV entries are swept alike. The names travel as a table, none on the driver.
+
+With ``archive`` the entries of a micro-batch leave the inbox once all its tables are written (renames, see
+``plans.run.archive_handled``), so a later run lists only what is new. A micro-batch that is replayed after that,
+or that announces further files of an entry that has left, finds no entry and changes nothing.
 
 Sinks under ``out_dir``: ``silver`` (the 33 targets, rowid and epoch; partitioned by dataset),
 ``gold`` (partitioned by dataset) and ``status`` (partitioned by epoch). A sweep replaces the
 partitions of its datasets, so a replayed micro-batch changes nothing, and (epoch, rowid) is unique.
 If two entries name the same dataset, the one later in discovery order wins, also across
-micro-batches: ``owners`` records which entry each dataset's rows come from.
+micro-batches: ``owners`` records which entry each dataset's rows come from, as changes of each epoch and a
+snapshot every ``SNAPSHOT`` epochs, so that a micro-batch reads a bounded number of its partitions.
 """
 
 from __future__ import annotations
@@ -20,21 +25,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftsweep.operators import harmonise
+from driftsweep.plans import ledger
 from driftsweep.plans.medallion import Sweep
+from driftsweep.plans.run import move_handled
 from driftsweep.schema import GOLD_ORDER, SILVER_ORDER
 from driftsweep.sources import csv_inbox
 
 OWNERS = "file_name string, type_rank int, owner string, epoch long"
+STATUS = "entry string, file_ordinal int, n_parts bigint, bytes bigint, modified timestamp, status string, reason string, n_rows bigint"
+#: Epochs between two snapshots of ``owners``.
+SNAPSHOT = 10
 
 
 def start_sweep_stream(spark: SparkSession, inbox: str, out_dir: str, checkpoint: str,
-                       max_files_per_trigger: int | None = None, available_now: bool = True):
+                       max_files_per_trigger: int | None = None, available_now: bool = True, archive: str | None = None):
     """Start the incremental sweep; returns the StreamingQuery.
 
     ``max_files_per_trigger`` only sets how many files may announce themselves in one micro-batch.
     """
     reader = spark.readStream.format("binaryFile").schema(
-        "path string, modificationTime timestamp, length long, content binary").option("recursiveFileLookup", "true")
+        "path string, modificationTime timestamp, length long, content binary").option("recursiveFileLookup", "true").option(
+        "ignoreMissingFiles", "true")   # files of an entry that an earlier micro-batch has swept and archived
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     root = csv_inbox.qualified(spark, inbox)
@@ -42,10 +53,9 @@ def start_sweep_stream(spark: SparkSession, inbox: str, out_dir: str, checkpoint
     stream = reader.load(inbox).select(csv_inbox.entry_of(F.col("path"), root).alias("entry"))
 
     def process(batch: DataFrame, epoch: int) -> None:
-        # names of changed inbox entries: part of the folder's listing
-        entries = sorted(r.entry for r in batch.distinct().collect())
-        if entries:
-            sweep_entries(spark, inbox, out_dir, entries, epoch)
+        entries = batch.distinct().checkpoint(eager=True)
+        if not entries.isEmpty():
+            sweep_entries(spark, inbox, out_dir, entries, epoch, archive)
 
     writer = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
@@ -54,31 +64,36 @@ def start_sweep_stream(spark: SparkSession, inbox: str, out_dir: str, checkpoint
 
 def _owners(spark: SparkSession, out_dir: str, epoch: int) -> DataFrame:
     """The latest owner of each dataset before this micro-batch."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{out_dir}/owners")
-    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
-        return spark.createDataFrame([], "file_name string, type_rank int, owner string")
-    rows = spark.read.schema(OWNERS).parquet(f"{out_dir}/owners").where(F.col("epoch") < epoch)
+    since = (epoch - 1) // SNAPSHOT * SNAPSHOT    # the last snapshot before the epoch
+    rows = ledger.read(spark, f"{out_dir}/owners", OWNERS).where((F.col("epoch") >= since) & (F.col("epoch") < epoch))
     last = F.max(F.struct("epoch", "type_rank", "owner")).alias("o")
     return rows.groupBy("file_name").agg(last).select("file_name", "o.type_rank", "o.owner")
 
 
-def sweep_entries(spark: SparkSession, inbox: str, out_dir: str, entries: list[str], epoch: int) -> None:
-    """Sweep whole entries and replace their datasets, unless a later entry owns the dataset."""
+def sweep_entries(spark: SparkSession, inbox: str, out_dir: str, entries: DataFrame, epoch: int,
+                  archive: str | None = None) -> None:
+    """Sweep whole entries (column ``entry``) and replace their datasets, unless a later entry owns the dataset."""
     sw = Sweep.from_inbox(spark, inbox, entries)
     rank = sw.manifest.select(F.col("entry").alias("owner"), "type_rank")
     own = (sw.datasets.select("file_name", F.split_part("source", F.lit("!"), F.lit(1)).alias("owner"))
            .join(rank, "owner").select("file_name", "type_rank", "owner"))
-    old = _owners(spark, out_dir, epoch).select("file_name", F.struct("type_rank", "owner").alias("_old"))
+    before = _owners(spark, out_dir, epoch)
+    old = before.select("file_name", F.struct("type_rank", "owner").alias("_old"))
     own = own.join(old, "file_name", "left").where(
-        F.col("_old").isNull() | (F.col("_old") <= F.struct("type_rank", "owner"))).drop("_old")
-    _write(own.withColumn("epoch", F.lit(epoch).cast("long")), f"{out_dir}/owners", "epoch")
-    mine = spark.read.schema(OWNERS).parquet(f"{out_dir}/owners").where(F.col("epoch") == epoch).select("file_name")
+        F.col("_old").isNull() | (F.col("_old") <= F.struct("type_rank", "owner"))).drop("_old").checkpoint(eager=True)
+    kept = own if epoch % SNAPSHOT else own.unionByName(before.join(own, "file_name", "left_anti"))
+    _write(kept.withColumn("epoch", F.lit(epoch).cast("long")), f"{out_dir}/owners", "epoch")
+    mine = own.select("file_name")
     silver = sw.silver.join(mine, "file_name", "left_semi").select(
         F.lit(epoch).cast("long").alias("epoch"), *SILVER_ORDER)
     _write(silver, f"{out_dir}/silver", "file_name")
     gold = harmonise.gold(_silver(spark, out_dir).where(F.col("epoch") == epoch))
     _write(gold, f"{out_dir}/gold", "sourcefile")
-    _write(sw.status.withColumn("epoch", F.lit(epoch).cast("long")).drop("headers"), f"{out_dir}/status", "epoch")
+    status = sw.status.select(*[f.split()[0] for f in STATUS.split(", ")])
+    _write(status.withColumn("epoch", F.lit(epoch).cast("long")), f"{out_dir}/status", "epoch")
+    if archive is not None:
+        handled = ledger.read(spark, f"{out_dir}/status", STATUS + ", epoch long").where(F.col("epoch") == epoch)
+        move_handled(spark, inbox, handled.withColumn("run_id", F.concat(F.lit("epoch-"), F.col("epoch"))), archive)
 
 
 def _silver(spark: SparkSession, out_dir: str) -> DataFrame:
@@ -93,9 +108,9 @@ def _write(df: DataFrame, path: str, by: str) -> None:
 
 
 def run_available(spark: SparkSession, inbox: str, out_dir: str, checkpoint: str,
-                  max_files_per_trigger: int | None = None) -> None:
+                  max_files_per_trigger: int | None = None, archive: str | None = None) -> None:
     """Process everything currently in the inbox, then stop."""
-    q = start_sweep_stream(spark, inbox, out_dir, checkpoint, max_files_per_trigger)
+    q = start_sweep_stream(spark, inbox, out_dir, checkpoint, max_files_per_trigger, archive=archive)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

@@ -148,6 +148,29 @@ def sql() -> dict[str, str]:
         "silver_two_runs": """SELECT 'run-1' AS run_id, row_number() OVER (ORDER BY c_custkey) - 1 AS rowid, 'weekly' AS file_name,
                  CAST(c_custkey AS VARCHAR) AS cid, c_name AS subscriberkey FROM customer
             UNION ALL SELECT 'run-2', row_number() OVER (ORDER BY s_suppkey) - 1, 'weekly', CAST(s_suppkey AS VARCHAR), s_name FROM supplier""",
+        "stream_archive": """SELECT 'weekly' AS file_name, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_left FROM customer
+            UNION ALL SELECT 'other', count(*), 0 FROM supplier""",
+        "silver_after_failure": """SELECT 'run-2' AS run_id, 'weekly' AS file_name, CAST(c_custkey AS VARCHAR) AS cid, c_name AS subscriberkey FROM customer
+            UNION ALL SELECT 'run-2', 'other', CAST(s_suppkey AS VARCHAR), s_name FROM supplier""",
+        "quarantine_chunks": """WITH l AS (SELECT CAST(o_orderkey AS VARCHAR) || ',' || o_orderstatus || CASE WHEN o_orderkey % 7 = 0 THEN ',extra' ELSE '' END AS line
+              FROM orders UNION ALL SELECT 'CID,State')
+            SELECT 'overlong.csv' AS entry, 'overlong' AS reason, CAST(sum(strlen(line) + 1) AS BIGINT) AS bytes, count(*) AS n_lines,
+                   CAST(sum(CAST('0x' || substr(md5(line), 1, 8) AS BIGINT)) AS BIGINT) AS checksum FROM l""",
+        "gold_changed": """SELECT 'weekly' AS sourcefile, CAST(c_custkey AS VARCHAR) AS cid, c_name AS subscriberkey FROM customer
+            UNION ALL SELECT 'weekly', CAST(s_suppkey AS VARCHAR), s_name FROM supplier
+            UNION ALL SELECT 'other', CAST(s_suppkey AS VARCHAR), s_name FROM supplier""",
+        "compact_files": f"{c} SELECT file_name, CAST(1 AS BIGINT) AS n_files, count(*) AS n_rows FROM silver GROUP BY file_name",
+        "read_success_status": f"{entries} SELECT count(*) FILTER (WHERE status = 'good') AS n_read, count(*) AS n_entries FROM ents",
+        "date_day_first": """SELECT CAST(o_orderkey AS VARCHAR) AS cid, strftime(o_orderdate, '%Y-%m-%d') AS createddate,
+              strftime(o_orderdate, '%Y-%m-%d') AS lastmodifieddate,
+              CASE WHEN o_orderkey % 3 > 0 THEN strftime(o_orderdate, '%Y-%m-%d') ELSE 'NaT' END AS sentdate FROM orders""",
+        "cells_to_records": """WITH b AS (SELECT 'S' || CAST(c_custkey // 400 AS VARCHAR) AS sheet, c_custkey % 400 + 2 AS row_no, c_custkey % 11 AS blank,
+              c_name || '|' || CASE WHEN c_custkey % 5 > 0 THEN c_mktsegment ELSE '-' END || '|' ||
+              CASE WHEN c_custkey % 7 = 0 THEN CAST(c_custkey AS VARCHAR) ELSE '-' END AS cells FROM customer),
+            e AS (SELECT sheet, max(row_no) FILTER (WHERE blank > 0) AS last FROM b GROUP BY sheet),
+            r AS (SELECT sheet, unnest(range(2, last + 1)) AS row_no FROM e)
+            SELECT r.sheet, CAST(r.row_no AS BIGINT) AS row_no, 'Name|Segment|Key' AS headers, coalesce(b.cells, '-|-|-') AS cells
+            FROM r LEFT JOIN b ON b.sheet = r.sheet AND b.row_no = r.row_no AND b.blank > 0""",
         "gold_pii_absent": f"""{c} SELECT sourcefile, count(*) AS n_rows,
               count(*) FILTER (WHERE concat_ws('|', {', '.join(GOLD_ORDER)}) LIKE '%@%') AS n_with_email FROM gold GROUP BY sourcefile""",
         "inbox_gates": f"""{entries},

@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from conftest import SF_SMALL
+from data_paths import SF_SMALL
 from driftsweep.plans.medallion import Sweep
 from driftsweep.session import scratch_path
 from driftsweep.sinks import tables
