@@ -15,12 +15,13 @@ LINEAGE = ["file_name", "source", "file_ordinal", "part", "src_row"]
 ROW_ORDER = ["file_ordinal", "part", "src_row"]
 
 
-def project_targets(bronze: DataFrame, mapping: DataFrame, mapping_rows: int | None = None) -> DataFrame:
+def project_targets(bronze: DataFrame, mapping: DataFrame) -> DataFrame:
     """P1/P2/P3: every target from its resolved column ('' for an empty cell) or NULL when
-    the dataset has no column for it. Datasets without any resolved target yield no rows."""
+    the dataset has no column for it. Datasets without any resolved target yield no rows.
+    ``mapping`` is a stored table."""
     from driftsweep.operators.resolver import day_first_col, source_col
 
-    j = join_checked(bronze, mapping, KEY, "inner", mapping_rows, salt_from=["part", "src_row"])
+    j = join_checked(bronze, mapping, KEY, at_rest=True, salt_from=["part", "src_row"])
     cols = []
     for t in TARGETS:
         src = F.col(source_col(t))

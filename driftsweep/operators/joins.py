@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from driftsweep.session import scratch_path
+
 DEFAULT_BROADCAST_ROWS = 50_000
 CONF_KEY = "driftsweep.broadcast.maxRows"
 SALT_CONF_KEY = "driftsweep.join.salts"
@@ -19,14 +21,19 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(CONF_KEY, str(DEFAULT_BROADCAST_ROWS)))
 
 
-def materialise_small(df: DataFrame) -> tuple[DataFrame, int]:
-    """Checkpoint a small derived table to the shared checkpoint folder and count it.
+def stored(df: DataFrame, *measures: Column, sink: str = "table") -> DataFrame:
+    """The rows, written once to the shared scratch folder and read back: cuts the lineage like ``checkpoint``, in one job.
 
-    Cuts the lineage (the resolver plan is long) so the count and the later join read
-    the same files instead of recomputing the plan.
-    """
-    saved = df.checkpoint(eager=True)
-    return saved, saved.count()
+    ``measures`` (aliased aggregates) are taken while the rows are written, see ``stored_with``."""
+    return stored_with(df, *measures, sink=sink)[0]
+
+
+def stored_with(df: DataFrame, *measures: Column, sink: str = "table") -> tuple[DataFrame, dict]:
+    """``stored`` and the values of the measures."""
+    path = scratch_path(df.sparkSession, sink)
+    seen = Observation(sink) if measures else None
+    (df.observe(seen, *measures) if seen else df).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), (seen.get if seen else {})
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
@@ -45,17 +52,17 @@ def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inn
 
 
 def join_checked(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
-                 small_rows: int | None = None, max_rows: int | None = None,
+                 at_rest: bool = False, max_rows: int | None = None,
                  salt_from: list[str] | None = None) -> DataFrame:
     """Broadcast ``small`` only when its row count is under the bound (``max_rows``, else
     the ``driftsweep.broadcast.maxRows`` setting) and its size under BROADCAST_BYTES; above
-    either, a salted shuffle join."""
+    either, a salted shuffle join. ``at_rest``: small is read from stored rows, so it is not stored again."""
     limit = broadcast_limit(big) if max_rows is None else max_rows
-    if small_rows is None:
-        small = small.checkpoint(eager=True)
-    if small_rows is None or small_rows <= limit:
-        # the table is checkpointed: rows and size are one small aggregate
-        rows, size = small.agg(F.count(F.lit(1)), F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()
-        if rows <= limit and (size or 0) <= BROADCAST_BYTES:
-            return big.join(F.broadcast(small), on, how)
+    measures = (F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("long")).alias("bytes"))
+    if at_rest:
+        seen = small.agg(*measures).first().asDict()
+    else:
+        small, seen = stored_with(small, *measures)     # counted while the table is written
+    if seen["rows"] <= limit and (seen["bytes"] or 0) <= BROADCAST_BYTES:
+        return big.join(F.broadcast(small), on, how)
     return salted_join(big, small, on, how, salt_from=salt_from)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftsweep.operators.joins import join_checked
+from driftsweep.operators.joins import join_checked, stored
 
 
 def cells_to_records(cells: DataFrame, keys: list[str], row: str = "row_no", col: str = "col", value: str = "value") -> DataFrame:
@@ -21,7 +21,7 @@ def cells_to_records(cells: DataFrame, keys: list[str], row: str = "row_no", col
     by_row = cells.groupBy(*keys, row).agg(
         F.map_from_entries(F.collect_list(F.struct(F.col(col).cast("int").alias("k"), F.col(value).alias("v")))).alias("_cells"),
         F.max(F.col(col).cast("int")).alias("_last"))
-    by_row = by_row.checkpoint(eager=True)
+    by_row = stored(by_row)
     sheets = by_row.groupBy(*keys).agg(F.min(row).alias("_first"), F.max(row).alias("_end"), (F.max("_last") + 1).alias("_width"))
     whole = lambda m: F.transform(F.sequence(F.lit(0), F.col("_width") - 1), lambda i: F.try_element_at(m, i))
     heads = (sheets.withColumn(row, F.col("_first")).join(by_row.select(*keys, row, "_cells"), [*keys, row])

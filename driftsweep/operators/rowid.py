@@ -3,7 +3,7 @@
 Same idea as zipWithIndex, in DataFrame form:
   1. range-partition on the order key (a hot dataset is split across partitions),
      sort within partitions, tag each row with (partition id, monotonic id);
-  2. checkpoint that to the shared checkpoint folder so the tags are fixed even if
+  2. write that to the shared scratch folder so the tags are fixed even if
      executors are lost and parts are recomputed;
   3. per-partition counts -> running offsets (one row per partition: a proven small table,
      safe to broadcast) -> rowid = offset + position inside the partition.
@@ -14,16 +14,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from driftsweep.operators.joins import join_checked, stored
+
 
 def with_dense_index(df: DataFrame, order_cols: list[str], name: str = "rowid",
                      partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tagged = (df.repartitionByRange(n, *order_cols)
-                .sortWithinPartitions(*order_cols)
-                .withColumn("_pid", F.spark_partition_id())
-                .withColumn("_mid", F.monotonically_increasing_id())
-                .checkpoint(eager=True))
+    tagged = stored(df.repartitionByRange(n, *order_cols)
+                    .sortWithinPartitions(*order_cols)
+                    .withColumn("_pid", F.spark_partition_id())
+                    .withColumn("_mid", F.monotonically_increasing_id()))
     sizes = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # <= n rows
     offsets = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
@@ -33,12 +34,11 @@ def with_dense_index(df: DataFrame, order_cols: list[str], name: str = "rowid",
 
 
 def running_totals(df: DataFrame, order_cols: list[str], totals: dict[str, str]) -> DataFrame:
-    """Adds, for each (name, value column) of ``totals``, the value's sum over all earlier rows. The sorted rows are
-    checkpointed, so each keeps its partition: sums of the partitions (one small row each) plus a window
+    """Adds, for each (name, value column) of ``totals``, the value's sum over all earlier rows. The range-partitioned rows are
+    stored with their partition's number: sums of the partitions (one small row each) plus a window
     inside each partition."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-            .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
+    rows = stored(df.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id()))
     upto = Window.partitionBy("_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # <= n rows
     sizes = rows.groupBy("_pid").agg(*[F.sum(v).alias(f"_t_{k}") for k, v in totals.items()])
@@ -56,13 +56,7 @@ def with_dense_index_by_runs(df: DataFrame, order_cols: list[str], mid: str, nam
     per run, a distributed running sum over the runs, a size-checked join. A run with gaps, or a
     row without a run, stops the query instead of losing or repeating ids.
     """
-    from driftsweep.operators.joins import join_checked
-    from driftsweep.session import scratch_path
-
-    spark = df.sparkSession
-    path = scratch_path(spark, "rowid")
-    df.write.parquet(path)
-    staged = spark.read.parquet(path)
+    staged = stored(df, sink="rowid")
     runs = staged.groupBy(*order_cols).agg(F.count(F.lit(1)).alias("_n"), F.min(mid).alias("_first"), F.max(mid).alias("_last"))
     gap = F.raise_error(F.lit("a run of rows has gaps; it cannot be numbered")).cast("long")
     runs = runs.withColumn("_n", F.when(F.col("_last") - F.col("_first") + 1 == F.col("_n"), F.col("_n")).otherwise(gap))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftsweep.operators import harmonise, quality, resolver
-from driftsweep.operators.joins import materialise_small
+from driftsweep.operators.joins import stored
 from driftsweep.operators.rowid import with_dense_index, with_dense_index_by_runs
 from driftsweep.sources import csv_inbox, fixtures
 
@@ -40,7 +40,7 @@ class Sweep:
             return csv_inbox.manifest(spark, inbox), None
         man = entries
         if "file_ordinal" not in entries.columns:    # names only
-            man, _ = materialise_small(csv_inbox.manifest(spark, inbox).join(entries.select("entry"), "entry", "left_semi"))
+            man = stored(csv_inbox.manifest(spark, inbox).join(entries.select("entry"), "entry", "left_semi"))
         return man, csv_inbox.since(man)
 
     @classmethod
@@ -52,7 +52,7 @@ class Sweep:
             sw.manifest = man
             return sw
         ci = csv_inbox.CsvInbox(spark, inbox, entries, modified_after)
-        profile, _ = materialise_small(ci.profile())     # hash aggregate; (#files x width) rows
+        profile = stored(ci.profile())     # hash aggregate; (#files x width) rows
         status = ci.status(man, ci.parts(profile))
         datasets = quality.last_write_wins(ci.datasets(status)).drop("sheet_no")
         sw = cls(lambda: ci.bronze(datasets), datasets, ci.counts(profile, datasets))
@@ -89,7 +89,7 @@ class Sweep:
         ci = csv_inbox.CsvInbox(spark, inbox, entries, modified_after)
         parts, statuses, counts, bronzes = [], [], [], []
         if kinds.get("csv"):
-            cprof, _ = materialise_small(ci.profile())
+            cprof = stored(ci.profile())
             cparts = ci.parts(cprof)
             cstatus = ci.status(man, cparts)
             parts.append(ci.datasets(cstatus).withColumn("sheet_no", F.lit(0)).withColumn("header_text_ok", F.lit(True)))
@@ -105,8 +105,8 @@ class Sweep:
                 rows = spark.createDataFrame([], xlsx_inbox.ROWS_SCHEMA)
             xi = xlsx_inbox.XlsxInbox(spark, rows)
             raw = xi.raw()
-            xprof, _ = materialise_small(csv_inbox.profile_rows(raw))
-            xhead, _ = materialise_small(csv_inbox.header_cells_rows(raw, xprof))
+            xprof = stored(csv_inbox.profile_rows(raw))
+            xhead = stored(csv_inbox.header_cells_rows(raw, xprof))
             sheets = xi.sheets(xprof, xhead, raw)
             xstatus = xi.status(man, sheets)
             parts.append(xi.datasets(sheets, xstatus))
@@ -150,12 +150,8 @@ class Sweep:
         return resolver.resolve(self.accepted, self.counts)
 
     @cached_property
-    def _mapping(self) -> tuple[DataFrame, int]:
-        return materialise_small(self.resolution["mapping"])
-
-    @property
     def mapping(self) -> DataFrame:
-        return self._mapping[0]
+        return stored(self.resolution["mapping"])
 
     def bronze_rows(self) -> DataFrame:
         return self.bronze() if callable(self.bronze) else self.bronze
@@ -163,8 +159,7 @@ class Sweep:
     @cached_property
     def projected(self) -> DataFrame:
         """P1-P3 only (before dates, name split and cid fill)."""
-        m, n = self._mapping
-        return harmonise.project_targets(self.bronze_rows(), m, n)
+        return harmonise.project_targets(self.bronze_rows(), self.mapping)
 
     @cached_property
     def silver_rows(self) -> DataFrame:

@@ -22,6 +22,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from driftsweep.operators.joins import stored
 from driftsweep.plans import ledger
 from driftsweep.plans.medallion import Sweep
 from driftsweep.session import prepare
@@ -34,7 +35,7 @@ def new_entries(spark: SparkSession, inbox: str, out: str, run_id: str) -> DataF
     seen = ledger.handled(spark, out).where(F.col("run_id") != run_id).select("entry", "bytes", "modified").distinct()
     man = csv_inbox.manifest(spark, inbox).where("type_rank IS NOT NULL")
     same = [man[c].eqNullSafe(seen[c]) for c in ("entry", "bytes", "modified")]
-    return man.join(seen, same[0] & same[1] & same[2], "left_anti").checkpoint(eager=True)
+    return man.join(seen, same[0] & same[1] & same[2], "left_anti").transform(stored)
 
 
 class Run:

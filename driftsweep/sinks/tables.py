@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftsweep.operators.harmonise import gold
-from driftsweep.operators.joins import join_checked
+from driftsweep.operators.joins import join_checked, stored
 from driftsweep.schema import GOLD_SCHEMA, SILVER_ORDER, SILVER_SCHEMA
 
 NOT_NULL = [f.name for f in SILVER_SCHEMA.fields if not f.nullable]
@@ -109,10 +109,10 @@ def write_gold(rows: DataFrame, path: str, fmt: str = "parquet") -> None:
 def write_gold_of(spark: SparkSession, silver_path: str, gold_path: str, datasets: DataFrame, runs: DataFrame) -> int:
     """K5 for some datasets (column file_name): their partitions of a gold table partitioned by sourcefile are rebuilt
     from the silver rows of ``runs``, all other partitions and their files stay. Returns the rows written."""
-    datasets = datasets.select("file_name").distinct().checkpoint(eager=True)
+    datasets = stored(datasets.select("file_name").distinct())
     if datasets.isEmpty():
         return 0
-    silver = join_checked(read_silver(spark, silver_path, runs=runs), datasets, ["file_name"], "left_semi", salt_from=["rowid"])
+    silver = join_checked(read_silver(spark, silver_path, runs=runs), datasets, ["file_name"], "left_semi", at_rest=True, salt_from=["rowid"])
     seen = Observation("gold")
     rows = gold(silver).select(*[F.col(f.name).cast(f.dataType) for f in GOLD_SCHEMA.fields])
     (rows.observe(seen, F.count(F.lit(1)).alias("rows")).hint("rebalance", "sourcefile").write.mode("overwrite")
@@ -136,13 +136,13 @@ def compact(spark: SparkSession, path: str, schema: T.StructType, partition_by:
     partition is written by as many tasks as it has bins; they replace the old files when the job commits."""
     sizes = file_sizes(spark, path).groupBy("folder").agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"))
     bins = F.greatest(F.lit(1), F.ceil(F.col("bytes") / target_bytes)).cast("int")
-    chosen = sizes.withColumn("bins", bins).where("files > bins").checkpoint(eager=True)
+    chosen = stored(sizes.withColumn("bins", bins).where("files > bins"))
     if chosen.isEmpty():
         return chosen
     table = spark.read.schema(schema).parquet(path)   # the schema keeps partition values as written
     names = table.columns
     rows = table.withColumn("folder", F.regexp_extract(F.col("_metadata.file_path"), "(?s)^(.*)/[^/]*$", 1))
-    rows = join_checked(rows, chosen.select("folder", "bins"), ["folder"], salt_from=names[:4])
+    rows = join_checked(rows, chosen.select("folder", "bins"), ["folder"], at_rest=True, salt_from=names[:4])
     rows = rows.withColumn("_bin", F.pmod(F.xxhash64(*names), F.col("bins")))
     (rows.repartition(F.col("folder"), F.col("_bin")).select(*names).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from driftsweep.functions.dates import day_first, slash_votes
 from driftsweep.functions.text import dataset_name, extension, na_to_null, non_blank
+from driftsweep.operators.joins import join_checked, stored
 from driftsweep.operators.rowid import with_dense_index
 from driftsweep.schema import INBOX_EXTENSIONS
 from driftsweep.sources.quote_state import QUOTED, has_text, opens, put_together
@@ -173,8 +174,6 @@ def header_cells_rows(raw: DataFrame, profile: DataFrame) -> DataFrame:
     """(entry, part, pos, header_value) of every file's first row. ``raw`` must be the
     DataFrame the profile came from (same ids); an equi-join on (part, id) with one row per
     file keeps only header rows and pushes nothing into the scan."""
-    from driftsweep.operators.joins import join_checked
-
     hdr = profile.where("pos = -1").select("part", F.col("first_mid").alias("mid"))
     rows = join_checked(raw.select("entry", "part", "mid", "cells"), hdr, ["part", "mid"])
     return (rows.select("entry", "part", F.posexplode("cells").alias("pos", "header_value"))
@@ -223,26 +222,19 @@ class CsvInbox:
     def _put_together(self, paths: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Records of the files in ``paths`` (path, _blk, mid, record; written once), and per file whether a
         quote stays open (path, unclosed)."""
-        from driftsweep.operators.joins import join_checked
-        from driftsweep.session import scratch_path
-
         few = [r.path for r in paths.limit(NAMED_FILES + 1).collect()]
         if len(few) <= NAMED_FILES:
             self._named = few
             lines = self._lines().where(F.col("path").isin(few))   # prunes the scan's files
         else:
-            lines = join_checked(self._lines(), paths, ["path"], "left_semi", max_rows=FILE_ROWS, salt_from=["mid"])
+            lines = join_checked(self._lines(), paths, ["path"], "left_semi", at_rest=True, max_rows=FILE_ROWS, salt_from=["mid"])
         records, ends = put_together(lines)
-        stored = scratch_path(self.spark, "records")
-        records.write.parquet(stored)
-        return self.spark.read.parquet(stored), ends
+        return stored(records, sink="records"), ends
 
     def files(self) -> DataFrame:
         """Per file: path, entry, part, headers, width, several (records span lines), head (split of the header
         record of such a file), bad_text, unclosed."""
         if self._files is None:
-            from driftsweep.operators.joins import materialise_small
-
             v = F.col("value")
             first = F.min(F.when(has_text(v), F.struct("_blk", "mid", "value")))
             # collect_set keeps this an object-hash aggregate although a buffer holds text
@@ -253,7 +245,7 @@ class CsvInbox:
                              (F.size("open") > 0).alias("several"), (F.col("n_bad") > 0).alias("bad_text"))
             if self.entries is not None:
                 agg = agg.join(self.entries.select("entry"), "entry", "left_semi")
-            agg, _ = materialise_small(agg)
+            agg = stored(agg)
             several = agg.where("several").select("path")
             if several.isEmpty():
                 agg = agg.select("*", F.lit(None).cast("long").alias("head"), F.lit(False).alias("unclosed"))
@@ -269,15 +261,13 @@ class CsvInbox:
             out = agg.select("path", "entry", _decoded(F.col("path")).alias("part"),
                              F.size("names").alias("width"), repair_headers(F.col("names")).alias("headers"),
                              "several", "head", "bad_text", "unclosed")
-            self._files = materialise_small(out)[0]
+            self._files = stored(out)
         return self._files
 
     # -- data rows ----------------------------------------------------------------------------
 
     def rows(self) -> DataFrame:
         """(path, _blk, mid, cells as written) of every data record. In a file's split the ``mid`` are consecutive."""
-        from driftsweep.operators.joins import join_checked
-
         files = self.files()
         # one column per line: no quoting (the quote is a character that text does not hold), a separator that
         # lines rarely hold (a line with it arrives whole in _line); the reader drops each file's first line
@@ -288,7 +278,7 @@ class CsvInbox:
         out = lines.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_blk"),
                            F.monotonically_increasing_id().alias("mid"),
                            F.coalesce("_line", "value").alias("record"))
-        by_path = {"on": ["path"], "max_rows": FILE_ROWS, "salt_from": ["mid"]}
+        by_path = {"on": ["path"], "at_rest": True, "max_rows": FILE_ROWS, "salt_from": ["mid"]}
         if self._several is not None and self._named is not None:
             out = out.where(~F.col("path").isin(self._named))
         if self.entries is not None or (self._several is not None and self._named is None):
@@ -360,8 +350,6 @@ class CsvInbox:
     def bronze(self, datasets_df: DataFrame) -> DataFrame:
         """Pass 2: data rows of the datasets, cells as written (the projection applies the missing-value
         tokens to the cells it uses). What belongs to a file is joined from one row per file."""
-        from driftsweep.operators.joins import join_checked
-
         per_file = (self.files().select("path", F.col("entry").alias("source"), "part")
                     .join(datasets_df.select("file_name", "source"), "source")
                     .select("path", "file_name", "source", "part"))

@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from driftsweep.operators.joins import join_checked, stored
 from driftsweep.operators.rowid import running_totals
 
 # A closed quoted run, and a field up to its comma: quoted (text may follow) or plain.
@@ -90,7 +91,7 @@ def split_starts(marked: DataFrame) -> DataFrame:
     # a file's first split starts outside quotes, so its end is absolute
     known = F.col("first") | F.col("after").isNotNull()
     splits = splits.withColumns({"_set": known.cast("long"), "_flip": (~known & F.col("odd")).cast("long")})
-    splits = running_totals(splits, ["path", "_blk"], {"sets": "_set", "flips": "_flip"}).checkpoint(eager=True)
+    splits = stored(running_totals(splits, ["path", "_blk"], {"sets": "_set", "flips": "_flip"}))
     base = splits.where("_set = 1").select((F.col("sets") + 1).alias("sets"), F.coalesce("after", "odd").alias("_base"),
                                            F.col("flips").alias("_then"))
     start = F.when(F.col("first"), F.lit(False)).otherwise(F.col("_base") != _odd(F.col("flips") - F.col("_then")))
@@ -98,7 +99,7 @@ def split_starts(marked: DataFrame) -> DataFrame:
     splits = splits.withColumns({"end": F.coalesce("after", F.col("start") != F.col("odd")),
                                  "_from": F.when(F.col("start"), F.col("from_1")).otherwise(F.col("from_0"))})
     splits = splits.withColumn("_has", F.col("_from").isNotNull().cast("long"))
-    splits = running_totals(splits, ["path", "_blk"], {"begun": "_has"}).checkpoint(eager=True)
+    splits = stored(running_totals(splits, ["path", "_blk"], {"begun": "_has"}))
     # the first split of a file has a record start, so the last one before a later split lies in the same file
     held = splits.where("_has = 1").select((F.col("begun") + 1).alias("begun"), F.col("_blk").alias("at_blk"), F.col("_from").alias("at_mid"))
     return splits.join(held, "begun", "left").select(
@@ -109,15 +110,9 @@ def split_starts(marked: DataFrame) -> DataFrame:
 def put_together(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Records with text of files that end outside quotes: (path, _blk, mid, record), where a split's ``mid`` are 1, 2, ...;
     and for every file (path, unclosed)."""
-    from driftsweep.operators.joins import join_checked
-    from driftsweep.session import scratch_path
-
-    spark = lines.sparkSession
-    stored = scratch_path(spark, "lines")
-    marked_lines(lines).write.parquet(stored)
-    marked = spark.read.parquet(stored)
-    starts = split_starts(marked).checkpoint(eager=True)
-    ends = starts.groupBy("path").agg(F.max_by("end", "_blk").alias("unclosed")).checkpoint(eager=True)
+    marked = stored(marked_lines(lines), sink="lines")
+    starts = stored(split_starts(marked))
+    ends = stored(starts.groupBy("path").agg(F.max_by("end", "_blk").alias("unclosed")))
     closed = starts.join(ends.where("not unclosed").select("path"), "path", "left_semi")
     known = join_checked(marked, closed.drop("end"), ["path", "_blk"], salt_from=["mid"])
     pick = lambda c: F.when(F.col("start"), F.col(f"{c}_1")).otherwise(F.col(f"{c}_0"))

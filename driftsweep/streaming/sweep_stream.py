@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftsweep.operators import harmonise
+from driftsweep.operators.joins import stored
 from driftsweep.plans import ledger
 from driftsweep.plans.medallion import Sweep
 from driftsweep.plans.run import move_handled
@@ -53,7 +54,7 @@ def start_sweep_stream(spark: SparkSession, inbox: str, out_dir: str, checkpoint
     stream = reader.load(inbox).select(csv_inbox.entry_of(F.col("path"), root).alias("entry"))
 
     def process(batch: DataFrame, epoch: int) -> None:
-        entries = batch.distinct().checkpoint(eager=True)
+        entries = stored(batch.distinct())
         if not entries.isEmpty():
             sweep_entries(spark, inbox, out_dir, entries, epoch, archive)
 
@@ -80,7 +81,7 @@ def sweep_entries(spark: SparkSession, inbox: str, out_dir: str, entries: DataFr
     before = _owners(spark, out_dir, epoch)
     old = before.select("file_name", F.struct("type_rank", "owner").alias("_old"))
     own = own.join(old, "file_name", "left").where(
-        F.col("_old").isNull() | (F.col("_old") <= F.struct("type_rank", "owner"))).drop("_old").checkpoint(eager=True)
+        F.col("_old").isNull() | (F.col("_old") <= F.struct("type_rank", "owner"))).drop("_old").transform(stored)
     kept = own if epoch % SNAPSHOT else own.unionByName(before.join(own, "file_name", "left_anti"))
     _write(kept.withColumn("epoch", F.lit(epoch).cast("long")), f"{out_dir}/owners", "epoch")
     mine = own.select("file_name")
