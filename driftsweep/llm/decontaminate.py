@@ -1,9 +1,9 @@
 """Benchmark decontamination: size-partitioned MinHash containment search, verified by exact shingles.
 
 Words are runs of ASCII letters, digits and all non-ASCII characters of the lower-cased text;
-shingles are five words (1 to 4 words: the whole sequence; no word or null text: none). A document
-is contaminated by an item if it holds at least ``CONTAINMENT`` = 0.8 of the item's distinct
-shingles.
+shingles are five words. A document is contaminated by an item if it holds at least ``CONTAINMENT`` = 0.8 of
+the item's distinct shingles. An item of 1 to 4 words is its own only shingle, and contaminates a document that
+holds its words in a row anywhere; an item without a word or null matches nothing.
 
 Search. Containment of a short item in a long document is a tiny Jaccard similarity, so both sides
 are partitioned by size. Items with 2^k to 2^(k+1)-1 shingles form class k; for each class that
@@ -11,6 +11,7 @@ has items, a document is read as overlapping windows of 2^(k+2) shingles, each h
 the last. A window that holds the item has a Jaccard similarity of at least 0.19 to it, and with
 ``PERMUTATIONS`` = 64 bands of one MinHash each the chance to miss it is under 0.81^64 = 1.4e-6 (for
 an unchanged item 1e-8). Window minima of a class are minima over those of the next smaller one.
+Items of 1 to 4 words need no sketch: runs of that many words are looked up by hash.
 
 Verification. Each candidate's shingles are compared as strings over the whole document.
 
@@ -72,11 +73,12 @@ class Shingles:
         cut = inner[(inner > 0) & (inner < len(data))]  # a row's edge parts words
         begins[cut] |= word[1:-1][cut]
         ends[cut - 1] |= word[1:-1][cut - 1]
-        self.data, self.begin, self.end = data, np.flatnonzero(begins), np.flatnonzero(ends) + 1
+        self.data, self.begin, self.end = data, np.flatnonzero(begins), np.flatnonzero(ends) + 1  # words
         up, down = _power_tables(len(data) + 1)
         total = np.concatenate(([np.uint64(0)], np.cumsum(_BYTE[data] * up[:len(data)])))
         w = _mix((total[self.end] - total[self.begin]) * down[self.begin])
-        row = np.searchsorted(offsets, self.begin, "right") - 1
+        self.word_hash, self.word_row = w, np.searchsorted(offsets, self.begin, "right") - 1
+        row = self.word_row
         count = np.bincount(row, minlength=rows)
         h, ok = np.zeros(0, np.uint64), np.zeros(0, bool)
         if len(w) >= WORDS:
@@ -93,11 +95,22 @@ class Shingles:
         per_row = np.maximum(count - WORDS + 1, (count > 0).astype(np.int64))
         self.words, self.offsets = count, np.concatenate(([0], np.cumsum(per_row)))
 
+    def grams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """First word and hash of every run of ``n`` words of a row."""
+        w, row = self.word_hash, self.word_row
+        if len(w) < n:
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        h = _mix(sum(w[j:len(w) - n + 1 + j] * _PLACE[j] for j in range(n)))
+        at = np.flatnonzero(row[:len(h)] == row[n - 1:])
+        return at, h[at]
+
     def text(self, i: int) -> bytes:
         """Words of shingle ``i``, joined by a space."""
-        k = self.word[i]
         row = np.searchsorted(self.offsets, i, "right") - 1
-        n = min(WORDS, self.words[row])
+        return self.run(self.word[i], min(WORDS, self.words[row]))
+
+    def run(self, k: int, n: int) -> bytes:
+        """``n`` words from word ``k`` on, joined by a space."""
         return b" ".join(self.data[b:e].tobytes() for b, e in zip(self.begin[k:k + n], self.end[k:k + n], strict=True))
 
 
@@ -121,17 +134,24 @@ class ItemIndex:
     def __init__(self, items: list[tuple]) -> None:
         data, offsets = buffers(pa.array([t for _, t in items], pa.string()))
         s = Shingles(data, offsets)
-        self.ids, self.texts, self.hashes = [], [], []
+        self.ids, self.texts, self.hashes, self.lengths = [], [], [], []
         for i, (item, _) in enumerate(items):
             lo, hi = s.offsets[i], s.offsets[i + 1]
             if hi > lo:
                 self.ids.append(item)
                 self.texts.append({s.text(k) for k in range(lo, hi)})
                 self.hashes.append(np.unique(s.hash[lo:hi]))
+                self.lengths.append(int(s.words[i]))
         self.classes: dict[int, tuple[np.ndarray, dict]] = {}
         by = defaultdict(list)
+        # items of fewer words than a shingle has: by length, hash -> items
+        self.short: dict[int, dict[int, list[int]]] = {}
         for i, t in enumerate(self.texts):
-            by[len(t).bit_length() - 1].append(i)
+            n = self.lengths[i]
+            if n < WORDS:
+                self.short.setdefault(n, {}).setdefault(int(self.hashes[i][0]), []).append(i)
+            else:
+                by[len(t).bit_length() - 1].append(i)
         for k, members in by.items():
             found, bitmap = defaultdict(list), np.zeros(_BITMAP, bool)
             for i in members:
@@ -169,7 +189,14 @@ class ItemIndex:
     def matches(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int]]:
         """(row, item, shared distinct shingles) of the pairs that pass the exact check."""
         s = Shingles(data, offsets)
-        out = []
+        found: set[tuple[int, int]] = set()   # items of fewer words than a shingle has, anywhere in a row
+        for n, items in self.short.items():
+            at, h = s.grams(n)
+            keys = np.array(list(items), np.uint64)
+            for k in np.flatnonzero(np.isin(h, keys)).tolist():
+                word = int(at[k])
+                found.update((int(s.word_row[word]), i) for i in items[int(h[k])] if s.run(word, n) in self.texts[i])
+        out = [(row, i, 1) for row, i in found]
         for row, i in sorted(self.candidates(s)):
             lo, hi = s.offsets[row], s.offsets[row + 1]
             at = np.flatnonzero(np.isin(s.hash[lo:hi], self.hashes[i]))
@@ -178,7 +205,7 @@ class ItemIndex:
                 shared = len({s.text(lo + int(j)) for j in at} & self.texts[i])
                 if shared >= need:
                     out.append((row, i, shared))
-        return out
+        return sorted(out)
 
 
 def item_blocks(items: DataFrame) -> Iterator[ItemIndex]:
@@ -229,3 +256,20 @@ def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(kept, schema=pa.schema(list(part.schema)[:-1]))
         docs = docs.withColumn("__dc_text", F.lower("text")).mapInArrow(run, docs.schema)
     return docs
+
+
+SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(lower(text), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w
+           FROM documents WHERE text IS NOT NULL),
+i AS (SELECT row_number() OVER () AS n, item_id, regexp_extract_all(t, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w
+      FROM (SELECT DISTINCT item_id, lower(text) AS t FROM benchmark WHERE text IS NOT NULL)),
+size AS (SELECT n, item_id, w, least(len(w), {WORDS}) AS z FROM i WHERE len(w) > 0),
+want AS (SELECT DISTINCT n, z, unnest(list_transform(range(1, len(w) - z + 2), lambda j: array_to_string(w[j:j + z - 1], ' '))) AS s FROM size),
+need AS (SELECT n, z, count(*) AS total FROM want GROUP BY ALL),
+have AS (SELECT DISTINCT k, z, unnest(list_transform(range(1, greatest(len(w) - z + 2, 1)), lambda j: array_to_string(w[j:j + z - 1], ' '))) AS s
+         FROM d, (SELECT DISTINCT z FROM size)),
+hits AS (SELECT have.k, want.n, count(*) AS shared FROM have JOIN want ON have.z = want.z AND have.s = want.s GROUP BY ALL)
+SELECT d.doc_id, i.item_id, shared, total AS item_shingles, CAST(shared AS DOUBLE) / total AS containment
+FROM hits JOIN need USING (n) JOIN d USING (k) JOIN i USING (n)
+WHERE shared >= ceil({CONTAINMENT} * total - 1e-9)
+"""

@@ -91,7 +91,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def sql() -> dict[str, str]:
     """DuckDB SQL for the queries that SQL can express."""
-    out = {"op5_license_notices": licenses.sql(), "op7_source_mix": mixing.SQL, "op10_threshold_top_k": topk.SQL,
+    out = {"op3_benchmark_decontamination": decontaminate.SQL, "op5_license_notices": licenses.sql(), "op7_source_mix": mixing.SQL, "op10_threshold_top_k": topk.SQL,
            "op11_dual_tree_codes": codes.sql(), "op12_fm_index_repeats": substrings.SQL,
            "op13_source_divergence": divergence.SQL}
     if corpus_pipeline.ORACLE_SQL:
