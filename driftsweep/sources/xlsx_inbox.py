@@ -1,33 +1,34 @@
-"""Workbook (.xlsx) inbox: decode sheets into rows, then the same profile as CSV.
-
-Decoding is the one place Python runs in tasks: ``binaryFile`` hands each workbook to a
-``mapInArrow`` task that opens the zip with the standard library, streams every
-worksheet's XML and emits Arrow batches of rows (entry, sheet, row number, value array).
-Cached formula results are read (not formulas), shared strings are resolved, and number
-cells whose style is a date format become ``YYYY-MM-DD HH:MM:SS`` text, the way the
-tabular reader being replaced renders them as text. Everything after decoding (header
-row, counts, gates, resolver, silver) is the DataFrame plan shared with the CSV sweep.
-
-A workbook is one task (the zip format is not splittable). BIFF ``.xls`` files are not decoded: they
-are quarantined with reason ``unsupported_xls``.
+"""Workbook (.xlsx) inbox: zip entries to XML elements, everything else as DataFrames.
+
+The only Python in tasks is a small helper that opens a workbook's zip and passes on the text of its XML elements: one row for
+each worksheet ``<row>``, each shared string, and each of the small parts (workbook, relationships, styles). They are
+stored once. What the elements mean is worked out by column expressions and joins: sheet names by relationship, cells by
+reference, shared strings by a size-checked or salted join, number formats by style index. Cached formula results
+are read (not formulas), and number cells whose style is a date format become ``YYYY-MM-DD HH:MM:SS`` text, the way
+the tabular reader being replaced renders them. Cells are put together to rows by (sheet, row), so a long
+sheet is spread over all tasks. Everything after that (header row, counts, gates, resolver, silver) is the
+DataFrame plan shared with the CSV sweep.
+
+Opening a workbook is one task (the zip format is not splittable). BIFF ``.xls`` files are not read: they
+are quarantined with reason ``unsupported_xls``. Parts are taken as UTF-8; character references beyond those of XML
+itself and of line breaks and tabs stay as written.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 import io
 import re
 import zipfile
-import xml.etree.ElementTree as ET
+from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftsweep.functions.dates import day_first
 from driftsweep.functions.text import dataset_name, na_to_null, non_blank
-from driftsweep.operators.joins import join_checked
+from driftsweep.operators.joins import join_checked, stored
 from driftsweep.sources.csv_inbox import VOTES, entry_of, qualified
 
 ROWS_SCHEMA = T.StructType([
@@ -40,192 +41,212 @@ ROWS_SCHEMA = T.StructType([
     T.StructField("all_text", T.BooleanType()),
     T.StructField("error", T.StringType()),
 ])
-_ARROW_SCHEMA = pa.schema([
-    ("entry", pa.string()), ("sheet_no", pa.int32()), ("sheet", pa.string()), ("row_no", pa.int64()), ("seq", pa.int64()),
-    ("cells", pa.list_(pa.string())), ("all_text", pa.bool_()), ("error", pa.string()),
-])
-
-_NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
-       "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships",
-       "p": "http://schemas.openxmlformats.org/package/2006/relationships"}
-_M = "{%s}" % _NS["m"]
 
 # Built-in number formats that are dates or times (ECMA-376 Part 1, 18.8.30).
-_BUILTIN_DATE_IDS = set(range(14, 23)) | {45, 46, 47} | set(range(27, 37)) | set(range(50, 59))
-_TIME_ONLY_IDS = {18, 19, 20, 21, 45, 46, 47}
-
-
-def _is_date_format(code: str) -> bool:
-    code = re.sub(r'"[^"]*"|\\.|\[[^\]]*\]', "", code)   # quoted text, escapes, [colour] etc.
-    return re.search(r"[dmyhs]", code, re.IGNORECASE) is not None and "General" not in code
-
-
-def _col_index(ref: str) -> int:
-    n = 0
-    for ch in ref:
-        if ch.isalpha():
-            n = n * 26 + (ord(ch.upper()) - 64)
-        else:
-            break
-    return n - 1
-
-
-def _number_text(v: str) -> str:
-    """Numbers as the replaced reader renders them as text: whole values without '.0'."""
-    if not any(ch in v for ch in ".eE"):
-        return str(int(v))
-    x = float(v)
-    return str(int(x)) if x.is_integer() else repr(x)
-
-
-def _serial_to_text(v: float, date1904: bool, time_only: bool) -> str:
-    if date1904:
-        base = dt.datetime(1904, 1, 1)
-    else:
-        base = dt.datetime(1899, 12, 30)
-        if 0 < v < 60:           # the 1900 leap-year bug: serials before 1900-03-01
-            v += 1
-    days = int(v // 1)
-    ms = round((v - days) * 86_400_000)
-    stamp = base + dt.timedelta(days=days, milliseconds=ms)
-    if time_only and days == 0:
-        return str(stamp.time())
-    return str(stamp)
-
-
-def _sheets(z: zipfile.ZipFile) -> list[tuple[str, str]]:
-    wb = ET.fromstring(z.read("xl/workbook.xml"))
-    rels = ET.fromstring(z.read("xl/_rels/workbook.xml.rels"))
-    target = {r.get("Id"): r.get("Target") for r in rels.findall("p:Relationship", _NS)}
-    out = []
-    for s in wb.findall("m:sheets/m:sheet", _NS):
-        t = target[s.get("{%s}id" % _NS["r"])].lstrip("/")
-        out.append((s.get("name"), t if t.startswith("xl/") else "xl/" + t))
-    return out
-
-
-def _shared_strings(z: zipfile.ZipFile) -> list[str]:
-    if "xl/sharedStrings.xml" not in z.namelist():
-        return []
-    root = ET.fromstring(z.read("xl/sharedStrings.xml"))
-    out = []
-    for si in root.findall("m:si", _NS):
-        # plain <t>, or rich-text runs <r><t>; phonetic runs (<rPh>) are not text
-        direct = [t.text or "" for t in si.findall("m:t", _NS)]
-        runs = [t.text or "" for r in si.findall("m:r", _NS) for t in r.findall("m:t", _NS)]
-        out.append("".join(direct + runs))
-    return out
-
-
-def _styles(z: zipfile.ZipFile) -> list[tuple[bool, bool]]:
-    """Per cell style index: (is date, is time only)."""
-    if "xl/styles.xml" not in z.namelist():
-        return []
-    root = ET.fromstring(z.read("xl/styles.xml"))
-    custom = {int(n.get("numFmtId")): n.get("formatCode", "") for n in root.findall("m:numFmts/m:numFmt", _NS)}
-    out = []
-    for xf in root.findall("m:cellXfs/m:xf", _NS):
-        fid = int(xf.get("numFmtId", "0"))
-        if fid in custom:
-            code = custom[fid]
-            is_date = _is_date_format(code)
-            time_only = is_date and not re.search(r"[dy]", re.sub(r'"[^"]*"', "", code), re.IGNORECASE)
-        else:
-            is_date, time_only = fid in _BUILTIN_DATE_IDS, fid in _TIME_ONLY_IDS
-        out.append((is_date, time_only))
-    return out
-
-
-def decode_workbook(entry: str, content: bytes):
-    """Yield (entry, sheet_no, sheet, row_no, seq, cells, all_text, error) per non-empty row;
-    ``seq`` numbers the emitted rows of a sheet 0, 1, 2, ... without gaps."""
-    try:
-        z = zipfile.ZipFile(io.BytesIO(content))
-        sheets = _sheets(z)
-        strings = _shared_strings(z)
-        styles = _styles(z)
-        wbpr = ET.fromstring(z.read("xl/workbook.xml")).find("m:workbookPr", _NS)
-        date1904 = wbpr is not None and wbpr.get("date1904") in ("1", "true")
-    except Exception as e:  # noqa: BLE001  (unreadable workbook -> quarantine)
-        yield (entry, -1, None, -1, -1, None, None, f"unreadable: {type(e).__name__}")
-        return
-    for sheet_no, (name, path) in enumerate(sheets):
-        seq = last = 0
+_BUILTIN_DATE_IDS = [*range(14, 23), *range(27, 37), 45, 46, 47, *range(50, 59)]
+
+# ---- zip to XML elements (the helper that runs in tasks)
+
+PARTS = "entry string, member string, no long, xml string, error string"
+_ELEMENT = {kind: re.compile(rb"<(?:\w+:)?%b(?=[\s>/])(?:[^>]*/>|.*?</(?:\w+:)?%b>)" % (kind, kind), re.DOTALL) for kind in (b"row", b"si")}
+_WHOLE = ("xl/workbook.xml", "xl/_rels/workbook.xml.rels", "xl/styles.xml")
+_READ = 1 << 20
+
+
+def _elements(file, pattern: re.Pattern) -> Iterator[bytes]:
+    """Elements of a part, read in pieces."""
+    held = b""
+    while piece := file.read(_READ):
+        held += piece
+        end = 0
+        for m in pattern.finditer(held):
+            yield m.group()
+            end = m.end()
+        held = held[end:]
+
+
+def _xml_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ("entry", "member", "no", "xml", "error")
+
+    def rows(entry: str, content: bytes) -> Iterator[tuple]:
         try:
-            with z.open(path) as fh:
-                for _, el in ET.iterparse(fh, events=("end",)):
-                    if el.tag != _M + "row":
-                        continue
-                    values: dict[int, str | None] = {}
-                    text_flags: list[bool] = []
-                    for pos, c in enumerate(el.findall(_M + "c")):
-                        ref = c.get("r")
-                        col = _col_index(ref) if ref else pos
-                        t = c.get("t", "n")
-                        v = c.find(_M + "v")
-                        if t == "inlineStr":
-                            is_ = c.find(_M + "is")
-                            val = "".join(x.text or "" for x in is_.iter(_M + "t")) if is_ is not None else None
-                        elif v is None or v.text is None:
-                            val = None
-                        elif t == "s":
-                            val = strings[int(v.text)]
-                        elif t in ("str", "d"):
-                            val = v.text if t == "str" else str(dt.datetime.fromisoformat(v.text))
-                        elif t == "b":
-                            val = "True" if v.text.strip() == "1" else "False"
-                        elif t == "e":
-                            val = None                      # error cells read as missing
-                        else:
-                            s = int(c.get("s", "0"))
-                            is_date, time_only = styles[s] if s < len(styles) else (False, False)
-                            val = (_serial_to_text(float(v.text), date1904, time_only) if is_date
-                                   else _number_text(v.text))
-                        if val is not None and val != "":
-                            values[col] = val
-                            text_flags.append(t in ("s", "str", "inlineStr"))
-                    row_no = int(el.get("r")) if el.get("r") else last + 1
-                    if values:
-                        width = max(values) + 1
-                        for blank in range(last + 1, row_no):     # rows without values stay rows
-                            yield (entry, sheet_no, name, blank, seq, [], True, None)
-                            seq += 1
-                        last = row_no
-                        yield (entry, sheet_no, name, row_no, seq, [values.get(i) for i in range(width)],
-                               all(text_flags), None)
-                        seq += 1
-                    el.clear()
-        except Exception as e:  # noqa: BLE001
-            yield (entry, sheet_no, name, -1, -1, None, None, f"unreadable sheet: {type(e).__name__}")
-
-
-def _decode_batches(batches, batch_rows: int = 4096):
-    cols = {k: [] for k in _ARROW_SCHEMA.names}
-
-    def flush():
-        out = pa.RecordBatch.from_pydict(cols, schema=_ARROW_SCHEMA)
-        for k in cols:
-            cols[k] = []
-        return out
+            z = zipfile.ZipFile(io.BytesIO(content))
+            members = z.namelist()
+            for m in _WHOLE[:2]:
+                z.getinfo(m)
+            for m in members:
+                if m in _WHOLE:
+                    yield entry, m, 0, z.read(m).decode(), None
+                elif m == "xl/sharedStrings.xml" or (m.startswith("xl/") and "worksheets/" in m and m.endswith(".xml")):
+                    yield entry, m, -1, None, None     # the part is there
+                    with z.open(m) as f:
+                        for n, x in enumerate(_elements(f, _ELEMENT[b"si" if m == "xl/sharedStrings.xml" else b"row"])):
+                            yield entry, m, n, x.decode(), None
+        except Exception as e:  # noqa: BLE001  (unreadable workbook -> quarantine)
+            yield entry, None, -1, None, f"unreadable: {type(e).__name__}"
+
+    def batch(held: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if n == "no" else pa.string())
+                                           for n, c in zip(names, zip(*held, strict=True), strict=True)], names=list(names))
 
     for b in batches:
-        d = b.to_pydict()
-        for entry, content in zip(d["entry"], d["content"]):
-            for r in decode_workbook(entry, content):
-                for k, v in zip(_ARROW_SCHEMA.names, r):
-                    cols[k].append(v)
-                if len(cols["entry"]) >= batch_rows:
-                    yield flush()
-    if cols["entry"]:
-        yield flush()
+        for entry, content in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            held: list[tuple] = []
+            for r in rows(entry, content):
+                held.append(r)
+                if len(held) == 4096:
+                    yield batch(held)
+                    held = []
+            if held:
+                yield batch(held)
+
+
+# ---- XML elements to values
+
+
+def _tags(xml: Column, name: str) -> Column:
+    """Start tags of the elements ``name``."""
+    return F.regexp_extract_all(xml, F.lit(rf"<(?:\w+:)?{name}(?=[\s>/])[^>]*>"), F.lit(0))
+
+
+def _attr(tag: Column, name: str) -> Column:
+    """Value of an attribute of the first tag, '' if it has none."""
+    at = F.regexp_extract(tag, "(?s)^<[^>]*>", 0)
+    value = rf"\s(?:\w+:)?{name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)')"
+    return _text(F.concat(F.regexp_extract(at, value, 1), F.regexp_extract(at, value, 2)))
+
+
+def _text(s: Column) -> Column:
+    """Character references undone."""
+    out = s
+    for ref, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#10;", "\n"), ("&#xA;", "\n"),
+                    ("&#13;", "\r"), ("&#xD;", "\r"), ("&#9;", "\t"), ("&#x9;", "\t"), ("&amp;", "&")):
+        out = F.replace(out, F.lit(ref), F.lit(ch))
+    return F.when(F.contains(s, F.lit("&")), out).otherwise(s)
+
+
+def _texts(xml: Column) -> Column:
+    """Texts of all <t> elements end to end, phonetic runs left out."""
+    plain = F.regexp_replace(xml, r"(?s)<(?:\w+:)?rPh[\s>].*?</(?:\w+:)?rPh>", "")
+    return _text(F.array_join(F.regexp_extract_all(plain, F.lit(r"<(?:\w+:)?t(?:\s[^>]*)?>([^<]*)</(?:\w+:)?t>"), F.lit(1)), ""))
+
+
+def _column(ref: Column) -> Column:
+    """0-based column of a cell reference such as AB12."""
+    letters = F.split(F.upper(F.regexp_extract(ref, "^[A-Za-z]+", 0)), "")
+    return F.aggregate(letters, F.lit(0), lambda n, c: F.when(c == "", n).otherwise(n * 26 + F.ascii(c) - 64)) - 1
+
+
+def _number(v: Column) -> Column:
+    """A number as the replaced reader renders it as text: whole values without '.0'."""
+    x = v.try_cast("double")
+    plain = x.cast("string")
+    # the same shortest digits, exponents only where the replaced reader has them
+    unscaled = F.regexp_replace(F.regexp_replace(plain.try_cast("decimal(38,18)").cast("string"), r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    power = F.regexp_replace(F.regexp_replace(plain, r"\.0E", "E"), r"E-(\d)$", "E-0$1")
+    fraction = F.when(F.abs(x) < 1e-4, F.lower(power)).when((F.abs(x) >= 1e7) | (F.abs(x) < 1e-3), unscaled).otherwise(plain)
+    whole = x.try_cast("decimal(38,0)").cast("string")
+    return (F.when(~v.rlike("[.eE]"), F.coalesce(v.try_cast("decimal(38,0)").cast("string"), v))
+            .when(F.abs(x) >= 2.0**53, F.coalesce(whole, plain)).when(x == F.floor(x), whole).otherwise(fraction))
+
+
+def _serial(v: Column, date1904: Column) -> Column:
+    """A date serial as text; a part of a day is a time."""
+    x = v.try_cast("double")
+    time_only = (x >= 0) & (x < 1)
+    x = F.when(~time_only & ~date1904 & (x > 0) & (x < 60), x + 1).otherwise(x)    # the 1900 leap-year bug
+    days = F.floor(x)
+    ms = days * 86_400_000 + F.round((x - days) * 86_400_000).cast("long")
+    day, rest = F.floor(ms / 86_400_000).cast("int"), F.pmod(ms, F.lit(86_400_000)).cast("long")
+    second = F.floor(rest / 1000)
+    part = F.pmod(rest, F.lit(1000))
+    time = F.concat(F.format_string("%02d:%02d:%02d", F.floor(second / 3600), F.pmod(F.floor(second / 60), F.lit(60)), F.pmod(second, F.lit(60))),
+                    F.when(part > 0, F.format_string(".%03d000", part)).otherwise(""))
+    base = F.when(date1904, F.lit("1904-01-01").cast("date")).otherwise(F.lit("1899-12-30").cast("date"))
+    return F.when(time_only & (day == 0), time).otherwise(F.concat_ws(" ", F.date_add(base, day).cast("string"), time))
+
+
+def _sheets(parts: DataFrame) -> DataFrame:
+    """entry, sheet_no, sheet, member, date1904: one row per worksheet."""
+    book = parts.where("member = 'xl/workbook.xml'")
+    date1904 = _attr(F.get(_tags(F.col("xml"), "workbookPr"), F.lit(0)), "date1904").isin("1", "true")
+    sheets = book.select("entry", F.coalesce(date1904, F.lit(False)).alias("date1904"), F.posexplode(_tags(F.col("xml"), "sheet")).alias("sheet_no", "tag"))
+    rels = (parts.where("member = 'xl/_rels/workbook.xml.rels'").select("entry", F.explode(_tags(F.col("xml"), "Relationship")).alias("rel"))
+            .select("entry", _attr(F.col("rel"), "Id").alias("id"), F.ltrim(_attr(F.col("rel"), "Target"), F.lit("/")).alias("target")))
+    member = F.when(F.col("target").startswith("xl/"), F.col("target")).otherwise(F.concat(F.lit("xl/"), F.col("target")))
+    return (sheets.select("entry", "date1904", "sheet_no", _attr(F.col("tag"), "name").alias("sheet"), _attr(F.col("tag"), "id").alias("id"))
+            .join(rels, ["entry", "id"]).select("entry", "sheet_no", "sheet", member.alias("member"), "date1904"))
+
+
+def _styles(parts: DataFrame) -> DataFrame:
+    """entry, style, is_date: one row per cell style."""
+    styles = parts.where("member = 'xl/styles.xml'")
+    own = (styles.select("entry", F.explode(_tags(F.col("xml"), "numFmt")).alias("tag"))
+           .select("entry", _attr(F.col("tag"), "numFmtId").try_cast("int").alias("fmt"), _attr(F.col("tag"), "formatCode").alias("code")))
+    section = F.regexp_extract("xml", r"(?s)<(?:\w+:)?cellXfs[\s>].*?</(?:\w+:)?cellXfs>", 0)
+    xfs = (styles.select("entry", F.posexplode(_tags(section, "xf")).alias("style", "tag"))
+           .select("entry", "style", F.coalesce(_attr(F.col("tag"), "numFmtId").try_cast("int"), F.lit(0)).alias("fmt")))
+    bare = F.regexp_replace("code", r'"[^"]*"|\\.|\[[^\]]*\]', "")     # quoted text, escapes, [colour] etc.
+    is_date = bare.rlike("(?i)[dmyhs]") & ~F.contains(bare, F.lit("General"))
+    return xfs.join(own, ["entry", "fmt"], "left").select(
+        "entry", "style", F.when(F.col("code").isNull(), F.col("fmt").isin(_BUILTIN_DATE_IDS)).otherwise(is_date).alias("is_date"))
+
+
+def _cells(parts: DataFrame, sheets: DataFrame) -> DataFrame:
+    """entry, sheet_no, row_no, col, value, is_text of the cells that hold something."""
+    rows = join_checked(parts.where("no >= 0 AND member LIKE 'xl/%worksheets/%'"), sheets, ["entry", "member"], salt_from=["no"])
+    tag = rf"(?s)<(?:\w+:)?c(?=[\s>/])(?:[^>]*/>|.*?</(?:\w+:)?c>)"
+    cells = rows.select("entry", "sheet_no", "date1904", F.coalesce(_attr(F.col("xml"), "r").try_cast("long"), F.col("no") + 1).alias("row_no"),
+                        F.posexplode(F.regexp_extract_all("xml", F.lit(tag), F.lit(0))).alias("place", "c"))
+    ref, v = _attr(F.col("c"), "r"), _text(F.regexp_extract("c", r"<(?:\w+:)?v(?:\s[^>]*)?>([^<]*)</", 1))
+    cells = cells.select("entry", "sheet_no", "date1904", "row_no", F.when(ref == "", F.col("place")).otherwise(_column(ref)).alias("col"),
+                         F.when(_attr(F.col("c"), "t") == "", "n").otherwise(_attr(F.col("c"), "t")).alias("t"),
+                         F.coalesce(_attr(F.col("c"), "s").try_cast("int"), F.lit(0)).alias("style"), v.alias("v"),
+                         F.when(_attr(F.col("c"), "t") == "inlineStr", _texts(F.col("c"))).alias("inline"))
+    cells = cells.withColumn("at", F.when(F.col("t") == "s", F.col("v").try_cast("long")))
+    strings = parts.where("no >= 0 AND member = 'xl/sharedStrings.xml'").select("entry", F.col("no").alias("at"), _texts(F.col("xml")).alias("shared"))
+    cells = join_checked(cells, strings, ["entry", "at"], "left", salt_from=["row_no", "col"])
+    cells = join_checked(cells, _styles(parts), ["entry", "style"], "left", salt_from=["row_no", "col"])
+    t, value, held = F.col("t"), F.col("v"), F.col("v") != ""
+    out = (F.when(t == "inlineStr", F.col("inline")).when(~held, None).when(t == "s", F.col("shared")).when(t == "str", value)
+           .when(t == "d", F.date_format(value.try_cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss"))
+           .when(t == "b", F.when(F.trim(value) == "1", "True").otherwise("False")).when(t == "e", None)     # error cells read as missing
+           .when(F.coalesce("is_date", F.lit(False)), _serial(value, F.col("date1904"))).otherwise(_number(value)))
+    return (cells.select("entry", "sheet_no", "row_no", "col", out.alias("value"), t.isin("s", "str", "inlineStr").alias("is_text"))
+            .where("value <> ''"))
+
+
+def sheet_rows(parts: DataFrame) -> DataFrame:
+    """Rows of every worksheet (ROWS_SCHEMA) from the stored XML elements; ``seq`` numbers a sheet's rows 0, 1, 2, ...
+
+    Rows run from the first to the last with a value; rows without values stay rows."""
+    sheets = stored(_sheets(parts))
+    keys = ["entry", "sheet_no", "row_no"]
+    by_row = stored(_cells(parts, sheets).groupBy(*keys).agg(
+        F.map_from_entries(F.collect_list(F.struct("col", "value"))).alias("held"), (F.max("col") + 1).alias("width"),
+        F.bool_and("is_text").alias("all_text")), sink="sheet_rows")
+    ends = by_row.groupBy("entry", "sheet_no").agg(F.max("row_no").alias("last"))
+    spine = (sheets.join(ends, ["entry", "sheet_no"])
+             .select("entry", "sheet_no", "sheet", F.explode(F.sequence(F.lit(1).cast("long"), "last")).alias("row_no")))
+    whole = F.transform(F.sequence(F.lit(0), F.col("width") - 1), lambda i: F.try_element_at("held", i))
+    rows = spine.join(by_row, keys, "left").select(
+        "entry", "sheet_no", "sheet", "row_no", (F.col("row_no") - 1).alias("seq"),
+        F.coalesce(whole, F.array().cast("array<string>")).alias("cells"), F.coalesce("all_text", F.lit(True)).alias("all_text"),
+        F.lit(None).cast("string").alias("error"))
+    there = parts.where("no = -1 AND member IS NOT NULL").select("entry", "member").distinct()
+    failed = parts.where("error IS NOT NULL").select("entry", "error").unionByName(
+        sheets.join(there, ["entry", "member"], "left_anti").select("entry", F.lit("unreadable sheet: no such part").alias("error")))
+    none = lambda kind: F.lit(None).cast(kind)
+    return rows.unionByName(failed.select("entry", F.lit(-1).alias("sheet_no"), none("string").alias("sheet"), F.lit(-1).cast("long").alias("row_no"),
+                                          F.lit(-1).cast("long").alias("seq"), none("array<string>").alias("cells"), none("boolean").alias("all_text"), "error"))
 
 
 def workbook_rows(spark: SparkSession, inbox: str, entries: DataFrame | None = None,
                   modified_after: str | None = None) -> DataFrame:
-    """Decoded rows of every ``*.xlsx`` entry, or of those of a table with a column ``entry`` (one task per workbook)."""
+    """Rows of every ``*.xlsx`` entry, or of those of a table with a column ``entry``."""
     from driftsweep.session import ship_package
 
-    ship_package(spark)   # the decoder runs in Python workers
+    ship_package(spark)   # the helper runs in Python workers
     root = qualified(spark, inbox)
     reader = spark.read.format("binaryFile")
     if modified_after is not None:
@@ -233,7 +254,7 @@ def workbook_rows(spark: SparkSession, inbox: str, entries: DataFrame | None = N
     files = reader.load(f"{inbox.rstrip('/')}/*.xlsx").select(entry_of(F.col("path"), root).alias("entry"), "content")
     if entries is not None:
         files = join_checked(files, entries.select("entry"), ["entry"], "left_semi", salt_from=["entry"])
-    return files.mapInArrow(_decode_batches, ROWS_SCHEMA)
+    return sheet_rows(stored(files.mapInArrow(_xml_parts, PARTS), sink="workbook_xml"))
 
 
 class XlsxInbox:

@@ -6,7 +6,7 @@ import os
 import pytest
 
 from driftsweep.plans.medallion import Sweep
-from driftsweep.sources.xlsx_inbox import decode_workbook
+from driftsweep.sources.xlsx_inbox import workbook_rows
 from driftsweep.sources.xlsx_writer import workbook_bytes
 
 CANON = ["EmailAddress", "FirstName", "LastName", "CID", "CreatedDate", "Sent", "Open"]
@@ -24,8 +24,9 @@ def _book():
     })
 
 
-def test_decode_cells():
-    rows = list(decode_workbook("book.xlsx", _book()))
+def test_decode_cells(spark, tmp_path):
+    (tmp_path / "book.xlsx").write_bytes(_book())
+    rows = sorted(map(tuple, workbook_rows(spark, str(tmp_path)).collect()), key=lambda r: (r[1], r[4]))
     s1 = [r for r in rows if r[2] == "S1"]
     assert [r[3] for r in s1] == [1, 2, 3, 4, 5]                    # a blank row stays a row
     assert [r[4] for r in s1] == [0, 1, 2, 3, 4]                    # dense sequence per sheet
@@ -37,8 +38,28 @@ def test_decode_cells():
     assert not [r for r in rows if r[2] == "Empty"]                  # no rows, no dataset
     nums = [r for r in rows if r[2] == "Numbers"]
     assert nums[0][6] is False                                       # numeric header cell
-    bad = list(decode_workbook("bad.xlsx", b"not a zip"))
-    assert bad[0][7].startswith("unreadable")
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "bad.xlsx").write_bytes(b"not a zip")
+    assert [r.error for r in workbook_rows(spark, str(tmp_path / "bad")).collect()] == ["unreadable: BadZipFile"]
+
+
+def test_numbers_and_dates_as_the_tabular_reader_renders_them(spark):
+    from pyspark.sql import functions as F
+
+    from driftsweep.sources.xlsx_inbox import _number, _serial
+
+    texts = ["5", "-7", "2.5", "0.1", "1e3", "12345678.9", "-123456789.25", "1.5E-7", "0.00001", "0.0001", "100000000000000000000", "1e20", "3.0", "-0.5"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    want = {t: str(int(t)) if not any(c in t for c in ".eE") else (str(int(float(t))) if float(t).is_integer() else repr(float(t))) for t in texts}
+    assert {r.t: r.n for r in df.select("t", _number(F.col("t")).alias("n")).collect()} == want
+    base = dt.datetime(1899, 12, 30)
+    serials = ["45000", "45000.5", "45000.123456789", "60", "61.999999999", "1"]
+    got = {r.t: r.d for r in spark.createDataFrame([(t,) for t in serials], "t string").select(
+        "t", _serial(F.col("t"), F.lit(False)).alias("d")).collect()}
+    for t in serials:
+        x = float(t) + (1 if 0 < float(t) < 60 else 0)
+        assert got[t] == str(base + dt.timedelta(days=int(x), milliseconds=round((x - int(x)) * 86_400_000)))
+    assert spark.range(1).select(_serial(F.lit("0.75"), F.lit(False))).first()[0] == "18:00:00"
 
 
 @pytest.fixture(scope="module")
