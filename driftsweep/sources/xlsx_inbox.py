@@ -137,33 +137,43 @@ def _column(ref: Column) -> Column:
     return F.aggregate(letters, F.lit(0), lambda n, c: F.when(c == "", n).otherwise(n * 26 + F.ascii(c) - 64)) - 1
 
 
-def _number(v: Column) -> Column:
-    """A number as the replaced reader renders it as text: whole values without '.0'."""
-    x = v.try_cast("double")
-    plain = x.cast("string")
+def _code(tag: Column, name: str) -> Column:
+    """Value of an attribute that holds a plain code (reference, type, number), '' if the tag has none."""
+    return F.regexp_extract(tag, rf"\s(?:\w+:)?{name}\s*=\s*[\"']([^\"']*)", 1)
+
+
+def with_number(df: DataFrame, v: str, name: str) -> DataFrame:
+    """Column ``name``: the number text ``v`` as the replaced reader renders it, whole values without '.0'.
+
+    Each step is a column of its own, so no expression is repeated in the generated code."""
+    x, plain, unscaled = F.col("_x"), F.col("_plain"), F.col("_unscaled")
+    out = df.withColumn("_x", F.col(v).try_cast("double")).withColumn("_plain", x.cast("string"))
     # the same shortest digits, exponents only where the replaced reader has them
-    unscaled = F.regexp_replace(F.regexp_replace(plain.try_cast("decimal(38,18)").cast("string"), r"(\.\d*?)0+$", "$1"), r"\.$", "")
-    power = F.regexp_replace(F.regexp_replace(plain, r"\.0E", "E"), r"E-(\d)$", "E-0$1")
-    fraction = F.when(F.abs(x) < 1e-4, F.lower(power)).when((F.abs(x) >= 1e7) | (F.abs(x) < 1e-3), unscaled).otherwise(plain)
-    whole = x.try_cast("decimal(38,0)").cast("string")
-    return (F.when(~v.rlike("[.eE]"), F.coalesce(v.try_cast("decimal(38,0)").cast("string"), v))
-            .when(F.abs(x) >= 2.0**53, F.coalesce(whole, plain)).when(x == F.floor(x), whole).otherwise(fraction))
-
-
-def _serial(v: Column, date1904: Column) -> Column:
-    """A date serial as text; a part of a day is a time."""
-    x = v.try_cast("double")
-    time_only = (x >= 0) & (x < 1)
-    x = F.when(~time_only & ~date1904 & (x > 0) & (x < 60), x + 1).otherwise(x)    # the 1900 leap-year bug
-    days = F.floor(x)
-    ms = days * 86_400_000 + F.round((x - days) * 86_400_000).cast("long")
-    day, rest = F.floor(ms / 86_400_000).cast("int"), F.pmod(ms, F.lit(86_400_000)).cast("long")
-    second = F.floor(rest / 1000)
-    part = F.pmod(rest, F.lit(1000))
-    time = F.concat(F.format_string("%02d:%02d:%02d", F.floor(second / 3600), F.pmod(F.floor(second / 60), F.lit(60)), F.pmod(second, F.lit(60))),
-                    F.when(part > 0, F.format_string(".%03d000", part)).otherwise(""))
-    base = F.when(date1904, F.lit("1904-01-01").cast("date")).otherwise(F.lit("1899-12-30").cast("date"))
-    return F.when(time_only & (day == 0), time).otherwise(F.concat_ws(" ", F.date_add(base, day).cast("string"), time))
+    out = out.withColumn("_unscaled", plain.try_cast("decimal(38,18)").cast("string"))
+    out = out.withColumn("_unscaled", F.regexp_replace(F.regexp_replace(unscaled, r"(\.\d*?)0+$", "$1"), r"\.$", ""))
+    power = F.lower(F.regexp_replace(F.regexp_replace(plain, r"\.0E", "E"), r"E-(\d)$", "E-0$1"))
+    whole = F.coalesce(x.try_cast("decimal(38,0)").cast("string"), plain)
+    size = F.abs(x)
+    text = (F.when(~F.col(v).rlike("[.eE]"), F.coalesce(F.col(v).try_cast("decimal(38,0)").cast("string"), F.col(v)))
+            .when((size >= 2.0**53) | (F.pmod(x, F.lit(1.0)) == 0), whole)
+            .when(size < 1e-4, power).when((size >= 1e7) | (size < 1e-3), unscaled).otherwise(plain))
+    return out.withColumn(name, text).drop("_x", "_plain", "_unscaled")
+
+
+def with_serial(df: DataFrame, v: str, date1904: str, name: str) -> DataFrame:
+    """Column ``name``: the date serial ``v`` as text; a part of a day is a time."""
+    x, day, ms, second = F.col("_x"), F.col("_day"), F.col("_ms"), F.col("_second")
+    out = df.withColumn("_x", F.col(v).try_cast("double")).withColumn("_time", (x >= 0) & (x < 1))
+    leap = ~F.col("_time") & ~F.col(date1904) & (x > 0) & (x < 60)    # the 1900 leap-year bug
+    out = out.withColumn("_x", F.when(leap, x + 1).otherwise(x)).withColumn("_day", F.floor(x))
+    out = out.withColumn("_ms", day * 86_400_000 + F.round((x - day) * 86_400_000).cast("long"))
+    out = out.withColumn("_day", F.floor(ms / 86_400_000).cast("int")).withColumn("_ms", F.pmod(ms, F.lit(86_400_000)))
+    out = out.withColumn("_second", F.floor(ms / 1000)).withColumn("_ms", F.pmod(ms, F.lit(1000)))
+    clock = F.format_string("%02d:%02d:%02d", F.floor(second / 3600), F.pmod(F.floor(second / 60), F.lit(60)), F.pmod(second, F.lit(60)))
+    out = out.withColumn("_clock", F.concat(clock, F.when(ms > 0, F.format_string(".%03d000", ms)).otherwise("")))
+    base = F.when(F.col(date1904), F.lit("1904-01-01").cast("date")).otherwise(F.lit("1899-12-30").cast("date"))
+    text = F.when(F.col("_time") & (day == 0), F.col("_clock")).otherwise(F.concat_ws(" ", F.date_add(base, day).cast("string"), "_clock"))
+    return out.withColumn(name, text).drop("_x", "_time", "_day", "_ms", "_second", "_clock")
 
 
 def _sheets(parts: DataFrame) -> DataFrame:
@@ -196,22 +206,25 @@ def _cells(parts: DataFrame, sheets: DataFrame) -> DataFrame:
     """entry, sheet_no, row_no, col, value, is_text of the cells that hold something."""
     rows = join_checked(parts.where("no >= 0 AND member LIKE 'xl/%worksheets/%'"), sheets, ["entry", "member"], salt_from=["no"])
     tag = rf"(?s)<(?:\w+:)?c(?=[\s>/])(?:[^>]*/>|.*?</(?:\w+:)?c>)"
-    cells = rows.select("entry", "sheet_no", "date1904", F.coalesce(_attr(F.col("xml"), "r").try_cast("long"), F.col("no") + 1).alias("row_no"),
+    cells = rows.select("entry", "sheet_no", "date1904", F.coalesce(_code(F.regexp_extract("xml", "(?s)^<[^>]*>", 0), "r").try_cast("long"), F.col("no") + 1).alias("row_no"),
                         F.posexplode(F.regexp_extract_all("xml", F.lit(tag), F.lit(0))).alias("place", "c"))
-    ref, v = _attr(F.col("c"), "r"), _text(F.regexp_extract("c", r"<(?:\w+:)?v(?:\s[^>]*)?>([^<]*)</", 1))
-    cells = cells.select("entry", "sheet_no", "date1904", "row_no", F.when(ref == "", F.col("place")).otherwise(_column(ref)).alias("col"),
-                         F.when(_attr(F.col("c"), "t") == "", "n").otherwise(_attr(F.col("c"), "t")).alias("t"),
-                         F.coalesce(_attr(F.col("c"), "s").try_cast("int"), F.lit(0)).alias("style"), v.alias("v"),
-                         F.when(_attr(F.col("c"), "t") == "inlineStr", _texts(F.col("c"))).alias("inline"))
+    cells = cells.withColumn("tag", F.regexp_extract("c", "(?s)^<[^>]*>", 0))
+    cells = cells.withColumns({"ref": _code(F.col("tag"), "r"), "t": _code(F.col("tag"), "t"), "style": _code(F.col("tag"), "s"),
+                               "v": F.regexp_extract("c", r"<(?:\w+:)?v(?:\s[^>]*)?>([^<]*)</", 1)})
+    cells = cells.select("entry", "sheet_no", "date1904", "row_no", F.when(F.col("ref") == "", F.col("place")).otherwise(_column(F.col("ref"))).alias("col"),
+                         F.when(F.col("t") == "", "n").otherwise(F.col("t")).alias("t"),
+                         F.coalesce(F.col("style").try_cast("int"), F.lit(0)).alias("style"), _text(F.col("v")).alias("v"),
+                         F.when(F.col("t") == "inlineStr", _texts(F.col("c"))).alias("inline"))
     cells = cells.withColumn("at", F.when(F.col("t") == "s", F.col("v").try_cast("long")))
     strings = parts.where("no >= 0 AND member = 'xl/sharedStrings.xml'").select("entry", F.col("no").alias("at"), _texts(F.col("xml")).alias("shared"))
     cells = join_checked(cells, strings, ["entry", "at"], "left", salt_from=["row_no", "col"])
     cells = join_checked(cells, _styles(parts), ["entry", "style"], "left", salt_from=["row_no", "col"])
+    cells = with_serial(with_number(cells, "v", "number"), "v", "date1904", "serial")
     t, value, held = F.col("t"), F.col("v"), F.col("v") != ""
     out = (F.when(t == "inlineStr", F.col("inline")).when(~held, None).when(t == "s", F.col("shared")).when(t == "str", value)
            .when(t == "d", F.date_format(value.try_cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss"))
            .when(t == "b", F.when(F.trim(value) == "1", "True").otherwise("False")).when(t == "e", None)     # error cells read as missing
-           .when(F.coalesce("is_date", F.lit(False)), _serial(value, F.col("date1904"))).otherwise(_number(value)))
+           .when(F.coalesce("is_date", F.lit(False)), F.col("serial")).otherwise(F.col("number")))
     return (cells.select("entry", "sheet_no", "row_no", "col", out.alias("value"), t.isin("s", "str", "inlineStr").alias("is_text"))
             .where("value <> ''"))
 

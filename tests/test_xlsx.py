@@ -46,20 +46,20 @@ def test_decode_cells(spark, tmp_path):
 def test_numbers_and_dates_as_the_tabular_reader_renders_them(spark):
     from pyspark.sql import functions as F
 
-    from driftsweep.sources.xlsx_inbox import _number, _serial
+    from driftsweep.sources.xlsx_inbox import with_number, with_serial
 
     texts = ["5", "-7", "2.5", "0.1", "1e3", "12345678.9", "-123456789.25", "1.5E-7", "0.00001", "0.0001", "100000000000000000000", "1e20", "3.0", "-0.5"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     want = {t: str(int(t)) if not any(c in t for c in ".eE") else (str(int(float(t))) if float(t).is_integer() else repr(float(t))) for t in texts}
-    assert {r.t: r.n for r in df.select("t", _number(F.col("t")).alias("n")).collect()} == want
+    assert {r.t: r.n for r in with_number(df, "t", "n").collect()} == want
     base = dt.datetime(1899, 12, 30)
     serials = ["45000", "45000.5", "45000.123456789", "60", "61.999999999", "1"]
-    got = {r.t: r.d for r in spark.createDataFrame([(t,) for t in serials], "t string").select(
-        "t", _serial(F.col("t"), F.lit(False)).alias("d")).collect()}
+    days = spark.createDataFrame([(t,) for t in [*serials, "0.75"]], "t string").withColumn("own", F.lit(False))
+    got = {r.t: r.d for r in with_serial(days, "t", "own", "d").collect()}
     for t in serials:
         x = float(t) + (1 if 0 < float(t) < 60 else 0)
         assert got[t] == str(base + dt.timedelta(days=int(x), milliseconds=round((x - int(x)) * 86_400_000)))
-    assert spark.range(1).select(_serial(F.lit("0.75"), F.lit(False))).first()[0] == "18:00:00"
+    assert got["0.75"] == "18:00:00"
 
 
 @pytest.fixture(scope="module")
