@@ -9,15 +9,19 @@ Base spans are always kept. The patterns run in possessive form with anchored st
 the same spans in time linear in the text.
 
 Candidates. Wider generators propose further, possibly overlapping spans (masked at-signs and dots,
-other separators, IPv6, numbers without a plus). Format and context features of a span form a cell of
-at most ``CELLS`` values. Boosted trees are fitted on the cell counts of *all* base matches of the
-corpus (label: the match passes its check), so the fit sees all data through a table of bounded
-size; documents with crc32(doc_id) mod 5 = 0 are held out and calibrate the scores (isotonic). A
-candidate is added if its cell's calibrated probability for its kind is at least ``PRECISION`` and
-it overlaps no base span and no better candidate (higher probability, then earlier, then longer).
-
-Null and empty texts have no spans. Repeated rows give equal results; an empty table gives none;
-other columns are ignored. No row is shuffled; only cell counts are.
+other separators, IPv6, numbers without a plus); a span that fails the check of its kind is none. Format
+and context features of a span form a cell of at most ``CELLS`` values. For each kind boosted trees are
+fitted on the cell counts of the *whole* corpus: base matches that pass their check are positive, matches
+of near-miss generators (addresses without a domain, versions and times, other groups of digits) are
+negative. What tells the two apart (a plus, the dots, the grouping, the check) is no feature, so size,
+separators, cue words and neighbours must predict it. Documents with crc32(doc_id) mod 5 = 0 are held
+out and calibrate the scores (isotonic, by kind). A candidate is added if its cell's calibrated
+probability is at least ``PRECISION``, positive training matches of its kind were seen beside the same cue and
+the same kinds of neighbours (trees say nothing of contexts never seen), and it overlaps no base span and
+no better candidate (higher probability, then earlier, then longer). Equal gains go to the first test.
+
+Null and empty texts have no spans; a very long text is one row like any other. Repeated rows give equal
+results; an empty table gives none; other columns are ignored. No row is shuffled; only cell counts are.
 """
 
 from __future__ import annotations
@@ -31,8 +35,10 @@ from driftsweep.llm.common import cut, ready
 
 KINDS = ("email", "ip", "card", "phone")
 PRECISION, ROUNDS, RATE, HELD_OUT = 0.95, 30, 0.3, 5
-#: Sizes of the features: kind, digits, separators, check, cue word, left and right neighbour, one digit only.
-RADIX = (4, 8, 3, 2, 2, 3, 3, 2)
+#: Sizes of the features: kind, digits, separators, cue word, left and right neighbour, one digit only.
+RADIX = (4, 8, 3, 3, 3, 3, 2)
+#: Places of the features that are context.
+CONTEXT = (3, 4, 5)
 CELLS = math.prod(RADIX)
 _BLOCK = 256
 
@@ -49,8 +55,16 @@ WIDE = (
     (2, None, r"(?<![0-9])[0-9]{4}(?:[._/\x20-]{1,2}[0-9]{4}){3}(?![0-9])"),
     (3, None, r"(?<![0-9(+])(?:00[1-9][0-9]{0,2}[\x20.-])?\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])"),
 )
-#: Words that announce personal data when they stand just before it.
-CUES = r"(?i)(?:mail|contact|phone|tel|call|fax|mobile|card|visa|account|iban|ip|addr|address|host)[^\p{L}]{0,4}$"
+#: Matches like those of BASE that are something else, unless ``_passes`` knows better.
+NEAR = (
+    (0, "@", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]*+(?!\.[A-Za-z0-9-])"),
+    (1, None, r"(?i)(?<![0-9.:])[0-9]{1,5}+(?:\.[0-9]{1,5}+){1,2}(?!\.?[0-9])|(?<![0-9a-f:])[0-9a-f]{1,4}+(?::[0-9a-f]{1,4}+){1,6}(?![0-9a-f:])"),
+    (2, None, r"(?<![0-9])[0-9]{1,9}+(?:[._/:,][\x20]?[0-9]{1,9}+){1,6}(?![0-9])"),
+    (3, None, r"\+[0-9][\x20().0-9-]+[0-9]|(?<![0-9(])\(?[0-9]{1,9}+\)?(?:[\x20./-][0-9]{1,9}+){1,5}(?![0-9])"),
+)
+#: Words that announce personal data, or another number, when they stand just before it.
+CUES = r"(?i)(?:mail|contact|phone|tel|call|fax|mobile|card|visa|account|iban|ip|addr|address|host)(?:\x20(?:no|nr|number))?[^\p{L}]{0,4}$"
+COUNTERS = r"(?i)(?<!\p{L})(?:order|invoice|ref|item|version|serial|sku|isbn|page|part|case|ticket|batch|lot)(?:\x20(?:no|nr|number))?[^\p{L}]{0,4}$"
 
 
 def _luhn(d: Column) -> Column:
@@ -67,9 +81,13 @@ def _octets(s: Column) -> Column:
 
 
 def _passes(i: Column, x: Column) -> Column:
-    """The check of match ``x`` of pattern ``i`` (base patterns first, then the wide ones)."""
-    return (F.when(i == 0, F.lit(True)).when(i == len(BASE), x["s"].rlike(r"[.)\]}\x20][A-Za-z]{2,}$"))
-            .when(i == 1, _octets(x["s"])).when(i == len(BASE) + 1, F.lit(True))
+    """The check of match ``x`` of pattern ``i`` (base, then wide, then near ones: true if it is no near miss)."""
+    wide, near = len(BASE), len(BASE) + len(WIDE)
+    return (F.when(i == 0, F.lit(True)).when(i == wide, x["s"].rlike(r"[.)\]}\x20][A-Za-z]{2,}$"))
+            .when(i == 1, _octets(x["s"])).when(i == wide + 1, F.lit(True))
+            .when(i == near + 2, ~x["n"].between(12, 19) | x["s"].rlike(WIDE[2][2]))
+            .when(i == near + 3, ~x["n"].between(7, 18) | x["s"].rlike(r"^\+|" + WIDE[3][2]))
+            .when(i >= near, F.lit(False))
             .when(i % 4 == 2, F.when(x["n"].between(14, 19), _luhn(x["d"])).otherwise(False))
             .otherwise(x["n"].between(10, 15)))
 
@@ -78,13 +96,14 @@ def _cell(kind: Column, x: Column) -> Column:
     """Features of a checked match as one number below CELLS."""
     n = x["n"]
     size = F.when(n == 0, 0).when(n < 7, 1).when(n < 10, 2).when(n < 12, 3).when(n < 14, 4).when(n < 16, 5).when(n < 20, 6).otherwise(7)
-    one_kind = F.length(F.replace(x["seps"], F.left(x["seps"], F.lit(1)), F.lit(""))) == 0
-    seps = F.when(x["seps"] == "", 0).when(one_kind, 1).otherwise(2)
+    inner = F.translate(x["seps"], "+()", "")    # a plus is the label's, brackets go with spaces
+    one_kind = F.length(F.replace(inner, F.left(inner, F.lit(1)), F.lit(""))) == 0
+    seps = F.when(inner == "", 0).when(one_kind, 1).otherwise(2)
     side = lambda c: F.when((c == "") | c.rlike(r"\s"), 0).when(c.rlike(r"[\p{L}\p{N}]"), 2).otherwise(1)
     same = (n > 1) & (F.length(F.replace(x["d"], F.left(x["d"], F.lit(1)), F.lit(""))) == 0)
     code = kind
-    for base, f in zip(RADIX[1:], (size, seps, x["passes"].cast("int"), x["before"].rlike(CUES).cast("int"),
-                                   side(F.right(x["before"], F.lit(1))), side(x["after"]), same.cast("int")), strict=True):
+    cue = F.when(x["before"].rlike(CUES), 1).when(x["before"].rlike(COUNTERS), 2).otherwise(0)
+    for base, f in zip(RADIX[1:], (size, seps, cue, side(F.right(x["before"], F.lit(1))), side(x["after"]), same.cast("int")), strict=True):
         code = code * base + F.coalesce(f, F.lit(0))
     return code.cast("int")
 
@@ -94,13 +113,13 @@ def _fields(x: Column, *names: str) -> list[Column]:
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, base, wide: arrays of (start, kind, end, cell, passes) for every row of docs (doc_id, text).
+    """doc_id, base, wide, near: arrays of (start, kind, end, cell, passes) for every row of docs (doc_id, text).
 
     Every step is an array with one entry for each pattern. Starts come from the gaps between matches:
     the lengths of a pattern's gaps and matches are summed in blocks (n^1.5 steps for n matches), so a
     text full of matches stays cheap.
     """
-    patterns, text = BASE + WIDE, F.col("text")
+    patterns, text = BASE + WIDE + NEAR, F.col("text")
     none = F.array().cast("array<string>")
 
     def possible(needs):
@@ -137,8 +156,9 @@ def candidates(docs: DataFrame) -> DataFrame:
     rows = rows.select("doc_id", each("found", lambda x, i, j: F.struct(
         x["start"].alias("start"), (i % 4).alias("kind"), (x["start"] + x["len"]).alias("end"), _cell(i % 4, x).alias("cell"),
         x["passes"].alias("passes"))).alias("found"))
-    n = len(BASE)
-    return rows.select("doc_id", F.flatten(F.slice("found", 1, n)).alias("base"), F.flatten(F.slice("found", n + 1, n)).alias("wide"))
+    part = lambda name, at, ps: F.flatten(F.slice("found", at + 1, len(ps))).alias(name)
+    return rows.select("doc_id", part("base", 0, BASE), F.filter(part("wide", len(BASE), WIDE), lambda x: x["passes"]).alias("wide"),
+                       F.filter(part("near", len(BASE) + len(WIDE), NEAR), lambda x: ~x["passes"]).alias("near"))
 
 
 def _features(cell: int) -> tuple[int, ...]:
@@ -167,7 +187,7 @@ def boost(counts: dict[int, tuple[int, int]], rounds: int = ROUNDS):
                 ga, ha = sum(g[i] for i in a), sum(h[i] for i in a)
                 gb, hb = whole[0] - ga, whole[1] - ha
                 gain = ga * ga / (ha + 1) + gb * gb / (hb + 1) - whole[0] ** 2 / (whole[1] + 1)
-                if gain > top[0]:
+                if gain > top[0] * (1 + 1e-9):  # equal up to rounding: the first test stays
                     top = (gain, (j, v))
         return top[1]
 
@@ -214,20 +234,22 @@ def calibrate(pairs: list[tuple[float, int, int]]):
 
 
 def accepted_cells(found: DataFrame) -> dict[int, float]:
-    """Calibrated probability of the wide candidates' cells that reach PRECISION (at most CELLS entries)."""
+    """Calibrated probability of the wide candidates' cells that are taken (at most CELLS entries)."""
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % HELD_OUT == 0, F.lit(False))
-    rows = found.select(held.alias("held"), F.explode("base").alias("b")).groupBy("held", "b.cell", "b.passes").count()
+    told = F.concat(F.filter("base", lambda x: x["passes"]), "near")
+    rows = found.select(held.alias("held"), F.explode(told).alias("b")).groupBy("held", "b.cell", "b.passes").count()
     counts: dict[bool, dict[int, list[int]]] = {False: {}, True: {}}
     for r in rows.collect():
         counts[r["held"]].setdefault(r["cell"], [0, 0])[0 if r["passes"] else 1] += r["count"]
     wide = [r["cell"] for r in found.select(F.explode("wide").alias("w")).select("w.cell").distinct().collect()]
-    if not wide or not counts[False]:
-        return {}
-    score = boost({c: tuple(v) for c, v in counts[False].items()})
     out = {}
     for kind in range(len(KINDS)):
-        prob = calibrate([(score(c), *v) for c, v in counts[True].items() if _features(c)[0] == kind])
-        out |= {c: p for c in wide if _features(c)[0] == kind and (p := prob(score(c))) >= PRECISION}
+        fit, check = ({c: tuple(v) for c, v in counts[h].items() if _features(c)[0] == kind} for h in (False, True))
+        seen = [{_features(c)[j] for c, (p, _) in fit.items() if p} for j in CONTEXT]
+        score = boost(fit)
+        prob = calibrate([(score(c), *v) for c, v in check.items()])
+        out |= {c: p for c in wide if _features(c)[0] == kind and (p := prob(score(c))) >= PRECISION
+                and all(_features(c)[j] in s for j, s in zip(CONTEXT, seen, strict=True))}
     return out
 
 

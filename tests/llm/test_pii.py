@@ -74,3 +74,32 @@ def test_no_python_in_the_plan_and_empty(empty):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
     assert pii.find(empty).count() == 0
+
+
+def phones(cue_order, near):
+    """4,000 valid phones, half of them with a cue, and numbers of orders; two candidates at the end."""
+    rows = [(i, f"{('please call', 'tel', 'we wrote', cue_order if i % 100 == 0 else 'then')[i % 4]} +1 {200 + i % 700} 555 {1000 + i} today") for i in range(4000)]
+    rows += [(4000 + i, f"{('order no', 'invoice')[i % 2]} {100 + i}-{20000 + i}-{i % 90 + 10} sent") for i in range(near)]
+    return rows + [(9000, "tel 212-555-1212 today"), (9001, "order no 212-555-1212 today"), (9002, "then 212-555-1212 today")]
+
+
+def test_a_cue_word_decides(spark):
+    """Some valid phones follow ``order no``, so the trees, not an unseen context, keep the number of an order out."""
+    docs = spark.createDataFrame(phones("order no", 3000), "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.find(docs).filter("doc_id >= 9000").collect()}
+    assert got[9000].spans == "phone:4:16" and got[9000].n_added == 1 and got[9000].n_phone == 0
+    assert got[9001].spans == "" and got[9001].n_added == 0
+
+
+def test_contexts_never_seen_with_personal_data_add_nothing(spark):
+    docs = spark.createDataFrame(phones("then", 0), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.find(docs).filter("doc_id >= 9000").collect()}
+    assert got == {9000: "phone:4:16", 9001: "", 9002: "phone:5:17"}
+
+
+def test_check_and_kind_are_no_features():
+    kind, *features = pii._features(pii.CELLS - 1)
+    assert kind == 3 and len(features) == 6
+    counts = {c: ((9, 1) if pii._features(c)[1] == 4 else (1, 9)) for c in range(0, pii.CELLS // 4, 11)}
+    shuffled = dict(sorted(counts.items(), key=lambda x: -x[0]))
+    assert [pii.boost(counts)(c) for c in counts] == [pii.boost(shuffled)(c) for c in counts]
