@@ -9,10 +9,11 @@ With ``slack`` = 0 the bounds are floor(rows / shards), plus one for the first r
 law ``rows``, counts at most one apart. With slack > 0 the bound is ceil((1 + slack) * rows / shards);
 fewer rows then overflow, and fewer move when a shard is added.
 
-Rows do not decide one after the other. One aggregate counts the rows of each arc (ARC_CELLS cells
-an arc: as many numbers as the ring has, whatever the data); the flow of the arcs' counts over the
-ring is followed on the driver with those numbers, and gives ranges of ranks to shards. A row's rank
-comes from sorting its cell. Only (doc_id, size, checksum) is shuffled, never the text. Equal rows
+Rows do not decide one after the other. One aggregate counts the rows of each arc; an arc is cut by a
+hash of the row into ARC_CELLS cells, more where a cell would hold over ``CELL_ROWS`` rows (all rows of one
+doc_id lie in one arc, however many they are). A second aggregate counts the cells: a few numbers a
+point of the ring, at most CELLS_MOST more. The flow of the arcs' counts over the ring is followed on
+the driver with those numbers, and gives ranges of ranks to shards. A row's rank comes from sorting its cell. Only (doc_id, size, checksum) is shuffled, never the text. Equal rows
 are counted together before the shuffle and dealt out again at the end, in pieces of bounded
 length, so a group of copies of any size does not meet in one task.
 
@@ -32,6 +33,8 @@ from driftsweep.llm.common import cut, ready
 
 SHARDS, VIRTUAL, ARC_CELLS = 40, 64, 16
 PIECE = 100_000
+#: Rows of a cell, and the cells that the arcs of many rows are given at most beyond ARC_CELLS each.
+CELL_ROWS, CELLS_MOST = 1 << 20, 1 << 18
 
 
 def ring(shards: int, virtual: int = VIRTUAL) -> tuple[np.ndarray, np.ndarray]:
@@ -64,6 +67,12 @@ def bounds(rows: int, shards: int, slack: float = 0.0) -> list[int]:
     return [rows // shards + (s < rows % shards) for s in range(shards)]
 
 
+def arc_cells(rows: np.ndarray, cell_rows: int = CELL_ROWS) -> np.ndarray:
+    """Cells of each arc of ``rows`` different rows."""
+    size = max(cell_rows, -(-int(rows.sum()) // CELLS_MOST))
+    return np.maximum(ARC_CELLS, -(-rows // size))
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """doc_id, size, text_crc32 and n, one row for equal ones."""
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"),
@@ -72,7 +81,8 @@ def keyed(docs: DataFrame) -> DataFrame:
             .groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("n")))
 
 
-def assign(docs: DataFrame, shards: int = SHARDS, slack: float = 0.0, virtual: int = VIRTUAL) -> DataFrame:
+def assign(docs: DataFrame, shards: int = SHARDS, slack: float = 0.0, virtual: int = VIRTUAL,
+           cell_rows: int = CELL_ROWS) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard for every row of docs (doc_id, text)."""
     ready(docs.sparkSession)
     points, owner = ring(shards, virtual)
@@ -84,13 +94,22 @@ def assign(docs: DataFrame, shards: int = SHARDS, slack: float = 0.0, virtual: i
 
     own = keyed(docs).withColumn("pos", F.xxhash64("doc_id")).withColumn("mix", F.xxhash64("size", "text_crc32", "doc_id"))
     own = own.mapInArrow(locate, "doc_id long, size long, text_crc32 long, n long, pos long, mix long, arc int")
-    own = cut(own.withColumn("cell", F.col("arc") * ARC_CELLS + F.pmod("mix", F.lit(ARC_CELLS)).cast("int")).drop("pos", "arc"))
-    sums = own.groupBy("cell").agg(F.sum("n").alias("n"), F.max("n").alias("most")).collect()  # ring-sized
-    cells = np.zeros(len(points) * ARC_CELLS, np.int64)
+    own = cut(own.drop("pos"))
+    per_arc = np.zeros(len(points), np.int64)
+    for r in own.groupBy("arc").agg(F.count("*").alias("rows")).collect():  # ring-sized
+        per_arc[r["arc"]] = r["rows"]
+    n_cells = arc_cells(per_arc, cell_rows)
+    begin = np.cumsum(n_cells) - n_cells
+    layout = docs.sparkSession.createDataFrame(list(zip(range(len(points)), begin.tolist(), n_cells.tolist(), strict=True)),
+                                               "arc int, begin long, n_cells long")  # one row a point of the ring
+    own = own.join(F.broadcast(layout), "arc").select(
+        "doc_id", "size", "text_crc32", "n", "mix", (F.col("begin") + F.pmod("mix", "n_cells")).cast("int").alias("cell"))
+    sums = own.groupBy("cell").agg(F.sum("n").alias("n"), F.max("n").alias("most")).collect()
+    cells = np.zeros(int(n_cells.sum()), np.int64)
     for r in sums:
         cells[r["cell"]] = r["n"]
     first = np.cumsum(cells) - cells
-    arcs = cells.reshape(-1, ARC_CELLS).sum(axis=1)
+    arcs = np.add.reduceat(cells, begin)
     pieces = sorted(flow(arcs, owner, bounds(int(arcs.sum()), shards, slack)), key=lambda p: p[0])
     took = np.array([p[1] for p in pieces], np.int64)
     begins, shard_of, slot_of = np.cumsum(took) - took, np.array([p[2] for p in pieces]), np.array([p[3] for p in pieces])

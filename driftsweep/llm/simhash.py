@@ -32,11 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftsweep.llm.common import components, cut, ready
+from driftsweep.operators.joins import join_checked
 
 SHINGLE, RADIUS, SEED = 3, 3, 42
 BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 TREE_LIMIT = 4096
 LEAF = 24
+#: Rows of one fingerprint that go to one task; more are dealt.
+HOT_ROWS = 1 << 20
 _STEP = 1 << 18
 
 
@@ -156,7 +159,7 @@ def links(fps: DataFrame, limit: int = TREE_LIMIT) -> DataFrame:
     entries = fps.select("fp", F.explode(F.array(*keys)).alias("shard"))
     hot = (entries.groupBy("shard").agg(F.count("*").alias("n")).filter(F.col("n") > limit)
            .select("shard", F.ceil(F.col("n") / limit).cast("long").alias("parts")))
-    entries = (entries.join(hot, "shard", "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
+    entries = (join_checked(entries, hot, ["shard"], "left", salt_from=["fp"]).withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
                .withColumn("own", F.pmod(F.xxhash64("fp"), F.col("parts")))
                .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))))
     groups = entries.select("shard", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "fp")
@@ -165,26 +168,35 @@ def links(fps: DataFrame, limit: int = TREE_LIMIT) -> DataFrame:
 
 
 def groups(marked: DataFrame) -> DataFrame:
-    """fp, component_id, first_key: one row for each distinct fingerprint of (doc_id, text_key, fp).
+    """fp, component_id, first_key, n_rows: one row for each distinct fingerprint of (doc_id, text_key, fp).
 
     ``first_key`` is the text_key of the row that the component is named after.
     """
     first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_key"))
-    own = cut(marked.groupBy("fp").agg(first.alias("first")))
+    own = cut(marked.groupBy("fp").agg(first.alias("first"), F.count("*").alias("n_rows")))
     parts = components(links(own.select("fp")))
     own = own.join(parts, own["fp"] == parts["node"], "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root"))
+        "fp", "first", "n_rows", F.coalesce("root", "fp").alias("root"))
     best = own.groupBy("root").agg(F.min("first").alias("best"))
     return own.join(best, "root").select("fp", F.col("best.doc_id").alias("component_id"),
-                                         F.col("best.text_key").alias("first_key"))
+                                         F.col("best.text_key").alias("first_key"), "n_rows")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id for every row of docs (doc_id, text)."""
+def near_duplicates(docs: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id for every row of docs (doc_id, text).
+
+    Rows of a fingerprint with over ``hot_rows`` are dealt over as many tasks as they need.
+    """
     ready(docs.sparkSession)
-    marked = cut(fingerprints(docs))
-    found = groups(marked)
-    return marked.join(found, "fp").select(
+    deal = F.pmod(F.monotonically_increasing_id(), F.lit(1 << 15)).cast("int")
+    marked = cut(fingerprints(docs).withColumn("deal", deal))  # stored, so a task that runs again deals alike
+    found = cut(groups(marked))
+    parts = F.ceil(F.col("n_rows") / hot_rows).cast("long")
+    hot = found.filter(F.col("n_rows") > hot_rows).select("fp", parts.alias("parts"))
+    salt = F.pmod(F.col("deal").cast("long"), F.coalesce("parts", F.lit(1).cast("long")))
+    marked = join_checked(marked, hot, ["fp"], "left", salt_from=["deal"]).withColumn("salt", salt)
+    found = found.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    return marked.join(found, ["fp", "salt"]).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 

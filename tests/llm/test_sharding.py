@@ -67,3 +67,13 @@ def test_slack_limits_load_and_movement(spark):
 
 def test_empty(empty):
     assert sharding.assign(empty).count() == 0
+
+
+def test_an_arc_of_many_rows_has_more_cells(spark):
+    assert sharding.arc_cells(np.array([0, 10, 5000]), 100).tolist() == [16, 16, 50]
+    assert sharding.arc_cells(np.array([10**12, 5]), 1).sum() <= sharding.CELLS_MOST + 32
+    docs = spark.createDataFrame([(None, f"other text {i}") for i in range(400)] + [(i, "t") for i in range(800)], "doc_id long, text string")
+    got = sharding.assign(docs, shards=7, cell_rows=4).collect()
+    sizes = Counter(r.shard for r in got)
+    assert len(got) == 1200 and max(sizes.values()) - min(sizes.values()) <= 1
+    assert len({(r.shard, r.slot) for r in got}) == 1200 and sum(r.doc_id is None for r in got) == 400

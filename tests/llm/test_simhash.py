@@ -100,3 +100,10 @@ def test_long_path_of_links(spark):
 
 def test_empty(empty):
     assert simhash.near_duplicates(empty).count() == 0 and simhash.one_of_each(empty).count() == 0
+
+
+def test_rows_of_a_hot_fingerprint_are_dealt_and_kept(spark):
+    rows = [(i if i % 3 else None, "the very same few words here") for i in range(60)] + [(100 + i, f"another text {i} of its own {i * 7}") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = Counter(map(tuple, simhash.near_duplicates(docs).collect()))
+    assert sum(want.values()) == 90 and Counter(map(tuple, simhash.near_duplicates(docs, hot_rows=7).collect())) == want
