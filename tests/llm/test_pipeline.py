@@ -41,6 +41,6 @@ def test_empty_documents_pass_all_stages(spark, empty, tmp_path):
 
 def test_registry_and_run(spark):
     names = list(queries.registry())
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)] + ["pipeline"]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)] + ["pipeline"]
     got = queries.registry()["pipeline"](spark, "/root/testdata/sf0.001")
     assert {"doc_id", "shard", "slot"} <= set(got.columns) and got.count() > 100
