@@ -42,13 +42,14 @@ def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inn
 
     The salt is a hash of ``salt_from`` (deterministic, so retried tasks agree); ``small``
     is replicated once per salt with ``explode(sequence(...))``. A key holding a third of
-    ``big`` is split ``salts`` ways instead of landing in one task.
+    ``big`` is split ``salts`` ways instead of landing in one task. The hint keeps the planner from broadcasting
+    ``small`` after all: files of few bytes can hold many rows, and these come ``salts`` times.
     """
     n = salts or int(big.sparkSession.conf.get(SALT_CONF_KEY, str(DEFAULT_SALTS)))
     cols = salt_from or [c for c in big.columns if c not in on][:4]
     b = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(n)).cast("int"))
     s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    return b.join(s, [*on, "_salt"], how).drop("_salt")
+    return b.join(s.hint("merge"), [*on, "_salt"], how).drop("_salt")
 
 
 def join_checked(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",

@@ -24,9 +24,10 @@ def cells_to_records(cells: DataFrame, keys: list[str], row: str = "row_no", col
     by_row = stored(by_row)
     sheets = by_row.groupBy(*keys).agg(F.min(row).alias("_first"), F.max(row).alias("_end"), (F.max("_last") + 1).alias("_width"))
     whole = lambda m: F.transform(F.sequence(F.lit(0), F.col("_width") - 1), lambda i: F.try_element_at(m, i))
-    heads = (sheets.withColumn(row, F.col("_first")).join(by_row.select(*keys, row, "_cells"), [*keys, row])
+    rows_at = by_row.select(*keys, row, "_cells").hint("merge")    # a map for each row: never broadcast, however small its files are
+    heads = (sheets.withColumn(row, F.col("_first")).join(rows_at, [*keys, row])
              .select(*keys, "_width", whole(F.col("_cells")).alias("headers")))
     spine = sheets.where("_end > _first").select(*keys, F.explode(F.sequence(F.col("_first") + 1, F.col("_end"))).alias(row))
-    rows = spine.join(by_row.select(*keys, row, "_cells"), [*keys, row], "left")
+    rows = spine.join(rows_at, [*keys, row], "left")
     return (join_checked(rows, heads, keys, salt_from=[row])
             .select(*keys, row, "headers", whole(F.col("_cells")).alias("cells")))

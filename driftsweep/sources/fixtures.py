@@ -114,10 +114,11 @@ def fixture_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     od = orders.groupBy("o_custkey").agg(
         F.min(od_date).alias("d_first"), F.max(od_date).alias("d_last"), F.count(F.lit(1)).alias("n"))
 
-    j = (c.join(p, p.p_partkey == c.c_custkey)
+    # a row for each part, customer or user: never broadcast, however small the files are
+    j = (c.join(p.hint("merge"), p.p_partkey == c.c_custkey)
           .join(n, n.n_nationkey == c.c_nationkey)
-          .join(od, od.o_custkey == c.c_custkey, "left")
-          .join(ev, ev.user_id == c.c_custkey, "left"))
+          .join(od.hint("merge"), od.o_custkey == c.c_custkey, "left")
+          .join(ev.hint("merge"), ev.user_id == c.c_custkey, "left"))
 
     key = F.col("c_custkey")
     s = lambda x: x.cast("string")

@@ -242,7 +242,8 @@ def sheet_rows(parts: DataFrame) -> DataFrame:
     spine = (sheets.join(ends, ["entry", "sheet_no"])
              .select("entry", "sheet_no", "sheet", F.explode(F.sequence(F.lit(1).cast("long"), "last")).alias("row_no")))
     whole = F.transform(F.sequence(F.lit(0), F.col("width") - 1), lambda i: F.try_element_at("held", i))
-    rows = spine.join(by_row, keys, "left").select(
+    # by_row has a map for each row of the inbox: never broadcast, however small its files are
+    rows = spine.join(by_row.hint("merge"), keys, "left").select(
         "entry", "sheet_no", "sheet", "row_no", (F.col("row_no") - 1).alias("seq"),
         F.coalesce(whole, F.array().cast("array<string>")).alias("cells"), F.coalesce("all_text", F.lit(True)).alias("all_text"),
         F.lit(None).cast("string").alias("error"))
@@ -267,7 +268,9 @@ def workbook_rows(spark: SparkSession, inbox: str, entries: DataFrame | None = N
     files = reader.load(f"{inbox.rstrip('/')}/*.xlsx").select(entry_of(F.col("path"), root).alias("entry"), "content")
     if entries is not None:
         files = join_checked(files, entries.select("entry"), ["entry"], "left_semi", salt_from=["entry"])
-    return sheet_rows(stored(files.mapInArrow(_xml_parts, PARTS), sink="workbook_xml"))
+    # a workbook is opened by one task; its elements are dealt over all
+    parts = files.mapInArrow(_xml_parts, PARTS).repartition("entry", "member", "no")
+    return sheet_rows(stored(parts, sink="workbook_xml"))
 
 
 class XlsxInbox:

@@ -4,6 +4,7 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from data_paths import SF_SMALL
 from driftsweep.plans.medallion import Sweep
@@ -171,3 +172,39 @@ def test_fixture_silver_plan_has_no_shuffle(spark):
     shuffles = [l for l in plan.splitlines() if "Exchange" in l and "BroadcastExchange" not in l]
     assert shuffles == [], shuffles
     assert "GetMapValue" not in plan and "element_at(mapping" not in plan   # flat mapping columns
+
+
+def test_salted_join_is_not_broadcast(spark):
+    """Small files may hold many rows; the salted side comes once per salt."""
+    from driftsweep.operators.joins import salted_join
+
+    big = spark.range(50).select((F.col("id") % 5).alias("k"), "id")
+    small = spark.range(5).select(F.col("id").alias("k"), F.col("id").cast("string").alias("v"))
+    out = salted_join(big, small, ["k"], "left", salt_from=["id"])
+    assert "BroadcastHashJoin" not in _plan(out)
+    assert sorted((r.id, r.v) for r in out.collect()) == [(i, str(i % 5)) for i in range(50)]
+
+
+def test_rows_put_together_from_cells_are_not_broadcast(spark):
+    from driftsweep.operators.records import cells_to_records
+    from driftsweep.sources.xlsx_inbox import PARTS, sheet_rows
+
+    cells = spark.createDataFrame([("a", 1, 0, "h"), ("a", 2, 0, "x"), ("a", 4, 0, "z")], "sheet string, row_no long, col int, value string")
+    r = cells_to_records(cells, ["sheet"])
+    assert "SortMergeJoin" in _plan(r)
+    assert [(x.row_no, x.cells) for x in r.orderBy("row_no").collect()] == [(2, ["x"]), (3, [None]), (4, ["z"])]
+    parts = spark.createDataFrame([
+        ("b.xlsx", "xl/workbook.xml", 0, '<workbook><sheets><sheet name="S" r:id="r1"/></sheets></workbook>', None),
+        ("b.xlsx", "xl/_rels/workbook.xml.rels", 0, '<Relationships><Relationship Id="r1" Target="worksheets/s.xml"/></Relationships>', None),
+        ("b.xlsx", "xl/worksheets/s.xml", -1, None, None),
+        ("b.xlsx", "xl/worksheets/s.xml", 0, '<row r="2"><c r="B2" t="str"><v>x</v></c></row>', None)], PARTS)
+    rows = sheet_rows(parts)
+    assert "SortMergeJoin" in _plan(rows)
+    assert [(x.row_no, x.cells) for x in rows.orderBy("row_no").collect()] == [(1, []), (2, [None, "x"])]
+
+
+def test_fixture_rows_do_not_broadcast_their_tables(spark):
+    from driftsweep.sources.fixtures import fixture_rows
+
+    plan = _plan(fixture_rows(spark, SF_SMALL))
+    assert plan.count("SortMergeJoin") == 3 and plan.count("BroadcastHashJoin") == 1     # only nation
