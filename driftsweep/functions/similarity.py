@@ -15,6 +15,8 @@ They are meant for the small header x alias side of the resolver, never for data
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -51,16 +53,24 @@ def _bit(j: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), j)
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once a row. An expression inside a lambda is worked out at each of its
+    steps, also one that comes from another column, as the planner may put that column's expression in its place."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def char_masks(b: Column) -> Column:
     """map<char, long>: bit j set where the j-th character of ``b`` is that char."""
     n = F.char_length(b)
 
-    def mask(c: Column) -> Column:
-        return F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0).cast("long"),
-                           lambda m, j: F.when(F.substr(b, j + 1, F.lit(1)) == c, m.bitwiseOR(_bit(j))).otherwise(m))
+    def masks(chars: Column) -> Column:
+        def mask(c: Column) -> Column:
+            return F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0).cast("long"),
+                               lambda m, j: F.when(F.get(chars, j) == c, m.bitwiseOR(_bit(j))).otherwise(m))
+
+        return F.map_from_entries(F.transform(F.array_distinct(chars), lambda c: F.struct(c, mask(c))))
 
-    masks = F.map_from_entries(F.transform(F.array_distinct(_chars(b)), lambda c: F.struct(c, mask(c))))
-    return F.when((n > 0) & (n <= MAX_BITS), masks)
+    return F.when((n > 0) & (n <= MAX_BITS), _once(_chars(b), masks))
 
 
 def lcs_bits(a: Column, b_len: Column, masks: Column) -> Column:
@@ -79,7 +89,7 @@ def lcs_fast(a: Column, b: Column, masks: Column) -> Column:
     """Exact LCS: bit-parallel when ``b`` fits in one word, DP otherwise."""
     n = F.char_length(b)
     return (F.when((F.char_length(a) == 0) | (n == 0), F.lit(0))
-             .when(n <= MAX_BITS, lcs_bits(a, n, masks))
+             .when(n <= MAX_BITS, _once(masks, lambda m: lcs_bits(a, n, m)))
              .otherwise(lcs_length(a, b)))
 
 

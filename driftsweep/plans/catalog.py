@@ -163,9 +163,10 @@ def score_threshold(spark, sf):
     a = F.col("p_type")
     b = F.when(F.col("p_partkey") % 2 == 0, F.replace(a, F.lit("E"), F.lit(""))).otherwise(F.col("p_name"))
     x = table(spark, sf, "part").select("p_partkey", "p_type", b.alias("other"))
-    lcs = lcs_fast(a, F.col("other"), char_masks(F.col("other")))
-    return x.select("p_partkey", "p_type", "other", indel_ratio(a, F.col("other"), lcs).alias("score"),
-                    passes_threshold(a, F.col("other"), lcs).alias("passes"))
+    # a column of its own: score and decision share it
+    x = x.withColumn("lcs", lcs_fast(a, F.col("other"), char_masks(F.col("other"))))
+    return x.select("p_partkey", "p_type", "other", indel_ratio(a, F.col("other"), F.col("lcs")).alias("score"),
+                    passes_threshold(a, F.col("other"), F.col("lcs")).alias("passes"))
 
 
 def clean_header_q(spark, sf):

@@ -154,3 +154,17 @@ def test_shared_folder_is_required_off_local_masters(tmp_path):
         session.sparkContext = Context(master)
         with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
             ensure_checkpoint_dir(session)
+
+
+def test_match_masks_are_made_once_a_row(spark):
+    """The steps over a's characters look up a variable, not the expression that makes the masks."""
+    import re
+
+    from driftsweep.functions.similarity import char_masks, lcs_fast
+
+    df = spark.createDataFrame([("STEEL", "STL"), ("", "x"), ("a" * 70, "a" * 65)], "a string, b string")
+    out = df.withColumn("m", char_masks(F.col("b"))).select(lcs_fast(F.col("a"), F.col("b"), F.col("m")).alias("x"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    looked_up = re.findall(r"element_at\((\w+)", plan)
+    assert looked_up and set(looked_up) == {"lambda"}, looked_up
+    assert [r.x for r in out.collect()] == [3, 0, 65]
