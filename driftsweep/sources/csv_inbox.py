@@ -83,6 +83,15 @@ def top_level_entries(spark: SparkSession, inbox: str) -> DataFrame:
             .where(~F.col("entry").startswith(".") & ~F.col("entry").startswith("_")))
 
 
+def file_states(spark: SparkSession, inbox: str) -> DataFrame:
+    """Per entry with files: their number, size and modification times, from the listing."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(inbox)
+             .select("path", "length", "modificationTime"))
+    return (files.groupBy(entry_of(F.col("path"), qualified(spark, inbox)).alias("entry"))
+            .agg(F.count(F.lit(1)).alias("n_parts"), F.sum("length").alias("bytes"),
+                 F.max("modificationTime").alias("modified"), F.min("modificationTime").alias("oldest")))
+
+
 def manifest(spark: SparkSession, inbox: str) -> DataFrame:
     """One row per inbox entry: name, kind, size, part count, latest (``modified``) and earliest
     (``oldest``) modification time of its files, discovery ordinal.
@@ -91,13 +100,7 @@ def manifest(spark: SparkSession, inbox: str) -> DataFrame:
     files without reading their content; the per-entry aggregate is joined to the
     top-level listing so that empty entries are kept with zero parts.
     """
-    root = qualified(spark, inbox)
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(inbox)
-             .select("path", "length", "modificationTime"))
-    entry = entry_of(F.col("path"), root)
-    sized = (files.groupBy(entry.alias("entry"))
-             .agg(F.count(F.lit(1)).alias("n_parts"), F.sum("length").alias("bytes"),
-                  F.max("modificationTime").alias("modified"), F.min("modificationTime").alias("oldest")))
+    sized = file_states(spark, inbox)
     listed = top_level_entries(spark, inbox)
     per_entry = (listed.join(sized, "entry", "left")
                  .select("entry", F.coalesce("n_parts", F.lit(0)).alias("n_parts"),

@@ -4,7 +4,9 @@ The stream is only a signal of which *entries* changed: the file source's checkp
 files it has seen, and a micro-batch's distinct entry names start a batch sweep of those entries as
 a whole, every file they hold by then. However a micro-batch cuts an entry's files, the last one
 that touches it sweeps all of it, so gates, counts, mapping and row order are those of the batch
-plan. Workbooks and CSV entries are swept alike. The names travel as a table, none on the driver.
+plan. An entry whose files are those that an earlier micro-batch has swept (``swept`` tells their number, size and
+modification time) is not swept again, so an entry of many files is not swept once for each few of them. Workbooks and
+CSV entries are swept alike. The names travel as a table, none on the driver.
 
 With ``archive`` the entries of a micro-batch leave the inbox once all its tables are written (renames, see
 ``plans.run.archive_handled``), so a later run lists only what is new. A micro-batch that is replayed after that,
@@ -14,8 +16,8 @@ Sinks under ``out_dir``: ``silver`` (the 33 targets, rowid and epoch; partitione
 ``gold`` (partitioned by dataset) and ``status`` (partitioned by epoch). A sweep replaces the
 partitions of its datasets, so a replayed micro-batch changes nothing, and (epoch, rowid) is unique.
 If two entries name the same dataset, the one later in discovery order wins, also across
-micro-batches: ``owners`` records which entry each dataset's rows come from, as changes of each epoch and a
-snapshot every ``SNAPSHOT`` epochs, so that a micro-batch reads a bounded number of its partitions.
+micro-batches: ``owners`` records which entry each dataset's rows come from. ``owners`` and ``swept`` hold the changes of
+each epoch and a snapshot every ``SNAPSHOT`` epochs, so that a micro-batch reads a bounded number of their partitions.
 """
 
 from __future__ import annotations
@@ -34,7 +36,8 @@ from driftsweep.sources import csv_inbox
 
 OWNERS = "file_name string, type_rank int, owner string, epoch long"
 STATUS = "entry string, file_ordinal int, n_parts bigint, bytes bigint, modified timestamp, status string, reason string, n_rows bigint"
-#: Epochs between two snapshots of ``owners``.
+SWEPT = "entry string, n_parts bigint, bytes bigint, modified timestamp, epoch long"
+#: Epochs between two snapshots of ``owners`` and ``swept``.
 SNAPSHOT = 10
 
 
@@ -54,21 +57,45 @@ def start_sweep_stream(spark: SparkSession, inbox: str, out_dir: str, checkpoint
     stream = reader.load(inbox).select(csv_inbox.entry_of(F.col("path"), root).alias("entry"))
 
     def process(batch: DataFrame, epoch: int) -> None:
-        entries = stored(batch.distinct())
+        # an archived entry has left the inbox; one that is there again is a new delivery
+        entries = batch.distinct() if archive is not None else changed(spark, inbox, out_dir, batch.distinct(), epoch)
         if not entries.isEmpty():
-            sweep_entries(spark, inbox, out_dir, entries, epoch, archive)
+            sweep_entries(spark, inbox, out_dir, stored(entries), epoch, archive)
+        elif epoch % SNAPSHOT == 0:
+            _write(_at(_owners(spark, out_dir, epoch), epoch), f"{out_dir}/owners", "epoch")
+            _write(_at(_swept(spark, out_dir, epoch), epoch), f"{out_dir}/swept", "epoch")
 
     writer = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()
 
 
+def _latest(spark: SparkSession, path: str, schema: str, key: str, values: list[str], epoch: int) -> DataFrame:
+    """The latest row of each key before this micro-batch."""
+    since = (epoch - 1) // SNAPSHOT * SNAPSHOT    # the last snapshot before the epoch
+    rows = ledger.read(spark, path, schema).where((F.col("epoch") >= since) & (F.col("epoch") < epoch))
+    return rows.groupBy(key).agg(F.max(F.struct("epoch", *values)).alias("o")).select(key, *[f"o.{v}" for v in values])
+
+
 def _owners(spark: SparkSession, out_dir: str, epoch: int) -> DataFrame:
     """The latest owner of each dataset before this micro-batch."""
-    since = (epoch - 1) // SNAPSHOT * SNAPSHOT    # the last snapshot before the epoch
-    rows = ledger.read(spark, f"{out_dir}/owners", OWNERS).where((F.col("epoch") >= since) & (F.col("epoch") < epoch))
-    last = F.max(F.struct("epoch", "type_rank", "owner")).alias("o")
-    return rows.groupBy("file_name").agg(last).select("file_name", "o.type_rank", "o.owner")
+    return _latest(spark, f"{out_dir}/owners", OWNERS, "file_name", ["type_rank", "owner"], epoch)
+
+
+def _swept(spark: SparkSession, out_dir: str, epoch: int) -> DataFrame:
+    """The files that each entry had when it was last swept before this micro-batch."""
+    return _latest(spark, f"{out_dir}/swept", SWEPT, "entry", ["n_parts", "bytes", "modified"], epoch)
+
+
+def _at(df: DataFrame, epoch: int) -> DataFrame:
+    return df.withColumn("epoch", F.lit(epoch).cast("long"))
+
+
+def changed(spark: SparkSession, inbox: str, out_dir: str, entries: DataFrame, epoch: int) -> DataFrame:
+    """The entries without those that an earlier micro-batch has swept with all the files they have now."""
+    now = entries.join(csv_inbox.file_states(spark, inbox), "entry", "left")
+    seen = _swept(spark, out_dir, epoch)
+    return now.join(seen, ["entry", "n_parts", "bytes", "modified"], "left_anti").select("entry")
 
 
 def sweep_entries(spark: SparkSession, inbox: str, out_dir: str, entries: DataFrame, epoch: int,
@@ -83,7 +110,7 @@ def sweep_entries(spark: SparkSession, inbox: str, out_dir: str, entries: DataFr
     own = own.join(old, "file_name", "left").where(
         F.col("_old").isNull() | (F.col("_old") <= F.struct("type_rank", "owner"))).drop("_old").transform(stored)
     kept = own if epoch % SNAPSHOT else own.unionByName(before.join(own, "file_name", "left_anti"))
-    _write(kept.withColumn("epoch", F.lit(epoch).cast("long")), f"{out_dir}/owners", "epoch")
+    _write(_at(kept, epoch), f"{out_dir}/owners", "epoch")
     mine = own.select("file_name")
     silver = sw.silver.join(mine, "file_name", "left_semi").select(
         F.lit(epoch).cast("long").alias("epoch"), *SILVER_ORDER)
@@ -91,7 +118,12 @@ def sweep_entries(spark: SparkSession, inbox: str, out_dir: str, entries: DataFr
     gold = harmonise.gold(_silver(spark, out_dir).where(F.col("epoch") == epoch))
     _write(gold, f"{out_dir}/gold", "sourcefile")
     status = sw.status.select(*[f.split()[0] for f in STATUS.split(", ")])
-    _write(status.withColumn("epoch", F.lit(epoch).cast("long")), f"{out_dir}/status", "epoch")
+    _write(_at(status, epoch), f"{out_dir}/status", "epoch")
+    # written last: from now on the entries count as swept. The state is that of the manifest, which precedes every read
+    swept = sw.manifest.select("entry", "n_parts", "bytes", "modified")
+    if epoch % SNAPSHOT == 0:
+        swept = swept.unionByName(_swept(spark, out_dir, epoch).join(entries, "entry", "left_anti"))
+    _write(_at(swept, epoch), f"{out_dir}/swept", "epoch")
     if archive is not None:
         handled = ledger.read(spark, f"{out_dir}/status", STATUS + ", epoch long").where(F.col("epoch") == epoch)
         move_handled(spark, inbox, handled.withColumn("run_id", F.concat(F.lit("epoch-"), F.col("epoch"))), archive)

@@ -208,3 +208,38 @@ def test_fixture_rows_do_not_broadcast_their_tables(spark):
 
     plan = _plan(fixture_rows(spark, SF_SMALL))
     assert plan.count("SortMergeJoin") == 3 and plan.count("BroadcastHashJoin") == 1     # only nation
+
+
+def test_stream_sweeps_an_entry_once_for_its_files(spark, tmp_path):
+    """An entry of eight files, two a micro-batch: one sweep; a file that comes later: another one."""
+    from driftsweep.streaming import sweep_stream
+
+    inbox, out, ck = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "ck")
+    entry = inbox / "a.csv"
+    entry.mkdir(parents=True)
+    for i in range(8):
+        (entry / f"part-{i}.csv").write_text(f"FirstName,CID\nn{i},{i}\n")
+    sweep_stream.run_available(spark, str(inbox), out, ck, max_files_per_trigger=2)
+    epochs = lambda: {r.epoch for r in spark.read.parquet(f"{out}/status").select("epoch").distinct().collect()}
+    cids = lambda: sorted(r.cid for r in sweep_stream.read_stream_silver(spark, out).collect())
+    assert epochs() == {0} and cids() == [str(i) for i in range(8)]
+    (entry / "part-8.csv").write_text("FirstName,CID\nn8,8\n")
+    sweep_stream.run_available(spark, str(inbox), out, ck, max_files_per_trigger=2)
+    assert epochs() == {0, 4} and cids() == [str(i) for i in range(9)]
+
+
+def test_stream_keeps_what_it_knows_over_snapshots(spark, tmp_path, monkeypatch):
+    """Micro-batches without a sweep still write the snapshots that later ones read."""
+    from driftsweep.streaming import sweep_stream
+
+    monkeypatch.setattr(sweep_stream, "SNAPSHOT", 2)
+    inbox, out, ck = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "ck")
+    entry = inbox / "twin.csv.csv"
+    entry.mkdir(parents=True)
+    for i in range(6):
+        (entry / f"part-{i}.csv").write_text(f"FirstName,CID\nn{i},{i}\n")
+    sweep_stream.run_available(spark, str(inbox), out, ck, max_files_per_trigger=1)
+    (inbox / "twin.csv").write_text("FirstName,CID\nother,99\nother,98\n")   # the same dataset, discovered earlier: it loses
+    sweep_stream.run_available(spark, str(inbox), out, ck, max_files_per_trigger=1)
+    assert sorted(r.cid for r in sweep_stream.read_stream_silver(spark, out).collect()) == [str(i) for i in range(6)]
+    assert {r.epoch for r in spark.read.parquet(f"{out}/status").collect()} == {0, 6}
