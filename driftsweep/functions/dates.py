@@ -68,6 +68,12 @@ def parse_date(c: Column) -> Column:
     return F.when(c.isNotNull() & (F.length(c) > 0), F.coalesce(*[_try(c, fmt) for fmt in DATE_FORMATS]))
 
 
+_PLAIN = "^[1-9][0-9]{3}-[0-9]{2}-[0-9]{2}\\z"    # $ would let a line break follow
+
+
 def normalise_date(c: Column) -> Column:
-    """YYYY-MM-DD text with the time dropped; NULL, blank and junk become 'NaT'."""
-    return F.coalesce(F.date_format(parse_date(c), "yyyy-MM-dd"), F.lit(NAT))
+    """YYYY-MM-DD text with the time dropped; NULL, blank and junk become 'NaT'.
+
+    A text that is a date in this form already stays as it is, neither parsed nor formatted."""
+    plain = c.rlike(_PLAIN) & c.try_cast("date").isNotNull()
+    return F.when(plain, c).otherwise(F.coalesce(F.date_format(parse_date(c), "yyyy-MM-dd"), F.lit(NAT)))
