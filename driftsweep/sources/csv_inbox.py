@@ -362,16 +362,20 @@ class CsvInbox:
 
 def write_fixture_inbox(spark: SparkSession, sf_dir: str, inbox: str, layouts=None) -> str:
     """Write each fixture dataset as a CSV entry (a folder of part files, each with the
-    dataset's own drifting header). Workbook layouts are written as ``<dataset>.csv``."""
+    dataset's own drifting header). Workbook layouts are written as ``<dataset>.csv``.
+
+    An entry has a part file a core at most: one for each shuffle partition would make the scans pack by the number
+    of files, and the large files of other entries into few tasks."""
     from driftsweep.sources import fixtures
 
     layouts = fixtures.LAYOUTS if layouts is None else layouts
     rows = fixtures.fixture_rows(spark, sf_dir).persist()
+    cores = spark.sparkContext.defaultParallelism
     try:
         for l in layouts:
             name = l.source if l.fmt == "csv" else f"{l.file_name}.csv"
             out = rows.where(F.col("file_name") == l.file_name).select(*[F.col(c).alias(h) for h, c in l.columns])
-            (out.write.mode("overwrite").option("header", "true").option("escape", '"')
+            (out.coalesce(cores).write.mode("overwrite").option("header", "true").option("escape", '"')
                 .csv(f"{inbox.rstrip('/')}/{name}"))
     finally:
         rows.unpersist()
